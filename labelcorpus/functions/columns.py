@@ -120,8 +120,8 @@ def dv_text(dv: Column) -> Column:
 
 # Python-compatible number formatting (%.0f / %.1f use half-even on the binary value) -------
 def fmt0(x: Column) -> Column:
-    return F.regexp_replace(F.format_number(x, "0"), ",", "")
+    return F.regexp_replace(F.call_function("format_number", x, F.lit("0")), ",", "")
 
 
 def fmt1(x: Column) -> Column:
-    return F.regexp_replace(F.format_number(x, "0.0"), ",", "")
+    return F.regexp_replace(F.call_function("format_number", x, F.lit("0.0")), ",", "")
