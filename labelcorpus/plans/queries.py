@@ -110,3 +110,263 @@ def q_rendered_label(spark, sf_dir):
     text = L.ingredient_text(F.coalesce("main_names", empty), F.coalesce("two_percent_names", empty),
                              F.lit(None).cast("string"), empty)
     return lists.select("food_id", text.alias("ingredient_text"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Knowledge over the part vocabulary (8 adjectives x 8 nouns), used where the food tables'
+# own words never occur in the test tables. They are query parameters, not library data.
+PART_LEXICON = [("small bolt", "SMALL ZINC BOLT"), ("red gear", "GEAR")]
+PART_COMMERCIAL = [("small bolt", "BOLT"), ("blue plate", "BLUE PLATE"), ("old anvil", "ANVIL"),
+                   ("cold rod", "COLD, ROLLED ROD")]
+PART_GENERIC = [("Blue Plate", "DISHES"), ("cold ring", "RINGS"), ("large widget", "WIDGETS"),
+                ("Hot", "HOT RODS"), ("Old", "OLD GEARS"), ("Anvil", "ANVILS"), ("New", "NEW")]
+PART_COMPOUNDS = [("Old Bolt", [("iron", 0.6), ("rust", 0.4)]),
+                  ("Hot Gizmo", [("copper", 0.5), ("wire", 0.3), ("solder", 0.2)]),
+                  ("blue ring", [("steel", 1.0)])]
+
+
+def _dim(spark, rows, schema):
+    return spark.createDataFrame(rows, schema)
+
+
+def _values_sql(rows, cols) -> str:
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return repr(v)
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"(VALUES {body}) AS v({', '.join(cols)})"
+
+
+# J1 / X1 ------------------------------------------------------------------------------------
+RENAME_SQL = (
+    f"WITH {FR}, {SEL} SELECT food_id, label_pos, coalesce(lx.n, cm.n, upper(regexp_replace("
+    "regexp_replace(trim(regexp_replace(description, '\\s+', ' ', 'g')), '\\s*,\\s*', ' ', 'g'), "
+    "'\\s+', ' ', 'g'))) AS declared_name, "
+    "coalesce(lx.n, cm.n, upper(regexp_replace(regexp_replace(trim(regexp_replace(description, "
+    "'\\s+', ' ', 'g')), '\\s*,\\s*', ' ', 'g'), '\\s+', ' ', 'g'))) <> upper(description) "
+    "AS rename_affected FROM lab "
+    f"LEFT JOIN {_values_sql(PART_LEXICON, ['d', 'n'])[:-len(' AS v(d, n)')]} AS lx(d, n) "
+    "ON lx.d = description "
+    f"LEFT JOIN {_values_sql(PART_COMMERCIAL, ['d', 'n'])[:-len(' AS v(d, n)')]} AS cm(d, n) "
+    "ON cm.d = description")
+
+
+@register("rename_lookup", RENAME_SQL)
+def q_rename_lookup(spark, sf_dir):
+    from labelcorpus.operators import naming
+    schema = "description string, name string, pos int"
+    lex = _dim(spark, [(d, n, i) for i, (d, n) in enumerate(PART_LEXICON)], schema)
+    com = _dim(spark, [(d, n, i) for i, (d, n) in enumerate(PART_COMMERCIAL)], schema)
+    d = naming.rename(R.initial_declared(_selected(spark, sf_dir)), lex, com)
+    return d.select("food_id", "label_pos", "declared_name", "rename_affected")
+
+
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def re2_bounds(pattern: str) -> str:
+    """DuckDB (RE2) form of a Java/Python pattern: word boundaries made Unicode-aware."""
+    p = pattern
+    if p.startswith(r"\b"):
+        p = r"(?:^|[^\pL\pN_])" + p[2:]
+    if p.endswith(r"\b"):
+        p = p[:-2] + r"(?:[^\pL\pN_]|$)"
+    return "(?i)" + p
+
+
+# J2-J4 / L2 ---------------------------------------------------------------------------------
+def _generic_sql(name: str) -> str:
+    keys = PART_GENERIC
+    whole = [(k.lower(), g) for k, g in keys if k == k.title()]
+    whole_sql = "CASE lower(" + name + ") " + " ".join(
+        f"WHEN {_sql_str(k)} THEN {_sql_str(g)}" for k, g in whole) + " END"
+    phrases = sorted([(k, g) for k, g in keys if len(k.split()) >= 2], key=lambda kv: -len(kv[0]))
+    phrase_sql = "CASE " + " ".join(
+        f"WHEN instr(lower({name}), {_sql_str(k.lower())}) > 0 THEN {_sql_str(g)}"
+        for k, g in phrases) + " END"
+    words = [(k.lower(), g) for k, g in keys if k == k.title() and len(k.split()) == 1]
+    toks = f"list_filter(string_split(trim({name}), ' '), lambda t: t <> '')"
+    stripped = (f"list_filter(list_transform({toks}, lambda t: lower(regexp_replace(t, "
+                "'^[ ,()]+|[ ,()]+$', '', 'g'))), lambda t: t <> '')")
+
+    def targets(g):
+        ws = [w.strip(" ,()").lower().removesuffix("s") for w in g.split() if w.strip(" ,()")]
+        return "[" + ", ".join(_sql_str(w) for w in ws) + "]"
+    guard = "CASE x " + " ".join(
+        f"WHEN {_sql_str(k)} THEN list_has_any(list_transform(list_filter({stripped}, "
+        f"lambda w: w <> x), lambda w: regexp_replace(w, 's$', '')), {targets(g)})"
+        for k, g in words) + " ELSE false END"
+    hit = f"list_filter(list_transform({toks}, lambda t: lower(t)), lambda x: {guard})[1]"
+    word_sql = "CASE " + hit + " " + " ".join(
+        f"WHEN {_sql_str(k)} THEN {_sql_str(g)}" for k, g in words) + " END"
+    return f"coalesce({whole_sql}, {phrase_sql}, {word_sql})"
+
+
+GENERIC_SQL = (f"WITH {FR}, {SEL}, x AS (SELECT food_id, label_pos, upper(description) AS nm "
+               f"FROM lab) SELECT food_id, label_pos, coalesce(upper({_generic_sql('nm')}), nm) "
+               f"AS declared_name, {_generic_sql('nm')} IS NOT NULL AS generic_name_affected FROM x")
+
+
+@register("generic_names", GENERIC_SQL)
+def q_generic_names(spark, sf_dir):
+    from labelcorpus.operators import naming
+    dim = _dim(spark, [(i, k, g) for i, (k, g) in enumerate(PART_GENERIC)],
+               "pos int, key string, generic string")
+    d = naming.generic_name(R.initial_declared(_selected(spark, sf_dir)), dim)
+    return d.select("food_id", "label_pos", "declared_name", "generic_name_affected")
+
+
+# J5 / L3 ------------------------------------------------------------------------------------
+COMPOUND_SQL = (
+    f"WITH {FR}, {SEL}, x AS (SELECT food_id, label_pos, upper(description) AS nm FROM lab), "
+    "y AS (SELECT *, CASE lower(nm) " + " ".join(
+        f"WHEN {_sql_str(k.lower())} THEN {_sql_str(', '.join(s.upper() for s, _ in subs))}"
+        for k, subs in PART_COMPOUNDS if k == k.title()) + " END AS subs FROM x) "
+    "SELECT food_id, label_pos, CASE WHEN subs IS NULL THEN nm ELSE nm || ' (' || subs || ')' END "
+    "AS declared_name, subs IS NOT NULL AS is_compound, coalesce(subs, '') AS sub_ingredients FROM y")
+
+
+@register("compound_expand", COMPOUND_SQL)
+def q_compound_expand(spark, sf_dir):
+    from labelcorpus.operators import naming
+    rows = [(k, i, s, f) for k, subs in PART_COMPOUNDS for i, (s, f) in enumerate(subs)]
+    dim = _dim(spark, rows, "key string, pos int, sub_name string, fraction double")
+    d = naming.compound(R.initial_declared(_selected(spark, sf_dir)), dim)
+    return d.select("food_id", "label_pos", "declared_name", "is_compound",
+                    F.array_join("sub_ingredients", ", ").alias("sub_ingredients"))
+
+
+# J12 over whole documents -------------------------------------------------------------------
+def _allergen_sql(text: str) -> str:
+    from labelcorpus.knowledge import values as V
+    by_label: dict[str, list[str]] = {}
+    for kw, label in V.ALLERGEN_KEYWORDS:
+        by_label.setdefault(label, []).append(kw)
+    parts = []
+    for label, kws in sorted(by_label.items()):
+        alts = "|".join(sorted(kws, key=len, reverse=True))
+        pat = f"(^|[^a-z0-9])({alts})s?([^a-z0-9]|$)"
+        parts.append(f"CASE WHEN regexp_matches(lower({text}), {_sql_str(pat)}) "
+                     f"THEN {_sql_str(label)} END")
+    excl = " OR ".join(f"regexp_matches({text}, {_sql_str(re2_bounds(p))})"
+                       for p in V.ALLERGEN_EXCLUSIONS)
+    return f"CASE WHEN {excl} THEN '' ELSE concat_ws(',', {', '.join(parts)}) END"
+
+
+@register("keyword_tags", f"SELECT doc_id, {_allergen_sql('text')} AS allergens FROM documents")
+def q_keyword_tags(spark, sf_dir):
+    from labelcorpus.operators import tags
+    k = L.Knowledge.default(spark)
+    docs = T.table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = tags.allergen_column(F.col("text"), k.allergen_keywords, k.allergen_exclusions)
+    return docs.select("doc_id", F.array_join(found, ",").alias("allergens"))
+
+
+# J11 / J7 over whole documents --------------------------------------------------------------
+def _first_match_sql(text: str, pairs: list[tuple[str, str]]) -> str:
+    return "CASE " + " ".join(
+        f"WHEN regexp_matches({text}, {_sql_str(re2_bounds(p))}) THEN {_sql_str(label)}"
+        for p, label in pairs) + " END"
+
+
+def _class_sql() -> str:
+    from labelcorpus.knowledge import values as V
+    cats = [(p, l) for l, p in V.INGREDIENT_CATEGORIES]
+    foods = list(V.FOOD_NAME_KEYWORDS)
+    return (f"SELECT doc_id, {_first_match_sql('text', cats)} AS ingredient_class, "
+            f"{_first_match_sql('text', foods)} AS food_class FROM documents")
+
+
+@register("first_match_class", _class_sql())
+def q_first_match_class(spark, sf_dir):
+    from labelcorpus.operators import tags
+    k = L.Knowledge.default(spark)
+    docs = T.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.select("doc_id",
+                       tags.first_match_class(F.col("text"), k.categories).alias("ingredient_class"),
+                       tags.first_match_class(F.col("text"), k.food_keywords).alias("food_class"))
+
+
+# J6 / J8 / J9 -------------------------------------------------------------------------------
+def _serving_sql() -> str:
+    from labelcorpus.knowledge import values as V
+    prefix = "CASE substr(food_code, 1, 2) " + " ".join(
+        f"WHEN {_sql_str(p)} THEN {_sql_str(c)}" for p, c in V.CODE_PREFIXES) + " END"
+    racc_amt = {c: (g if g > 0 else ml) for c, g, ml, _, _ in V.RACC if g > 0 or ml > 0}
+
+    def racc(col):
+        return "CASE " + col + " " + " ".join(
+            f"WHEN {_sql_str(c)} THEN {float(a)!r}" for c, a in racc_amt.items()) + " END"
+    name_cls = _first_match_sql("food_name", list(V.FOOD_NAME_KEYWORDS))
+    return (f"WITH f AS ({T.sql_foods()}), c AS (SELECT *, CASE WHEN length(food_code) >= 2 THEN "
+            f"coalesce({prefix}, 'uncategorized') ELSE 'uncategorized' END AS code_category, "
+            f"{name_cls} AS name_category FROM f) SELECT food_id, code_category, name_category, "
+            "round(coalesce(CASE WHEN serving_size_g BETWEEN 5 AND 500 THEN serving_size_g END, "
+            f"CASE WHEN length(food_code) > 0 THEN {racc('code_category')} END, "
+            f"CASE WHEN length(food_name) > 0 THEN {racc('name_category')} END, 100.0), 6) "
+            "AS serving_g FROM c")
+
+
+@register("serving_fallback", _serving_sql())
+def q_serving_fallback(spark, sf_dir):
+    from labelcorpus.operators import tags
+    k = L.Knowledge.default(spark)
+    s = tags.serving_size(T.foods(spark, sf_dir), k.prefixes, k.food_keywords, k.racc)
+    return s.select("food_id", "code_category", "name_category",
+                    F.round("serving_g", 6).alias("serving_g"))
+
+
+# P8 / V7 over whole documents ---------------------------------------------------------------
+DOC_TERMS = None
+
+
+def _doc_terms():
+    from labelcorpus.knowledge import values as V
+    return list(V.PROHIBITED_TERMS) + [r"\blicense\b"]
+
+
+def _prohibited_sql() -> str:
+    hits = ", ".join(f"CASE WHEN regexp_matches(lower(text), {_sql_str(re2_bounds(p))}) THEN "
+                     f"{_sql_str(p)} END" for p in _doc_terms())
+    return (f"SELECT doc_id, concat_ws(' | ', {hits}) AS violations, "
+            f"concat_ws(' | ', {hits}) = '' AS passed FROM documents")
+
+
+@register("prohibited_terms", _prohibited_sql())
+def q_prohibited_terms(spark, sf_dir):
+    from labelcorpus.operators import validation as VR
+    docs = T.table(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = VR.prohibited_hits(F.lower(F.col("text")), _doc_terms())
+    return docs.select("doc_id", F.array_join(hits, " | ").alias("violations"),
+                       (F.size(hits) == 0).alias("passed"))
+
+
+# P5 -----------------------------------------------------------------------------------------
+CONSTRAINT_SQL = (
+    f"WITH {FR}, a AS (SELECT 'ingredient' AS source, food_id AS id, concat_ws('; ', "
+    "CASE WHEN NOT (weight_g >= 0) THEN 'weight_g must be >= 0' END, "
+    "CASE WHEN NOT (f BETWEEN 0 AND 1) THEN 'fraction must be in [0, 1]' END, "
+    "CASE WHEN NOT (sequence_number >= 0) THEN 'sequence_number must be >= 0' END) AS errors "
+    "FROM fr), b AS (SELECT 'mapping' AS source, event_id AS id, concat_ws('; ', "
+    "CASE WHEN NOT coalesce(value / 100.0 BETWEEN 0 AND 1, false) THEN "
+    "'confidence must be in [0, 1]' END) AS errors FROM events) "
+    "SELECT source, id, errors FROM a WHERE errors <> '' UNION ALL "
+    "SELECT source, id, errors FROM b WHERE errors <> ''")
+
+
+@register("constraint_quarantine", CONSTRAINT_SQL)
+def q_constraint_quarantine(spark, sf_dir):
+    from labelcorpus.operators import constraints as C
+    fr = R.with_fractions(T.ingredients(spark, sf_dir))
+    _, bad_i = C.quarantine(C.with_errors(fr, C.ingredient_checks()))
+    ev = T.table(spark, sf_dir, "events").withColumn("confidence", F.col("value") / 100.0)
+    _, bad_e = C.quarantine(C.with_errors(ev, C.mapping_checks()))
+    return (bad_i.select(F.lit("ingredient").alias("source"), F.col("food_id").alias("id"),
+                         F.array_join("errors", "; ").alias("errors"))
+            .unionByName(bad_e.select(F.lit("mapping").alias("source"),
+                                      F.col("event_id").alias("id"),
+                                      F.array_join("errors", "; ").alias("errors"))))

@@ -91,7 +91,7 @@ def nutrients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # SQL text of the same mapping, for the DuckDB oracle --------------------------------------
 def sql_foods() -> str:
-    return ("SELECT o_orderkey AS food_id, CAST(CAST(o_totalprice AS BIGINT) AS VARCHAR) AS food_code, "
+    return ("SELECT o_orderkey AS food_id, CAST(CAST(trunc(o_totalprice) AS BIGINT) AS VARCHAR) AS food_code, "
             "o_orderpriority AS food_name, greatest(o_totalprice / 1000.0, 1.0) AS serving_size_g, "
             "o_custkey AS group_key FROM orders")
 
