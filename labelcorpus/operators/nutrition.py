@@ -185,3 +185,29 @@ def claim_rows(food_claims_df: DataFrame) -> DataFrame:
     """Long table (food_id, claim_pos, claim_text, claim_type)."""
     return (food_claims_df.select("food_id", F.posexplode("claims").alias("claim_pos", "claim_text"))
             .withColumn("claim_type", claim_type(F.col("claim_text"), V.CONTENT_CLAIM_WORDS)))
+
+
+# Long-form helpers (X4, X5, J10 on one row per food and nutrient) --------------------------
+def per_serving_rows(nutrients: DataFrame, servings: DataFrame) -> DataFrame:
+    """X4 on the long table: nutrients joined to their food's serving size."""
+    return (nutrients.join(servings.select("food_id", "serving_g"), "food_id")
+            .withColumn("per_serving", F.col("amount") * F.col("serving_g") / F.lit(100.0)))
+
+
+def round_rows(rows: DataFrame, rounding_dim: DataFrame) -> DataFrame:
+    """X5 on the long table: broadcast join with the rounding steps (unknown names unrounded)."""
+    r = rounding_dim.withColumnRenamed("nutrient", "_rname")
+    out = rows.join(F.broadcast(r), rows["name"] == r["_rname"], "left")
+    return out.withColumn("rounded", fda_round(
+        F.col("per_serving"), F.col("zero_below"), F.col("fine_step"), F.col("fine_upto"),
+        F.col("coarse_step"))).drop("_rname", "zero_below", "fine_step", "fine_upto",
+                                    "coarse_step")
+
+
+def daily_value_rows(rows: DataFrame, dv_dim: DataFrame, amount_col: str = "per_serving") -> DataFrame:
+    """J10 on the long table: amount / DV * 100 (null when the DV is unknown)."""
+    d = dv_dim.select(F.col("nutrient_name").alias("_dname"), "dv_amount")
+    out = rows.join(F.broadcast(d), rows["name"] == d["_dname"], "left")
+    return out.withColumn(
+        "dv_percent", F.when(F.col("dv_amount") > 0,
+                             F.col(amount_col) / F.col("dv_amount") * 100.0)).drop("_dname")

@@ -40,17 +40,28 @@ SEL = ("sel AS (SELECT * FROM fr WHERE n BETWEEN 2 AND 50), "
        "sequence_number, pos, pos2) AS label_pos FROM sel WHERE NOT is_fortificant)")
 
 
+def q(col, digits: int = 6):
+    """Round for comparison: floor(x * 10^k + 0.5) / 10^k, the same IEEE steps as ``sq``."""
+    scale = float(10 ** digits)
+    c = F.col(col) if isinstance(col, str) else col
+    return F.floor(c * scale + 0.5) / scale
+
+
+def sq(expr: str, digits: int = 6) -> str:
+    return f"(floor(({expr}) * {float(10 ** digits)!r} + 0.5) / {float(10 ** digits)!r})"
+
+
 def _selected(spark: SparkSession, sf_dir: str, min_n: int = 2, max_n: int = 50) -> DataFrame:
     return R.select_recipes(T.ingredients(spark, sf_dir), min_n, max_n)
 
 
 # S3 / P2 / P3 -------------------------------------------------------------------------------
 @register("fractions", f"WITH {FR} SELECT food_id, sequence_number, code, pos2 AS supp_key, "
-          "description, round(f, 9) AS fraction FROM fr WHERE NOT is_fortificant")
+          "description, " + sq("f", 9) + " AS fraction FROM fr WHERE NOT is_fortificant")
 def q_fractions(spark, sf_dir):
     fr = R.drop_fortificants(R.with_fractions(T.ingredients(spark, sf_dir)))
     return fr.select("food_id", "sequence_number", "code", F.col("pos2").alias("supp_key"),
-                     "description", F.round("fraction", 9).alias("fraction"))
+                     "description", q("fraction", 9).alias("fraction"))
 
 
 # P1 -----------------------------------------------------------------------------------------
@@ -73,12 +84,12 @@ def q_recipe_statistics(spark, sf_dir):
 
 # W1 / P4 ------------------------------------------------------------------------------------
 @register("label_order", f"WITH {FR}, {SEL} SELECT food_id, label_pos, description AS "
-          "original_description, upper(description) AS declared_name, round(f, 9) AS fraction "
+          "original_description, upper(description) AS declared_name, " + sq("f", 9) + " AS fraction "
           "FROM lab")
 def q_label_order(spark, sf_dir):
     d = R.initial_declared(_selected(spark, sf_dir))
     return d.select("food_id", "label_pos", "original_description", "declared_name",
-                    F.round("original_fraction", 9).alias("fraction"))
+                    q("original_fraction", 9).alias("fraction"))
 
 
 # L4 -----------------------------------------------------------------------------------------
@@ -292,7 +303,7 @@ def q_first_match_class(spark, sf_dir):
 
 
 # J6 / J8 / J9 -------------------------------------------------------------------------------
-def _serving_sql() -> str:
+def _serving_sql(rounded: bool = True) -> str:
     from labelcorpus.knowledge import values as V
     prefix = "CASE substr(food_code, 1, 2) " + " ".join(
         f"WHEN {_sql_str(p)} THEN {_sql_str(c)}" for p, c in V.CODE_PREFIXES) + " END"
@@ -302,13 +313,13 @@ def _serving_sql() -> str:
         return "CASE " + col + " " + " ".join(
             f"WHEN {_sql_str(c)} THEN {float(a)!r}" for c, a in racc_amt.items()) + " END"
     name_cls = _first_match_sql("food_name", list(V.FOOD_NAME_KEYWORDS))
+    serving = ("coalesce(CASE WHEN serving_size_g BETWEEN 5 AND 500 THEN serving_size_g END, "
+               f"CASE WHEN length(food_code) > 0 THEN {racc('code_category')} END, "
+               f"CASE WHEN length(food_name) > 0 THEN {racc('name_category')} END, 100.0)")
     return (f"WITH f AS ({T.sql_foods()}), c AS (SELECT *, CASE WHEN length(food_code) >= 2 THEN "
             f"coalesce({prefix}, 'uncategorized') ELSE 'uncategorized' END AS code_category, "
             f"{name_cls} AS name_category FROM f) SELECT food_id, code_category, name_category, "
-            "round(coalesce(CASE WHEN serving_size_g BETWEEN 5 AND 500 THEN serving_size_g END, "
-            f"CASE WHEN length(food_code) > 0 THEN {racc('code_category')} END, "
-            f"CASE WHEN length(food_name) > 0 THEN {racc('name_category')} END, 100.0), 6) "
-            "AS serving_g FROM c")
+            + (sq(serving) if rounded else serving) + " AS serving_g FROM c")
 
 
 @register("serving_fallback", _serving_sql())
@@ -317,7 +328,7 @@ def q_serving_fallback(spark, sf_dir):
     k = L.Knowledge.default(spark)
     s = tags.serving_size(T.foods(spark, sf_dir), k.prefixes, k.food_keywords, k.racc)
     return s.select("food_id", "code_category", "name_category",
-                    F.round("serving_g", 6).alias("serving_g"))
+                    q("serving_g").alias("serving_g"))
 
 
 # P8 / V7 over whole documents ---------------------------------------------------------------
@@ -370,3 +381,209 @@ def q_constraint_quarantine(spark, sf_dir):
             .unionByName(bad_e.select(F.lit("mapping").alias("source"),
                                       F.col("event_id").alias("id"),
                                       F.array_join("errors", "; ").alias("errors"))))
+
+
+# ---------------------------------------------------------------------------------------------
+# Nutrition: X4, X5, J10, A5-A7, J13-J15, L6, L7
+def _nutrition_frames(spark, sf_dir):
+    from labelcorpus.operators import nutrition as N
+    from labelcorpus.operators import tags
+    k = L.Knowledge.default(spark)
+    ctx = k.nutrient_context()
+    served = tags.serving_size(T.foods(spark, sf_dir), k.prefixes, k.food_keywords, k.racc)
+    prof = served.join(N.nutrient_profile(T.nutrients(spark, sf_dir), ctx.names), "food_id")
+    return k, ctx, served, prof
+
+
+def _sql_round(v: str, nutrient: str) -> str:
+    from labelcorpus.knowledge import values as V
+    rows = {r[0]: r for r in V.ROUNDING}
+    if nutrient not in rows:
+        return v
+    _, zero, fine, upto, coarse = rows[nutrient]
+
+    def step(s):
+        if s >= 1:
+            return f"round_even(({v}) / {float(s)!r}, 0) * {float(s)!r}"
+        inv = float(round(1 / s))
+        return f"round_even(({v}) * {inv!r}, 0) / {inv!r}"
+    parts = []
+    if zero is not None:
+        parts.append(f"WHEN ({v}) < {float(zero)!r} THEN 0.0")
+    if upto is not None:
+        parts.append(f"WHEN ({v}) <= {float(upto)!r} THEN {step(fine)}")
+        parts.append(f"ELSE {step(coarse)}")
+    else:
+        if not parts:
+            return step(fine)
+        parts.append(f"ELSE {step(fine)}")
+    return "CASE " + " ".join(parts) + " END"
+
+
+def _prof_sql() -> str:
+    from labelcorpus.operators.nutrition import nutrient_names
+    cols = []
+    for i, n in enumerate(nutrient_names()):
+        f = f"FILTER (WHERE name = {_sql_str(n)})"
+        cols += [f"arg_max(amount, pos) {f} AS n{i}_last", f"arg_min(amount, pos) {f} AS n{i}_first",
+                 f"min(pos) {f} AS n{i}_pos"]
+    serv = _serving_sql(rounded=False)
+    return (f"nut AS {T.sql_nutrients()}, serv AS ({serv}), "
+            f"np AS (SELECT food_id, count(*) AS n_nutrients, {', '.join(cols)} FROM nut "
+            "GROUP BY food_id), prof AS (SELECT s.food_id, s.serving_g, f.food_name, np.* EXCLUDE "
+            f"(food_id) FROM serv s JOIN np USING (food_id) JOIN ({T.sql_foods()}) f USING (food_id))")
+
+
+def _ncol(name: str, kind: str) -> str:
+    from labelcorpus.operators.nutrition import nutrient_names
+    return f"n{nutrient_names().index(name)}_{kind}"
+
+
+def _ps_sql(name: str, kind: str = "last") -> str:
+    return f"({_ncol(name, kind)} * serving_g / 100.0)"
+
+
+def _dv_amounts() -> dict:
+    from labelcorpus.knowledge import values as V
+    amounts = dict(V.DAILY_VALUES)
+    out = {}
+    for n, key in V.NUTRIENT_DV_KEYS:
+        if key in amounts:
+            out[n] = float(amounts[key])
+    for key, a in V.DAILY_VALUES:
+        out.setdefault(key, float(a))
+    return out
+
+
+# X5 -----------------------------------------------------------------------------------------
+def _fda_round_sql() -> str:
+    from labelcorpus.knowledge import values as V
+    case = "CASE name " + " ".join(
+        f"WHEN {_sql_str(r[0])} THEN {_sql_round('ps', r[0])}" for r in V.ROUNDING) + " ELSE ps END"
+    serv = _serving_sql(rounded=False)
+    return (f"WITH nut AS {T.sql_nutrients()}, serv AS ({serv}), x AS (SELECT n.food_id, n.pos, "
+            "n.name, n.amount * s.serving_g / 100.0 AS ps FROM nut n JOIN serv s USING (food_id)) "
+            f"SELECT food_id, pos, name, {sq('ps')} AS per_serving, {sq(case)} AS rounded "
+            "FROM x")
+
+
+@register("fda_round", _fda_round_sql())
+def q_fda_round(spark, sf_dir):
+    from labelcorpus.operators import nutrition as N
+    k, ctx, served, _ = _nutrition_frames(spark, sf_dir)
+    rows = N.per_serving_rows(T.nutrients(spark, sf_dir), served)
+    return N.round_rows(rows, k.rounding).select(
+        "food_id", "pos", "name", q("per_serving").alias("per_serving"),
+        q("rounded").alias("rounded"))
+
+
+# J10 ----------------------------------------------------------------------------------------
+def _daily_value_sql() -> str:
+    dv = _dv_amounts()
+    case = "CASE name " + " ".join(f"WHEN {_sql_str(n)} THEN {a!r}" for n, a in dv.items()) + " END"
+    serv = _serving_sql(rounded=False)
+    return (f"WITH nut AS {T.sql_nutrients()}, serv AS ({serv}) SELECT n.food_id, n.pos, n.name, "
+            f"{sq(f'n.amount * s.serving_g / 100.0 / ({case}) * 100.0')} AS dv_percent "
+            "FROM nut n JOIN serv s USING (food_id)")
+
+
+@register("daily_value", _daily_value_sql())
+def q_daily_value(spark, sf_dir):
+    from labelcorpus.operators import nutrition as N
+    k, ctx, served, _ = _nutrition_frames(spark, sf_dir)
+    rows = N.per_serving_rows(T.nutrients(spark, sf_dir), served)
+    return N.daily_value_rows(rows, k.daily_values).select(
+        "food_id", "pos", "name", q("dv_percent").alias("dv_percent"))
+
+
+# L7 / A6 / A7 -------------------------------------------------------------------------------
+def _panel_sql() -> str:
+    from labelcorpus.knowledge import values as V
+    dv = _dv_amounts()
+    cols = ["food_id",
+            "replace(format('{:.0f}', serving_g), ',', '') || 'g' AS serving_size",
+            f"coalesce(round_even({_sql_round(_ps_sql('Energy', 'first'), 'Energy')}, 0), 0.0) "
+            "AS calories"]
+    for col, n in V.PANEL_COLUMNS[1:]:
+        cols.append(f"{sq(_sql_round(_ps_sql(n, 'first'), n))} AS {col}")
+    entries = []
+    for n in V.PANEL_DV_NUTRIENTS:
+        if n in dv:
+            val = f"round_even({_sql_round(_ps_sql(n, 'first'), n)} / {dv[n]!r} * 100.0, 0)"
+            entries.append(f"CASE WHEN {_ncol(n, 'pos')} IS NOT NULL THEN {_sql_str(n)} || '=' || "
+                           f"CAST(CAST({val} AS BIGINT) AS VARCHAR) END")
+    cols.append(f"concat_ws(';', {', '.join(entries)}) AS daily_values")
+    return f"WITH {_prof_sql()} SELECT {', '.join(cols)} FROM prof"
+
+
+@register("panel", _panel_sql())
+def q_panel(spark, sf_dir):
+    from labelcorpus.knowledge import values as V
+    from labelcorpus.operators import nutrition as N
+    k, ctx, served, prof = _nutrition_frames(spark, sf_dir)
+    panel = N.nutrition_panel(prof, ctx)
+    dv = F.array_join(F.transform(
+        F.filter(F.array(*[F.struct(F.lit(n).alias("k"),
+                                    F.try_element_at("daily_values", F.lit(n)).alias("v"))
+                           for n in V.PANEL_DV_NUTRIENTS]), lambda e: e["v"].isNotNull()),
+        lambda e: F.concat(e["k"], F.lit("="), e["v"].cast("long").cast("string"))), ";")
+    return panel.select("food_id", "serving_size", "calories",
+                        *[q(c).alias(c) for c, _ in V.PANEL_COLUMNS[1:]],
+                        dv.alias("daily_values"))
+
+
+# J13-J15 ------------------------------------------------------------------------------------
+def _claim_sql_parts() -> dict[str, str]:
+    from labelcorpus.knowledge import values as V
+    from labelcorpus.knowledge import dims as Dm
+    dv = _dv_amounts()
+    liquid = "(" + " OR ".join(f"instr(lower(food_name), {_sql_str(w)}) > 0"
+                               for w in V.LIQUID_WORDS) + ")"
+    texts = dict(V.CLAIM_TEXTS)
+    groups = dict(V.CLAIM_GROUPS)
+    content = []
+    for group, claim, ps_th, p100_th, solid_th, liq_th in V.CONTENT_CLAIMS:
+        n = groups[group]
+        present = f"{_ncol(n, 'pos')} IS NOT NULL"
+        p100 = _ncol(n, "last")
+        t = _sql_str(texts.get(claim, claim))
+        for th, cond in ((ps_th, f"{_ps_sql(n)} < {float(ps_th or 0)!r}"),
+                         (p100_th, f"{p100} < {float(p100_th or 0)!r}"),
+                         (solid_th, f"NOT {liquid} AND {p100} < {float(solid_th or 0)!r}"),
+                         (liq_th, f"{liquid} AND {p100} < {float(liq_th or 0)!r}")):
+            if th is not None:
+                content.append(f"CASE WHEN {present} AND {cond} THEN {t} END")
+    source = []
+    for n, disp in V.SOURCE_NUTRIENTS:
+        d = f"({_ps_sql(n)} / {dv[n]!r} * 100.0)"
+        source.append(f"CASE WHEN {_ncol(n, 'pos')} IS NOT NULL THEN {{'p': {_ncol(n, 'pos')}, "
+                      f"'t': CASE WHEN {d} >= 20 THEN {_sql_str('EXCELLENT SOURCE OF ' + disp)} "
+                      f"WHEN {d} >= 10 THEN {_sql_str('GOOD SOURCE OF ' + disp)} END}} END")
+    health = []
+    for n, cmp, th, text in V.HEALTH_CLAIMS:
+        op = "<" if cmp == "below" else ">"
+        health.append(f"CASE WHEN {_ncol(n, 'pos')} IS NOT NULL AND {_ps_sql(n)} {op} "
+                      f"{float(th)!r} THEN {_sql_str(text)} END")
+    content_l = f"list_filter([{', '.join(content)}], lambda x: x IS NOT NULL)"
+    source_l = (f"list_transform(list_sort(list_filter([{', '.join(source)}], lambda s: s IS NOT NULL "
+                "AND s.t IS NOT NULL)), lambda s: s.t)")
+    health_l = f"list_filter([{', '.join(health)}], lambda x: x IS NOT NULL)"
+    return {"content": content_l, "source": source_l, "health": health_l}
+
+
+def _claims_sql(kind: str) -> str:
+    return (f"WITH {_prof_sql()} SELECT food_id, array_to_string({_claim_sql_parts()[kind]}, ' | ') "
+            f"AS claims FROM prof")
+
+
+def _claims_query(kind: str):
+    def q(spark, sf_dir):
+        from labelcorpus.operators import nutrition as N
+        k, ctx, served, prof = _nutrition_frames(spark, sf_dir)
+        parts = N.claim_arrays(ctx, k.content_claims, k.source_nutrients, k.health_claims)
+        return prof.select("food_id", F.array_join(parts[kind], " | ").alias("claims"))
+    return q
+
+
+for _kind in ("content", "source", "health"):
+    register(f"{_kind}_claims", _claims_sql(_kind))(_claims_query(_kind))
