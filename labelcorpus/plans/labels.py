@@ -174,3 +174,24 @@ def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrie
     out["label"] = label
     out["profile"] = prof
     return out
+
+
+def nutrient_name_lists(nutrients: DataFrame) -> DataFrame:
+    """Per food: distinct nutrient names in first-position order (the claim's affected list)."""
+    firsts = nutrients.groupBy("food_id", "name").agg(F.min("pos").alias("p"))
+    return firsts.groupBy("food_id").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("p", "name"))), lambda s: s["name"])
+        .alias("nutrient_names"))
+
+
+def label_records(foods: DataFrame, nutrients: DataFrame, built: dict[str, DataFrame],
+                  operators: list[str] | None = None, lt2_threshold: float = 0.02) -> DataFrame:
+    """L8 operator records for a ``build_labels`` result."""
+    from labelcorpus.operators import truth
+    ops = check_operators(operators)
+    label = built["label"]
+    return truth.operator_records(
+        foods, built["declared"],
+        label.select("food_id", "allergens") if "allergen" in ops else None,
+        label.select("food_id", "claims") if "claim" in ops else None,
+        nutrient_name_lists(nutrients) if "claim" in ops else None, ops, lt2_threshold)

@@ -587,3 +587,99 @@ def _claims_query(kind: str):
 
 for _kind in ("content", "source", "health"):
     register(f"{_kind}_claims", _claims_sql(_kind))(_claims_query(_kind))
+
+
+# ---------------------------------------------------------------------------------------------
+# Flagship: the full label (all seven operators) for every selected recipe
+def _full(spark, sf_dir, operators=None):
+    k = L.Knowledge.default(spark)
+    fr = _selected(spark, sf_dir)
+    ids = fr.select("food_id").distinct()
+    foods = T.foods(spark, sf_dir).join(ids, "food_id", "left_semi")
+    nutrients = T.nutrients(spark, sf_dir)
+    built = L.build_labels(foods, fr, nutrients, k, operators)
+    return k, foods, nutrients, built
+
+
+def _full_label_sql() -> str:
+    parts = _claim_sql_parts()
+    claims = f"list_concat({parts['content']}, {parts['source']}, {parts['health']})"
+    return (
+        f"WITH {FR}, {SEL}, g AS (SELECT food_id, "
+        "string_agg(upper(description), ', ' ORDER BY label_pos) FILTER (WHERE f > 0.02) AS m, "
+        "string_agg(upper(description), ', ' ORDER BY label_pos) FILTER (WHERE f <= 0.02) AS t "
+        "FROM lab GROUP BY food_id), ids AS (SELECT DISTINCT food_id FROM sel), "
+        "base AS (SELECT ids.food_id, 'INGREDIENTS: ' || concat_ws(', ', m, "
+        "'CONTAINS 2% OR LESS OF: ' || t) || '.' AS txt FROM ids LEFT JOIN g USING (food_id)), "
+        f"{_prof_sql()}, cl AS (SELECT food_id, {claims} AS c0 FROM prof), "
+        "cd AS (SELECT food_id, list_filter(c0, lambda x, i: list_position(c0, x) = i) AS c "
+        "FROM cl) SELECT base.food_id, CASE WHEN len(coalesce(c, [])) > 0 THEN "
+        "array_to_string(c, chr(10)) || chr(10) || txt ELSE txt END AS ingredient_text, "
+        "CAST(len(coalesce(c, [])) AS INTEGER) AS n_claims FROM base LEFT JOIN cd USING (food_id)")
+
+
+@register("full_label", _full_label_sql())
+def q_full_label(spark, sf_dir):
+    _, _, _, built = _full(spark, sf_dir)
+    return built["label"].select("food_id", "ingredient_text",
+                                 F.size("claims").alias("n_claims"))
+
+
+# L8 / A8 ------------------------------------------------------------------------------------
+DIFFICULTY_SQL = (
+    f"WITH {FR}, {SEL}, ids AS (SELECT DISTINCT food_id FROM sel), "
+    "lt AS (SELECT DISTINCT food_id FROM lab WHERE f <= 0.02), "
+    "nn AS (SELECT DISTINCT l_orderkey AS food_id FROM lineitem) "
+    "SELECT ids.food_id, CASE WHEN lt.food_id IS NOT NULL OR nn.food_id IS NOT NULL THEN 2 "
+    "ELSE 1 END AS difficulty, CAST(7 AS BIGINT) AS total_applied_operators FROM ids "
+    "LEFT JOIN lt USING (food_id) LEFT JOIN nn USING (food_id)")
+
+
+@register("difficulty", DIFFICULTY_SQL)
+def q_difficulty(spark, sf_dir):
+    from labelcorpus.operators import truth
+    _, foods, nutrients, built = _full(spark, sf_dir)
+    recs = L.label_records(foods, nutrients, built)
+    return truth.difficulty(recs).select("food_id", "difficulty", "total_applied_operators")
+
+
+# K1 / W3 / W6 -------------------------------------------------------------------------------
+SAMPLE_N, SEED = 200, 42
+SAMPLE_SQL = (
+    f"WITH {FR}, ids AS (SELECT DISTINCT food_id FROM fr WHERE n BETWEEN 2 AND 50), "
+    f"r AS (SELECT food_id, row_number() OVER (ORDER BY md5('{SEED}:' || CAST(food_id AS VARCHAR)), "
+    f"food_id) AS rk FROM ids), s AS (SELECT food_id FROM r WHERE rk <= {SAMPLE_N}) "
+    "SELECT food_id, 'sample_' || lpad(CAST(row_number() OVER (ORDER BY food_id) AS VARCHAR), 6, "
+    f"'0') AS sample_id, CAST({SEED} - 1 + row_number() OVER (ORDER BY food_id) AS BIGINT) "
+    "AS sample_seed FROM s")
+
+
+@register("seeded_sample", SAMPLE_SQL)
+def q_seeded_sample(spark, sf_dir):
+    from labelcorpus.operators import split as S
+    ids = R.recipe_ids(T.ingredients(spark, sf_dir), 2, 50).select("food_id")
+    picked = S.seeded_sample(ids, SAMPLE_N, SEED)
+    return S.sample_ids(picked, SEED).select("food_id", "sample_id",
+                                             F.col("sample_seed").cast("long").alias("sample_seed"))
+
+
+GROUP_SPLIT_SQL = (
+    f"WITH {FR}, ids AS (SELECT DISTINCT food_id FROM fr WHERE n BETWEEN 2 AND 50), "
+    f"s AS (SELECT ids.food_id, f.group_key FROM ids JOIN ({T.sql_foods()}) f USING (food_id)), "
+    "gr AS (SELECT DISTINCT group_key FROM s), cnt AS (SELECT count(*) AS n FROM gr), "
+    "k AS (SELECT CAST(round_even(n * 0.7, 0) AS BIGINT) AS n_train, "
+    "CAST(round_even(n * 0.15, 0) AS BIGINT) AS n_val FROM cnt), "
+    f"r AS (SELECT group_key, row_number() OVER (ORDER BY md5('{SEED}:' || "
+    "CAST(group_key AS VARCHAR)), group_key) AS group_rank FROM gr) "
+    "SELECT s.food_id, s.group_key, CASE WHEN group_rank <= n_train THEN 'train' "
+    "WHEN group_rank <= n_train + n_val THEN 'val' ELSE 'test' END AS split "
+    "FROM s JOIN r USING (group_key) CROSS JOIN k")
+
+
+@register("group_split", GROUP_SPLIT_SQL)
+def q_group_split(spark, sf_dir):
+    from labelcorpus.operators import split as S
+    ids = R.recipe_ids(T.ingredients(spark, sf_dir), 2, 50).select("food_id")
+    samples = ids.join(T.foods(spark, sf_dir).select("food_id", "group_key"), "food_id")
+    return S.group_split(samples, "group_key", 0.7, 0.15, 0.15, SEED).select(
+        "food_id", "group_key", "split")
