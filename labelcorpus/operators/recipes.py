@@ -81,13 +81,13 @@ def recipe_statistics(foods: DataFrame, ingredients: DataFrame,
 
 
 # P4 / W1 -----------------------------------------------------------------------------------
-def initial_declared(ingredients_with_fractions: DataFrame) -> DataFrame:
+def initial_declared(ingredients_with_fractions: DataFrame, order=None) -> DataFrame:
     """Label rows: non-fortificant ingredients in label order (fraction desc, sequence, input).
 
     The window is per food; callers apply the size filter first, which bounds a food to at
     most ``max_ingredients`` rows.
     """
-    w = Window.partitionBy("food_id").orderBy(*label_order())
+    w = Window.partitionBy("food_id").orderBy(*(order or label_order()))
     return (drop_fortificants(ingredients_with_fractions)
             .select(
                 "food_id",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelcorpus.functions.columns import ci
@@ -12,3 +12,200 @@ def prohibited_hits(text: Column, patterns: list[str]) -> Column:
     """The patterns (in order) found in the text, case-insensitively."""
     return F.filter(F.array(*[F.when(text.rlike(ci(p)), F.lit(p)) for p in patterns]),
                     lambda x: x.isNotNull())
+
+
+# Rule results share one schema: (food_id, rule, passed, issues ARRAY<STRING>) ---------------
+def _result(df, rule: str, issues) -> "DataFrame":
+    return df.select("food_id", F.lit(rule).alias("rule"), (F.size(issues) == 0).alias("passed"),
+                     issues.alias("issues"))
+
+
+def _issues(*conds_msgs):
+    return F.filter(F.array(*[F.when(c, m) for c, m in conds_msgs]), lambda x: x.isNotNull())
+
+
+# V1 ----------------------------------------------------------------------------------------
+def ingredient_preservation(ingredients_with_fractions, declared, ids=None):
+    """Every non-fortificant description appears on the label and nothing else does.
+
+    ``ids`` (food_id) lists every sample to report, including ones with no label rows."""
+    canon = (ingredients_with_fractions.where(~F.col("is_fortificant"))
+             .groupBy("food_id").agg(F.collect_set("description").alias("canon")))
+    lab = declared.groupBy("food_id").agg(F.collect_set("original_description").alias("lab"))
+    empty = F.array().cast("array<string>")
+    j = canon.join(lab, "food_id", "full")
+    if ids is not None:
+        j = ids.select("food_id").join(j, "food_id", "left")
+    j = j.select(
+        "food_id", F.coalesce("canon", empty).alias("canon"), F.coalesce("lab", empty).alias("lab"))
+    missing = F.array_sort(F.array_except("canon", "lab"))
+    extra = F.array_sort(F.array_except("lab", "canon"))
+    issues = _issues(
+        (F.size(missing) > 0, F.concat(F.lit("Missing: "), F.array_join(missing, ", "))),
+        (F.size(extra) > 0, F.concat(F.lit("Extra: "), F.array_join(extra, ", "))),
+        ((F.size(missing) == 0) & (F.size(extra) == 0) & (F.size("canon") != F.size("lab")),
+         F.lit("count mismatch")))
+    return _result(j, "ingredient_preservation", issues)
+
+
+# V2 ----------------------------------------------------------------------------------------
+def order_violations(declared, threshold: float = 0.02, tol: float = 1e-9):
+    """Per food: main-list order violations, oversized 2% rows, group extremes."""
+    from pyspark.sql import Window
+    main = F.col("declaration_group") == "main"
+    w = (Window.partitionBy("food_id", "declaration_group").orderBy("label_pos")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    d = declared.withColumn("_prev_min", F.min("original_fraction").over(w))
+    per = d.groupBy("food_id").agg(
+        F.count_if(main & (F.col("original_fraction") > F.col("_prev_min") + tol)).alias("n_bad"),
+        F.count_if(~main & (F.col("original_fraction") > threshold + tol)).alias("n_over"),
+        F.max(F.when(~main, F.col("original_fraction"))).alias("max_lt"),
+        F.min(F.when(main, F.col("original_fraction"))).alias("min_main"))
+    return per
+
+
+def ingredient_order(declared, threshold: float = 0.02, tol: float = 1e-9, ids=None):
+    """Main list non-increasing (against the running minimum); 2% group within threshold and
+    not heavier than the lightest main ingredient. ``label_pos`` orders the label."""
+    per = order_violations(declared, threshold, tol)
+    if ids is not None:
+        per = ids.select("food_id").join(per, "food_id", "left").fillna(0, ["n_bad", "n_over"])
+    issues = _issues(
+        (F.col("n_bad") > 0, F.concat(F.col("n_bad").cast("string"), F.lit(" main-list order violations"))),
+        (F.col("n_over") > 0, F.lit("2% group has ingredients above threshold")),
+        (F.col("max_lt") > F.col("min_main") + tol, F.lit("2% group heavier than main group minimum")))
+    return _result(per, "ingredient_order", issues)
+
+
+# V3 ----------------------------------------------------------------------------------------
+def fda_syntax(labels, patterns: list[str]):
+    """Prohibited terms in label or panel text; panel must exist with its required fields."""
+    text = F.coalesce("ingredient_text", F.lit(""))
+    panel_text = F.coalesce("panel_text", F.lit(""))
+    hits = F.filter(F.array(*[F.when(text.rlike(ci(p)) | panel_text.rlike(ci(p)),
+                                     F.lit(f"Potentially prohibited term: '{p}'")) for p in patterns]),
+                    lambda x: x.isNotNull())
+    has_panel = F.col("serving_size").isNotNull() | F.col("calories").isNotNull()
+    fields = _issues(
+        (~has_panel, F.lit("No Nutrition Facts panel")),
+        (has_panel & (F.coalesce("serving_size", F.lit("")) == ""), F.lit("Serving size not set")),
+        (has_panel & F.col("total_fat").isNull(), F.lit("Total Fat not set")),
+        (has_panel & F.col("sodium").isNull(), F.lit("Sodium not set")),
+        (has_panel & F.col("total_carbohydrate").isNull(), F.lit("Total Carbohydrate not set")),
+        (has_panel & F.col("protein").isNull(), F.lit("Protein not set")))
+    return _result(labels, "fda_syntax", F.concat(hits, fields))
+
+
+# V4 ----------------------------------------------------------------------------------------
+DECLARABLE = ["crustacean shellfish", "tree nuts", "soybeans", "peanuts", "sesame", "milk",
+              "eggs", "wheat", "fish"]
+
+
+def allergen_declaration(labels, detected):
+    """Detected allergens (from descriptions) must equal the declared ones (stored list plus
+    a word-bounded scan of the declaration text; 'fish' is dropped when only crustacean
+    shellfish is declared)."""
+    empty = F.array().cast("array<string>")
+    stored = F.coalesce("allergens", empty)
+    text = F.lower(F.coalesce("allergen_text", F.lit("")))
+    scanned = F.filter(F.array(*[F.when(text.rlike(rf"(?<![a-z0-9]){a}(?![a-z0-9])"), F.lit(a))
+                                 for a in DECLARABLE]), lambda x: x.isNotNull())
+    declared = F.when(F.col("allergen_text").isNotNull(),
+                      F.array_distinct(F.concat(stored, scanned))).otherwise(empty)
+    declared = F.when(~F.array_contains(stored, "fish")
+                      & F.array_contains(declared, "crustacean shellfish"),
+                      F.array_remove(declared, "fish")).otherwise(declared)
+    j = labels.join(detected.select("food_id", F.col("allergens").alias("_det")), "food_id", "left")
+    det = F.coalesce("_det", empty)
+    missing = F.array_sort(F.array_except(det, declared))
+    false = F.array_sort(F.array_except(declared, det))
+    issues = _issues(
+        (F.size(missing) > 0, F.concat(F.lit("Missing allergen declarations: "),
+                                       F.array_join(missing, ", "))),
+        (F.size(false) > 0, F.concat(F.lit("Unexpected allergen declarations: "),
+                                     F.array_join(false, ", "))))
+    return _result(j, "allergen_declaration", issues)
+
+
+# V5 ----------------------------------------------------------------------------------------
+SOURCE_DISPLAY = [("CALCIUM", "Calcium, Ca"), ("FIBER", "Fiber, total dietary"),
+                  ("IRON", "Iron, Fe"), ("POTASSIUM", "Potassium, K"),
+                  ("VITAMIN D", "Vitamin D (D2 + D3)"), ("PROTEIN", "Protein")]
+
+
+def claim_eligibility(labels_with_profile, ctx):
+    """Each claim must hold for the food's per-serving amounts."""
+    def per_claim(c):
+        low = F.lower(c)
+        sat = F.coalesce(ctx.per_serving("Fatty acids, total saturated"), F.lit(1.0))
+        fat = F.coalesce(ctx.per_serving("Total lipid (fat)"), F.lit(1.0))
+        na = F.coalesce(ctx.per_serving("Sodium, Na"), F.lit(1000.0))
+        checks = [
+            (low.contains("saturated fat free") & (sat >= 0.5),
+             F.lit("'Saturated Fat Free' claim but saturated fat >= 0.5")),
+            (~low.contains("saturated fat free") & low.contains("fat free") & (fat >= 0.5),
+             F.lit("'Fat Free' claim but fat >= 0.5")),
+            (low.contains("sodium free") & (na >= 5), F.lit("'Sodium Free' claim but sodium >= 5")),
+        ]
+        source = low.contains("good source") | low.contains("excellent source")
+        for disp, usda in SOURCE_DISPLAY:
+            dv = ctx.dv_percent(usda, ctx.per_serving(usda))
+            present = ctx.col(usda, "pos").isNotNull() & dv.isNotNull()
+            hit = source & low.contains(disp.lower()) & present
+            checks.append((hit & (dv < 10) & low.contains("good"),
+                           F.concat(F.lit("'"), c, F.lit("' but DV < 10%"))))
+            checks.append((hit & ~((dv < 10) & low.contains("good")) & (dv < 20)
+                           & low.contains("excellent"),
+                           F.concat(F.lit("'"), c, F.lit("' but DV < 20%"))))
+        return F.array(*[F.when(cond, msg) for cond, msg in checks])
+
+    issues = F.filter(F.flatten(F.transform(F.coalesce("claims", F.array().cast("array<string>")),
+                                            per_claim)), lambda x: x.isNotNull())
+    return _result(labels_with_profile, "claim_eligibility", issues)
+
+
+# V6 ----------------------------------------------------------------------------------------
+def nutrition_facts_consistency(labels_with_profile, ctx, tol: float = 2.0):
+    """Recompute calories, fat, sodium (x10 tolerance) and protein from the nutrients."""
+    has_panel = F.col("calories").isNotNull()
+    energy = ctx.rounded("Energy")
+    checks = [
+        (~has_panel, F.lit("No Nutrition Facts JSON to validate")),
+        (has_panel & energy.isNull(), F.lit("Energy nutrient missing from canonical food")),
+        (has_panel & (F.abs(energy - F.col("calories")) > tol), F.lit("Calories mismatch")),
+    ]
+    for col, nutrient, t in (("total_fat", "Total lipid (fat)", tol), ("sodium", "Sodium, Na", tol * 10),
+                             ("protein", "Protein", tol)):
+        exp = ctx.rounded(nutrient)
+        checks.append((has_panel & F.col(col).isNotNull() & exp.isNotNull()
+                       & (F.abs(exp - F.col(col)) > t), F.lit(f"{col} mismatch")))
+    return _result(labels_with_profile, "nutrition_facts_consistency", _issues(*checks))
+
+
+# V7 ----------------------------------------------------------------------------------------
+def prohibited_terminology(labels, patterns: list[str]):
+    text = F.lower(F.concat(F.coalesce("ingredient_text", F.lit("")), F.lit(" "),
+                            F.coalesce("panel_text", F.lit(""))))
+    hits = F.transform(prohibited_hits(text, patterns), lambda p: F.concat(F.lit("Found: '"), p, F.lit("'")))
+    return _result(labels, "prohibited_terminology", hits)
+
+
+RULES = ["ingredient_preservation", "ingredient_order", "fda_syntax", "allergen_declaration",
+         "claim_eligibility", "nutrition_facts_consistency", "prohibited_terminology"]
+
+
+# V8 / A9 -----------------------------------------------------------------------------------
+def validation_report(results, difficulty=None):
+    """Per sample: all_passed, counts, needs_regeneration and the adjusted difficulty."""
+    rep = results.groupBy("food_id").agg(
+        F.bool_and("passed").alias("all_passed"),
+        F.count_if("passed").alias("n_passed"),
+        F.count_if(~F.col("passed")).alias("n_failed"),
+        F.lit(0).alias("n_repaired"))
+    rep = rep.withColumn("needs_regeneration", ~F.col("all_passed"))
+    if difficulty is not None:
+        rep = rep.join(difficulty.select("food_id", "difficulty"), "food_id", "left")
+        rep = rep.withColumn("report_difficulty",
+                             F.when(F.col("n_failed") > 3, 3).when(F.col("n_failed") > 1, 2)
+                             .otherwise(F.coalesce("difficulty", F.lit(1))))
+    return rep

@@ -164,8 +164,14 @@ def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrie
         panel = nutrition.nutrition_panel(prof, ctx)
         out["panel"] = panel
         label = label.join(panel.select("food_id", "serving_size", "calories", "total_fat",
-                                        "sodium", "total_carbohydrate", "protein"),
+                                        "sodium", "total_carbohydrate", "protein",
+                                        nutrition.panel_text(panel).alias("panel_text")),
                            "food_id", "left")
+    else:
+        label = label.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("serving_size", "string"), ("calories", "double"), ("total_fat", "double"),
+            ("sodium", "double"), ("total_carbohydrate", "double"), ("protein", "double"),
+            ("panel_text", "string"))])
 
     label = label.withColumn("product_name", F.upper("food_name")).withColumn(
         "ingredient_text",

@@ -683,3 +683,47 @@ def q_group_split(spark, sf_dir):
     samples = ids.join(T.foods(spark, sf_dir).select("food_id", "group_key"), "food_id")
     return S.group_split(samples, "group_key", 0.7, 0.15, 0.15, SEED).select(
         "food_id", "group_key", "split")
+
+
+# ---------------------------------------------------------------------------------------------
+# Validation: V2 on labels declared in line order (a natural source of order violations)
+ORDER_SQL = (
+    f"WITH {FR}, {SEL}, lo AS (SELECT food_id, f, CASE WHEN f <= 0.02 THEN 'lt' ELSE 'main' END "
+    "AS grp, row_number() OVER (PARTITION BY food_id ORDER BY sequence_number, pos, pos2) AS lp "
+    "FROM sel WHERE NOT is_fortificant), pm AS (SELECT *, min(f) OVER (PARTITION BY food_id, grp "
+    "ORDER BY lp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_min FROM lo) "
+    "SELECT food_id, count(*) FILTER (WHERE grp = 'main' AND f > prev_min + 1e-9) = 0 AS passed, "
+    "CAST(count(*) FILTER (WHERE grp = 'main' AND f > prev_min + 1e-9) AS BIGINT) AS n_violations "
+    "FROM pm GROUP BY food_id")
+
+
+@register("validation_order", ORDER_SQL)
+def q_validation_order(spark, sf_dir):
+    from labelcorpus.operators import validation as VR
+    line_order = [F.col("sequence_number"), F.col("pos"), F.col("pos2")]
+    d = R.less_than_2_pct(R.initial_declared(_selected(spark, sf_dir), line_order), 0.02)
+    v = VR.order_violations(d)
+    return v.select("food_id", (F.col("n_bad") == 0).alias("passed"),
+                    F.col("n_bad").cast("long").alias("n_violations"))
+
+
+REPORT_SQL = (
+    f"WITH {_prof_sql()}, {FR}, ids AS (SELECT DISTINCT food_id FROM fr WHERE n BETWEEN 2 AND 50) "
+    "SELECT ids.food_id, prof.n{sod}_pos IS NOT NULL AS all_passed, "
+    "CAST(CASE WHEN prof.n{sod}_pos IS NOT NULL THEN 7 ELSE 6 END AS BIGINT) AS n_passed, "
+    "CAST(CASE WHEN prof.n{sod}_pos IS NOT NULL THEN 0 ELSE 1 END AS BIGINT) AS n_failed "
+    "FROM ids JOIN prof USING (food_id)")
+
+
+def _report_sql():
+    from labelcorpus.operators.nutrition import nutrient_names
+    return REPORT_SQL.replace("{sod}", str(nutrient_names().index("Sodium, Na")))
+
+
+@register("validation_report", _report_sql())
+def q_validation_report(spark, sf_dir):
+    from labelcorpus.plans.validate import validate
+    k, foods, nutrients, built = _full(spark, sf_dir)
+    fr = _selected(spark, sf_dir)
+    _, report = validate(built, fr, k)
+    return report.select("food_id", "all_passed", "n_passed", "n_failed")
