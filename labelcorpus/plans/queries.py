@@ -727,3 +727,188 @@ def q_validation_report(spark, sf_dir):
     fr = _selected(spark, sf_dir)
     _, report = validate(built, fr, k)
     return report.select("food_id", "all_passed", "n_passed", "n_failed")
+
+
+# ---------------------------------------------------------------------------------------------
+# Evaluation: X15, A15, A16, E1, E3 on the rendered full labels
+def _parse_sql(t: str) -> str:
+    x = f"regexp_replace({t}, '(?i)^INGREDIENTS:\\s*', '')"
+    x = f"regexp_replace({x}, '\\.\\s+', ', ', 'g')"
+    x = f"regexp_replace({x}, '(?i)CONTAINS 2%\\s*OR\\s*LESS\\s*OF:\\s*', '', 'g')"
+    x = f"regexp_replace({x}, '(?i)CONTAINS:?\\s*.*?$', '', 'g')"
+    x = f"regexp_replace(regexp_replace({x}, '^\\s+|\\s+$', '', 'g'), '\\.+$', '')"
+    clean = ("lambda s: CASE WHEN instr(regexp_replace(regexp_replace(s, '^\\s+|\\s+$', '', 'g'), "
+             "'\\.+$', ''), '(') > 1 THEN regexp_replace(left(regexp_replace(regexp_replace(s, "
+             "'^\\s+|\\s+$', '', 'g'), '\\.+$', ''), instr(regexp_replace(regexp_replace(s, "
+             "'^\\s+|\\s+$', '', 'g'), '\\.+$', ''), '(') - 1), '^\\s+|\\s+$', '', 'g') ELSE "
+             "regexp_replace(regexp_replace(s, '^\\s+|\\s+$', '', 'g'), '\\.+$', '') END")
+    return (f"CASE WHEN coalesce({t}, '') = '' OR {x} = '' THEN []::VARCHAR[] ELSE "
+            f"list_filter(list_transform(string_split({x}, ','), {clean}), lambda s: s <> '') END")
+
+
+def _full_cte() -> str:
+    sql = _full_label_sql()
+    return sql.replace("WITH ", "", 1).replace(
+        "SELECT base.food_id, CASE WHEN", "full_lab AS (SELECT base.food_id, CASE WHEN", 1) + ")"
+
+
+@register("parse_ingredients", f"WITH {_full_cte()} SELECT food_id, array_to_string("
+          f"{_parse_sql('ingredient_text')}, ' | ') AS parsed FROM full_lab")
+def q_parse_ingredients(spark, sf_dir):
+    from labelcorpus.operators import evaluate as E
+    _, _, _, built = _full(spark, sf_dir)
+    return built["label"].select(
+        "food_id", F.array_join(E.parse_ingredients(F.col("ingredient_text")), " | ").alias("parsed"))
+
+
+def _parsing_metrics_sql() -> str:
+    norm = "lambda s: lower(trim(regexp_replace(s, '\\s+', ' ', 'g')))"
+    gt_l = f"list_filter(list_transform(truth, {norm}), lambda s: s <> '')"
+    pr_l = f"list_filter(list_transform(pred, {norm}), lambda s: s <> '')"
+    return (
+        f"WITH {_full_cte()}, tr AS (SELECT food_id, list(upper(description) ORDER BY "
+        "CASE WHEN f <= 0.02 THEN 1 ELSE 0 END, label_pos) AS truth FROM lab GROUP BY food_id), "
+        f"x AS (SELECT full_lab.food_id, coalesce(truth, []::VARCHAR[]) AS truth, "
+        f"{_parse_sql('ingredient_text')} AS pred FROM full_lab LEFT JOIN tr USING (food_id)), "
+        f"y AS (SELECT food_id, {gt_l} AS gl, {pr_l} AS pl FROM x), "
+        "z AS (SELECT food_id, gl, pl, list_distinct(gl) AS gs, list_distinct(pl) AS ps FROM y), "
+        "w AS (SELECT *, len(gs) AS ng, len(ps) AS np, len(list_intersect(gs, ps)) AS nc, "
+        "len(list_distinct(list_concat(gs, ps))) AS nu, least(len(gl), len(pl)) AS nmin, "
+        "greatest(len(gl), len(pl)) AS nmax FROM z), "
+        "v AS (SELECT *, CASE WHEN np > 0 THEN nc / np ELSE 0.0 END AS p, CASE WHEN ng > 0 THEN "
+        "nc / ng ELSE 0.0 END AS r, len(list_filter(range(1, nmin + 1), lambda i: gl[i] = pl[i])) "
+        "AS pm FROM w) "
+        "SELECT food_id, CASE WHEN ng = 0 AND np = 0 THEN 1.0 ELSE round_even(p, 4) END AS precision, "
+        "CASE WHEN ng = 0 AND np = 0 THEN 1.0 ELSE round_even(r, 4) END AS recall, "
+        "CASE WHEN ng = 0 AND np = 0 THEN 1.0 ELSE round_even(CASE WHEN p + r > 0 THEN 2.0 * p * r "
+        "/ (p + r) ELSE 0.0 END, 4) END AS f1, CASE WHEN ng = 0 AND np = 0 THEN 1.0 WHEN nc = ng "
+        "AND nc = np THEN 1.0 ELSE 0.0 END AS exact_match, CASE WHEN ng = 0 AND np = 0 THEN 1.0 "
+        "ELSE round_even(CASE WHEN nu > 0 THEN nc / nu ELSE 1.0 END, 4) END AS iou, CASE WHEN "
+        "nmax > 0 THEN round_even(pm / nmax, 4) ELSE 1.0 END AS order_accuracy FROM v")
+
+
+PARSING_COLS = ["precision", "recall", "f1", "exact_match", "iou", "order_accuracy"]
+
+
+def _parsing_per_sample(spark, sf_dir):
+    from labelcorpus.operators import evaluate as E
+    _, foods, nutrients, built = _full(spark, sf_dir)
+    truth = built["declared"].groupBy("food_id").agg(F.transform(F.array_sort(F.collect_list(
+        F.struct(F.when(F.col("declaration_group") == "main", 0).otherwise(1).alias("g"),
+                 "label_pos", "declared_name"))), lambda s: s["declared_name"]).alias("truth_names"))
+    samples = built["label"].select("food_id", "ingredient_text").join(truth, "food_id", "left") \
+        .withColumn("truth_names", F.coalesce("truth_names", F.array().cast("array<string>")))
+    return E.evaluate_parsing(samples), foods, nutrients, built
+
+
+@register("parsing_metrics", _parsing_metrics_sql())
+def q_parsing_metrics(spark, sf_dir):
+    m, _, _, _ = _parsing_per_sample(spark, sf_dir)
+    return m.select("food_id", *PARSING_COLS)
+
+
+# A10 / A11 / A12 ------------------------------------------------------------------------------
+def _by_group_sql() -> str:
+    cols = ", ".join(f"round_even(avg({c}), 4) AS {c}" for c in PARSING_COLS)
+    return (f"WITH pm AS ({_parsing_metrics_sql()}), d AS ({DIFFICULTY_SQL}) SELECT "
+            "CASE difficulty WHEN 1 THEN 'EASY' WHEN 2 THEN 'MEDIUM' ELSE 'HARD' END AS difficulty, "
+            f"{cols}, count(*) AS n_samples FROM pm JOIN d USING (food_id) GROUP BY 1")
+
+
+@register("metrics_by_group", _by_group_sql())
+def q_metrics_by_group(spark, sf_dir):
+    from labelcorpus.operators import evaluate as E
+    from labelcorpus.operators import truth
+    m, foods, nutrients, built = _parsing_per_sample(spark, sf_dir)
+    diff = truth.difficulty(L.label_records(foods, nutrients, built))
+    names = F.create_map(F.lit(1), F.lit("EASY"), F.lit(2), F.lit("MEDIUM"), F.lit(3), F.lit("HARD"))
+    j = m.join(diff, "food_id").withColumn("difficulty", F.try_element_at(names, F.col("difficulty")))
+    return E.average_metrics(j, PARSING_COLS, ["difficulty"])
+
+
+# J18 / J19 / A14 / W4 / E2 / E4 -------------------------------------------------------------
+def _mapping_frames(spark, sf_dir):
+    from labelcorpus.operators import evaluate as E
+    from labelcorpus.operators import naming
+    from labelcorpus.operators import truth
+    schema = "description string, name string, pos int"
+    lex = _dim(spark, [(d, n, i) for i, (d, n) in enumerate(PART_LEXICON)], schema)
+    com = _dim(spark, [(d, n, i) for i, (d, n) in enumerate(PART_COMMERCIAL)], schema)
+    declared = naming.rename(R.initial_declared(_selected(spark, sf_dir)), lex, com)
+    part = T.table(spark, sf_dir, "part")
+    pairs = part.select(F.col("p_partkey").alias("pos"), F.col("p_name").alias("standard"),
+                        F.concat_ws(" ", "p_name", F.lower("p_type")).alias("commercial"))
+    dictionary = E.build_dictionary(pairs)
+    keys = truth.truth_keys(declared).select(
+        F.col("food_id").alias("sample_id"), "key", F.col("declared_name").alias("name"),
+        F.col("original_description").alias("target"))
+    preds = E.dictionary_mapper(keys.select("name"), dictionary)
+    return keys, preds
+
+
+DICT_SQL_BASE = (
+    "pr AS (SELECT p_partkey AS pos, p_name AS standard, p_name || ' ' || lower(p_type) AS commercial "
+    "FROM part), wr AS (SELECT pos * 2 AS w, lower(commercial) AS key, standard AS value FROM pr "
+    "UNION ALL SELECT pos * 2 + 1, lower(standard), standard FROM pr), "
+    "dict AS (SELECT key, min(w) AS pos, arg_max(value, w) AS value FROM wr GROUP BY key)")
+
+
+def _mapping_names_sql() -> str:
+    x1 = ("upper(regexp_replace(regexp_replace(trim(regexp_replace(description, '\\s+', ' ', 'g')), "
+          "'\\s*,\\s*', ' ', 'g'), '\\s+', ' ', 'g'))")
+    lx = _values_sql(PART_LEXICON, ['d', 'n'])[:-len(' AS v(d, n)')]
+    cm = _values_sql(PART_COMMERCIAL, ['d', 'n'])[:-len(' AS v(d, n)')]
+    return (f"names AS (SELECT lab.food_id, label_pos, description, coalesce(lx.n, cm.n, {x1}) AS nm "
+            f"FROM lab LEFT JOIN {lx} AS lx(d, n) ON lx.d = description LEFT JOIN {cm} AS cm(d, n) "
+            "ON cm.d = description), "
+            "dn AS (SELECT DISTINCT nm FROM names), "
+            "ex AS (SELECT nm, 1 AS rank, value AS candidate FROM dn JOIN dict ON dict.key = lower(nm)), "
+            "dt AS (SELECT DISTINCT dict.pos, dict.value, unnest(string_split(key, ' ')) AS tok FROM dict), "
+            "qt AS (SELECT DISTINCT nm, unnest(string_split(lower(nm), ' ')) AS tok FROM dn "
+            "WHERE lower(nm) NOT IN (SELECT key FROM dict)), "
+            "cand AS (SELECT DISTINCT nm, dt.pos, dt.value FROM qt JOIN dt USING (tok)), "
+            "rk AS (SELECT nm, row_number() OVER (PARTITION BY nm ORDER BY pos) AS rank, "
+            "value AS candidate FROM cand), "
+            "preds AS (SELECT * FROM ex UNION ALL SELECT * FROM rk WHERE rank <= 5)")
+
+
+@register("dictionary_mapper", f"WITH {FR}, {SEL}, {DICT_SQL_BASE}, {_mapping_names_sql()} "
+          "SELECT nm AS name, CAST(rank AS INTEGER) AS rank, candidate FROM preds")
+def q_dictionary_mapper(spark, sf_dir):
+    _, preds = _mapping_frames(spark, sf_dir)
+    return preds.select("name", F.col("rank").cast("int").alias("rank"), "candidate")
+
+
+def _mapping_metrics_sql() -> str:
+    norm = "lower(trim(regexp_replace({x}, '\\s+', ' ', 'g')))"
+    return (
+        f"WITH {FR}, {SEL}, {DICT_SQL_BASE}, {_mapping_names_sql()}, "
+        f"pl AS (SELECT nm, list({norm.format(x='candidate')} ORDER BY rank) AS c FROM preds GROUP BY nm), "
+        f"t AS (SELECT food_id, {norm.format(x='description')} AS tgt, coalesce(c, []::VARCHAR[]) AS c "
+        "FROM names LEFT JOIN pl USING (nm)), "
+        "u AS (SELECT food_id, CASE WHEN c[1] = tgt THEN 1.0 ELSE 0.0 END AS ex, "
+        "CASE WHEN list_position(c[1:5], tgt) > 0 THEN 1.0 ELSE 0.0 END AS hit, "
+        "CASE WHEN list_position(c, tgt) > 0 THEN 1.0 / list_position(c, tgt) ELSE 0.0 END AS rr "
+        "FROM t) SELECT food_id AS sample_id, round_even(avg(hit), 4) AS recall_at_5, "
+        "round_even(avg(rr), 4) AS mrr, round_even(avg(ex), 4) AS exact_match_rate, "
+        "count(*) AS n_ingredients FROM u GROUP BY food_id")
+
+
+@register("mapping_metrics", _mapping_metrics_sql())
+def q_mapping_metrics(spark, sf_dir):
+    from labelcorpus.operators import evaluate as E
+    keys, preds = _mapping_frames(spark, sf_dir)
+    return E.mapping_metrics(keys, preds, 5, "sample_id")
+
+
+# S10 / S11 ----------------------------------------------------------------------------------
+@register("manifest", f"WITH r AS ({_report_sql()}) SELECT count(*) AS total_samples, "
+          "count(*) FILTER (WHERE all_passed) AS successful, count(*) FILTER (WHERE NOT all_passed) "
+          "AS failed, CASE WHEN count(*) > 0 THEN round(100.0 * count(*) FILTER (WHERE all_passed) "
+          "/ count(*), 1) ELSE 0 END AS success_rate_pct FROM r")
+def q_manifest(spark, sf_dir):
+    from labelcorpus.plans import sinks
+    from labelcorpus.plans.validate import validate
+    k, foods, nutrients, built = _full(spark, sf_dir)
+    _, report = validate(built, _selected(spark, sf_dir), k)
+    return sinks.manifest_summary(report.withColumn("success", F.col("all_passed")))
