@@ -22,11 +22,22 @@ MAX_DIM_ROWS = 20_000
 LEXICON_VERSION = "0.1"
 
 
+_ROWS_CACHE: dict[int, tuple[DataFrame, list]] = {}
+
+
 def bounded_rows(dim: DataFrame, max_rows: int = MAX_DIM_ROWS) -> list:
-    """Collect a knowledge table after checking it is small enough to hold on the driver."""
+    """Collect a knowledge table after checking it is small enough to hold on the driver.
+
+    Rows are remembered per DataFrame object, so building many expressions from one
+    knowledge table reads it once.
+    """
+    hit = _ROWS_CACHE.get(id(dim))
+    if hit is not None and hit[0] is dim:
+        return hit[1]
     rows = dim.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         raise ValueError(f"knowledge table has more than {max_rows} rows; use a join instead")
+    _ROWS_CACHE[id(dim)] = (dim, rows)
     return rows
 
 

@@ -18,38 +18,64 @@ def _strip_ws(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-def parse_ingredients(text: Column) -> Column:
-    """Baseline parser: label text -> ordered ingredient names.
-
-    Drops the INGREDIENTS prefix (anchored at the text start), turns '. ' into ', ', drops the
-    2% marker, cuts the last line from its first CONTAINS, strips final dots, then splits on
-    commas outside parentheses and keeps the part before '(' when it is not at the start.
-    """
+def _parse_prefix(text: Column) -> Column:
     t = F.regexp_replace(text, r"(?i)^INGREDIENTS:\s*", "")
     t = F.regexp_replace(t, r"\.\s+", ", ")
     t = F.regexp_replace(t, r"(?i)CONTAINS 2%\s*OR\s*LESS\s*OF:\s*", "")
     t = F.regexp_replace(t, r"(?i)CONTAINS:?\s*.*?$", "")
-    t = F.regexp_replace(_strip_ws(t), r"\.+$", "")
+    return F.regexp_replace(_strip_ws(t), r"\.+$", "")
+
+
+def _split_top_level(t: Column) -> Column:
+    """Split on commas outside parentheses in one left-to-right pass over comma segments.
+
+    The accumulator carries the paren depth and the items so far; a segment is appended to
+    the current item while the depth before its comma is not zero.
+    """
     segs = F.split(t, ",", -1)
-    # Paren depth after each segment = running sum of its '(' minus ')' counts.
-    deltas = F.transform(segs, lambda s: (F.length(s) - F.length(F.replace(s, F.lit("("), F.lit(""))))
-                         - (F.length(s) - F.length(F.replace(s, F.lit(")"), F.lit("")))))
-    depth = F.transform(deltas, lambda _, i: F.aggregate(F.slice(deltas, 1, i + 1), F.lit(0),
-                                                         lambda a, x: a + x))
-    item_of = F.transform(segs, lambda _, i: F.size(F.filter(F.slice(depth, 1, i),
-                                                             lambda d: d == 0)))
-    n_items = F.try_element_at(item_of, F.lit(-1)) + 1
-    tagged = F.arrays_zip(item_of.alias("k"), segs.alias("s"))
-    items = F.transform(F.sequence(F.lit(0), F.greatest(n_items - 1, F.lit(0))), lambda j: F.array_join(
-        F.transform(F.filter(tagged, lambda x: x["k"] == j), lambda x: x["s"]), ","))
+    init = F.struct(F.lit(0).alias("d"), F.array().cast("array<string>").alias("items"),
+                    F.lit(True).alias("new"))
+
+    def step(acc, s):
+        opens = F.length(s) - F.length(F.replace(s, F.lit("("), F.lit("")))
+        closes = F.length(s) - F.length(F.replace(s, F.lit(")"), F.lit("")))
+        items = F.when(acc["new"], F.concat(acc["items"], F.array(s))).otherwise(
+            F.concat(F.slice(acc["items"], 1, F.size(acc["items"]) - 1),
+                     F.array(F.concat(F.try_element_at(acc["items"], F.lit(-1)), F.lit(","), s))))
+        d = acc["d"] + opens - closes
+        return F.struct(d.alias("d"), items.alias("items"), (d == 0).alias("new"))
+    return F.aggregate(segs, init, step, lambda acc: acc["items"])
 
+
+def _clean_items(items: Column) -> Column:
     def clean(s):
         s = F.regexp_replace(_strip_ws(s), r"\.+$", "")
         cut = F.instr(s, "(")
         return F.when(cut > 1, _strip_ws(F.substring(s, F.lit(1), cut - 1))).otherwise(s)
-    out = F.filter(F.transform(items, clean), lambda s: s != "")
+    return F.filter(F.transform(items, clean), lambda s: s != "")
+
+
+def parse_ingredients(text: Column) -> Column:
+    """Baseline parser: label text -> ordered ingredient names.
+
+    Drops the INGREDIENTS prefix (anchored at the text start), turns '. ' into ', ', drops the
+    2% marker, cuts the last line from its first CONTAINS, strips final dots, then splits on
+    commas outside parentheses and keeps the part before '(' when it is not at the start.
+    For columns holding long texts prefer ``parse_column``, which evaluates each step once.
+    """
+    t = _parse_prefix(text)
     return F.when(text.isNull() | (text == "") | (t == ""), F.array().cast("array<string>")) \
-        .otherwise(out)
+        .otherwise(_clean_items(_split_top_level(t)))
+
+
+def parse_column(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
+    """``parse_ingredients`` as stepwise projections (each intermediate computed once)."""
+    empty = F.array().cast("array<string>")
+    return (df.withColumn("_pt", _parse_prefix(F.coalesce(F.col(text_col), F.lit(""))))
+            .withColumn("_pi", F.when(F.col("_pt") == "", empty)
+                        .otherwise(_split_top_level(F.col("_pt"))))
+            .withColumn(out_col, _clean_items(F.col("_pi")))
+            .drop("_pt", "_pi"))
 
 
 # A15 / A16 ---------------------------------------------------------------------------------
@@ -86,10 +112,15 @@ def parsing_metrics(truth: Column, predicted: Column) -> dict[str, Column]:
 
 
 def evaluate_parsing(samples: DataFrame, truth_col: str = "truth_names",
-                     text_col: str = "ingredient_text", parser=parse_ingredients) -> DataFrame:
-    """Per-sample parsing metrics. ``parser`` maps a text column to an array column."""
-    m = parsing_metrics(F.col(truth_col), parser(F.coalesce(F.col(text_col), F.lit(""))))
-    return samples.select("*", *[v.alias(k) for k, v in m.items()])
+                     text_col: str = "ingredient_text", parser=None) -> DataFrame:
+    """Per-sample parsing metrics. ``parser`` maps a text column to an array column
+    (a built-in expression or an Arrow ``pandas_udf``); the default is the baseline parser."""
+    if parser is None:
+        samples = parse_column(samples, text_col, "_pred")
+    else:
+        samples = samples.withColumn("_pred", parser(F.coalesce(F.col(text_col), F.lit(""))))
+    m = parsing_metrics(F.col(truth_col), F.col("_pred"))
+    return samples.select("*", *[v.alias(k) for k, v in m.items()]).drop("_pred")
 
 
 # J19 ---------------------------------------------------------------------------------------

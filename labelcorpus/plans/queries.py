@@ -749,7 +749,7 @@ def _parse_sql(t: str) -> str:
 def _full_cte() -> str:
     sql = _full_label_sql()
     return sql.replace("WITH ", "", 1).replace(
-        "SELECT base.food_id, CASE WHEN", "full_lab AS (SELECT base.food_id, CASE WHEN", 1) + ")"
+        "SELECT base.food_id, CASE WHEN", ", full_lab AS (SELECT base.food_id, CASE WHEN", 1) + ")"
 
 
 @register("parse_ingredients", f"WITH {_full_cte()} SELECT food_id, array_to_string("
@@ -757,8 +757,9 @@ def _full_cte() -> str:
 def q_parse_ingredients(spark, sf_dir):
     from labelcorpus.operators import evaluate as E
     _, _, _, built = _full(spark, sf_dir)
-    return built["label"].select(
-        "food_id", F.array_join(E.parse_ingredients(F.col("ingredient_text")), " | ").alias("parsed"))
+    parsed = E.parse_column(built["label"].select("food_id", "ingredient_text"), "ingredient_text",
+                            "p")
+    return parsed.select("food_id", F.array_join("p", " | ").alias("parsed"))
 
 
 def _parsing_metrics_sql() -> str:
