@@ -94,6 +94,26 @@ def fda_round(value: Column, zero_below: Column, fine_step: Column, fine_upto: C
             .otherwise(stepped))
 
 
+def fda_round_sql(value_sql: str, zero_below, fine_step, fine_upto, coarse_step) -> Column:
+    """``fda_round`` with constant steps, built as one SQL expression (one parse)."""
+    def step(s):
+        if s >= 1:
+            return f"bround(({value_sql}) / {float(s)!r}D, 0) * {float(s)!r}D"
+        inv = float(round(1 / s))
+        return f"bround(({value_sql}) * {inv!r}D, 0) / {inv!r}D"
+    parts = []
+    if zero_below is not None:
+        parts.append(f"WHEN ({value_sql}) < {float(zero_below)!r}D THEN 0.0D")
+    if fine_upto is not None:
+        parts.append(f"WHEN ({value_sql}) <= {float(fine_upto)!r}D THEN {step(fine_step)}")
+        parts.append(f"ELSE {step(coarse_step)}")
+    elif parts:
+        parts.append(f"ELSE {step(fine_step)}")
+    else:
+        return F.expr(step(fine_step))
+    return F.expr("CASE " + " ".join(parts) + " END")
+
+
 # X6 ----------------------------------------------------------------------------------------
 def allergen_text(ordered: Column) -> Column:
     """Declaration text from allergens already in declaration order; null when empty."""

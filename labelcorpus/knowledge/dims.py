@@ -31,6 +31,9 @@ def bounded_rows(dim: DataFrame, max_rows: int = MAX_DIM_ROWS) -> list:
     Rows are remembered per DataFrame object, so building many expressions from one
     knowledge table reads it once.
     """
+    local = getattr(dim, "_lc_rows", None)
+    if local is not None:
+        return local
     hit = _ROWS_CACHE.get(id(dim))
     if hit is not None and hit[0] is dim:
         return hit[1]
@@ -42,7 +45,13 @@ def bounded_rows(dim: DataFrame, max_rows: int = MAX_DIM_ROWS) -> list:
 
 
 def _df(spark: SparkSession, rows: list, schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    """A knowledge table built on the driver; it keeps its rows so expression builders need
+    no Spark job to read it back."""
+    from pyspark.sql import Row
+    df = spark.createDataFrame(rows, schema)
+    names = df.columns
+    df._lc_rows = [Row(**dict(zip(names, r))) for r in rows]
+    return df
 
 
 # ---------------------------------------------------------------------------------- names

@@ -219,3 +219,39 @@ def average_metrics(per_sample: DataFrame, metrics: list[str], by: list | None =
     aggs = [F.bround(F.avg(m), 4).alias(m) for m in metrics] + \
         [F.count(F.lit(1)).alias("n_samples")]
     return per_sample.groupBy(*(by or [])).agg(*aggs)
+
+
+def evaluation_summary(parsing: DataFrame | None, mapping: DataFrame | None,
+                       parsing_metrics_cols: list[str], mapping_metrics_cols: list[str],
+                       parser_name: str = "", mapper_name: str = "") -> DataFrame:
+    """Averages of both evaluations, sample counts and names, as one row."""
+    spark = (parsing or mapping).sparkSession
+    p = (average_metrics(parsing, parsing_metrics_cols).withColumnRenamed("n_samples", "n_parsing")
+         if parsing is not None else spark.createDataFrame([(0,)], "n_parsing long"))
+    m = (average_metrics(mapping, mapping_metrics_cols).withColumnRenamed("n_samples", "n_mapping")
+         if mapping is not None else spark.createDataFrame([(0,)], "n_mapping long"))
+    return (p.crossJoin(m)  # two single-row frames
+            .withColumn("n_samples", F.greatest("n_parsing", "n_mapping"))
+            .withColumn("parser", F.lit(parser_name)).withColumn("mapper", F.lit(mapper_name)))
+
+
+def operator_set_key(records: DataFrame, sample_col: str = "food_id") -> DataFrame:
+    """A12 key: sorted applied operator names joined with ','."""
+    return records.groupBy(sample_col).agg(
+        F.array_join(F.array_sort(F.collect_list("operator_name")), ",").alias("operator_set"))
+
+
+# A17 ---------------------------------------------------------------------------------------
+def pilot_audit(samples: DataFrame, declared: DataFrame, splits: DataFrame,
+                id_col: str = "food_id", long_name: int = 35) -> DataFrame:
+    """Ingredient count range and mean, long names, names with commas, ids in >1 split."""
+    counts = declared.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+    c = counts.agg(F.min("n").alias("min_ingredients"), F.max("n").alias("max_ingredients"),
+                   F.bround(F.avg("n"), 2).alias("mean_ingredients"))
+    names = declared.agg(
+        F.count_if(F.length("declared_name") > long_name).alias("long_names"),
+        F.count_if(F.instr("declared_name", ",") > 0).alias("names_with_commas"))
+    leaks = (splits.groupBy(id_col).agg(F.countDistinct("split").alias("k"))
+             .agg(F.count_if(F.col("k") > 1).alias("ids_in_several_splits")))
+    n = samples.agg(F.count(F.lit(1)).alias("n_samples"))
+    return n.crossJoin(c).crossJoin(names).crossJoin(leaks)  # single-row frames

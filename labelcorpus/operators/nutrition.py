@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelcorpus.functions.columns import claim_type, contains_any, fda_round, fmt0, fmt1
+from labelcorpus.functions.columns import (
+    claim_type, contains_any, fda_round, fda_round_sql, fmt0, fmt1)
 from labelcorpus.knowledge import values as V
 from labelcorpus.knowledge.dims import bounded_rows
 
@@ -70,19 +71,38 @@ class NutrientContext:
             return F.lit(None).cast("double")
         return F.col(f"{_slot(self.index[name])}_{kind}")
 
-    def per_serving(self, name: str, kind: str = "last") -> Column:
+    def _per_serving_expr(self, name: str, kind: str) -> Column:
         """Amount per 100 g * serving / 100."""
         return self.col(name, kind) * F.col("serving_g") / F.lit(100.0)
 
-    def rounded(self, name: str) -> Column:
+    def _rounded_expr(self, name: str) -> Column:
         """X5 on the first occurrence (panel value)."""
         r = self.rounding.get(name)
-        value = self.per_serving(name, "first")
+        if name not in self.index:
+            return F.lit(None).cast("double")
+        value = f"(`{_slot(self.index[name])}_first` * serving_g / 100.0D)"
         if r is None:
-            return value
-        lit = lambda v: F.lit(v).cast("double")
-        return fda_round(value, lit(r["zero_below"]), lit(r["fine_step"]), lit(r["fine_upto"]),
-                         lit(r["coarse_step"]))
+            return F.expr(value)
+        return fda_round_sql(value, r["zero_below"], r["fine_step"], r["fine_upto"],
+                             r["coarse_step"])
+
+    def add_serving_columns(self, profile_with_serving: DataFrame) -> DataFrame:
+        """Materialise, once per food, each nutrient's per-serving amount (last occurrence,
+        ``n{i}_ps``) and rounded panel value (first occurrence, ``n{i}_pv``); the panel,
+        claims and validation rules reference these columns."""
+        cols = []
+        for i, name in enumerate(self.names):
+            cols.append(self._per_serving_expr(name, "last").alias(f"{_slot(i)}_ps"))
+            cols.append(self._rounded_expr(name).alias(f"{_slot(i)}_pv"))
+        return profile_with_serving.select("*", *cols)
+
+    def per_serving(self, name: str) -> Column:
+        """Per-serving amount of the last occurrence (needs ``add_serving_columns``)."""
+        return self.col(name, "ps")
+
+    def rounded(self, name: str) -> Column:
+        """Rounded per-serving panel value (needs ``add_serving_columns``)."""
+        return self.col(name, "pv")
 
     def dv_percent(self, name: str, amount: Column) -> Column:
         """Amount / DV * 100; null when the DV is unknown."""
@@ -211,3 +231,23 @@ def daily_value_rows(rows: DataFrame, dv_dim: DataFrame, amount_col: str = "per_
     return out.withColumn(
         "dv_percent", F.when(F.col("dv_amount") > 0,
                              F.col(amount_col) / F.col("dv_amount") * 100.0)).drop("_dname")
+
+
+# X7 ----------------------------------------------------------------------------------------
+def claim_text(claim_id: Column, texts_dim: DataFrame, percent: Column | None = None) -> Column:
+    """Template for a claim id; an unknown id passes through; {percent} filled only if given."""
+    rows = bounded_rows(texts_dim)
+    tmap = F.create_map(*[x for r in rows for x in (F.lit(r["claim"]), F.lit(r["text"]))])
+    t = F.coalesce(F.try_element_at(tmap, claim_id), claim_id)
+    if percent is None:
+        return t
+    return F.when(percent.isNotNull() & (F.instr(t, "{percent}") > 0),
+                  F.replace(t, F.lit("{percent}"), percent.cast("string"))).otherwise(t)
+
+
+# X14 ---------------------------------------------------------------------------------------
+def generic_panel_text(serving_text: Column, calories: Column, lines: Column) -> Column:
+    """Header, serving, calories, the given lines, blank line, footer."""
+    return F.concat_ws("\n", F.lit("Nutrition Facts"), F.concat(F.lit("Serving Size "), serving_text),
+                       F.lit(""), F.concat(F.lit("Calories "), calories.cast("string")),
+                       F.array_join(lines, "\n"), F.lit(""), F.lit(V.PANEL_FOOTER))

@@ -136,3 +136,10 @@ def truth_keys(declared: DataFrame, sample_col: str = "food_id") -> DataFrame:
         sample_col, g.alias("group_pos"), "label_pos", "declared_name", "original_description",
         F.when(n == 1, F.col("declared_name"))
         .otherwise(F.concat(F.col("declared_name"), F.lit("#"), n.cast("string"))).alias("key"))
+
+
+# L10 ---------------------------------------------------------------------------------------
+def compound_fraction_audit(compound_dim: DataFrame, tolerance: float = 0.08) -> DataFrame:
+    """Compounds whose sub-ingredient fractions do not sum to 1 within the tolerance."""
+    return (compound_dim.groupBy("key").agg(F.sum("fraction").alias("total"))
+            .where(F.abs(F.col("total") - 1.0) > tolerance))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from labelcorpus.knowledge import values as V
 from labelcorpus.operators import naming, nutrition, recipes, tags
 
 DEFAULT_OPERATORS = [name for name, _ in V.OPERATORS]
+_DEFAULTS: dict = {}
 
 
 @dataclass
@@ -44,7 +46,19 @@ class Knowledge:
 
     @classmethod
     def default(cls, spark: SparkSession, **overrides: DataFrame) -> "Knowledge":
-        base = dict(
+        """The built-in knowledge tables (created once per session), with optional overrides."""
+        key = id(spark)
+        cached = _DEFAULTS.get(key)
+        if cached is None or cached[0] is not spark:
+            cached = (spark, cls._build_default(spark))
+            _DEFAULTS[key] = cached
+        base = dict(cached[1])
+        base.update(overrides)
+        return cls(**base)
+
+    @staticmethod
+    def _build_default(spark: SparkSession) -> dict:
+        return dict(
             lexicon=D.label_lexicon(spark), commercial=D.commercial_names(spark),
             generic=D.generic_names(spark), compounds=D.compounds(spark),
             categories=D.ingredient_categories(spark), food_keywords=D.food_name_keywords(spark),
@@ -55,8 +69,6 @@ class Knowledge:
             content_claims=D.content_claims(spark), source_nutrients=D.source_nutrients(spark),
             health_claims=D.health_claims(spark), rounding=D.rounding(spark),
             prohibited=D.prohibited_terms(spark))
-        base.update(overrides)
-        return cls(**base)
 
     def nutrient_context(self) -> nutrition.NutrientContext:
         return nutrition.NutrientContext(self.daily_values, self.rounding)
@@ -123,20 +135,27 @@ def ingredient_text(main: F.Column, two_pct: F.Column, allergen_text: F.Column,
 
 def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrients: DataFrame,
                  k: Knowledge, operators: list[str] | None = None,
-                 lt2_threshold: float = 0.02) -> dict[str, DataFrame]:
+                 lt2_threshold: float = 0.02, persist: bool = True) -> dict[str, DataFrame]:
     """The whole label for each food, as a dict of DataFrames keyed by food_id.
 
     ``foods`` must hold one row per food to label (already restricted to selected ids).
+    The declared rows and the nutrient profile feed several branches (text, allergens,
+    records, validation), so they are persisted (memory and disk; a lost block is recomputed
+    from lineage) unless ``persist`` is False.
     """
     ops = check_operators(operators)
     declared = declared_rows(ingredients_with_fractions, k, ops, lt2_threshold)
+    if persist:
+        declared = declared.persist(StorageLevel.MEMORY_AND_DISK)
     lists = label_lists(declared)
 
     ctx = k.nutrient_context()
     served = tags.serving_size(foods, k.prefixes, k.food_keywords, k.racc)
     profile = nutrition.nutrient_profile(nutrients, ctx.names)
-    prof = served.join(profile, "food_id", "left").withColumn(
-        "n_nutrients", F.coalesce("n_nutrients", F.lit(0)))
+    prof = ctx.add_serving_columns(served.join(profile, "food_id", "left").withColumn(
+        "n_nutrients", F.coalesce("n_nutrients", F.lit(0))))
+    if persist:
+        prof = prof.persist(StorageLevel.MEMORY_AND_DISK)
 
     out: dict[str, DataFrame] = {"declared": declared, "servings": served}
     label = served.select("food_id", "food_name", "serving_g").join(lists, "food_id", "left")

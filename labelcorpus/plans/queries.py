@@ -391,7 +391,8 @@ def _nutrition_frames(spark, sf_dir):
     k = L.Knowledge.default(spark)
     ctx = k.nutrient_context()
     served = tags.serving_size(T.foods(spark, sf_dir), k.prefixes, k.food_keywords, k.racc)
-    prof = served.join(N.nutrient_profile(T.nutrients(spark, sf_dir), ctx.names), "food_id")
+    prof = ctx.add_serving_columns(
+        served.join(N.nutrient_profile(T.nutrients(spark, sf_dir), ctx.names), "food_id"))
     return k, ctx, served, prof
 
 
@@ -592,12 +593,15 @@ for _kind in ("content", "source", "health"):
 # ---------------------------------------------------------------------------------------------
 # Flagship: the full label (all seven operators) for every selected recipe
 def _full(spark, sf_dir, operators=None):
+    from pyspark import StorageLevel
     k = L.Knowledge.default(spark)
-    fr = _selected(spark, sf_dir)
+    # The selected ingredient rows feed every branch of the label plan: compute them once.
+    fr = _selected(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     ids = fr.select("food_id").distinct()
     foods = T.foods(spark, sf_dir).join(ids, "food_id", "left_semi")
     nutrients = T.nutrients(spark, sf_dir)
     built = L.build_labels(foods, fr, nutrients, k, operators)
+    built["selected"] = fr
     return k, foods, nutrients, built
 
 
@@ -724,8 +728,7 @@ def _report_sql():
 def q_validation_report(spark, sf_dir):
     from labelcorpus.plans.validate import validate
     k, foods, nutrients, built = _full(spark, sf_dir)
-    fr = _selected(spark, sf_dir)
-    _, report = validate(built, fr, k)
+    _, report = validate(built, built["selected"], k)
     return report.select("food_id", "all_passed", "n_passed", "n_failed")
 
 
@@ -911,5 +914,5 @@ def q_manifest(spark, sf_dir):
     from labelcorpus.plans import sinks
     from labelcorpus.plans.validate import validate
     k, foods, nutrients, built = _full(spark, sf_dir)
-    _, report = validate(built, _selected(spark, sf_dir), k)
+    _, report = validate(built, built["selected"], k)
     return sinks.manifest_summary(report.withColumn("success", F.col("all_passed")))
