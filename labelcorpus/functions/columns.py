@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -47,12 +48,59 @@ def ci(pattern: str) -> str:
     return "(?i)" + pattern
 
 
+_LITERAL = re.compile(r"^[a-z0-9 %'&-]+$")
+
+
+def required_literals(pattern: str) -> list[str] | None:
+    """Lower-case literals of which any match of ``pattern`` must contain at least one.
+
+    Handles the shapes used by the knowledge tables: an optional leading word boundary or
+    look-behind, then either a group of plain alternatives or a plain literal run. Returns
+    None when no safe literal can be read off (the regex then runs unguarded).
+    """
+    p = pattern
+    for head in (r"\b", r"(?<![a-z0-9])"):
+        if p.startswith(head):
+            p = p[len(head):]
+    m = re.match(r"^\((?:\?:)?([^()]*)\)", p)
+    if m:
+        alts = m.group(1).split("|")
+        if alts and all(_LITERAL.match(a) for a in alts):
+            return [a.lower() for a in alts]
+        return None
+    m = re.match(r"^([a-z0-9%'&-]+)", p, flags=re.I)
+    if m and len(m.group(1)) >= 2:
+        lit = m.group(1)
+        nxt = p[len(lit):len(lit) + 1]
+        if nxt in ("?", "*", "{"):  # the last character is optional
+            lit = lit[:-1]
+        return [lit.lower()] if len(lit) >= 2 else None
+    return None
+
+
+def guarded_rlike(col: Column | str, pattern: str, low: Column | None = None) -> Column:
+    """Case-insensitive ``rlike`` that first checks, with plain substring search on the
+    lower-cased text, for a literal the pattern needs. Same result, far fewer regex scans
+    over long texts."""
+    c = _c(col)
+    lits = required_literals(pattern)
+    if not lits:
+        return c.rlike(ci(pattern))
+    low = F.lower(c) if low is None else low
+    guard = None
+    for lit in lits:
+        g = F.instr(low, lit) > 0
+        guard = g if guard is None else guard | g
+    return guard & c.rlike(ci(pattern))
+
+
 def first_match(col: Column | str, patterns: list[tuple[str, str]], default=None) -> Column:
     """Label of the first (pattern, label) whose case-insensitive regex matches; else default."""
     c = _c(col)
+    low = F.lower(c)
     out = None
     for pattern, label in patterns:
-        cond = c.rlike(ci(pattern))
+        cond = guarded_rlike(c, pattern, low)
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
     if out is None:
         return F.lit(default)
@@ -145,3 +193,43 @@ def fmt0(x: Column) -> Column:
 
 def fmt1(x: Column) -> Column:
     return F.regexp_replace(F.call_function("format_number", x, F.lit("0.0")), ",", "")
+
+
+# Word-set matching for \b(alt|alt)\b patterns ------------------------------------------------
+_WORD_GROUP = re.compile(r"^\\b\(([a-z0-9 |]+)\)\\b$")
+
+
+def word_tokens(col: Column | str) -> Column:
+    """Distinct lower-cased maximal runs of word characters (letters, digits, underscore):
+    exactly the runs a ``\\b...\\b`` match can cover."""
+    return F.array_distinct(F.filter(F.split(F.lower(_c(col)), r"[^\p{L}\p{Nd}_]+"),
+                                     lambda t: t != ""))
+
+
+def word_group_match(col: Column | str, pattern: str, tokens: Column) -> Column | None:
+    """For ``\\b(a|b|c d)\\b``: single-word alternatives are looked up in the text's word set;
+    multi-word ones keep a guarded regex. None when the pattern has another shape."""
+    m = _WORD_GROUP.match(pattern)
+    if not m:
+        return None
+    alts = m.group(1).split("|")
+    single = [a for a in alts if " " not in a]
+    multi = [a for a in alts if " " in a]
+    cond = F.arrays_overlap(tokens, F.array(*[F.lit(a) for a in single])) if single else F.lit(False)
+    if multi:
+        cond = cond | guarded_rlike(col, r"\b(" + "|".join(multi) + r")\b")
+    return F.coalesce(cond, F.lit(False))
+
+
+def first_match_words(col: Column | str, patterns: list[tuple[str, str]], tokens: Column,
+                      default=None) -> Column:
+    """``first_match`` using a precomputed ``word_tokens`` column where the pattern allows."""
+    c = _c(col)
+    low = F.lower(c)
+    out = None
+    for pattern, label in patterns:
+        cond = word_group_match(c, pattern, tokens)
+        if cond is None:
+            cond = guarded_rlike(c, pattern, low)
+        out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
+    return F.lit(default) if out is None else out.otherwise(F.lit(default))

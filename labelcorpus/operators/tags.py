@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelcorpus.functions.columns import (
-    allergen_text, ci, first_match, keyword_alternation)
+    allergen_text, first_match, first_match_words, guarded_rlike, keyword_alternation)
 from labelcorpus.knowledge import values as V
 from labelcorpus.knowledge.dims import bounded_rows
 
@@ -33,9 +33,15 @@ def food_code_class(code: Column, prefix_dim: DataFrame) -> Column:
 
 
 # J7 / J11 ----------------------------------------------------------------------------------
-def first_match_class(text: Column, pattern_dim: DataFrame) -> Column:
-    """Label of the first pattern (by priority) found in the text; null when none."""
-    return first_match(text, _patterns(pattern_dim))
+def first_match_class(text: Column, pattern_dim: DataFrame, tokens: Column | None = None) -> Column:
+    """Label of the first pattern (by priority) found in the text; null when none.
+
+    With ``tokens`` (a ``word_tokens`` column computed once per row) word-group patterns are
+    answered by set lookups instead of regex scans, which matters for long texts.
+    """
+    if tokens is None:
+        return first_match(text, _patterns(pattern_dim))
+    return first_match_words(text, _patterns(pattern_dim), tokens)
 
 
 # J8 ----------------------------------------------------------------------------------------
@@ -78,12 +84,14 @@ def allergen_column(text: Column, keyword_dim: DataFrame, exclusion_dim: DataFra
     for r in sorted(bounded_rows(keyword_dim), key=lambda r: r["pos"]):
         by_label.setdefault(r["label"], []).append(r["keyword"])
     excl = [r["pattern"] for r in bounded_rows(exclusion_dim)]
-    found = F.filter(F.array(*[F.when(text.rlike(ci(keyword_alternation(kws))), F.lit(label))
+    low = F.lower(text)
+    found = F.filter(F.array(*[F.when(guarded_rlike(text, keyword_alternation(kws), low),
+                                      F.lit(label))
                                for label, kws in sorted(by_label.items())]),
                      lambda x: x.isNotNull())
     excluded = F.lit(False)
     for p in excl:
-        excluded = excluded | text.rlike(ci(p))
+        excluded = excluded | guarded_rlike(text, p, low)
     return F.when(F.coalesce(excluded, F.lit(False)), F.array().cast("array<string>")).otherwise(
         F.coalesce(found, F.array().cast("array<string>")))
 

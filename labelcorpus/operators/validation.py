@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelcorpus.functions.columns import ci
+from labelcorpus.functions.columns import ci, guarded_rlike
 
 
 def prohibited_hits(text: Column, patterns: list[str]) -> Column:
     """The patterns (in order) found in the text, case-insensitively."""
-    return F.filter(F.array(*[F.when(text.rlike(ci(p)), F.lit(p)) for p in patterns]),
+    low = F.lower(text)
+    return F.filter(F.array(*[F.when(guarded_rlike(text, p, low), F.lit(p)) for p in patterns]),
                     lambda x: x.isNotNull())
 
 

@@ -135,18 +135,19 @@ def ingredient_text(main: F.Column, two_pct: F.Column, allergen_text: F.Column,
 
 def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrients: DataFrame,
                  k: Knowledge, operators: list[str] | None = None,
-                 lt2_threshold: float = 0.02, persist: bool = True) -> dict[str, DataFrame]:
+                 lt2_threshold: float = 0.02, materialize: str = "checkpoint"
+                 ) -> dict[str, DataFrame]:
     """The whole label for each food, as a dict of DataFrames keyed by food_id.
 
     ``foods`` must hold one row per food to label (already restricted to selected ids).
-    The declared rows and the nutrient profile feed several branches (text, allergens,
-    records, validation), so they are persisted (memory and disk; a lost block is recomputed
-    from lineage) unless ``persist`` is False.
+    The declared rows, the nutrient profile and the label feed several branches (text,
+    allergens, records, validation); ``materialize`` ('checkpoint', 'persist' or 'none')
+    says how they are cut (see ``session.materialize``).
     """
+    from labelcorpus.session import materialize as cut
     ops = check_operators(operators)
     declared = declared_rows(ingredients_with_fractions, k, ops, lt2_threshold)
-    if persist:
-        declared = declared.persist(StorageLevel.MEMORY_AND_DISK)
+    declared = cut(declared, materialize)
     lists = label_lists(declared)
 
     ctx = k.nutrient_context()
@@ -154,8 +155,7 @@ def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrie
     profile = nutrition.nutrient_profile(nutrients, ctx.names)
     prof = ctx.add_serving_columns(served.join(profile, "food_id", "left").withColumn(
         "n_nutrients", F.coalesce("n_nutrients", F.lit(0))))
-    if persist:
-        prof = prof.persist(StorageLevel.MEMORY_AND_DISK)
+    prof = cut(prof, materialize)
 
     out: dict[str, DataFrame] = {"declared": declared, "servings": served}
     label = served.select("food_id", "food_name", "serving_g").join(lists, "food_id", "left")
@@ -166,6 +166,7 @@ def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrie
     if "allergen" in ops:
         allergens = tags.allergen_declarations(declared, k.allergen_keywords,
                                                k.allergen_exclusions, k.allergen_order)
+        out["allergens"] = allergens
         label = label.join(allergens, "food_id", "left")
     else:
         label = (label.withColumn("allergens", F.lit(None).cast("array<string>"))
@@ -196,7 +197,7 @@ def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrie
         "ingredient_text",
         ingredient_text(F.col("main_names"), F.col("two_percent_names"), F.col("allergen_text"),
                         F.col("claims")))
-    out["label"] = label
+    out["label"] = cut(label, materialize)
     out["profile"] = prof
     return out
 

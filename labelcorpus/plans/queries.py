@@ -296,10 +296,14 @@ def _class_sql() -> str:
 def q_first_match_class(spark, sf_dir):
     from labelcorpus.operators import tags
     k = L.Knowledge.default(spark)
-    docs = T.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.select("doc_id",
-                       tags.first_match_class(F.col("text"), k.categories).alias("ingredient_class"),
-                       tags.first_match_class(F.col("text"), k.food_keywords).alias("food_class"))
+    from labelcorpus.functions.columns import word_tokens
+    docs = (T.table(spark, sf_dir, "documents").select("doc_id", "text")
+            .withColumn("_tok", word_tokens("text")))
+    tok = F.col("_tok")
+    return docs.select(
+        "doc_id",
+        tags.first_match_class(F.col("text"), k.categories, tok).alias("ingredient_class"),
+        tags.first_match_class(F.col("text"), k.food_keywords, tok).alias("food_class"))
 
 
 # J6 / J8 / J9 -------------------------------------------------------------------------------
@@ -593,10 +597,10 @@ for _kind in ("content", "source", "health"):
 # ---------------------------------------------------------------------------------------------
 # Flagship: the full label (all seven operators) for every selected recipe
 def _full(spark, sf_dir, operators=None):
-    from pyspark import StorageLevel
+    from labelcorpus.session import materialize
     k = L.Knowledge.default(spark)
     # The selected ingredient rows feed every branch of the label plan: compute them once.
-    fr = _selected(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    fr = materialize(_selected(spark, sf_dir))
     ids = fr.select("food_id").distinct()
     foods = T.foods(spark, sf_dir).join(ids, "food_id", "left_semi")
     nutrients = T.nutrients(spark, sf_dir)

@@ -44,3 +44,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, how: str = "checkpoint"):
+    """Cut a plan at a fan-out point.
+
+    ``checkpoint`` writes the rows to the session's checkpoint folder (shared storage on a
+    cluster) and returns a DataFrame whose lineage starts there: later jobs neither recompute
+    nor re-optimise the upstream plan, and a lost executor costs a re-read, not a rebuild.
+    ``persist`` keeps them in executor memory/disk; ``none`` returns the input.
+    """
+    from pyspark import StorageLevel
+    if how == "checkpoint":
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if how == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df
