@@ -233,3 +233,21 @@ def first_match_words(col: Column | str, patterns: list[tuple[str, str]], tokens
             cond = guarded_rlike(c, pattern, low)
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
     return F.lit(default) if out is None else out.otherwise(F.lit(default))
+
+
+def ascii_word_tokens(col: Column | str) -> Column:
+    """Distinct lower-cased runs of [a-z0-9]: the units a keyword bounded by
+    ``(?<![a-z0-9])...(?![a-z0-9])`` can match."""
+    return F.array_distinct(F.filter(F.split(F.lower(_c(col)), r"[^a-z0-9]+"), lambda t: t != ""))
+
+
+def keyword_match(col: Column | str, keywords: list[str], tokens: Column) -> Column:
+    """Any keyword (optional plural 's') as a whole [a-z0-9] word: one-word keywords by set
+    lookup in ``ascii_word_tokens``, multi-word ones by a guarded regex."""
+    single = [k for k in keywords if re.fullmatch(r"[a-z0-9]+", k)]
+    multi = [k for k in keywords if k not in single]
+    cond = (F.arrays_overlap(tokens, F.array(*[F.lit(w) for k in single for w in (k, k + "s")]))
+            if single else F.lit(False))
+    if multi:
+        cond = cond | guarded_rlike(col, keyword_alternation(multi))
+    return F.coalesce(cond, F.lit(False))

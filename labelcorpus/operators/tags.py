@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelcorpus.functions.columns import (
-    allergen_text, first_match, first_match_words, guarded_rlike, keyword_alternation)
+    allergen_text, first_match, first_match_words, guarded_rlike, keyword_alternation,
+    keyword_match)
 from labelcorpus.knowledge import values as V
 from labelcorpus.knowledge.dims import bounded_rows
 
@@ -78,15 +79,22 @@ def serving_size(foods: DataFrame, prefix_dim: DataFrame, name_dim: DataFrame,
 
 
 # J12 ---------------------------------------------------------------------------------------
-def allergen_column(text: Column, keyword_dim: DataFrame, exclusion_dim: DataFrame) -> Column:
-    """Sorted distinct allergen labels found in one ingredient text (empty when excluded)."""
+def allergen_column(text: Column, keyword_dim: DataFrame, exclusion_dim: DataFrame,
+                    tokens: Column | None = None) -> Column:
+    """Sorted distinct allergen labels found in one ingredient text (empty when excluded).
+
+    ``tokens`` (an ``ascii_word_tokens`` column) switches one-word keywords to set lookups,
+    for long texts."""
     by_label: dict[str, list[str]] = {}
     for r in sorted(bounded_rows(keyword_dim), key=lambda r: r["pos"]):
         by_label.setdefault(r["label"], []).append(r["keyword"])
     excl = [r["pattern"] for r in bounded_rows(exclusion_dim)]
     low = F.lower(text)
-    found = F.filter(F.array(*[F.when(guarded_rlike(text, keyword_alternation(kws), low),
-                                      F.lit(label))
+    def hit(kws):
+        if tokens is not None:
+            return keyword_match(text, kws, tokens)
+        return guarded_rlike(text, keyword_alternation(kws), low)
+    found = F.filter(F.array(*[F.when(hit(kws), F.lit(label))
                                for label, kws in sorted(by_label.items())]),
                      lambda x: x.isNotNull())
     excluded = F.lit(False)

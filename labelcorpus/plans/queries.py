@@ -272,8 +272,11 @@ def _allergen_sql(text: str) -> str:
 def q_keyword_tags(spark, sf_dir):
     from labelcorpus.operators import tags
     k = L.Knowledge.default(spark)
-    docs = T.table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = tags.allergen_column(F.col("text"), k.allergen_keywords, k.allergen_exclusions)
+    from labelcorpus.functions.columns import ascii_word_tokens
+    docs = (T.table(spark, sf_dir, "documents").select("doc_id", "text")
+            .withColumn("_tok", ascii_word_tokens("text")))
+    found = tags.allergen_column(F.col("text"), k.allergen_keywords, k.allergen_exclusions,
+                                 F.col("_tok"))
     return docs.select("doc_id", F.array_join(found, ",").alias("allergens"))
 
 
