@@ -44,6 +44,12 @@ def bounded_rows(dim: DataFrame, max_rows: int = MAX_DIM_ROWS) -> list:
     return rows
 
 
+def small(dim: DataFrame, max_rows: int = MAX_DIM_ROWS) -> DataFrame:
+    """Broadcast hint for a knowledge table, after checking its size (raises when larger)."""
+    bounded_rows(dim, max_rows)
+    return F.broadcast(dim)
+
+
 def _df(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """A knowledge table built on the driver; it keeps its rows so expression builders need
     no Spark job to read it back."""

@@ -83,9 +83,9 @@ def _norm_list(c: Column) -> Column:
     return F.filter(F.transform(c, lambda s: normalize_text(s)), lambda s: s != "")
 
 
-def parsing_metrics(truth: Column, predicted: Column) -> dict[str, Column]:
+def parsing_metrics(truth: Column, predicted: Column, normalized: bool = False) -> dict[str, Column]:
     """Set metrics (precision, recall, f1, exact, IoU) and order accuracy, 4 dp half-even."""
-    gt_l, pr_l = _norm_list(truth), _norm_list(predicted)
+    gt_l, pr_l = (truth, predicted) if normalized else (_norm_list(truth), _norm_list(predicted))
     gt, pr = F.array_distinct(gt_l), F.array_distinct(pr_l)
     n_gt, n_pr = F.size(gt), F.size(pr)
     n_ok = F.size(F.array_intersect(gt, pr))
@@ -119,8 +119,11 @@ def evaluate_parsing(samples: DataFrame, truth_col: str = "truth_names",
         samples = parse_column(samples, text_col, "_pred")
     else:
         samples = samples.withColumn("_pred", parser(F.coalesce(F.col(text_col), F.lit(""))))
-    m = parsing_metrics(F.col(truth_col), F.col("_pred"))
-    return samples.select("*", *[v.alias(k) for k, v in m.items()]).drop("_pred")
+    # Normalise both lists once; the metrics below only reference these columns.
+    samples = samples.withColumn("_gl", _norm_list(F.col(truth_col))).withColumn(
+        "_pl", _norm_list(F.col("_pred")))
+    m = parsing_metrics(F.col("_gl"), F.col("_pl"), normalized=True)
+    return samples.select("*", *[v.alias(k) for k, v in m.items()]).drop("_pred", "_gl", "_pl")
 
 
 # J19 ---------------------------------------------------------------------------------------
@@ -225,12 +228,16 @@ def evaluation_summary(parsing: DataFrame | None, mapping: DataFrame | None,
                        parsing_metrics_cols: list[str], mapping_metrics_cols: list[str],
                        parser_name: str = "", mapper_name: str = "") -> DataFrame:
     """Averages of both evaluations, sample counts and names, as one row."""
-    spark = (parsing or mapping).sparkSession
-    p = (average_metrics(parsing, parsing_metrics_cols).withColumnRenamed("n_samples", "n_parsing")
-         if parsing is not None else spark.createDataFrame([(0,)], "n_parsing long"))
-    m = (average_metrics(mapping, mapping_metrics_cols).withColumnRenamed("n_samples", "n_mapping")
-         if mapping is not None else spark.createDataFrame([(0,)], "n_mapping long"))
-    return (p.crossJoin(m)  # two single-row frames
+    cols = []
+    for df, metrics, prefix in ((parsing, parsing_metrics_cols, "parsing"),
+                                (mapping, mapping_metrics_cols, "mapping")):
+        if df is None:
+            cols.append(F.lit(0).cast("long").alias(f"n_{prefix}"))
+            continue
+        cols += [df.agg(F.bround(F.avg(m), 4)).scalar().alias(f"{prefix}_{m}") for m in metrics]
+        cols.append(df.agg(F.count(F.lit(1))).scalar().alias(f"n_{prefix}"))
+    spark = (parsing if parsing is not None else mapping).sparkSession
+    return (spark.range(1).select(*cols)
             .withColumn("n_samples", F.greatest("n_parsing", "n_mapping"))
             .withColumn("parser", F.lit(parser_name)).withColumn("mapper", F.lit(mapper_name)))
 
@@ -252,6 +259,8 @@ def pilot_audit(samples: DataFrame, declared: DataFrame, splits: DataFrame,
         F.count_if(F.length("declared_name") > long_name).alias("long_names"),
         F.count_if(F.instr("declared_name", ",") > 0).alias("names_with_commas"))
     leaks = (splits.groupBy(id_col).agg(F.countDistinct("split").alias("k"))
-             .agg(F.count_if(F.col("k") > 1).alias("ids_in_several_splits")))
-    n = samples.agg(F.count(F.lit(1)).alias("n_samples"))
-    return n.crossJoin(c).crossJoin(names).crossJoin(leaks)  # single-row frames
+             .agg(F.count_if(F.col("k") > 1)))
+    return c.select(samples.agg(F.count(F.lit(1))).scalar().alias("n_samples"), "*",
+                    names.select("long_names").scalar().alias("long_names"),
+                    names.select("names_with_commas").scalar().alias("names_with_commas"),
+                    leaks.scalar().alias("ids_in_several_splits"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from labelcorpus.functions.columns import (
     claim_type, contains_any, fda_round, fda_round_sql, fmt0, fmt1)
 from labelcorpus.knowledge import values as V
-from labelcorpus.knowledge.dims import bounded_rows
+from labelcorpus.knowledge.dims import bounded_rows, small
 
 
 def _slot(i: int) -> str:
@@ -217,7 +217,7 @@ def per_serving_rows(nutrients: DataFrame, servings: DataFrame) -> DataFrame:
 def round_rows(rows: DataFrame, rounding_dim: DataFrame) -> DataFrame:
     """X5 on the long table: broadcast join with the rounding steps (unknown names unrounded)."""
     r = rounding_dim.withColumnRenamed("nutrient", "_rname")
-    out = rows.join(F.broadcast(r), rows["name"] == r["_rname"], "left")
+    out = rows.join(small(r), rows["name"] == r["_rname"], "left")
     return out.withColumn("rounded", fda_round(
         F.col("per_serving"), F.col("zero_below"), F.col("fine_step"), F.col("fine_upto"),
         F.col("coarse_step"))).drop("_rname", "zero_below", "fine_step", "fine_upto",
@@ -227,7 +227,7 @@ def round_rows(rows: DataFrame, rounding_dim: DataFrame) -> DataFrame:
 def daily_value_rows(rows: DataFrame, dv_dim: DataFrame, amount_col: str = "per_serving") -> DataFrame:
     """J10 on the long table: amount / DV * 100 (null when the DV is unknown)."""
     d = dv_dim.select(F.col("nutrient_name").alias("_dname"), "dv_amount")
-    out = rows.join(F.broadcast(d), rows["name"] == d["_dname"], "left")
+    out = rows.join(small(d), rows["name"] == d["_dname"], "left")
     return out.withColumn(
         "dv_percent", F.when(F.col("dv_amount") > 0,
                              F.col(amount_col) / F.col("dv_amount") * 100.0)).drop("_dname")

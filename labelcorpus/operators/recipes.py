@@ -75,9 +75,8 @@ def recipe_statistics(foods: DataFrame, ingredients: DataFrame,
             .alias("recipes_with_ingredients")]
     aggs += [F.count_if(F.col("n_ingredients").between(k, max_ingredients))
              .alias(f"recipes_ge_{k}_ingredients") for k in thresholds]
-    stats = counts.agg(*aggs)
-    total = foods.agg(F.count(F.lit(1)).alias("total_foods"))
-    return total.crossJoin(stats)  # two single-row frames
+    total = foods.agg(F.count(F.lit(1))).scalar()  # scalar subquery
+    return counts.agg(*aggs).select(total.alias("total_foods"), "*")
 
 
 # P4 / W1 -----------------------------------------------------------------------------------

@@ -599,15 +599,17 @@ for _kind in ("content", "source", "health"):
 
 # ---------------------------------------------------------------------------------------------
 # Flagship: the full label (all seven operators) for every selected recipe
-def _full(spark, sf_dir, operators=None):
+def _full(spark, sf_dir, operators=None, how: str = "none"):
+    """Labels for every selected recipe. ``how`` cuts the plan at its fan-out points
+    ('checkpoint' for queries that feed several rules from one label plan, 'none' for a
+    single output, where Spark's exchange reuse is cheaper than materialising)."""
     from labelcorpus.session import materialize
     k = L.Knowledge.default(spark)
-    # The selected ingredient rows feed every branch of the label plan: compute them once.
-    fr = materialize(_selected(spark, sf_dir))
+    fr = materialize(_selected(spark, sf_dir), how)
     ids = fr.select("food_id").distinct()
     foods = T.foods(spark, sf_dir).join(ids, "food_id", "left_semi")
     nutrients = T.nutrients(spark, sf_dir)
-    built = L.build_labels(foods, fr, nutrients, k, operators)
+    built = L.build_labels(foods, fr, nutrients, k, operators, materialize=how)
     built["selected"] = fr
     return k, foods, nutrients, built
 
@@ -649,7 +651,7 @@ DIFFICULTY_SQL = (
 @register("difficulty", DIFFICULTY_SQL)
 def q_difficulty(spark, sf_dir):
     from labelcorpus.operators import truth
-    _, foods, nutrients, built = _full(spark, sf_dir)
+    _, foods, nutrients, built = _full(spark, sf_dir, how="checkpoint")
     recs = L.label_records(foods, nutrients, built)
     return truth.difficulty(recs).select("food_id", "difficulty", "total_applied_operators")
 
@@ -734,7 +736,7 @@ def _report_sql():
 @register("validation_report", _report_sql())
 def q_validation_report(spark, sf_dir):
     from labelcorpus.plans.validate import validate
-    k, foods, nutrients, built = _full(spark, sf_dir)
+    k, foods, nutrients, built = _full(spark, sf_dir, how="checkpoint")
     _, report = validate(built, built["selected"], k)
     return report.select("food_id", "all_passed", "n_passed", "n_failed")
 
@@ -801,9 +803,9 @@ def _parsing_metrics_sql() -> str:
 PARSING_COLS = ["precision", "recall", "f1", "exact_match", "iou", "order_accuracy"]
 
 
-def _parsing_per_sample(spark, sf_dir):
+def _parsing_per_sample(spark, sf_dir, how: str = "none"):
     from labelcorpus.operators import evaluate as E
-    _, foods, nutrients, built = _full(spark, sf_dir)
+    _, foods, nutrients, built = _full(spark, sf_dir, how=how)
     truth = built["declared"].groupBy("food_id").agg(F.transform(F.array_sort(F.collect_list(
         F.struct(F.when(F.col("declaration_group") == "main", 0).otherwise(1).alias("g"),
                  "label_pos", "declared_name"))), lambda s: s["declared_name"]).alias("truth_names"))
@@ -830,7 +832,7 @@ def _by_group_sql() -> str:
 def q_metrics_by_group(spark, sf_dir):
     from labelcorpus.operators import evaluate as E
     from labelcorpus.operators import truth
-    m, foods, nutrients, built = _parsing_per_sample(spark, sf_dir)
+    m, foods, nutrients, built = _parsing_per_sample(spark, sf_dir, how="checkpoint")
     diff = truth.difficulty(L.label_records(foods, nutrients, built))
     names = F.create_map(F.lit(1), F.lit("EASY"), F.lit(2), F.lit("MEDIUM"), F.lit(3), F.lit("HARD"))
     j = m.join(diff, "food_id").withColumn("difficulty", F.try_element_at(names, F.col("difficulty")))
@@ -920,6 +922,92 @@ def q_mapping_metrics(spark, sf_dir):
 def q_manifest(spark, sf_dir):
     from labelcorpus.plans import sinks
     from labelcorpus.plans.validate import validate
-    k, foods, nutrients, built = _full(spark, sf_dir)
+    k, foods, nutrients, built = _full(spark, sf_dir, how="checkpoint")
     _, report = validate(built, built["selected"], k)
     return sinks.manifest_summary(report.withColumn("success", F.col("all_passed")))
+
+
+# J20 ----------------------------------------------------------------------------------------
+@register("overlap_mapper", f"WITH {FR}, {SEL}, {DICT_SQL_BASE}, {_mapping_names_sql()}, "
+          "qt2 AS (SELECT nm, len(list_distinct(string_split(lower(nm), ' '))) AS nq, "
+          "unnest(list_distinct(string_split(lower(nm), ' '))) AS tok FROM dn), "
+          "dt2 AS (SELECT pos, value, len(list_distinct(string_split(key, ' '))) AS nd, "
+          "unnest(list_distinct(string_split(key, ' '))) AS tok FROM dict), "
+          "pairs AS (SELECT nm, nq, pos, value, nd, count(*) AS ov FROM qt2 JOIN dt2 USING (tok) "
+          "GROUP BY nm, nq, pos, value, nd), "
+          "sc AS (SELECT nm, value, pos, ov / (nq + nd - ov) AS score FROM pairs), "
+          "rk2 AS (SELECT nm, value, row_number() OVER (PARTITION BY nm ORDER BY score DESC, pos) "
+          "AS rank FROM sc) SELECT nm AS name, CAST(rank AS INTEGER) AS rank, value AS candidate "
+          "FROM rk2 WHERE rank <= 5")
+def q_overlap_mapper(spark, sf_dir):
+    from labelcorpus.operators import evaluate as E
+    keys, _ = _mapping_frames(spark, sf_dir)
+    from labelcorpus.operators import evaluate as E2  # noqa: F401
+    part = T.table(spark, sf_dir, "part")
+    pairs = part.select(F.col("p_partkey").alias("pos"), F.col("p_name").alias("standard"),
+                        F.concat_ws(" ", "p_name", F.lower("p_type")).alias("commercial"))
+    preds = E.overlap_mapper(keys.select("name"), E.build_dictionary(pairs))
+    return preds.select("name", F.col("rank").cast("int").alias("rank"), "candidate")
+
+
+# V1-V7 per rule -----------------------------------------------------------------------------
+def _rules_sql() -> str:
+    from labelcorpus.operators.nutrition import nutrient_names
+    from labelcorpus.operators.validation import RULES
+    sod = nutrient_names().index("Sodium, Na")
+    rules = ", ".join(f"('{r}')" for r in RULES)
+    return (f"WITH {_prof_sql()}, {FR}, ids AS (SELECT DISTINCT food_id FROM fr WHERE n BETWEEN 2 "
+            f"AND 50), r(rule) AS (VALUES {rules}) SELECT ids.food_id, r.rule, CASE WHEN r.rule = "
+            f"'fda_syntax' THEN prof.n{sod}_pos IS NOT NULL ELSE true END AS passed, "
+            f"CASE WHEN r.rule = 'fda_syntax' AND prof.n{sod}_pos IS NULL THEN 'Sodium not set' "
+            "ELSE '' END AS issues FROM ids JOIN prof USING (food_id) CROSS JOIN r")
+
+
+@register("validation_rules", _rules_sql())
+def q_validation_rules(spark, sf_dir):
+    from labelcorpus.plans.validate import validate
+    k, foods, nutrients, built = _full(spark, sf_dir, how="checkpoint")
+    results, _ = validate(built, built["selected"], k)
+    return results.select("food_id", "rule", "passed", F.array_join("issues", "; ").alias("issues"))
+
+
+# J17 / A4 -----------------------------------------------------------------------------------
+@register("truth_mappings", f"WITH {FR}, {SEL} SELECT food_id, CASE WHEN f <= 0.02 THEN 1 ELSE 0 "
+          "END AS group_pos, label_pos, upper(description) AS source_text, description AS target_id "
+          "FROM lab")
+def q_truth_mappings(spark, sf_dir):
+    from labelcorpus.operators import truth
+    _, _, _, built = _full(spark, sf_dir)
+    t = truth.target_mappings(built["declared"])
+    return t.select("food_id", "group_pos", "label_pos", "source_text", "target_id")
+
+
+@register("ingredient_maps", f"WITH {FR}, {SEL}, c AS (SELECT food_id, CAST(code AS VARCHAR) AS code, "
+          "arg_max(weight_g, pos2) AS w FROM sel WHERE NOT is_fortificant GROUP BY food_id, code) "
+          "SELECT food_id, string_agg(code || '=' || CAST(w AS VARCHAR), ';' ORDER BY "
+          "code || '=' || CAST(w AS VARCHAR)) AS ingredient_amounts FROM c GROUP BY food_id")
+def q_ingredient_maps(spark, sf_dir):
+    from labelcorpus.operators import truth
+    _, _, _, built = _full(spark, sf_dir)
+    m = truth.ingredient_maps(built["selected"])
+    entries = F.transform(F.map_entries("ingredient_amounts"),
+                          lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return m.select("food_id", F.array_join(F.array_sort(entries), ";").alias("ingredient_amounts"))
+
+
+# E5 / S8 / W3 -------------------------------------------------------------------------------
+SAMPLE_INDEX_SQL = (
+    f"WITH d AS ({DIFFICULTY_SQL}), {FR}, nn AS (SELECT DISTINCT food_id, n FROM fr "
+    "WHERE n BETWEEN 2 AND 50), f AS (SELECT o_orderkey AS food_id, o_orderpriority AS food_name "
+    "FROM orders) SELECT 'sample_' || lpad(CAST(row_number() OVER (ORDER BY nn.food_id) AS VARCHAR), "
+    "6, '0') AS sample_id, nn.food_id AS fdc_id, f.food_name, nn.n AS n_ingredients, "
+    "d.difficulty, true AS success FROM nn JOIN d USING (food_id) JOIN f USING (food_id)")
+
+
+@register("sample_index", SAMPLE_INDEX_SQL)
+def q_sample_index(spark, sf_dir):
+    from labelcorpus.plans.pipeline import GenerateConfig, generate
+    out = generate(spark, T.foods(spark, sf_dir), T.ingredients(spark, sf_dir),
+                   T.nutrients(spark, sf_dir), GenerateConfig(), group_col="group_key")
+    return out["sample_index"].select("sample_id", "fdc_id", "food_name", "n_ingredients",
+                                      "difficulty", "success")

@@ -57,7 +57,12 @@ def materialize(df, how: str = "checkpoint"):
     from pyspark import StorageLevel
     if how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        # An eager reliable checkpoint runs one job to count and another to write; keeping
+        # the rows for the duration means the upstream plan is computed once, not twice.
+        held = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = held.checkpoint(eager=True)
+        held.unpersist()
+        return out
     if how == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     return df
