@@ -210,3 +210,130 @@ def validation_report(results, difficulty=None):
                              F.when(F.col("n_failed") > 3, 3).when(F.col("n_failed") > 1, 2)
                              .otherwise(F.coalesce("difficulty", F.lit(1))))
     return rep
+
+
+# All rules from one food-keyed frame ----------------------------------------------------------
+def declared_stats(declared, threshold: float = 0.02, tol: float = 1e-9):
+    """Per food, in one aggregate: the label's description set (V1) and order stats (V2)."""
+    from pyspark.sql import Window
+    main = F.col("declaration_group") == "main"
+    w = (Window.partitionBy("food_id", "declaration_group").orderBy("label_pos")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    d = declared.withColumn("_prev_min", F.min("original_fraction").over(w))
+    return d.groupBy("food_id").agg(
+        F.collect_set("original_description").alias("_lab"),
+        F.count_if(main & (F.col("original_fraction") > F.col("_prev_min") + tol)).alias("n_bad"),
+        F.count_if(~main & (F.col("original_fraction") > threshold + tol)).alias("n_over"),
+        F.max(F.when(~main, F.col("original_fraction"))).alias("max_lt"),
+        F.min(F.when(main, F.col("original_fraction"))).alias("min_main"))
+
+
+def all_rules(frame, ctx, patterns: list[str], tol: float = 2.0):
+    """(food_id, rule, passed, issues) for the seven rules from one row per food.
+
+    ``frame`` holds the label columns, the nutrient profile columns, ``_det`` (detected
+    allergens), ``_canon`` / ``_lab`` description sets and the order stats.
+    """
+    empty = F.array().cast("array<string>")
+    # V1
+    canon, lab = F.coalesce("_canon", empty), F.coalesce("_lab", empty)
+    missing, extra = F.array_sort(F.array_except(canon, lab)), F.array_sort(F.array_except(lab, canon))
+    v1 = _issues(
+        (F.size(missing) > 0, F.concat(F.lit("Missing: "), F.array_join(missing, ", "))),
+        (F.size(extra) > 0, F.concat(F.lit("Extra: "), F.array_join(extra, ", "))),
+        ((F.size(missing) == 0) & (F.size(extra) == 0) & (F.size(canon) != F.size(lab)),
+         F.lit("count mismatch")))
+    # V2
+    n_bad, n_over = F.coalesce("n_bad", F.lit(0)), F.coalesce("n_over", F.lit(0))
+    v2 = _issues(
+        (n_bad > 0, F.concat(n_bad.cast("string"), F.lit(" main-list order violations"))),
+        (n_over > 0, F.lit("2% group has ingredients above threshold")),
+        (F.col("max_lt") > F.col("min_main") + 1e-9, F.lit("2% group heavier than main group minimum")))
+    # V3 / V7 share the pattern hits on label and panel text
+    text = F.coalesce("ingredient_text", F.lit(""))
+    panel_text = F.coalesce("panel_text", F.lit(""))
+    both = F.lower(F.concat(text, F.lit(" "), panel_text))
+    v3_terms = F.filter(F.array(*[F.when(guarded_rlike(text, p) | guarded_rlike(panel_text, p),
+                                         F.lit(f"Potentially prohibited term: '{p}'"))
+                                  for p in patterns]), lambda x: x.isNotNull())
+    has_panel = F.col("serving_size").isNotNull() | F.col("calories").isNotNull()
+    v3 = F.concat(v3_terms, _issues(
+        (~has_panel, F.lit("No Nutrition Facts panel")),
+        (has_panel & (F.coalesce("serving_size", F.lit("")) == ""), F.lit("Serving size not set")),
+        (has_panel & F.col("total_fat").isNull(), F.lit("Total Fat not set")),
+        (has_panel & F.col("sodium").isNull(), F.lit("Sodium not set")),
+        (has_panel & F.col("total_carbohydrate").isNull(), F.lit("Total Carbohydrate not set")),
+        (has_panel & F.col("protein").isNull(), F.lit("Protein not set"))))
+    v7 = F.transform(prohibited_hits(both, patterns),
+                     lambda p: F.concat(F.lit("Found: '"), p, F.lit("'")))
+    # V4
+    stored = F.coalesce("allergens", empty)
+    atext = F.lower(F.coalesce("allergen_text", F.lit("")))
+    scanned = F.filter(F.array(*[F.when(atext.rlike(rf"(?<![a-z0-9]){a}(?![a-z0-9])"), F.lit(a))
+                                 for a in DECLARABLE]), lambda x: x.isNotNull())
+    declared = F.when(F.col("allergen_text").isNotNull(),
+                      F.array_distinct(F.concat(stored, scanned))).otherwise(empty)
+    declared = F.when(~F.array_contains(stored, "fish")
+                      & F.array_contains(declared, "crustacean shellfish"),
+                      F.array_remove(declared, "fish")).otherwise(declared)
+    det = F.coalesce("_det", empty)
+    a_missing = F.array_sort(F.array_except(det, declared))
+    a_false = F.array_sort(F.array_except(declared, det))
+    v4 = _issues(
+        (F.size(a_missing) > 0, F.concat(F.lit("Missing allergen declarations: "),
+                                         F.array_join(a_missing, ", "))),
+        (F.size(a_false) > 0, F.concat(F.lit("Unexpected allergen declarations: "),
+                                       F.array_join(a_false, ", "))))
+    # V5 / V6
+    v5 = claim_eligibility_issues(ctx)
+    v6 = consistency_issues(ctx, tol)
+    rules = [("ingredient_preservation", v1), ("ingredient_order", v2), ("fda_syntax", v3),
+             ("allergen_declaration", v4), ("claim_eligibility", v5),
+             ("nutrition_facts_consistency", v6), ("prohibited_terminology", v7)]
+    entries = F.array(*[F.struct(F.lit(r).alias("rule"), (F.size(i) == 0).alias("passed"),
+                                 i.alias("issues")) for r, i in rules])
+    return frame.select("food_id", F.inline(entries))
+
+
+def claim_eligibility_issues(ctx):
+    def per_claim(c):
+        low = F.lower(c)
+        sat = F.coalesce(ctx.per_serving("Fatty acids, total saturated"), F.lit(1.0))
+        fat = F.coalesce(ctx.per_serving("Total lipid (fat)"), F.lit(1.0))
+        na = F.coalesce(ctx.per_serving("Sodium, Na"), F.lit(1000.0))
+        checks = [
+            (low.contains("saturated fat free") & (sat >= 0.5),
+             F.lit("'Saturated Fat Free' claim but saturated fat >= 0.5")),
+            (~low.contains("saturated fat free") & low.contains("fat free") & (fat >= 0.5),
+             F.lit("'Fat Free' claim but fat >= 0.5")),
+            (low.contains("sodium free") & (na >= 5), F.lit("'Sodium Free' claim but sodium >= 5")),
+        ]
+        source = low.contains("good source") | low.contains("excellent source")
+        for disp, usda in SOURCE_DISPLAY:
+            dv = ctx.dv_percent(usda, ctx.per_serving(usda))
+            present = ctx.col(usda, "pos").isNotNull() & dv.isNotNull()
+            hit = source & low.contains(disp.lower()) & present
+            checks.append((hit & (dv < 10) & low.contains("good"),
+                           F.concat(F.lit("'"), c, F.lit("' but DV < 10%"))))
+            checks.append((hit & ~((dv < 10) & low.contains("good")) & (dv < 20)
+                           & low.contains("excellent"),
+                           F.concat(F.lit("'"), c, F.lit("' but DV < 20%"))))
+        return F.array(*[F.when(cond, msg) for cond, msg in checks])
+    return F.filter(F.flatten(F.transform(F.coalesce("claims", F.array().cast("array<string>")),
+                                          per_claim)), lambda x: x.isNotNull())
+
+
+def consistency_issues(ctx, tol: float = 2.0):
+    has_panel = F.col("calories").isNotNull()
+    energy = ctx.rounded("Energy")
+    checks = [
+        (~has_panel, F.lit("No Nutrition Facts JSON to validate")),
+        (has_panel & energy.isNull(), F.lit("Energy nutrient missing from canonical food")),
+        (has_panel & (F.abs(energy - F.col("calories")) > tol), F.lit("Calories mismatch")),
+    ]
+    for col, nutrient, t in (("total_fat", "Total lipid (fat)", tol), ("sodium", "Sodium, Na", tol * 10),
+                             ("protein", "Protein", tol)):
+        exp = ctx.rounded(nutrient)
+        checks.append((has_panel & F.col(col).isNotNull() & exp.isNotNull()
+                       & (F.abs(exp - F.col(col)) > t), F.lit(f"{col} mismatch")))
+    return _issues(*checks)
