@@ -1011,3 +1011,67 @@ def q_sample_index(spark, sf_dir):
                    T.nutrients(spark, sf_dir), GenerateConfig(), group_col="group_key")
     return out["sample_index"].select("sample_id", "fdc_id", "food_name", "n_ingredients",
                                       "difficulty", "success")
+
+
+# J6 -----------------------------------------------------------------------------------------
+def _prefix_sql() -> str:
+    from labelcorpus.knowledge import values as V
+    prefix = "CASE substr(food_code, 1, 2) " + " ".join(
+        f"WHEN {_sql_str(p)} THEN {_sql_str(c)}" for p, c in V.CODE_PREFIXES) + " END"
+    return (f"WITH f AS ({T.sql_foods()}) SELECT food_id, food_code, CASE WHEN length(food_code) "
+            f">= 2 THEN coalesce({prefix}, 'uncategorized') ELSE 'uncategorized' END AS category "
+            "FROM f")
+
+
+@register("prefix_class", _prefix_sql())
+def q_prefix_class(spark, sf_dir):
+    from labelcorpus.operators import tags
+    k = L.Knowledge.default(spark)
+    f = T.foods(spark, sf_dir)
+    return f.select("food_id", "food_code",
+                    tags.food_code_class(F.col("food_code"), k.prefixes).alias("category"))
+
+
+# V4 with labels declared from one keyword table and checked against a larger one ------------
+PART_ALLERGENS_DECLARED = [("bolt", "metal"), ("anvil", "metal"), ("ring", "jewelry")]
+PART_ALLERGENS_CHECKED = PART_ALLERGENS_DECLARED + [("gear", "metal"), ("plate", "ceramic")]
+
+
+def _part_allergen_sql() -> str:
+    def detect(rows, desc):
+        by = {}
+        for kw, label in rows:
+            by.setdefault(label, []).append(kw)
+        parts = [f"CASE WHEN regexp_matches(lower({desc}), "
+                 f"{_sql_str('(^|[^a-z0-9])(' + '|'.join(sorted(k, key=len, reverse=True)) + ')s?([^a-z0-9]|$)')}) "
+                 f"THEN {_sql_str(l)} END" for l, k in sorted(by.items())]
+        return f"[{', '.join(parts)}]"
+    return (
+        f"WITH {FR}, {SEL}, det AS (SELECT food_id, list_sort(list_distinct(flatten(list("
+        f"list_filter({detect(PART_ALLERGENS_DECLARED, 'description')}, lambda x: x IS NOT NULL))))) "
+        f"AS declared, list_sort(list_distinct(flatten(list(list_filter("
+        f"{detect(PART_ALLERGENS_CHECKED, 'description')}, lambda x: x IS NOT NULL))))) AS detected "
+        "FROM lab GROUP BY food_id), ids AS (SELECT DISTINCT food_id FROM sel) "
+        "SELECT ids.food_id, len(list_filter(coalesce(detected, []), lambda x: NOT list_contains("
+        "coalesce(declared, []), x))) = 0 AS passed, array_to_string(list_filter(coalesce(detected, "
+        "[]), lambda x: NOT list_contains(coalesce(declared, []), x)), ', ') AS missing "
+        "FROM ids LEFT JOIN det USING (food_id)")
+
+
+@register("validation_allergen", _part_allergen_sql())
+def q_validation_allergen(spark, sf_dir):
+    from labelcorpus.operators import tags
+    from labelcorpus.operators import validation as VR
+    schema = "pos int, keyword string, label string"
+    decl_kw = _dim(spark, [(i, kw, l) for i, (kw, l) in enumerate(PART_ALLERGENS_DECLARED)], schema)
+    check_kw = _dim(spark, [(i, kw, l) for i, (kw, l) in enumerate(PART_ALLERGENS_CHECKED)], schema)
+    k = L.Knowledge.default(spark)
+    fr = _selected(spark, sf_dir)
+    declared = R.initial_declared(fr)
+    order = _dim(spark, [("metal", 0), ("jewelry", 1), ("ceramic", 2)], "label string, rank int")
+    labels = fr.select("food_id").distinct().join(
+        tags.allergen_declarations(declared, decl_kw, k.allergen_exclusions, order), "food_id", "left")
+    detected = tags.allergen_declarations(declared, check_kw, k.allergen_exclusions, order)
+    res = VR.allergen_declaration(labels, detected)
+    missing = F.regexp_extract(F.array_join("issues", "; "), r"Missing allergen declarations: ([^;]*)", 1)
+    return res.select("food_id", "passed", missing.alias("missing"))

@@ -29,13 +29,16 @@ def tag_ingredients(ingredients: DataFrame, keyword_dim: DataFrame, exclusion_di
 
 def start_tagging(spark: SparkSession, source_dir: str, schema: str, sink_dir: str,
                   checkpoint_dir: str, keyword_dim: DataFrame, exclusion_dim: DataFrame,
-                  category_dim: DataFrame, trigger_seconds: int = 60) -> StreamingQuery:
+                  category_dim: DataFrame, trigger_seconds: int | None = 60) -> StreamingQuery:
     """Tag new ingredient files as they land (Parquet in, Parquet out, exactly-once sink).
 
     ``checkpoint_dir`` must be on shared storage on a cluster.
     """
     stream = spark.readStream.schema(schema).parquet(source_dir)
     tagged = tag_ingredients(stream, keyword_dim, exclusion_dim, category_dim)
-    return (tagged.writeStream.format("parquet").option("path", sink_dir)
-            .option("checkpointLocation", checkpoint_dir)
-            .trigger(processingTime=f"{trigger_seconds} seconds").start())
+    w = (tagged.writeStream.format("parquet").option("path", sink_dir)
+         .option("checkpointLocation", checkpoint_dir))
+    # ``trigger_seconds=None`` processes what is there now and stops (batch-like backfill).
+    w = w.trigger(availableNow=True) if trigger_seconds is None else \
+        w.trigger(processingTime=f"{trigger_seconds} seconds")
+    return w.start()
