@@ -173,21 +173,62 @@ def dictionary_mapper(names: DataFrame, dictionary: DataFrame, k: int = 5,
 
 
 # J20 ---------------------------------------------------------------------------------------
+def _subsets(tokens: Column, max_size: int) -> Column:
+    """All non-empty subsets (as space-joined strings of sorted tokens) of size <= max_size."""
+    grown = F.aggregate(
+        tokens, F.array(F.array().cast("array<string>")),
+        lambda acc, t: F.concat(acc, F.transform(F.filter(acc, lambda s: F.size(s) < max_size),
+                                                 lambda s: F.array_append(s, t))))
+    return F.transform(F.filter(grown, lambda s: F.size(s) > 0), lambda s: F.array_join(s, " "))
+
+
+def _jaccard_rank(cand: DataFrame, name_col: str, k: int) -> DataFrame:
+    scored = cand.withColumn("_o", F.size(F.array_intersect("_qt", "_dt"))).withColumn(
+        "score", F.col("_o") / (F.col("nq") + F.col("nd") - F.col("_o")))
+    w = Window.partitionBy(name_col).orderBy(F.col("score").desc(), "pos")
+    return (scored.where(F.col("_o") > 0).withColumn("rank", F.row_number().over(w))
+            .where(F.col("rank") <= k).select(name_col, "rank", F.col("value").alias("candidate")))
+
+
 def overlap_mapper(names: DataFrame, dictionary: DataFrame, k: int = 5,
-                   name_col: str = "name") -> DataFrame:
+                   name_col: str = "name", max_subset: int = 8) -> DataFrame:
     """(name, rank, candidate): top k entries by word-set Jaccard (score > 0), ties in
-    dictionary order. Works on distinct names; pairs are formed only through shared tokens
-    and reduced to one overlap count per pair before ranking."""
-    q = names.select(name_col).distinct().withColumn("_qt", _tokens(F.lower(name_col)))
-    qtok = q.select(name_col, F.size("_qt").alias("nq"), F.explode("_qt").alias("tok"))
-    d = dictionary.withColumn("_dt", _tokens(F.col("key")))
-    dtok = d.select("pos", "value", F.size("_dt").alias("nd"), F.explode("_dt").alias("tok"))
-    pairs = (qtok.join(dtok, "tok").groupBy(name_col, "nq", "pos", "value", "nd")
-             .agg(F.count(F.lit(1)).alias("overlap")))
-    scored = pairs.withColumn("score", F.col("overlap") / (F.col("nq") + F.col("nd") - F.col("overlap")))
-    w = Window.partitionBy(name_col).orderBy(F.col("score").desc(), "pos")
-    return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(name_col, "rank", F.col("value").alias("candidate")))
+    dictionary order.
+
+    Exact without forming all (name, entry) pairs: every entry is indexed under each subset
+    of its words up to the longest name's word count, keeping only its first k entries per
+    (subset, entry length) -- limited map-side, so a common word costs k rows, not all of its
+    entries. For a name, the entries sharing exactly the words S with it are covered by the
+    (S, length) list, and every entry in that list overlaps at least as much at the same
+    length, so the top k always lies in the union of the lists of the name's subsets. Names
+    with more than ``max_subset`` distinct words take the token-join path instead.
+    """
+    q = (names.select(name_col).distinct()
+         .withColumn("_qt", F.array_sort(_tokens(F.lower(name_col))))
+         .withColumn("nq", F.size("_qt")))
+    d = (dictionary.withColumn("_dt", F.array_sort(_tokens(F.col("key"))))
+         .withColumn("nd", F.size("_dt")).select("pos", "value", "_dt", "nd"))
+    short = q.where((F.col("nq") > 0) & (F.col("nq") <= max_subset))
+    m = short.agg(F.max("nq")).first()[0] or 0
+    parts = []
+    if m:
+        index = (d.select("pos", "value", "_dt", "nd", F.explode(_subsets(F.col("_dt"), m)).alias("_s"))
+                 .withColumn("_r", F.row_number().over(Window.partitionBy("_s", "nd").orderBy("pos")))
+                 .where(F.col("_r") <= k).drop("_r"))
+        qs = short.select(name_col, "_qt", "nq", F.explode(_subsets(F.col("_qt"), m)).alias("_s"))
+        cand = (qs.join(index, "_s").select(name_col, "_qt", "nq", "pos", "value", "_dt", "nd")
+                .dropDuplicates([name_col, "pos"]))
+        parts.append(_jaccard_rank(cand, name_col, k))
+    long_q = q.where(F.col("nq") > max_subset)
+    qtok = long_q.select(name_col, "_qt", "nq", F.explode("_qt").alias("tok"))
+    dtok = d.select("pos", "value", "_dt", "nd", F.explode("_dt").alias("tok"))
+    cand_long = (qtok.join(dtok, "tok").select(name_col, "_qt", "nq", "pos", "value", "_dt", "nd")
+                 .dropDuplicates([name_col, "pos"]))
+    parts.append(_jaccard_rank(cand_long, name_col, k))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
 
 
 # A14 ---------------------------------------------------------------------------------------

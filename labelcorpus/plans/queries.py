@@ -339,7 +339,6 @@ def q_serving_fallback(spark, sf_dir):
 
 
 # P8 / V7 over whole documents ---------------------------------------------------------------
-DOC_TERMS = None
 
 
 def _doc_terms():
@@ -543,7 +542,6 @@ def q_panel(spark, sf_dir):
 # J13-J15 ------------------------------------------------------------------------------------
 def _claim_sql_parts() -> dict[str, str]:
     from labelcorpus.knowledge import values as V
-    from labelcorpus.knowledge import dims as Dm
     dv = _dv_amounts()
     liquid = "(" + " OR ".join(f"instr(lower(food_name), {_sql_str(w)}) > 0"
                                for w in V.LIQUID_WORDS) + ")"
@@ -942,7 +940,6 @@ def q_manifest(spark, sf_dir):
 def q_overlap_mapper(spark, sf_dir):
     from labelcorpus.operators import evaluate as E
     keys, _ = _mapping_frames(spark, sf_dir)
-    from labelcorpus.operators import evaluate as E2  # noqa: F401
     part = T.table(spark, sf_dir, "part")
     pairs = part.select(F.col("p_partkey").alias("pos"), F.col("p_name").alias("standard"),
                         F.concat_ws(" ", "p_name", F.lower("p_type")).alias("commercial"))
