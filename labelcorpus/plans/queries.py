@@ -36,8 +36,8 @@ FR = (f"ing AS ({ING}), "
       "fr AS (SELECT ing.*, tot.n, CASE WHEN tot.total > 0 THEN ing.weight_g / tot.total "
       "ELSE 0.0 END AS f FROM ing JOIN tot USING (food_id))")
 SEL = ("sel AS (SELECT * FROM fr WHERE n BETWEEN 2 AND 50), "
-       "lab AS (SELECT sel.*, row_number() OVER (PARTITION BY food_id ORDER BY f DESC, "
-       "sequence_number, pos, pos2) AS label_pos FROM sel WHERE NOT is_fortificant)")
+       "lab AS (SELECT sel.*, CAST(row_number() OVER (PARTITION BY food_id ORDER BY f DESC, "
+       "sequence_number, pos, pos2) AS INTEGER) AS label_pos FROM sel WHERE NOT is_fortificant)")
 
 
 def q(col, digits: int = 6):
@@ -792,8 +792,8 @@ def _parsing_metrics_sql() -> str:
         "SELECT food_id, CASE WHEN ng = 0 AND np = 0 THEN 1.0 ELSE round_even(p, 4) END AS precision, "
         "CASE WHEN ng = 0 AND np = 0 THEN 1.0 ELSE round_even(r, 4) END AS recall, "
         "CASE WHEN ng = 0 AND np = 0 THEN 1.0 ELSE round_even(CASE WHEN p + r > 0 THEN 2.0 * p * r "
-        "/ (p + r) ELSE 0.0 END, 4) END AS f1, CASE WHEN ng = 0 AND np = 0 THEN 1.0 WHEN nc = ng "
-        "AND nc = np THEN 1.0 ELSE 0.0 END AS exact_match, CASE WHEN ng = 0 AND np = 0 THEN 1.0 "
+        "/ (p + r) ELSE 0.0 END, 4) END AS f1, CAST(CASE WHEN ng = 0 AND np = 0 THEN 1.0 WHEN nc = ng "
+        "AND nc = np THEN 1.0 ELSE 0.0 END AS DOUBLE) AS exact_match, CASE WHEN ng = 0 AND np = 0 THEN 1.0 "
         "ELSE round_even(CASE WHEN nu > 0 THEN nc / nu ELSE 1.0 END, 4) END AS iou, CASE WHEN "
         "nmax > 0 THEN round_even(pm / nmax, 4) ELSE 1.0 END AS order_accuracy FROM v")
 
