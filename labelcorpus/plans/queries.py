@@ -601,9 +601,10 @@ def _full(spark, sf_dir, operators=None, how: str = "none"):
     """Labels for every selected recipe. ``how`` cuts the plan at its fan-out points
     ('checkpoint' for queries that feed several rules from one label plan, 'none' for a
     single output, where Spark's exchange reuse is cheaper than materialising)."""
-    from labelcorpus.session import materialize
     k = L.Knowledge.default(spark)
-    fr = materialize(_selected(spark, sf_dir), how)
+    # The selected rows feed only the declared rows (themselves cut) and one rule: measured
+    # faster left uncut (sf0.1, validation: 20.7 s vs 28.2 s).
+    fr = _selected(spark, sf_dir)
     ids = fr.select("food_id").distinct()
     foods = T.foods(spark, sf_dir).join(ids, "food_id", "left_semi")
     nutrients = T.nutrients(spark, sf_dir)

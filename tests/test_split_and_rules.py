@@ -128,3 +128,12 @@ def test_allergen_edge_cases(spark):
     assert got["Egg, whole"] == ["eggs"]
     assert got["Shrimp, cooked"] == ["crustacean shellfish"]
     assert got["Peanut butter"] == ["milk", "peanuts"]
+
+
+def test_config_precedence():
+    from labelcorpus.plans.pipeline import load_config
+    cfg, snap = load_config("dataset_version: '0.1'\nn_samples: 200\n"
+                            "include_validation_failures: false\nnote: x\n", n_samples=50)
+    assert cfg.n_samples == 50 and cfg.include_validation_failures is False
+    assert cfg.extra == {"note": "x"} and snap["source"]["n_samples"] == 200
+    assert load_config()[0].n_samples is None
