@@ -461,6 +461,10 @@ ROUNDING = [
     ("Potassium, K", None, 10, None, 10),
 ]
 
+# --- fixed values: ground-truth mapping namespaces ----------------------------------------
+CODE_NAMESPACE = "usda_fndds_ingredient_code"
+DESCRIPTION_NAMESPACE = "usda_fndds_ingredient_description"
+
 # --- operator names, order and difficulty levels -----------------------------------------
 OPERATORS = [
     ("rename", 1), ("generic_name", 1), ("compound", 2), ("less_than_2_pct", 2),

@@ -95,7 +95,7 @@ def canonical_mappings(ingredients_with_fractions: DataFrame) -> DataFrame:
     return (ingredients_with_fractions.where(~F.col("is_fortificant"))
             .select("food_id", "pos", "pos2", F.col("description").alias("source_text"),
                     F.col("code").cast("string").alias("target_id"),
-                    F.lit("usda_fndds_ingredient_code").alias("target_namespace"),
+                    F.lit(V.CODE_NAMESPACE).alias("target_namespace"),
                     F.lit(1.0).alias("confidence")))
 
 
@@ -106,7 +106,7 @@ def target_mappings(declared: DataFrame) -> DataFrame:
         "food_id", g.alias("group_pos"), "label_pos",
         F.col("declared_name").alias("source_text"),
         F.col("original_description").alias("target_id"),
-        F.lit("usda_fndds_ingredient_description").alias("target_namespace"),
+        F.lit(V.DESCRIPTION_NAMESPACE).alias("target_namespace"),
         F.lit(1.0).alias("confidence"))
 
 

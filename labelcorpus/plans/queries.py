@@ -1004,7 +1004,7 @@ SAMPLE_INDEX_SQL = (
 
 @register("sample_index", SAMPLE_INDEX_SQL)
 def q_sample_index(spark, sf_dir):
-    from labelcorpus.plans.pipeline import GenerateConfig, generate
+    from labelcorpus.plans.generate import GenerateConfig, generate
     out = generate(spark, T.foods(spark, sf_dir), T.ingredients(spark, sf_dir),
                    T.nutrients(spark, sf_dir), GenerateConfig(), group_col="group_key")
     return out["sample_index"].select("sample_id", "fdc_id", "food_name", "n_ingredients",

@@ -131,7 +131,7 @@ def test_allergen_edge_cases(spark):
 
 
 def test_config_precedence():
-    from labelcorpus.plans.pipeline import load_config
+    from labelcorpus.plans.generate import load_config
     cfg, snap = load_config("dataset_version: '0.1'\nn_samples: 200\n"
                             "include_validation_failures: false\nnote: x\n", n_samples=50)
     assert cfg.n_samples == 50 and cfg.include_validation_failures is False
