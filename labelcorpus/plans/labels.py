@@ -134,14 +134,14 @@ def ingredient_text(main: F.Column, two_pct: F.Column, allergen_text: F.Column,
 
 def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrients: DataFrame,
                  k: Knowledge, operators: list[str] | None = None,
-                 lt2_threshold: float = 0.02, materialize: str = "checkpoint"
+                 lt2_threshold: float = 0.02, materialize: str = "table"
                  ) -> dict[str, DataFrame]:
     """The whole label for each food, as a dict of DataFrames keyed by food_id.
 
     ``foods`` must hold one row per food to label (already restricted to selected ids).
     The declared rows, the nutrient profile and the label feed several branches (text,
-    allergens, records, validation); ``materialize`` ('checkpoint', 'persist' or 'none')
-    says how they are cut (see ``session.materialize``).
+    allergens, records, validation); ``materialize`` ('table', 'checkpoint', 'persist' or
+    'none') says how they are cut (see ``session.materialize``).
     """
     from labelcorpus.session import materialize as cut
     ops = check_operators(operators)

@@ -46,12 +46,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df, how: str = "checkpoint"):
+def materialize(df, how: str = "table"):
     """Cut a plan at a fan-out point.
 
     ``checkpoint`` writes the rows to the session's checkpoint folder (shared storage on a
     cluster) and returns a DataFrame whose lineage starts there: later jobs neither recompute
     nor re-optimise the upstream plan, and a lost executor costs a re-read, not a rebuild.
+    ``table`` writes Parquet into the same folder and reads it back: the lineage cut of a
+    checkpoint, plus columnar storage, so later jobs read only the columns they use.
     ``persist`` keeps them in executor memory/disk; ``none`` returns the input.
     """
     from pyspark import StorageLevel
@@ -63,6 +65,12 @@ def materialize(df, how: str = "checkpoint"):
         out = held.checkpoint(eager=True)
         held.unpersist()
         return out
+    if how == "table":
+        import uuid
+        folder = ensure_checkpoint_dir(df.sparkSession)
+        path = f"{folder.rstrip('/')}/lc-table-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
     if how == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     return df
