@@ -111,9 +111,12 @@ class NutrientContext:
 
 
 # L7 / A6 / A7 ------------------------------------------------------------------------------
-def nutrition_panel(profile_with_serving: DataFrame, ctx: NutrientContext) -> DataFrame:
-    """Panel columns per food: serving text, calories, 14 rounded amounts, daily values."""
-    cols = [F.col("food_id"), F.concat(fmt0(F.col("serving_g")), F.lit("g")).alias("serving_size")]
+def nutrition_panel(profile_with_serving: DataFrame, ctx: NutrientContext,
+                    keep: list[str] | None = None) -> DataFrame:
+    """Panel columns per food: serving text, calories, 14 rounded amounts, daily values
+    (plus any ``keep`` columns carried through)."""
+    cols = [F.col("food_id"), *[F.col(c) for c in (keep or [])],
+            F.concat(fmt0(F.col("serving_g")), F.lit("g")).alias("serving_size")]
     energy = ctx.rounded("Energy")
     cols.append(F.coalesce(F.bround(energy, 0), F.lit(0.0)).alias("calories"))
     for col_name, nutrient in V.PANEL_COLUMNS[1:]:

@@ -157,40 +157,51 @@ def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrie
     prof = cut(prof, materialize)
 
     out: dict[str, DataFrame] = {"declared": declared, "servings": served}
-    label = served.select("food_id", "food_name", "serving_g").join(lists, "food_id", "left")
     empty = F.array().cast("array<string>")
-    label = (label.withColumn("main_names", F.coalesce("main_names", empty))
-             .withColumn("two_percent_names", F.coalesce("two_percent_names", empty)))
 
+    # One aggregate over the declared rows (at most max_ingredients per food after the size
+    # filter): label lists and, when asked, the allergen set.
+    aggs = [_names_in_order("main").alias("main_names"),
+            _names_in_order("two_percent_or_less").alias("two_percent_names")]
     if "allergen" in ops:
-        allergens = tags.allergen_declarations(declared, k.allergen_keywords,
-                                               k.allergen_exclusions, k.allergen_order)
-        out["allergens"] = allergens
-        label = label.join(allergens, "food_id", "left")
+        found = tags.allergen_column(F.col("original_description"), k.allergen_keywords,
+                                     k.allergen_exclusions)
+        aggs.append(F.array_sort(F.array_distinct(F.flatten(F.collect_list(found)))).alias("_alg"))
+    dagg = declared.groupBy("food_id").agg(*aggs)
+    if "allergen" in ops:
+        has = F.size("_alg") > 0
+        dagg = dagg.select(
+            "food_id", "main_names", "two_percent_names",
+            F.when(has, F.col("_alg")).alias("allergens"),
+            F.when(has, allergen_text_col(F.col("_alg"), k.allergen_order)).alias("allergen_text"))
+        out["allergens"] = dagg.where(F.col("allergens").isNotNull()).select("food_id", "allergens")
     else:
-        label = (label.withColumn("allergens", F.lit(None).cast("array<string>"))
-                 .withColumn("allergen_text", F.lit(None).cast("string")))
+        dagg = dagg.select("food_id", "main_names", "two_percent_names",
+                           F.lit(None).cast("array<string>").alias("allergens"),
+                           F.lit(None).cast("string").alias("allergen_text"))
 
+    # One projection of the profile (one row per food): claims, panel and panel text.
     if "claim" in ops:
-        claims = nutrition.food_claims(prof, ctx, k.content_claims, k.source_nutrients,
-                                       k.health_claims)
-        label = label.join(claims.select("food_id", "claims"), "food_id", "left")
-        label = label.withColumn("claims", F.coalesce("claims", empty))
+        parts = nutrition.claim_arrays(ctx, k.content_claims, k.source_nutrients, k.health_claims)
+        claims = F.array_distinct(F.concat(parts["content"], parts["source"], parts["health"]))
     else:
-        label = label.withColumn("claims", empty)
-
+        claims = empty
+    p = prof.withColumn("claims", claims)
     if "nutrition_facts" in ops:
-        panel = nutrition.nutrition_panel(prof, ctx)
+        panel = nutrition.nutrition_panel(p, ctx, keep=["food_name", "serving_g", "claims"])
         out["panel"] = panel
-        label = label.join(panel.select("food_id", "serving_size", "calories", "total_fat",
-                                        "sodium", "total_carbohydrate", "protein",
-                                        nutrition.panel_text(panel).alias("panel_text")),
-                           "food_id", "left")
+        base = panel.select("food_id", "food_name", "serving_g", "claims", "serving_size",
+                            "calories", "total_fat", "sodium", "total_carbohydrate", "protein",
+                            nutrition.panel_text(panel).alias("panel_text"))
     else:
-        label = label.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
-            ("serving_size", "string"), ("calories", "double"), ("total_fat", "double"),
-            ("sodium", "double"), ("total_carbohydrate", "double"), ("protein", "double"),
-            ("panel_text", "string"))])
+        base = p.select("food_id", "food_name", "serving_g", "claims", *[
+            F.lit(None).cast(t).alias(c) for c, t in (
+                ("serving_size", "string"), ("calories", "double"), ("total_fat", "double"),
+                ("sodium", "double"), ("total_carbohydrate", "double"), ("protein", "double"),
+                ("panel_text", "string"))])
+    label = base.join(dagg, "food_id", "left")
+    label = (label.withColumn("main_names", F.coalesce("main_names", empty))
+             .withColumn("two_percent_names", F.coalesce("two_percent_names", empty)))
 
     label = label.withColumn("product_name", F.upper("food_name")).withColumn(
         "ingredient_text",
@@ -201,6 +212,12 @@ def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrie
     return out
 
 
+def allergen_text_col(allergens: F.Column, order_dim: DataFrame) -> F.Column:
+    """X6 on an alphabetical allergen list: declaration order, then the text."""
+    from labelcorpus.functions.columns import allergen_text
+    return allergen_text(tags.order_allergens(allergens, order_dim))
+
+
 def nutrient_name_lists(nutrients: DataFrame) -> DataFrame:
     """Per food: distinct nutrient names in first-position order (the claim's affected list)."""
     firsts = nutrients.groupBy("food_id", "name").agg(F.min("pos").alias("p"))
