@@ -134,7 +134,8 @@ def ingredient_text(main: F.Column, two_pct: F.Column, allergen_text: F.Column,
 
 def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrients: DataFrame,
                  k: Knowledge, operators: list[str] | None = None,
-                 lt2_threshold: float = 0.02, materialize: str = "table"
+                 lt2_threshold: float = 0.02, materialize: str = "table",
+                 cut_points: tuple[str, ...] = ("declared", "profile", "label")
                  ) -> dict[str, DataFrame]:
     """The whole label for each food, as a dict of DataFrames keyed by food_id.
 
@@ -146,7 +147,7 @@ def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrie
     from labelcorpus.session import materialize as cut
     ops = check_operators(operators)
     declared = declared_rows(ingredients_with_fractions, k, ops, lt2_threshold)
-    declared = cut(declared, materialize)
+    declared = cut(declared, materialize if "declared" in cut_points else "none")
     lists = label_lists(declared)
 
     ctx = k.nutrient_context()
@@ -154,7 +155,7 @@ def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrie
     profile = nutrition.nutrient_profile(nutrients, ctx.names)
     prof = ctx.add_serving_columns(served.join(profile, "food_id", "left").withColumn(
         "n_nutrients", F.coalesce("n_nutrients", F.lit(0))))
-    prof = cut(prof, materialize)
+    prof = cut(prof, materialize if "profile" in cut_points else "none")
 
     out: dict[str, DataFrame] = {"declared": declared, "servings": served}
     empty = F.array().cast("array<string>")
@@ -174,7 +175,6 @@ def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrie
             "food_id", "main_names", "two_percent_names",
             F.when(has, F.col("_alg")).alias("allergens"),
             F.when(has, allergen_text_col(F.col("_alg"), k.allergen_order)).alias("allergen_text"))
-        out["allergens"] = dagg.where(F.col("allergens").isNotNull()).select("food_id", "allergens")
     else:
         dagg = dagg.select("food_id", "main_names", "two_percent_names",
                            F.lit(None).cast("array<string>").alias("allergens"),
@@ -207,7 +207,11 @@ def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrie
         "ingredient_text",
         ingredient_text(F.col("main_names"), F.col("two_percent_names"), F.col("allergen_text"),
                         F.col("claims")))
-    out["label"] = cut(label, materialize)
+    out["label"] = cut(label, materialize if "label" in cut_points else "none")
+    if "allergen" in ops:
+        # Read back from the (materialised) label rather than re-aggregating declared rows.
+        out["allergens"] = (out["label"].where(F.col("allergens").isNotNull())
+                            .select("food_id", "allergens"))
     out["profile"] = prof
     return out
 
