@@ -62,11 +62,13 @@ def required_literals(pattern: str) -> list[str] | None:
     for head in (r"\b", r"(?<![a-z0-9])"):
         if p.startswith(head):
             p = p[len(head):]
-    m = re.match(r"^\((?:\?:)?([^()]*)\)", p)
+    m = re.match(r"^\((?:\?:)?([^()]*)\)([a-z0-9 %'&-]*)(.?)", p)
     if m:
-        alts = m.group(1).split("|")
+        alts, suffix, nxt = m.group(1).split("|"), m.group(2), m.group(3)
+        if nxt in ("?", "*", "{") and suffix:
+            suffix = suffix[:-1]  # the suffix's last character is optional
         if alts and all(_LITERAL.match(a) for a in alts):
-            return [a.lower() for a in alts]
+            return [(a + suffix).lower() for a in alts]
         return None
     m = re.match(r"^([a-z0-9%'&-]+)", p, flags=re.I)
     if m and len(m.group(1)) >= 2:
@@ -206,7 +208,8 @@ def word_tokens(col: Column | str) -> Column:
                                      lambda t: t != ""))
 
 
-def word_group_match(col: Column | str, pattern: str, tokens: Column) -> Column | None:
+def word_group_match(col: Column | str, pattern: str, tokens: Column,
+                     low: Column | None = None) -> Column | None:
     """For ``\\b(a|b|c d)\\b``: single-word alternatives are looked up in the text's word set;
     multi-word ones keep a guarded regex. None when the pattern has another shape."""
     m = _WORD_GROUP.match(pattern)
@@ -217,18 +220,19 @@ def word_group_match(col: Column | str, pattern: str, tokens: Column) -> Column
     multi = [a for a in alts if " " in a]
     cond = F.arrays_overlap(tokens, F.array(*[F.lit(a) for a in single])) if single else F.lit(False)
     if multi:
-        cond = cond | guarded_rlike(col, r"\b(" + "|".join(multi) + r")\b")
+        cond = cond | guarded_rlike(col, r"\b(" + "|".join(multi) + r")\b", low)
     return F.coalesce(cond, F.lit(False))
 
 
 def first_match_words(col: Column | str, patterns: list[tuple[str, str]], tokens: Column,
-                      default=None) -> Column:
-    """``first_match`` using a precomputed ``word_tokens`` column where the pattern allows."""
+                      default=None, low: Column | None = None) -> Column:
+    """``first_match`` using a precomputed ``word_tokens`` column where the pattern allows;
+    ``low`` (the lower-cased text, ideally its own column) feeds the literal guards."""
     c = _c(col)
-    low = F.lower(c)
+    low = F.lower(c) if low is None else low
     out = None
     for pattern, label in patterns:
-        cond = word_group_match(c, pattern, tokens)
+        cond = word_group_match(c, pattern, tokens, low)
         if cond is None:
             cond = guarded_rlike(c, pattern, low)
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))

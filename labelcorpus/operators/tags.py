@@ -34,7 +34,8 @@ def food_code_class(code: Column, prefix_dim: DataFrame) -> Column:
 
 
 # J7 / J11 ----------------------------------------------------------------------------------
-def first_match_class(text: Column, pattern_dim: DataFrame, tokens: Column | None = None) -> Column:
+def first_match_class(text: Column, pattern_dim: DataFrame, tokens: Column | None = None,
+                      low: Column | None = None) -> Column:
     """Label of the first pattern (by priority) found in the text; null when none.
 
     With ``tokens`` (a ``word_tokens`` column computed once per row) word-group patterns are
@@ -42,7 +43,7 @@ def first_match_class(text: Column, pattern_dim: DataFrame, tokens: Column | Non
     """
     if tokens is None:
         return first_match(text, _patterns(pattern_dim))
-    return first_match_words(text, _patterns(pattern_dim), tokens)
+    return first_match_words(text, _patterns(pattern_dim), tokens, low=low)
 
 
 # J8 ----------------------------------------------------------------------------------------
