@@ -46,6 +46,16 @@ def first_match_class(text: Column, pattern_dim: DataFrame, tokens: Column | Non
     return first_match_words(text, _patterns(pattern_dim), tokens, low=low)
 
 
+def word_hits(tokens: Column, pattern_dim: DataFrame) -> Column:
+    """The document's words that occur as a single-word alternative in any word-group pattern
+    of the table: one hash pass over the tokens. Passing this (instead of all tokens) to
+    ``first_match_class`` gives the same result, since each pattern's words are a subset."""
+    from labelcorpus.functions.columns import _WORD_GROUP
+    words = sorted({a for p, _ in _patterns(pattern_dim) if (m := _WORD_GROUP.match(p))
+                    for a in m.group(1).split("|") if " " not in a})
+    return F.array_intersect(tokens, F.array(*[F.lit(w) for w in words]).cast("array<string>"))
+
+
 # J8 ----------------------------------------------------------------------------------------
 def racc_amount(category: Column, racc_dim: DataFrame) -> Column:
     """RACC grams, else millilitres, for a category; null for unknown / uncategorized."""

@@ -301,12 +301,16 @@ def q_first_match_class(spark, sf_dir):
     k = L.Knowledge.default(spark)
     from labelcorpus.functions.columns import word_tokens
     docs = (T.table(spark, sf_dir, "documents").select("doc_id", "text")
-            .withColumn("_low", F.lower("text")).withColumn("_tok", word_tokens("_low")))
-    tok, low = F.col("_tok"), F.col("_low")
+            .withColumn("_low", F.lower("text")).withColumn("_tok", word_tokens("_low"))
+            .withColumn("_hc", tags.word_hits(F.col("_tok"), k.categories))
+            .withColumn("_hf", tags.word_hits(F.col("_tok"), k.food_keywords)))
+    low = F.col("_low")
     return docs.select(
         "doc_id",
-        tags.first_match_class(F.col("text"), k.categories, tok, low).alias("ingredient_class"),
-        tags.first_match_class(F.col("text"), k.food_keywords, tok, low).alias("food_class"))
+        tags.first_match_class(F.col("text"), k.categories, F.col("_hc"), low)
+        .alias("ingredient_class"),
+        tags.first_match_class(F.col("text"), k.food_keywords, F.col("_hf"), low)
+        .alias("food_class"))
 
 
 # J6 / J8 / J9 -------------------------------------------------------------------------------
