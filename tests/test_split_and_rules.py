@@ -137,3 +137,22 @@ def test_config_precedence():
     assert cfg.n_samples == 50 and cfg.include_validation_failures is False
     assert cfg.extra == {"note": "x"} and snap["source"]["n_samples"] == 200
     assert load_config()[0].n_samples is None
+
+
+def test_word_matching_equals_regex(spark):
+    from labelcorpus.functions.columns import word_tokens
+    from labelcorpus.knowledge import dims as D
+    from labelcorpus.operators import tags
+    texts = ["Rice cake with honey.", "ICE CREAM, frozen yogurt", "éhoney bread", "breads and rolls",
+             "a protein bar!", "protein, bar", "the cod_fish", "Soy sauce; hot sauce", "nothing",
+             "", "Milk-based drink", "pie\ncroissant", "tortilla chips", "orange juice nectar"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for dim in (D.food_name_keywords(spark), D.ingredient_categories(spark)):
+        d = (df.withColumn("_low", F.lower("t")).withColumn("_tok", word_tokens("_low"))
+             .withColumn("_hits", tags.word_hits(F.col("_tok"), dim)))
+        got = d.select("i", tags.first_match_class(F.col("t"), dim).alias("a"),
+                       tags.first_match_class(F.col("t"), dim, F.col("_tok")).alias("b"),
+                       tags.first_match_class(F.col("t"), dim, F.col("_hits"), F.col("_low"))
+                       .alias("c")).collect()
+        for r in got:
+            assert r["a"] == r["b"] == r["c"], (texts[r["i"]], r["a"], r["b"], r["c"])
