@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read
+from .jaccard import jaccard_components
+from .mixing import mix_sizes
 from .quality import quality_rules
 
 
@@ -16,6 +18,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    "n_repeat_words", "base_failed", "kept", "n_failed_lines", "n_failed_words")
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sizes(read(spark, sf_dir, "documents")).drop("copies")
+
+
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_mix_sources": op5_mix_sources,
     "op9_quality_rules": op9_quality_rules,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
