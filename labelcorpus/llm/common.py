@@ -40,3 +40,9 @@ def words_of(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Number of words in the text (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("bigint")
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """The installed vocabulary file of that name; every executor has the package."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))

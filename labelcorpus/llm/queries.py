@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read
+from .common import read, tokenizer_path
 from .jaccard import jaccard_components
 from .mixing import mix_sizes
+from .packing import best_fit_packing, pieces
 from .quality import quality_rules
 
 
@@ -18,6 +19,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    "n_repeat_words", "base_failed", "kept", "n_failed_lines", "n_failed_words")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(pieces(read(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048), capacity=2048)
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sizes(read(spark, sf_dir, "documents")).drop("copies")
 
@@ -27,6 +32,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op5_mix_sources": op5_mix_sources,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard": op10_ngram_jaccard,
