@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 from .components import components
-from .hashing import mix64, set_hash, shingle_sets, text_batches, word_hashes
+from .hashing import set_hash, shingle_sets, text_batches, word_hashes
 
 #: Bits of the two broadcast bitsets (8 MB and 1 MB), and the share of them that may be set.
 SEEN_BITS, HOT_BITS, FILL = 26, 23, 8
@@ -143,13 +143,24 @@ def frequent_bitset(counts: DataFrame, bits: int) -> tuple[np.ndarray, int]:
         if room < 0:
             break
         least = r["least"]
-    at = F.expr(f"shiftright(top, bits - {bits})")
-    words = counts.filter(F.col("df") >= least).groupBy(F.shiftright(at, 6).alias("w")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftright(top, bits - {bits}) & 63 as int))")).alias("v"))
-    out = np.zeros(1 << (bits - 6), np.int64)
-    got = words.toPandas()
-    out[got["w"].to_numpy(np.int64)] = got["v"].to_numpy(np.int64)
-    return out.view(np.uint64), least
+    return bitset(counts.filter(F.col("df") >= least).select(
+        F.expr(f"shiftright(top, bits - {bits})").alias("i")), bits), least
+
+
+def bitset(places: DataFrame, bits: int, block: int = 19) -> np.ndarray:
+    """A bitset of 2 ** bits bits with those at the column ``i`` set; blocks are filled in tasks."""
+    size = min(block, bits)
+
+    def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        on = np.zeros(1 << size, np.uint8)
+        on[rows["i"].to_numpy(np.int64) & ((1 << size) - 1)] = 1
+        return pd.DataFrame({"block": [key[0]], "v": [np.packbits(on, bitorder="little").tobytes()]})
+    made = places.distinct().groupBy(F.shiftright("i", size).alias("block")).applyInPandas(fill, "block bigint, v binary")
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for r in made.toLocalIterator():
+        at = r["block"] << (size - 3)
+        out[at: at + (1 << (size - 3))] = np.frombuffer(r["v"], np.uint8)
+    return out.view(np.uint64)
 
 
 def bit_of(bitset: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
@@ -288,11 +299,7 @@ def verified(docs: DataFrame, pairs: DataFrame, facts: DataFrame, k: int, pct: i
     spark = docs.sparkSession
     need = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     bits = HOT_BITS
-    words = need.groupBy(F.shiftrightunsigned("cls", 64 - bits + 6).alias("w")).agg(F.bit_or(F.expr(
-        f"shiftleft(1L, cast(shiftrightunsigned(cls, {64 - bits}) & 63 as int))")).alias("v")).toPandas()
-    table = np.zeros(1 << (bits - 6), np.int64)
-    table[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64)
-    wanted = spark.sparkContext.broadcast(table.view(np.uint64))
+    wanted = spark.sparkContext.broadcast(bitset(need.select(F.shiftrightunsigned("cls", 64 - bits).alias("i")), bits))
     rep = facts.join(need, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

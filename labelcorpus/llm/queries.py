@@ -11,6 +11,7 @@ from .jaccard import jaccard_components
 from .mixing import mix_sizes
 from .packing import best_fit_packing, pieces
 from .quality import quality_rules
+from .secrets import secret_spans
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(pieces(read(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048), capacity=2048)
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sizes(read(spark, sf_dir, "documents")).drop("copies")
 
@@ -33,6 +38,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_secret_scan": op4_secret_scan,
     "op5_mix_sources": op5_mix_sources,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard": op10_ngram_jaccard,
