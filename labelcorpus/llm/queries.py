@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read, tokenizer_path
 from .jaccard import jaccard_components
+from .knn import top_k
+from .language import fit, held_out, predict
 from .mixing import mix_sizes
 from .packing import best_fit_packing, pieces
 from .quality import quality_rules
@@ -24,6 +27,16 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(pieces(read(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048), capacity=2048)
 
 
+def op3_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents")
+    model = fit(d.filter(~held_out("doc_id")).select("text", "lang"))
+    return predict(d, model).withColumn("held_out", F.coalesce(held_out("doc_id"), F.lit(False)))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
@@ -38,6 +51,8 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_voronoi_top_k": op3_voronoi_top_k,
+    "op6_language_id": op6_language_id,
     "op4_secret_scan": op4_secret_scan,
     "op5_mix_sources": op5_mix_sources,
     "op9_quality_rules": op9_quality_rules,
