@@ -77,7 +77,7 @@ def size_facts(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
 
 def _ranked(d: DataFrame, max_copies: int, seed: int) -> DataFrame:
     """Certain copies and Pareto rank, from columns _key, _h, _weight, size and the source's row."""
-    ratio = F.col("target") / F.col("source_size") * F.coalesce(F.col("_weight") / F.col("_mean"), F.lit(0.0))
+    ratio = F.try_divide("target", "source_size") * F.coalesce(F.try_divide("_weight", "_mean"), F.lit(0.0))
     d = d.withColumn("_want", F.when(F.col("size") > 0, F.least(F.lit(float(max_copies)), ratio)).otherwise(0.0))
     d = d.withColumn("_sure", F.floor("_want").cast("bigint"))
     p, u = F.col("_want") - F.col("_sure"), unit(seed, F.col("_key"), F.col("_h"))
@@ -91,7 +91,7 @@ def source_cuts(facts: DataFrame, weights: Sequence[int], total_pct: float, max_
     """One row per source: its target, the last (rank, key, hash) drawn in order, and the closing one."""
     per = source_targets(facts, weights, total_pct, max_copies)
     mean = facts.groupBy(F.col("source").alias("_s")).agg(
-        (F.sum(F.col("_weight") * F.col("size")) / F.sum("size")).alias("_mean"))
+        F.try_divide(F.sum(F.col("_weight") * F.col("size")), F.sum("size")).alias("_mean"))
     per = stored(per.join(mean, F.col("source").eqNullSafe(F.col("_s"))).drop("_s"), "mix-sources")
     d = _ranked(with_source(facts, per), max_copies, seed)
     d = d.withColumn("_bin", F.floor(F.col("_rank") * F.ceil(F.col("n_docs") / bin_docs)).cast("bigint"))

@@ -15,6 +15,7 @@ from .mixing import mix_sizes
 from .packing import best_fit_packing, pieces
 from .quality import quality_rules
 from .secrets import secret_spans
+from .urls import url_filter
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +38,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(d, model).withColumn("held_out", F.coalesce(held_out("doc_id"), F.lit(False)))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(read(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op4_secret_scan": op4_secret_scan,
     "op5_mix_sources": op5_mix_sources,
+    "op7_url_filter": op7_url_filter,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
