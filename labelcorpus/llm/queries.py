@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read, tokenizer_path
+from .html_text import extract
 from .jaccard import jaccard_components
 from .knn import top_k
 from .language import fit, held_out, predict
 from .mixing import mix_sizes
 from .packing import best_fit_packing, pieces
+from .pii import pseudonymise
 from .quality import quality_rules
 from .secrets import secret_spans
 from .urls import url_filter
@@ -24,6 +26,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    "n_repeat_words", "base_failed", "kept", "n_failed_lines", "n_failed_words")
 
 
+#: A real run passes its own secret; equal keys give equal pseudonyms.
+PSEUDONYM_KEY = "demonstration key"
+
+
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
+def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+    return d.drop("text").withColumnRenamed("safe_text", "text")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(pieces(read(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048), capacity=2048)
 
@@ -55,6 +70,8 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
+    "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_voronoi_top_k": op3_voronoi_top_k,
     "op6_language_id": op6_language_id,
