@@ -173,62 +173,36 @@ def dictionary_mapper(names: DataFrame, dictionary: DataFrame, k: int = 5,
 
 
 # J20 ---------------------------------------------------------------------------------------
-def _subsets(tokens: Column, max_size: int) -> Column:
-    """All non-empty subsets (as space-joined strings of sorted tokens) of size <= max_size."""
-    grown = F.aggregate(
-        tokens, F.array(F.array().cast("array<string>")),
-        lambda acc, t: F.concat(acc, F.transform(F.filter(acc, lambda s: F.size(s) < max_size),
-                                                 lambda s: F.array_append(s, t))))
-    return F.transform(F.filter(grown, lambda s: F.size(s) > 0), lambda s: F.array_join(s, " "))
-
-
-def _jaccard_rank(cand: DataFrame, name_col: str, k: int) -> DataFrame:
-    scored = cand.withColumn("_o", F.size(F.array_intersect("_qt", "_dt"))).withColumn(
-        "score", F.col("_o") / (F.col("nq") + F.col("nd") - F.col("_o")))
-    w = Window.partitionBy(name_col).orderBy(F.col("score").desc(), "pos")
-    return (scored.where(F.col("_o") > 0).withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= k).select(name_col, "rank", F.col("value").alias("candidate")))
-
-
 def overlap_mapper(names: DataFrame, dictionary: DataFrame, k: int = 5,
-                   name_col: str = "name", max_subset: int = 8) -> DataFrame:
+                   name_col: str = "name", salts: int = 16) -> DataFrame:
     """(name, rank, candidate): top k entries by word-set Jaccard (score > 0), ties in
     dictionary order.
 
-    Exact without forming all (name, entry) pairs: every entry is indexed under each subset
-    of its words up to the longest name's word count, keeping only its first k entries per
-    (subset, entry length) -- limited map-side, so a common word costs k rows, not all of its
-    entries. For a name, the entries sharing exactly the words S with it are covered by the
-    (S, length) list, and every entry in that list overlaps at least as much at the same
-    length, so the top k always lies in the union of the lists of the name's subsets. Names
-    with more than ``max_subset`` distinct words take the token-join path instead.
+    Entries with the same word set tie everywhere, so only the first k of each set are indexed.
+    One plan for names and entries of any length: the index has one row per (word, set), names
+    with the same word set are one row, and an overlap is a count of common words, summed map-side.
+    A word's index rows are dealt over ``salts`` keys by set, so a word that a third of the sets have
+    is no single task.
     """
     q = (names.select(name_col).distinct()
-         .withColumn("_qt", F.array_sort(_tokens(F.lower(name_col))))
-         .withColumn("nq", F.size("_qt")))
-    d = (dictionary.withColumn("_dt", F.array_sort(_tokens(F.col("key"))))
-         .withColumn("nd", F.size("_dt")).select("pos", "value", "_dt", "nd"))
-    short = q.where((F.col("nq") > 0) & (F.col("nq") <= max_subset))
-    m = short.agg(F.max("nq")).first()[0] or 0
-    parts = []
-    if m:
-        index = (d.select("pos", "value", "_dt", "nd", F.explode(_subsets(F.col("_dt"), m)).alias("_s"))
-                 .withColumn("_r", F.row_number().over(Window.partitionBy("_s", "nd").orderBy("pos")))
-                 .where(F.col("_r") <= k).drop("_r"))
-        qs = short.select(name_col, "_qt", "nq", F.explode(_subsets(F.col("_qt"), m)).alias("_s"))
-        cand = (qs.join(index, "_s").select(name_col, "_qt", "nq", "pos", "value", "_dt", "nd")
-                .dropDuplicates([name_col, "pos"]))
-        parts.append(_jaccard_rank(cand, name_col, k))
-    long_q = q.where(F.col("nq") > max_subset)
-    qtok = long_q.select(name_col, "_qt", "nq", F.explode("_qt").alias("tok"))
-    dtok = d.select("pos", "value", "_dt", "nd", F.explode("_dt").alias("tok"))
-    cand_long = (qtok.join(dtok, "tok").select(name_col, "_qt", "nq", "pos", "value", "_dt", "nd")
-                 .dropDuplicates([name_col, "pos"]))
-    parts.append(_jaccard_rank(cand_long, name_col, k))
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+         .withColumn("_qt", F.array_sort(_tokens(F.lower(name_col)))).where(F.size("_qt") > 0))
+    d = (dictionary.withColumn("_dt", F.array_sort(_tokens(F.col("key")))).where(F.size("_dt") > 0)
+         .withColumn("_r", F.row_number().over(Window.partitionBy("_dt").orderBy("pos")))
+         .where(F.col("_r") <= k).select("pos", "value", "_dt"))
+    sets = d.groupBy("_dt").agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("_e")) \
+        .withColumn("_id", F.xxhash64("_dt")).withColumn("nd", F.size("_dt"))
+    asked = q.select("_qt").distinct().withColumn("nq", F.size("_qt"))
+    salt = F.pmod(F.xxhash64("_dt"), F.lit(salts)).alias("_s")
+    index = sets.select("_dt", "nd", F.explode("_dt").alias("tok"), salt)
+    probe = asked.select("_qt", "nq", F.explode("_qt").alias("tok")) \
+        .withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn("_s", F.col("_s").cast("bigint"))
+    over = (probe.join(index, ["tok", "_s"]).groupBy("_qt", "nq", "_dt", "nd")
+            .agg(F.count(F.lit(1)).alias("_o"))
+            .withColumn("score", F.col("_o") / (F.col("nq") + F.col("nd") - F.col("_o"))))
+    best = over.join(sets.select("_dt", F.explode("_e").alias("e")), "_dt").select("_qt", "score", "e.pos", "e.value")
+    w = Window.partitionBy("_qt").orderBy(F.col("score").desc(), "pos")
+    top = best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return q.join(top, "_qt").select(name_col, "rank", F.col("value").alias("candidate"))
 
 
 # A14 ---------------------------------------------------------------------------------------
@@ -241,20 +215,36 @@ def mapping_metrics(truth: DataFrame, predictions: DataFrame, k: int = 5,
     preds = predictions.groupBy("name").agg(F.transform(
         F.array_sort(F.collect_list(F.struct("rank", "candidate"))),
         lambda s: normalize_text(s["candidate"])).alias("_cands"))
-    j = truth.join(preds, "name", "left").withColumn(
+    # every distinct (name, target) is scored once: a name that a third of the samples share is
+    # one row on the side of the predictions, and the scores meet the samples by an ordinary join
+    kinds = truth.select("name", "target").distinct()
+    j = kinds.join(preds, "name", "left").withColumn(
         "_cands", F.coalesce("_cands", F.array().cast("array<string>")))
     tgt = normalize_text(F.col("target").cast("string"))
     pos = F.array_position("_cands", tgt)
-    per = j.select(sample_col,
-                   F.when(F.try_element_at("_cands", F.lit(1)) == tgt, 1.0).otherwise(0.0).alias("_exact"),
-                   F.when(F.array_position(F.slice("_cands", 1, k), tgt) > 0, 1.0).otherwise(0.0)
-                   .alias("_hit"),
-                   F.when(pos > 0, 1.0 / pos).otherwise(0.0).alias("_rr"))
+    scores = j.select(F.col("name").alias("_n"), F.col("target").alias("_t"),
+                      F.when(F.try_element_at("_cands", F.lit(1)) == tgt, 1.0).otherwise(0.0).alias("_exact"),
+                      F.when(F.array_position(F.slice("_cands", 1, k), tgt) > 0, 1.0).otherwise(0.0)
+                      .alias("_hit"),
+                      F.when(pos > 0, 1.0 / pos).otherwise(0.0).alias("_rr"))
+    counts = truth.groupBy(sample_col, "name", "target").agg(F.count(F.lit(1)).alias("_c"))
+    per = counts.join(scores, F.col("name").eqNullSafe(F.col("_n"))
+                      & F.col("target").eqNullSafe(F.col("_t")))
     return per.groupBy(sample_col).agg(
-        F.bround(F.avg("_hit"), 4).alias(f"recall_at_{k}"),
-        F.bround(F.avg("_rr"), 4).alias("mrr"),
-        F.bround(F.avg("_exact"), 4).alias("exact_match_rate"),
-        F.count(F.lit(1)).alias("n_ingredients"))
+        *[F.bround(F.sum(F.col(c) * F.col("_c")) / F.sum("_c"), 4).alias(out) for c, out in
+          (("_hit", f"recall_at_{k}"), ("_rr", "mrr"), ("_exact", "exact_match_rate"))],
+        F.sum("_c").alias("n_ingredients"))
+
+
+# E2 / E4 -----------------------------------------------------------------------------------
+def evaluate_mapping(samples: DataFrame, truth: DataFrame, predictions: DataFrame, k: int = 5,
+                     sample_col: str = "sample_id") -> DataFrame:
+    """Mapping metrics for every sample of ``samples``; one without truth rows scores 0 with n = 0.
+
+    """
+    scored = mapping_metrics(truth, predictions, k, sample_col)
+    numbers = [c for c in scored.columns if c != sample_col]
+    return samples.select(sample_col).distinct().join(scored, sample_col, "left").fillna(0, numbers)
 
 
 # A10-A13 -----------------------------------------------------------------------------------

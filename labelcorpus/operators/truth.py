@@ -116,14 +116,15 @@ def ingredient_maps(ingredients_with_fractions: DataFrame) -> DataFrame:
 
     Duplicates are resolved before the map is built (duplicate map keys raise in Spark).
     """
-    last = (ingredients_with_fractions.where(~F.col("is_fortificant"))
-            .groupBy("food_id", F.col("code").cast("string").alias("code"))
+    # a food whose ingredients are all fortificants keeps a row with empty maps: its only group
+    # has a null code, and null entries are not collected
+    code = F.when(~F.col("is_fortificant"), F.col("code").cast("string"))
+    last = (ingredients_with_fractions.groupBy("food_id", code.alias("code"))
             .agg(F.max_by(F.struct("weight_g", "fraction"), F.struct("pos", "pos2")).alias("v")))
+    entry = lambda c: F.when(F.col("code").isNotNull(), F.struct("code", F.col(f"v.{c}")))
     return last.groupBy("food_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("code", F.col("v.weight_g"))))
-        .alias("ingredient_amounts"),
-        F.map_from_entries(F.collect_list(F.struct("code", F.col("v.fraction"))))
-        .alias("ingredient_fractions"))
+        F.map_from_entries(F.collect_list(entry("weight_g"))).alias("ingredient_amounts"),
+        F.map_from_entries(F.collect_list(entry("fraction"))).alias("ingredient_fractions"))
 
 
 # W4 ----------------------------------------------------------------------------------------

@@ -402,7 +402,7 @@ def _nutrition_frames(spark, sf_dir):
     ctx = k.nutrient_context()
     served = tags.serving_size(T.foods(spark, sf_dir), k.prefixes, k.food_keywords, k.racc)
     prof = ctx.add_serving_columns(
-        served.join(N.nutrient_profile(T.nutrients(spark, sf_dir), ctx.names), "food_id"))
+        served.join(N.nutrient_profile(T.nutrients(spark, sf_dir), ctx.names), "food_id", "left"))
     return k, ctx, served, prof
 
 
@@ -442,7 +442,7 @@ def _prof_sql() -> str:
     return (f"nut AS {T.sql_nutrients()}, serv AS ({serv}), "
             f"np AS (SELECT food_id, count(*) AS n_nutrients, {', '.join(cols)} FROM nut "
             "GROUP BY food_id), prof AS (SELECT s.food_id, s.serving_g, f.food_name, np.* EXCLUDE "
-            f"(food_id) FROM serv s JOIN np USING (food_id) JOIN ({T.sql_foods()}) f USING (food_id))")
+            f"(food_id) FROM serv s LEFT JOIN np USING (food_id) JOIN ({T.sql_foods()}) f USING (food_id))")
 
 
 def _ncol(name: str, kind: str) -> str:
@@ -711,7 +711,7 @@ ORDER_SQL = (
     "ORDER BY lp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_min FROM lo) "
     "SELECT food_id, count(*) FILTER (WHERE grp = 'main' AND f > prev_min + 1e-9) = 0 AS passed, "
     "CAST(count(*) FILTER (WHERE grp = 'main' AND f > prev_min + 1e-9) AS BIGINT) AS n_violations "
-    "FROM pm GROUP BY food_id")
+    "FROM (SELECT DISTINCT food_id FROM sel) LEFT JOIN pm USING (food_id) GROUP BY food_id")
 
 
 @register("validation_order", ORDER_SQL)
@@ -719,7 +719,8 @@ def q_validation_order(spark, sf_dir):
     from labelcorpus.operators import validation as VR
     line_order = [F.col("sequence_number"), F.col("pos"), F.col("pos2")]
     d = R.less_than_2_pct(R.initial_declared(_selected(spark, sf_dir), line_order), 0.02)
-    v = VR.order_violations(d)
+    ids = _selected(spark, sf_dir).select("food_id").distinct()
+    v = ids.join(VR.order_violations(d), "food_id", "left").fillna(0, ["n_bad"])
     return v.select("food_id", (F.col("n_bad") == 0).alias("passed"),
                     F.col("n_bad").cast("long").alias("n_violations"))
 
@@ -906,22 +907,25 @@ def _mapping_metrics_sql() -> str:
         "u AS (SELECT food_id, CASE WHEN c[1] = tgt THEN 1.0 ELSE 0.0 END AS ex, "
         "CASE WHEN list_position(c[1:5], tgt) > 0 THEN 1.0 ELSE 0.0 END AS hit, "
         "CASE WHEN list_position(c, tgt) > 0 THEN 1.0 / list_position(c, tgt) ELSE 0.0 END AS rr "
-        "FROM t) SELECT food_id AS sample_id, round_even(avg(hit), 4) AS recall_at_5, "
-        "round_even(avg(rr), 4) AS mrr, round_even(avg(ex), 4) AS exact_match_rate, "
-        "count(*) AS n_ingredients FROM u GROUP BY food_id")
+        "FROM t), ids AS (SELECT DISTINCT food_id FROM sel) "
+        "SELECT food_id AS sample_id, coalesce(round_even(avg(hit), 4), 0.0) AS recall_at_5, "
+        "coalesce(round_even(avg(rr), 4), 0.0) AS mrr, "
+        "coalesce(round_even(avg(ex), 4), 0.0) AS exact_match_rate, "
+        "count(ex) AS n_ingredients FROM ids LEFT JOIN u USING (food_id) GROUP BY food_id")
 
 
 @register("mapping_metrics", _mapping_metrics_sql())
 def q_mapping_metrics(spark, sf_dir):
     from labelcorpus.operators import evaluate as E
     keys, preds = _mapping_frames(spark, sf_dir)
-    return E.mapping_metrics(keys, preds, 5, "sample_id")
+    ids = _selected(spark, sf_dir).select(F.col("food_id").alias("sample_id")).distinct()
+    return E.evaluate_mapping(ids, keys, preds, 5, "sample_id")
 
 
 # S10 / S11 ----------------------------------------------------------------------------------
 @register("manifest", f"WITH r AS ({_report_sql()}) SELECT count(*) AS total_samples, "
           "count(*) FILTER (WHERE all_passed) AS successful, count(*) FILTER (WHERE NOT all_passed) "
-          "AS failed, CASE WHEN count(*) > 0 THEN round(100.0 * count(*) FILTER (WHERE all_passed) "
+          "AS failed, CASE WHEN count(*) > 0 THEN round_even(100.0 * count(*) FILTER (WHERE all_passed) "
           "/ count(*), 1) ELSE 0 END AS success_rate_pct FROM r")
 def q_manifest(spark, sf_dir):
     from labelcorpus.plans import sinks
@@ -987,8 +991,9 @@ def q_truth_mappings(spark, sf_dir):
 
 @register("ingredient_maps", f"WITH {FR}, {SEL}, c AS (SELECT food_id, CAST(code AS VARCHAR) AS code, "
           "arg_max(weight_g, pos2) AS w FROM sel WHERE NOT is_fortificant GROUP BY food_id, code) "
-          "SELECT food_id, string_agg(code || '=' || CAST(w AS VARCHAR), ';' ORDER BY "
-          "code || '=' || CAST(w AS VARCHAR)) AS ingredient_amounts FROM c GROUP BY food_id")
+          "SELECT food_id, coalesce(string_agg(code || '=' || CAST(w AS VARCHAR), ';' ORDER BY "
+          "code || '=' || CAST(w AS VARCHAR)), '') AS ingredient_amounts "
+          "FROM (SELECT DISTINCT food_id FROM sel) LEFT JOIN c USING (food_id) GROUP BY food_id")
 def q_ingredient_maps(spark, sf_dir):
     from labelcorpus.operators import truth
     _, _, _, built = _full(spark, sf_dir)

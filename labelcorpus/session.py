@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,12 +35,16 @@ def local_session(master: str = "local[8]", app: str = "labelcorpus", **conf: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder; set a scratch one only when none is configured.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; without it there
+    is no folder that all executors see, so only a local master gets a scratch one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir is unset; {master} needs a folder that all executors share")
     path = os.environ.get("LABELCORPUS_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="lc-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
