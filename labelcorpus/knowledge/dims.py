@@ -1,11 +1,9 @@
-"""Knowledge tables as small DataFrames.
+"""Knowledge tables as DataFrames.
 
 Every operator takes its knowledge as a DataFrame argument, so the same code runs on food
 rows or on any other vocabulary. The defaults below are built from the fixed values in
-``values.py``. Dimensions are bounded by construction (tens to a few hundred rows); when an
-operator has to turn a dimension into an expression (pattern lists) it reads it with
-``bounded_rows``, which refuses dimensions above a size limit instead of pulling an
-unbounded table to the driver.
+``values.py``. Rules (patterns, thresholds, ordered categories) become column expressions and are read
+with ``rule_rows``; lookups by key are joins, and Spark picks the join by the table's size.
 """
 
 from __future__ import annotations
@@ -18,36 +16,17 @@ from pyspark.sql import functions as F
 
 from labelcorpus.knowledge import values as V
 
-MAX_DIM_ROWS = 20_000
 LEXICON_VERSION = "0.1"
 
 
-_ROWS_CACHE: dict[int, tuple[DataFrame, list]] = {}
+def rule_rows(dim: DataFrame) -> list:
+    """The rows of a rule table, which an operator turns into one expression per rule.
 
-
-def bounded_rows(dim: DataFrame, max_rows: int = MAX_DIM_ROWS) -> list:
-    """Collect a knowledge table after checking it is small enough to hold on the driver.
-
-    Rows are remembered per DataFrame object, so building many expressions from one
-    knowledge table reads it once.
+    Read once per DataFrame object; the rows live and go with it.
     """
-    local = getattr(dim, "_lc_rows", None)
-    if local is not None:
-        return local
-    hit = _ROWS_CACHE.get(id(dim))
-    if hit is not None and hit[0] is dim:
-        return hit[1]
-    rows = dim.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"knowledge table has more than {max_rows} rows; use a join instead")
-    _ROWS_CACHE[id(dim)] = (dim, rows)
-    return rows
-
-
-def small(dim: DataFrame, max_rows: int = MAX_DIM_ROWS) -> DataFrame:
-    """Broadcast hint for a knowledge table, after checking its size (raises when larger)."""
-    bounded_rows(dim, max_rows)
-    return F.broadcast(dim)
+    if getattr(dim, "_lc_rows", None) is None:
+        dim._lc_rows = dim.collect()
+    return dim._lc_rows
 
 
 def _df(spark: SparkSession, rows: list, schema: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelcorpus.functions.columns import label_safe_name
-from labelcorpus.knowledge.dims import bounded_rows
+from labelcorpus.knowledge.dims import rule_rows
 
 
 def _title_form(key: str) -> bool:
@@ -44,7 +44,7 @@ def generic_name_column(name: F.Column, generic_dim: DataFrame) -> F.Column:
     contained in the name, then the first single word whose generic shares a word with the
     rest of the name (one trailing 's' ignored).
     """
-    rows = sorted(bounded_rows(generic_dim), key=lambda r: r["pos"])
+    rows = sorted(rule_rows(generic_dim), key=lambda r: r["pos"])
     latest: dict[str, str] = {}
     for r in rows:  # a repeated key keeps its first position and its last value
         latest[r["key"]] = r["generic"]
@@ -98,7 +98,7 @@ def generic_name(declared: DataFrame, generic_dim: DataFrame) -> DataFrame:
 # J5 / L3 -----------------------------------------------------------------------------------
 def compound(declared: DataFrame, compound_dim: DataFrame) -> DataFrame:
     """Expand names equal (title-form, case-insensitive) to a compound key: NAME (SUB1, SUB2)."""
-    rows = bounded_rows(compound_dim)
+    rows = rule_rows(compound_dim)
     recipes: dict[str, list[tuple[int, str]]] = {}
     for r in rows:
         if _title_form(r["key"]):

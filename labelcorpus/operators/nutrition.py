@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from labelcorpus.functions.columns import (
     claim_type, contains_any, fda_round, fda_round_sql, fmt0, fmt1)
 from labelcorpus.knowledge import values as V
-from labelcorpus.knowledge.dims import bounded_rows, small
+from labelcorpus.knowledge.dims import rule_rows
 
 
 def _slot(i: int) -> str:
@@ -62,9 +62,9 @@ class NutrientContext:
                  names: list[str] | None = None):
         self.names = nutrient_names() if names is None else names
         self.index = {n: i for i, n in enumerate(self.names)}
-        self.dv = {r["nutrient_name"]: r["dv_amount"] for r in bounded_rows(dv_dim)
+        self.dv = {r["nutrient_name"]: r["dv_amount"] for r in rule_rows(dv_dim)
                    if r["dv_amount"] is not None and r["dv_amount"] > 0}
-        self.rounding = {r["nutrient"]: r for r in bounded_rows(rounding_dim)}
+        self.rounding = {r["nutrient"]: r for r in rule_rows(rounding_dim)}
 
     def col(self, name: str, kind: str) -> Column:
         if name not in self.index:
@@ -159,7 +159,7 @@ def claim_arrays(ctx: NutrientContext, content_dim: DataFrame, source_dim: DataF
     liquid = contains_any(F.col(food_name), liquid_words)
 
     content = []
-    rows = sorted(bounded_rows(content_dim),
+    rows = sorted(rule_rows(content_dim),
                   key=lambda r: (r["group_pos"], r["claim_pos"], r["kind_pos"]))
     for r in rows:
         ps, p100 = ctx.per_serving(r["nutrient"]), ctx.col(r["nutrient"], "last")
@@ -173,7 +173,7 @@ def claim_arrays(ctx: NutrientContext, content_dim: DataFrame, source_dim: DataF
         F.array().cast("array<string>")
 
     source = []
-    for r in bounded_rows(source_dim):
+    for r in rule_rows(source_dim):
         n = r["nutrient"]
         dv = ctx.dv_percent(n, ctx.per_serving(n))
         text = (F.when(dv >= 20, F.lit(f"EXCELLENT SOURCE OF {r['display']}"))
@@ -184,7 +184,7 @@ def claim_arrays(ctx: NutrientContext, content_dim: DataFrame, source_dim: DataF
         lambda s: s["t"]) if source else F.array().cast("array<string>")
 
     health = []
-    for r in sorted(bounded_rows(health_dim), key=lambda r: r["pos"]):
+    for r in sorted(rule_rows(health_dim), key=lambda r: r["pos"]):
         ps = ctx.per_serving(r["nutrient"])
         th = F.lit(float(r["threshold"]))
         cond = ps < th if r["cmp"] == "below" else ps > th
@@ -218,9 +218,9 @@ def per_serving_rows(nutrients: DataFrame, servings: DataFrame) -> DataFrame:
 
 
 def round_rows(rows: DataFrame, rounding_dim: DataFrame) -> DataFrame:
-    """X5 on the long table: broadcast join with the rounding steps (unknown names unrounded)."""
+    """X5 on the long table: join with the rounding steps (unknown names unrounded)."""
     r = rounding_dim.withColumnRenamed("nutrient", "_rname")
-    out = rows.join(small(r), rows["name"] == r["_rname"], "left")
+    out = rows.join(r, rows["name"] == r["_rname"], "left")
     return out.withColumn("rounded", fda_round(
         F.col("per_serving"), F.col("zero_below"), F.col("fine_step"), F.col("fine_upto"),
         F.col("coarse_step"))).drop("_rname", "zero_below", "fine_step", "fine_upto",
@@ -230,7 +230,7 @@ def round_rows(rows: DataFrame, rounding_dim: DataFrame) -> DataFrame:
 def daily_value_rows(rows: DataFrame, dv_dim: DataFrame, amount_col: str = "per_serving") -> DataFrame:
     """J10 on the long table: amount / DV * 100 (null when the DV is unknown)."""
     d = dv_dim.select(F.col("nutrient_name").alias("_dname"), "dv_amount")
-    out = rows.join(small(d), rows["name"] == d["_dname"], "left")
+    out = rows.join(d, rows["name"] == d["_dname"], "left")
     return out.withColumn(
         "dv_percent", F.when(F.col("dv_amount") > 0,
                              F.col(amount_col) / F.col("dv_amount") * 100.0)).drop("_dname")
@@ -239,7 +239,7 @@ def daily_value_rows(rows: DataFrame, dv_dim: DataFrame, amount_col: str = "per_
 # X7 ----------------------------------------------------------------------------------------
 def claim_text(claim_id: Column, texts_dim: DataFrame, percent: Column | None = None) -> Column:
     """Template for a claim id; an unknown id passes through; {percent} filled only if given."""
-    rows = bounded_rows(texts_dim)
+    rows = rule_rows(texts_dim)
     tmap = F.create_map(*[x for r in rows for x in (F.lit(r["claim"]), F.lit(r["text"]))])
     t = F.coalesce(F.try_element_at(tmap, claim_id), claim_id)
     if percent is None:

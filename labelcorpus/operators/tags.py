@@ -14,20 +14,20 @@ from labelcorpus.functions.columns import (
     allergen_text, first_match, first_match_words, guarded_rlike, keyword_alternation,
     keyword_match)
 from labelcorpus.knowledge import values as V
-from labelcorpus.knowledge.dims import bounded_rows
+from labelcorpus.knowledge.dims import rule_rows
 
 UNCATEGORIZED = V.UNCATEGORIZED
 
 
 def _patterns(dim: DataFrame) -> list[tuple[str, str]]:
-    rows = sorted(bounded_rows(dim), key=lambda r: r["priority"])
+    rows = sorted(rule_rows(dim), key=lambda r: r["priority"])
     return [(r["pattern"], r["label"]) for r in rows]
 
 
 # J6 ----------------------------------------------------------------------------------------
 def food_code_class(code: Column, prefix_dim: DataFrame) -> Column:
     """Category of the first two characters of the code; 'uncategorized' otherwise."""
-    pairs = [(r["prefix"], r["category"]) for r in bounded_rows(prefix_dim)]
+    pairs = [(r["prefix"], r["category"]) for r in rule_rows(prefix_dim)]
     pmap = F.create_map(*[F.lit(x) for kv in pairs for x in kv])
     cat = F.when(F.length(code) >= 2, F.try_element_at(pmap, F.substring(code, 1, 2)))
     return F.coalesce(cat, F.lit(UNCATEGORIZED))
@@ -59,7 +59,7 @@ def word_hits(tokens: Column, pattern_dim: DataFrame) -> Column:
 # J8 ----------------------------------------------------------------------------------------
 def racc_amount(category: Column, racc_dim: DataFrame) -> Column:
     """RACC grams, else millilitres, for a category; null for unknown / uncategorized."""
-    rows = bounded_rows(racc_dim)
+    rows = rule_rows(racc_dim)
     pairs = []
     for r in rows:
         amount = r["racc_g"] if r["racc_g"] and r["racc_g"] > 0 else (
@@ -97,9 +97,9 @@ def allergen_column(text: Column, keyword_dim: DataFrame, exclusion_dim: DataFra
     ``tokens`` (an ``ascii_word_tokens`` column) switches one-word keywords to set lookups,
     for long texts."""
     by_label: dict[str, list[str]] = {}
-    for r in sorted(bounded_rows(keyword_dim), key=lambda r: r["pos"]):
+    for r in sorted(rule_rows(keyword_dim), key=lambda r: r["pos"]):
         by_label.setdefault(r["label"], []).append(r["keyword"])
-    excl = [r["pattern"] for r in bounded_rows(exclusion_dim)]
+    excl = [r["pattern"] for r in rule_rows(exclusion_dim)]
     low = F.lower(text)
     def hit(kws):
         if tokens is not None:
@@ -117,7 +117,7 @@ def allergen_column(text: Column, keyword_dim: DataFrame, exclusion_dim: DataFra
 
 def order_allergens(allergens: Column, order_dim: DataFrame) -> Column:
     """Allergens in declaration order; labels outside the order come last, alphabetically."""
-    ranks = {r["label"]: r["rank"] for r in bounded_rows(order_dim)}
+    ranks = {r["label"]: r["rank"] for r in rule_rows(order_dim)}
     rmap = F.create_map(*[x for k, v in ranks.items() for x in (F.lit(k), F.lit(v))])
     keyed = F.transform(allergens, lambda a: F.struct(
         F.coalesce(F.try_element_at(rmap, a), F.lit(1 << 30)).alias("r"), a.alias("a")))

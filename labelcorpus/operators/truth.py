@@ -19,7 +19,8 @@ def operator_records(foods: DataFrame, declared: DataFrame, allergens: DataFrame
     ``claims``: (food_id, claims); ``nutrient_names``: (food_id, names) in first-position
     order. ``less_than_2_pct`` leaves no record when its threshold is <= 0.
     """
-    ids = foods.select("food_id")
+    served = F.col("serving_g") if "serving_g" in foods.columns else F.lit(None).cast("double")
+    ids = foods.select("food_id", served.alias("_serving"))
 
     def affected(flag: str):
         hit = F.col(flag)
@@ -68,6 +69,7 @@ def operator_records(foods: DataFrame, declared: DataFrame, allergens: DataFrame
             "less_than_2_pct": F.create_map(F.lit("threshold"), F.lit(str(lt2_threshold))),
             "claim": F.create_map(F.lit("n_claims"),
                                   F.size(F.coalesce("claims", empty)).cast("string")),
+            "nutrition_facts": F.create_map(F.lit("serving_size_g"), F.col("_serving").cast("string")),
         }.get(op, F.create_map().cast("map<string,string>"))
         recs.append(F.struct(F.lit(pos).alias("op_pos"), F.lit(op).alias("operator_name"),
                              F.lit(V.OPERATOR_VERSION).alias("version"), aff.alias("affected"),

@@ -237,7 +237,7 @@ def label_records(foods: DataFrame, nutrients: DataFrame, built: dict[str, DataF
     ops = check_operators(operators)
     label = built["label"]
     return truth.operator_records(
-        foods, built["declared"],
+        foods.select("food_id").join(label.select("food_id", "serving_g"), "food_id", "left"), built["declared"],
         label.select("food_id", "allergens") if "allergen" in ops else None,
         label.select("food_id", "claims") if "claim" in ops else None,
         nutrient_name_lists(nutrients) if "claim" in ops else None, ops, lt2_threshold)

@@ -1021,6 +1021,71 @@ def q_sample_index(spark, sf_dir):
                                       "difficulty", "success")
 
 
+# E5 / K2 / S5 -------------------------------------------------------------------------------
+@register("generate_explicit_ids", f"WITH {FR}, f AS (SELECT o_orderkey AS food_id, o_orderpriority AS "
+          "food_name FROM orders), nn AS (SELECT food_id, max(n) AS n FROM fr GROUP BY food_id), "
+          "ids AS (SELECT food_id, food_id * 2 AS pos FROM f UNION ALL SELECT food_id, food_id * 2 + 1 FROM nn "
+          "WHERE n = 1 UNION ALL SELECT -1 - n_nationkey, -1 - n_nationkey FROM nation) "
+          "SELECT 'sample_' || lpad(CAST(row_number() OVER (ORDER BY pos) AS VARCHAR), 6, '0') AS sample_id, "
+          "ids.food_id AS fdc_id, f.food_name, CASE WHEN f.food_id IS NOT NULL THEN coalesce(nn.n, 0) END "
+          "AS n_ingredients, f.food_id IS NOT NULL AS success, CASE WHEN f.food_id IS NULL THEN 'food id ' || "
+          "CAST(ids.food_id AS VARCHAR) || ' not found' END AS error FROM ids LEFT JOIN f ON f.food_id = "
+          "ids.food_id LEFT JOIN nn ON nn.food_id = ids.food_id")
+def q_generate_explicit_ids(spark, sf_dir):
+    """Every food by id, foods of one ingredient twice, and unknown ids: no size filter applies."""
+    from labelcorpus.plans.generate import GenerateConfig, generate
+    foods, ing = T.foods(spark, sf_dir), T.ingredients(spark, sf_dir)
+    single = R.food_totals(ing).where(F.col("n_ingredients") == 1)
+    unknown = T.table(spark, sf_dir, "nation").select((-1 - F.col("n_nationkey")).cast("bigint").alias("food_id"))
+    ids = (foods.select("food_id", (F.col("food_id") * 2).alias("pos"))
+           .unionByName(single.select("food_id", (F.col("food_id") * 2 + 1).alias("pos")))
+           .unionByName(unknown.select("food_id", F.col("food_id").alias("pos"))))
+    out = generate(spark, foods, ing, T.nutrients(spark, sf_dir), GenerateConfig(enable_validation=False),
+                   fdc_ids=ids, group_col="group_key")
+    return out["sample_index"].select("sample_id", "fdc_id", "food_name", "n_ingredients", "success", "error")
+
+
+# E5 / P5 / P6 / S8 --------------------------------------------------------------------------
+def _failures_sql() -> str:
+    return (f"WITH r AS ({_report_sql()}), {FR}, nn AS (SELECT food_id, max(n) AS n, bool_or(sequence_number = 7) "
+            "AS broken FROM fr WHERE n BETWEEN 2 AND 50 GROUP BY food_id) SELECT food_id AS fdc_id, "
+            "CASE WHEN all_passed AND NOT broken THEN n END AS n_ingredients, all_passed AND NOT broken AS success, "
+            "CASE WHEN broken THEN 'constraint' WHEN NOT all_passed THEN 'Validation failed: ' || "
+            "CAST(n_failed AS VARCHAR) || ' rule(s) failed' END AS error FROM nn JOIN r USING (food_id)")
+
+
+@register("generate_failures", _failures_sql())
+def q_generate_failures(spark, sf_dir):
+    """Foods with a seventh line get a negative weight there; failures of any kind leave the dataset."""
+    from labelcorpus.plans.generate import GenerateConfig, generate
+    ing = T.ingredients(spark, sf_dir)
+    ing = ing.withColumn("weight_g", F.when(F.col("sequence_number") == 7, -F.col("weight_g")).otherwise(F.col("weight_g")))
+    out = generate(spark, T.foods(spark, sf_dir), ing, T.nutrients(spark, sf_dir),
+                   GenerateConfig(include_validation_failures=False), group_col="group_key")
+    error = F.when(F.col("error").contains("must be"), "constraint").otherwise(F.col("error"))
+    return out["sample_index"].select("fdc_id", "n_ingredients", "success", error.alias("error"))
+
+
+@register("generate_tables", f"WITH {FR}, {SEL}, s AS (SELECT count(DISTINCT food_id) AS n FROM sel), "
+          "l AS (SELECT count(*) AS n FROM lab) SELECT t AS table_name, CASE WHEN t IN ('declared', "
+          "'canonical_mappings', 'target_mappings') THEN l.n WHEN t IN ('operator_records', 'validation_results') "
+          "THEN 7 * s.n WHEN t = 'failures' THEN 0 ELSE s.n END AS n_rows FROM s, l, (SELECT unnest(["
+          "'samples', 'declared', 'panel', 'operator_records', 'canonical_mappings', 'target_mappings', "
+          "'ingredient_maps', 'splits', 'sample_index', 'failures', 'validation_results', "
+          "'validation_report']) AS t)")
+def q_generate_tables(spark, sf_dir):
+    """Row counts of every output table."""
+    from labelcorpus.plans.generate import GenerateConfig, generate
+    out = generate(spark, T.foods(spark, sf_dir), T.ingredients(spark, sf_dir),
+                   T.nutrients(spark, sf_dir), GenerateConfig(), group_col="group_key")
+    counts = None
+    for name, df in out.items():
+        if name not in ("manifest", "summary"):
+            one = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+            counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
 # J6 -----------------------------------------------------------------------------------------
 def _prefix_sql() -> str:
     from labelcorpus.knowledge import values as V

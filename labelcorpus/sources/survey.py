@@ -62,7 +62,9 @@ def foods(raw: DataFrame) -> DataFrame:
     gram = F.when(has, F.coalesce(first["gramWeight"], F.lit(100.0))).otherwise(F.lit(100.0))
     label = F.when(has, F.coalesce(first["modifier"], F.lit(""))).otherwise(F.lit(""))
     amount = first["amount"]
-    household = F.when(has & amount.isNotNull() & (amount != "") & (amount != "0"),
+    # an amount that reads as zero, however it is written, gives no household serving
+    household = F.when(has & (amount != "") & (F.coalesce(F.expr(
+        "try_cast(get(foodPortions, 0).amount AS double)"), F.lit(1.0)) != 0),
                        F.trim(F.concat_ws(" ", amount, label)))
     return raw.select(
         F.col("fdcId").alias("food_id"),

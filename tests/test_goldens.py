@@ -1,11 +1,11 @@
-"""End-to-end label goldens for the two-food fixture (hand-derived, FIXTURES.md section 3)."""
+"""End-to-end label goldens for the two own foods of conftest (worked out by hand)."""
 
 from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import BAGEL, MILK
+from conftest import SOUP, TOAST
 
 
 def _by_food(df):
@@ -14,81 +14,72 @@ def _by_food(df):
 
 def test_loader_counts_and_serving(survey_tables):
     foods = _by_food(survey_tables["foods"])
-    assert foods[MILK]["serving_size_g"] == 2.5
-    assert foods[MILK]["serving_size_label"] == "TSP"
-    assert foods[MILK]["household_serving"] == "1 TSP"
-    assert survey_tables["nutrients"].where(F.col("food_id") == MILK).count() == 5
+    # an empty portion is at least 1 g and, with a zero amount, no household serving
+    assert (foods[SOUP]["serving_size_g"], foods[SOUP]["household_serving"]) == (1.0, None)
+    assert (foods[TOAST]["serving_size_g"], foods[TOAST]["household_serving"]) == (40.0, "2 SLICE")
+    assert survey_tables["nutrients"].where(F.col("food_id") == SOUP).count() == 6
 
 
 def test_fractions(survey_tables):
     from labelcorpus.operators import recipes as R
     fr = R.with_fractions(survey_tables["ingredients"])
-    rows = fr.where(F.col("food_id") == MILK).orderBy("pos").collect()
-    assert rows[0]["fraction"] == pytest.approx(0.4)
-    total = fr.where(F.col("food_id") == BAGEL).agg(F.sum("fraction")).first()[0]
-    assert total == pytest.approx(1.0)
+    rows = fr.where(F.col("food_id") == TOAST).orderBy("pos").collect()
+    assert [r["fraction"] for r in rows] == pytest.approx([0.55, 0.2, 0.24, 0.01])
+    assert fr.where("is_fortificant").select("description").collect()[0][0] == "Vitamin C"
 
 
 def test_recipe_filter_counts(survey_tables):
     from labelcorpus.operators import recipes as R
     ing = survey_tables["ingredients"]
-    assert R.recipe_ids(ing, 1, 50).count() == 2
-    assert R.recipe_ids(ing, 4, 50).count() == 2
-    assert R.recipe_ids(ing, 5, 50).count() == 1
-    assert R.recipe_ids(ing, 7, 50).count() == 0
+    assert [R.recipe_ids(ing, n, 50).count() for n in (1, 4, 5, 6, 7)] == [2, 2, 1, 1, 0]
 
 
 def test_declared_names_and_groups(survey_labels):
     label = _by_food(survey_labels["label"])
-    assert label[MILK]["main_names"] == ["MILK", "REDUCED FAT MILK", "LOWFAT MILK", "NONFAT MILK"]
-    assert label[MILK]["two_percent_names"] == []
-    assert label[BAGEL]["main_names"] == ["WHOLE WHEAT FLOUR", "RAISINS", "EGGS", "SUGAR", "WATER"]
-    assert label[BAGEL]["two_percent_names"] == ["BUTTER"]
+    # the fortificant is gone, the compound is expanded, salt (0.5 %) is in the last group
+    assert label[SOUP]["main_names"] == [
+        "TOMATO PULP", "WATER", "NOODLES WHEAT",
+        "KETCHUP (TOMATO CONCENTRATE, SUGAR, VINEGAR, SALT, SPICES, WATER)"]
+    assert label[SOUP]["two_percent_names"] == ["SALT"]
+    # by fraction, the variety under its generic name
+    assert label[TOAST]["main_names"] == ["FLOUR OF WHEAT", "BUTTER PLAIN", "APPLES"]
+    assert label[TOAST]["two_percent_names"] == ["CINNAMON"]
 
 
 def test_serving_sizes(survey_labels):
     served = _by_food(survey_labels["servings"])
-    assert served[MILK]["serving_g"] == 240.0
-    assert served[BAGEL]["serving_g"] == 95.0
+    assert served[SOUP]["serving_g"] == 245.0  # 1 g is out of range: the soup category
+    assert served[TOAST]["serving_g"] == 40.0
 
 
 def test_allergens(survey_labels):
     label = _by_food(survey_labels["label"])
-    assert label[MILK]["allergens"] == ["milk"]
-    assert label[MILK]["allergen_text"] == "CONTAINS: MILK"
-    assert label[BAGEL]["allergens"] == ["eggs", "milk", "wheat"]
-    assert label[BAGEL]["allergen_text"] == "CONTAINS: MILK, EGGS and WHEAT"
+    assert (label[SOUP]["allergens"], label[SOUP]["allergen_text"]) == (["wheat"], "CONTAINS: WHEAT")
+    assert (label[TOAST]["allergens"], label[TOAST]["allergen_text"]) == (
+        ["milk", "wheat"], "CONTAINS: MILK and WHEAT")
 
 
 def test_panel_values(survey_labels):
     panel = _by_food(survey_labels["panel"])
-    a, b = panel[MILK], panel[BAGEL]
-    assert (a["calories"], a["total_fat"], a["total_carbohydrate"], a["protein"], a["sodium"]) == \
-        (120.0, 5.0, 12.0, 8.0, 100.0)
-    assert (b["calories"], b["total_fat"], b["total_carbohydrate"], b["protein"], b["sodium"]) == \
-        (250.0, 1.5, 51.0, 8.0, None)
-    assert a["serving_size"] == "240g"
-    assert a["daily_values"] == {"Total lipid (fat)": 6.0, "Carbohydrate, by difference": 4.0,
-                                 "Protein": 16.0, "Sodium, Na": 4.0}
-    assert b["daily_values"] == {"Total lipid (fat)": 2.0, "Carbohydrate, by difference": 19.0,
-                                 "Protein": 16.0}
+    cols = ("calories", "total_fat", "total_carbohydrate", "protein", "sodium")
+    # 245 g: 110.25 kcal, 0.98 g, 22.05 g, 4.9 g (the first protein), 735 mg
+    assert [panel[SOUP][c] for c in cols] == [110.0, 1.0, 22.0, 5.0, 740.0]
+    # 40 g: 120 kcal, 4.8 g, 16 g, 2.8 g
+    assert [panel[TOAST][c] for c in cols] == [120.0, 5.0, 16.0, 3.0, None]
+    assert panel[SOUP]["daily_values"] == {"Total lipid (fat)": 1.0, "Carbohydrate, by difference": 8.0,
+                                           "Protein": 10.0, "Sodium, Na": 32.0}
 
 
 def test_claims(survey_labels):
     label = _by_food(survey_labels["label"])
-    assert label[MILK]["claims"] == [
-        "LOW SODIUM", "GOOD SOURCE OF PROTEIN",
-        "Diets low in sodium may reduce the risk of high blood pressure.",
-        "Diets low in total fat may reduce the risk of some cancers."]
-    assert label[BAGEL]["claims"] == [
-        "LOW FAT", "GOOD SOURCE OF PROTEIN",
-        "Diets low in total fat may reduce the risk of some cancers."]
+    cancer = "Diets low in total fat may reduce the risk of some cancers."
+    # the last protein (2.5 g) counts for claims: 6.125 g a serving are 12 % of the daily value
+    assert label[SOUP]["claims"] == ["LOW FAT", "GOOD SOURCE OF PROTEIN", cancer]
+    assert label[TOAST]["claims"] == [cancer]
 
 
 def test_rendered_text(survey_labels):
-    label = _by_food(survey_labels["label"])
-    text = label[BAGEL]["ingredient_text"]
-    assert text.split("\n")[-1] == (
-        "INGREDIENTS: WHOLE WHEAT FLOUR, RAISINS, EGGS, SUGAR, WATER, CONTAINS 2% OR LESS OF: "
-        "BUTTER. CONTAINS: MILK, EGGS and WHEAT.")
-    assert text.split("\n")[0] == "LOW FAT"
+    lines = _by_food(survey_labels["label"])[TOAST]["ingredient_text"].split("\n")
+    assert lines[-1] == ("INGREDIENTS: FLOUR OF WHEAT, BUTTER PLAIN, APPLES, CONTAINS 2% OR LESS OF: "
+                         "CINNAMON. CONTAINS: MILK and WHEAT.")
+    assert len(lines) == 2

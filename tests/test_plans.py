@@ -20,7 +20,8 @@ def entry_mod():
 
 
 def test_no_cartesian_or_python_udf_in_any_query(spark, entry_mod):
-    for name, q in entry_mod.queries().items():
+    from labelcorpus.plans.queries import QUERIES
+    for name, q in QUERIES.items():
         plan = _plan(q(spark, SF_SMALL))
         for bad in FORBIDDEN:
             assert bad not in plan, (name, bad)
@@ -48,3 +49,12 @@ def test_entry_runs(spark, entry_mod):
     df = entry_mod.entry(spark)
     assert df.columns == ["food_id", "ingredient_text", "n_claims"]
     assert df.count() > 0
+
+
+def test_no_scratch_folder_off_a_local_master():
+    from types import SimpleNamespace
+
+    from labelcorpus.session import ensure_checkpoint_dir
+    far = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(far)
