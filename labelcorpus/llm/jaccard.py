@@ -157,7 +157,7 @@ def bitset(places: DataFrame, bits: int, block: int = 19) -> np.ndarray:
         return pd.DataFrame({"block": [key[0]], "v": [np.packbits(on, bitorder="little").tobytes()]})
     made = places.distinct().groupBy(F.shiftright("i", size).alias("block")).applyInPandas(fill, "block bigint, v binary")
     out = np.zeros(1 << (bits - 3), np.uint8)
-    for r in made.toLocalIterator():
+    for r in made.collect():  # 2 ** bits bits in all
         at = r["block"] << (size - 3)
         out[at: at + (1 << (size - 3))] = np.frombuffer(r["v"], np.uint8)
     return out.view(np.uint64)
