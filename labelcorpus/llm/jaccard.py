@@ -129,8 +129,8 @@ def shingle_counts(docs: DataFrame, k: int, n_shingles: int, per_bucket: int = 2
     return packed.groupBy("bucket").applyInPandas(count, "top bigint, df bigint").withColumn("bits", F.lit(b + 32))
 
 
-def frequent_bitset(counts: DataFrame, bits: int) -> tuple[np.ndarray, int]:
-    """A bitset over the top ``bits`` of a hash for shingles in at least ``least`` texts, and ``least``.
+def frequent_bitset(counts: DataFrame, bits: int) -> np.ndarray:
+    """A bitset over the top ``bits`` of a hash for shingles in at least ``least`` texts.
 
     ``least`` is the smallest that fills at most one bit in ``FILL``; the size is fixed, so what reaches the
     driver does not grow with the input.
@@ -144,7 +144,7 @@ def frequent_bitset(counts: DataFrame, bits: int) -> tuple[np.ndarray, int]:
             break
         least = r["least"]
     return bitset(counts.filter(F.col("df") >= least).select(
-        F.expr(f"shiftright(top, bits - {bits})").alias("i")), bits), least
+        F.expr(f"shiftright(top, bits - {bits})").alias("i")), bits)
 
 
 def bitset(places: DataFrame, bits: int, block: int = 19) -> np.ndarray:
@@ -168,7 +168,7 @@ def bit_of(bitset: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
     return ((bitset[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
-def prefix_postings(docs: DataFrame, k: int, pct: int, seen, drop_unseen: bool, hot) -> DataFrame:
+def prefix_postings(docs: DataFrame, k: int, pct: int, seen, hot) -> DataFrame:
     """(token, cls) for the first ``n - ceil(n * pct / 100) + 1`` shingles in the order unseen, seen, hot, hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,11 +180,8 @@ def prefix_postings(docs: DataFrame, k: int, pct: int, seen, drop_unseen: bool,
                     rank = bit_of(seen.value, SEEN_BITS, s).astype(np.int8) + bit_of(hot.value, HOT_BITS, s)
                     length = len(s) - -(-len(s) * pct // 100) + 1
                     picked = s[np.argsort(rank, kind="stable")[:length]]
-                    if drop_unseen:  # a shingle of one text joins nothing
-                        picked = picked[bit_of(seen.value, SEEN_BITS, picked)]
-                    if len(picked):
-                        tokens.append(picked)
-                        owners.append(np.full(len(picked), set_hash(s)))
+                    tokens.append(picked)
+                    owners.append(np.full(len(picked), set_hash(s)))
             if tokens:
                 yield pa.RecordBatch.from_pydict({"token": np.concatenate(tokens).view(np.int64), "cls": np.concatenate(owners)})
     return docs.select("text").mapInArrow(run, "token bigint, cls bigint")
@@ -340,9 +337,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     facts = stored(set_facts(d, k), "jaccard-facts")
     total = facts.agg(F.sum("n")).first()[0] or 0
     counts = stored(shingle_counts(d, k, total), "jaccard-counts")
-    (seen, least), (hot, _) = frequent_bitset(counts, SEEN_BITS), frequent_bitset(counts, HOT_BITS)
-    postings = prefix_postings(d, k, pct, spark.sparkContext.broadcast(seen), least <= 2,
-                               spark.sparkContext.broadcast(hot))
+    seen, hot = (spark.sparkContext.broadcast(frequent_bitset(counts, bits)) for bits in (SEEN_BITS, HOT_BITS))
+    postings = prefix_postings(d, k, pct, seen, hot)
     members = stored(hub_members(postings), "jaccard-members")
     classes = facts.filter("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"))
     classes = stored(classes.join(members.select("cls").unionByName(members.select(F.col("hub").alias("cls"))).distinct(),
