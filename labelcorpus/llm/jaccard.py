@@ -230,33 +230,38 @@ def tile_candidates(rows: DataFrame, classes: DataFrame, comp: DataFrame | None,
     ``forest``: a spanning forest of the likeliest ones; else all between different components.
     """
     def overlaps(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        # sorted by size: a row meets larger ones only, whose bitmap is as wide or twice as wide
         n, c, g = (rows[x].to_numpy(np.int64) for x in ("n", "cls", "comp"))
         right = rows["right"].to_numpy(bool)
         one = not right.any()
         left, other = (np.arange(len(n)),) * 2 if one else (np.flatnonzero(~right), np.flatnonzero(right))
-        bits = np.array([_bitmap_bits(x) for x in n.tolist()])
-        to = int(bits.min())
-        maps = np.stack([_fold(np.frombuffer(x, np.uint8), w, to) for x, w in zip(rows["bitmap"], bits.tolist())])
-        wide = maps.view(np.uint64)
+        wide = np.array([_bitmap_bits(x) for x in n.tolist()])
+        maps = [np.frombuffer(x, np.uint8) for x in rows["bitmap"]]
         out_i, out_j, out_s = [], [], []
-        for i in left.tolist():
-            js = other[other > i] if one else other
-            js = js[(g[js] != g[i]) & (c[js] != c[i])
-                    & (np.minimum(n[js], n[i]) * 100 >= np.maximum(n[js], n[i]) * pct)]
-            if not len(js):
-                continue
-            apart = np.bitwise_count(wide[js] ^ wide[i]).sum(axis=1, dtype=np.int64)
-            most = (n[js] + n[i] - apart) // 2  # the overlap is at most this
-            union = n[js] + n[i] - most
-            ok = most * 100 >= union * pct
-            out_i.append(np.full(int(ok.sum()), i))
-            out_j.append(js[ok])
-            out_s.append(most[ok] / union[ok])
+        for bits in np.unique(wide[left]).tolist():
+            near = np.flatnonzero((wide == bits) | (wide == bits + 1))
+            table = np.stack([_fold(maps[j], int(wide[j]), bits) for j in near.tolist()]).view(np.uint64)
+            place = np.full(len(n), -1)
+            place[near] = np.arange(len(near))
+            among = other[place[other] >= 0]
+            for i in left[wide[left] == bits].tolist():
+                js = among[np.searchsorted(among, i, "right"):] if one else among
+                js = js[(g[js] != g[i]) & (c[js] != c[i]) & (n[i] * 100 >= n[js] * pct)]
+                if not len(js):
+                    continue
+                apart = np.bitwise_count(table[place[js]] ^ table[place[i]]).sum(axis=1, dtype=np.int64)
+                most = (n[js] + n[i] - apart) // 2  # the overlap is at most this
+                union = n[js] + n[i] - most
+                ok = most * 100 >= union * pct
+                out_i.append(np.full(int(ok.sum()), i))
+                out_j.append(js[ok])
+                out_s.append(most[ok] / union[ok])
         if not out_i:
             return (np.empty(0, np.int64),) * 3
         return np.concatenate(out_i), np.concatenate(out_j), np.concatenate(out_s)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["n", "cls"], kind="stable")
         i, j, s = overlaps(rows)
         if forest and len(i):
             parent = list(range(len(rows)))
