@@ -71,16 +71,18 @@ def _fold(b: np.ndarray, bits: int, to: int) -> np.ndarray:
 
 
 def set_facts(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n (set size), cls (class), bitmap for every row."""
+    """doc_id, h (hash of the text as it is), n (set size), cls (class), bitmap for every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, sets in _sets(batch["text"], k):
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch["doc_id"][first: first + len(sets)],
+                    "h": batch["h"][first: first + len(sets)],
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "cls": pa.array([set_hash(s) for s in sets], pa.int64()),
                     "bitmap": pa.array([_bitmap(s, _bitmap_bits(len(s))).tobytes() for s in sets], pa.binary())})
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, cls bigint, bitmap binary")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(
+        run, "doc_id bigint, h bigint, n bigint, cls bigint, bitmap binary")
 
 
 def shingle_counts(docs: DataFrame, k: int, n_shingles: int, per_bucket: int = 250_000) -> DataFrame:
@@ -335,8 +337,11 @@ def verified(docs: DataFrame, pairs: DataFrame, facts: DataFrame, k: int, pct: i
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, pct: int = 80,
-                       tile: int = 512) -> DataFrame:
-    """doc_id, n_shingles, component_id per row of ``docs`` (see the module docstring)."""
+                       tile: int = 512, row_hash: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id per row of ``docs`` (see the module docstring).
+
+    ``row_hash`` adds h, the xxhash64 of the row's text, to tell rows with the same doc_id apart.
+    """
     spark = docs.sparkSession
     d = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     facts = stored(set_facts(d, k), "jaccard-facts")
@@ -357,7 +362,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     links = links.unionByName(stored(verified(d, second, facts, k, pct), "jaccard-links"))
     comp = components(links)
     own = F.when(F.col("n") == 0, F.lit(None)).otherwise(F.coalesce("comp", "cls"))
-    d = facts.select("doc_id", "n", "cls").join(comp, "cls", "left").withColumn("comp", own)
+    d = facts.select("doc_id", "h", "n", "cls").join(comp, "cls", "left").withColumn("comp", own)
     least_id = d.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return d.join(least_id, "comp", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"),
+        *(["h"] if row_hash else []))
