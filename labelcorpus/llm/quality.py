@@ -75,7 +75,11 @@ def line_fails(f: Column, max_symbols_pct: int = 30, max_shouts_pct: int = 30,
 
 def quality_rules(docs: DataFrame, text: str = "text", min_words: int = 50,
                   max_repeat_pct: int = 50, max_lost_pct: int = 30) -> DataFrame:
-    """Add counts, verdicts and the cleaned text (see the module docstring) to every row."""
+    """Add counts, verdicts and the cleaned text (see the module docstring) to every row.
+
+    Write the result before filtering on its columns: Spark would push such a filter down into the word
+    expressions and evaluate them again for each use.
+    """
     d = docs.select(*[c for c in docs.columns if c not in OUTPUTS])
     t = F.coalesce(F.col(text), F.lit(""))
     d = d.withColumns({"_words": words_of(F.col(text)),
