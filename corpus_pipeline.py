@@ -19,7 +19,8 @@ from labelcorpus.llm.secrets import secret_scan
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failing lines are removed; rejected documents go."""
-    judged = quality_rules(docs).filter("kept")
+    # written first: a filter on the verdict would be pushed down into the word expressions and repeat them
+    judged = stored(quality_rules(docs).select(*docs.columns, "clean_text", "n_failed_lines", "kept"), "judged").filter("kept")
     text = F.when(F.col("n_failed_lines") > 0, F.col("clean_text")).otherwise(F.col("text"))
     return judged.withColumns({"text": text, "n_chars": F.length(text).cast("bigint")}).select(*docs.columns)
 
@@ -27,12 +28,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest doc_id.
 
-    Documents without a doc_id cannot lead a group and stay as they are.
+    Rows are told apart by doc_id and text. Of several rows that share the smallest doc_id in one group, the one with
+    the smallest text hash stays, and repeated rows stay once. Without any doc_id in a group its rows stay.
     """
-    comp = jaccard_components(docs)
-    go = comp.filter("component_id <> doc_id").select("doc_id").distinct()
-    once = docs.join(stored(go, "copies"), "doc_id", "left_anti")
-    return once.select(*docs.columns)
+    rows = stored(jaccard_components(docs, row_hash=True), "components")
+    lead = rows.filter("component_id = doc_id and n_shingles > 0").groupBy("doc_id").agg(F.min("h").alias("h"))
+    keys = rows.groupBy("doc_id", "h").agg(F.count("*").alias("copies"), F.first("component_id").alias("c"),
+                                           F.min("n_shingles").alias("n"))
+    lead = lead.withColumn("lead", F.lit(True))
+    # only these keys are joined with the texts: rows that go, and rows that stay once
+    odd = keys.join(lead, ["doc_id", "h"], "left").filter("c is not null and n > 0").filter("lead is null or copies > 1")
+    odd = stored(odd.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("lead").alias("_lead")), "copies")
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h"))
+    single = docs.join(odd, same, "left_anti")
+    repeated = docs.join(odd.filter("_lead"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return single.unionByName(repeated).select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
