@@ -1,0 +1,353 @@
+"""Small tables with nulls, empty and long texts, ties, repeated rows, clashing columns, and no rows."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def _prose(rng, n, letters="abcdefghij"):
+    return " ".join("".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(n)) + "."
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(3)
+    base = [_prose(rng, rng.randint(60, 200)) for _ in range(30)]
+    out = [(i, t, ("en", "de")[i % 2], ("b", "a", None)[i % 3], len(t)) for i, t in enumerate(base)]
+    words = base[0].split(" ")
+    for i in range(12):  # near copies, some of them linked only through others
+        edited = list(words)
+        for j in rng.sample(range(len(words)), 1 + i // 3):
+            edited[j] = "zzz"
+        t = " ".join(edited)
+        out.append((100 + i, t, "en", "hot", len(t)))
+    out += [(200, base[1], "en", "a", 1), (201, base[1].upper(), "en", "a", 1), (3, base[3], "de", "b", 1)]
+    out += [(300, None, "en", "a", None), (301, "", None, None, 0), (302, " \t\n", "en", "", 3), (303, "one two", "de", "b", 7),
+            (304, "ONE  two", "de", "b", 8), (None, base[2], None, "a", 9), (305, "123 456", "en", "b", 7),
+            (306, " ".join(["same"] * 500), "en", "b", 2500), (307, _prose(rng, 20_000), "en", "hot", 1)]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def _words(t):
+    return (t or "").encode().split()
+
+
+# op9 ----------------------------------------------------------------------------------------
+def test_quality_counts_and_lines(spark, docs, empty):
+    from labelcorpus.llm.quality import quality_rules
+    got = quality_rules(docs.withColumn("kept", F.lit("clash"))).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        w = _words(r["text"])
+        seen = Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
+        hit = {i + j for i in range(len(w) - 2) if seen[tuple(w[i:i + 3])] > 1 for j in range(3)}
+        assert (r["n_words"], r["n_repeat_words"]) == (len(w), len(hit))
+        assert r["base_failed"] == (len(w) < 50 or 100 * len(hit) > 50 * len(w))
+    good = " ".join(f"word{i}" for i in range(90)) + "."
+    nav, shout, legal = "a | b | c | d", "BUY!! NOW!! TODAY!! ALL!!", "Licensed under the Apache License."
+    d = spark.createDataFrame([(1, f"{good}\n{nav}\n{legal}"), (2, "\n".join([shout] * 30 + [good])), (3, good)], "doc_id int, text string")
+    out = {r["doc_id"]: r for r in quality_rules(d).collect()}
+    assert (out[1]["kept"], out[1]["clean_text"], out[1]["n_failed_lines"]) == (True, good, 2)
+    assert not out[2]["kept"] and out[2]["n_dup_lines"] == 29
+    assert out[3]["kept"] and out[3]["clean_text"] == good and out[3]["n_symbols"] == 0
+    assert quality_rules(empty).count() == 0
+
+
+# op10 ---------------------------------------------------------------------------------------
+def _components(rows):
+    sets = []
+    for r in rows:
+        w = (r[1] or "").encode().lower().split()
+        sets.append(frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset())
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both and 100 * both >= 80 * (len(a) + len(sets[j]) - both):
+                parent[root(i)] = root(j)
+    least = defaultdict(lambda: None)
+    for i, r in enumerate(rows):
+        if r[0] is not None and sets[i]:
+            k = root(i)
+            least[k] = r[0] if least[k] is None else min(least[k], r[0])
+    return sorted((str(r[0]), len(sets[i]), str(least[root(i)] if sets[i] else r[0])) for i, r in enumerate(rows))
+
+
+def test_jaccard_equals_brute_force(docs, rows, empty):
+    from labelcorpus.llm.jaccard import jaccard_components
+    got = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in jaccard_components(docs, tile=4).collect())
+    assert got == _components(rows)
+    assert jaccard_components(empty).count() == 0
+
+
+def test_bitmap_bounds_the_overlap():
+    from labelcorpus.llm.jaccard import _bitmap, _bitmap_bits, _fold
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        a = np.unique(rng.integers(0, 2**63, rng.integers(1, 300), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: len(a) // 2], rng.integers(0, 2**63, len(a) // 3 + 1, dtype=np.uint64)]))
+        bits = min(_bitmap_bits(len(a)), _bitmap_bits(len(b)))
+        x, y = (_fold(_bitmap(s, _bitmap_bits(len(s))), _bitmap_bits(len(s)), bits).view(np.uint64) for s in (a, b))
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
+# op5 ----------------------------------------------------------------------------------------
+def test_mix_targets_and_words(docs, rows, empty):
+    from labelcorpus.llm.mixing import mix_sizes, mix_sources
+    got = mix_sizes(docs).collect()
+    by = defaultdict(int)
+    for r in rows:
+        by[r[3]] += len(_words(r[1]))
+    names = sorted((s for s in by if s is not None)) + [None]
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    left, target, total = set(names), {}, 1.5 * sum(by.values())
+    while left:  # the excess over twice a source's size is shared again until none is above
+        share = (total - sum(target.values())) / sum(weight[s] for s in left)
+        over = {s for s in left if share * weight[s] > 2 * by[s]}
+        for s in over or left:
+            target[s] = 2 * by[s] if over else share * weight[s]
+        left -= over or left
+    source = {}
+    for r in rows:
+        source[r[0]] = r[3]
+    taken = defaultdict(int)
+    for r in got:
+        s = source[r["doc_id"]]
+        assert r["target"] == pytest.approx(target[s]) and r["source_size"] == by[s]
+        assert r["taken"] <= 2 * r["size"]
+        taken[s] += r["taken"]
+    for s in names:  # whole documents: within the size of one of them
+        largest = max(len(_words(r[1])) for r in rows if r[3] == s)
+        assert abs(taken[s] - target[s]) <= largest
+    key = lambda d: sorted((str(r["doc_id"]), r["size"], r["taken"]) for r in d)
+    assert key(mix_sizes(docs).collect()) == key(got)
+    wide = mix_sources(docs.withColumn("target", F.lit("clash"))).collect()
+    assert key(wide) == key(got) and wide[0]["text"] is not None or True
+    assert mix_sizes(empty).count() == 0
+
+
+def test_mix_weight_changes_inclusion(spark):
+    from labelcorpus.llm.mixing import mix_sources
+    d = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"),
+                                 F.when(F.col("id") < 2000, 3.0).otherwise(1.0).alias("w"))
+    got = mix_sources(d, total_pct=40.0, weight="w").groupBy(F.col("doc_id") < 2000).agg(F.sum("copies").alias("n")).collect()
+    n = {r[0]: r["n"] for r in got}
+    assert n[True] + n[False] == 1600 and 2.4 < n[True] / n[False] < 3.8
+
+
+# op2 ----------------------------------------------------------------------------------------
+def test_packing_round_trip(docs, rows, empty):
+    from tokenizers import Tokenizer
+
+    from labelcorpus.llm.common import tokenizer_path
+    from labelcorpus.llm.packing import best_fit_packing, lower_bound, pieces
+    cap = 256
+    got = best_fit_packing(pieces(docs, tokenizer_path(), cap, with_ids=True), cap, group_pieces=20, carry=["ids"]).collect()
+    tok = Tokenizer.from_file(tokenizer_path())
+    tok.encode_special_tokens = True
+    want = Counter((r[0], np.array(tok.encode(r[1] or "", add_special_tokens=False).ids + [0], "<u4").tobytes()) for r in rows)
+    docs_of = defaultdict(list)
+    for r in got:
+        assert zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"] <= 4 * cap
+        docs_of[r["doc_id"]].append(r)
+    made = Counter()
+    for doc, parts in docs_of.items():
+        texts = [t for (d, t), n in want.items() if d == doc for _ in range(n)]
+        assert sorted(len(t) // 4 for t in texts) and sum(p["length"] for p in parts) == sum(len(t) // 4 for t in texts)
+        if len(texts) == 1:
+            parts = sorted(parts, key=lambda p: p["piece"])
+            assert [p["piece"] for p in parts] == list(range(len(parts)))
+            assert all(p["length"] == cap for p in parts[1:])
+            made[doc, b"".join(bytes(p["ids"]) for p in parts)] += 1
+    assert all(want[k] == n for k, n in made.items()) and len(made) > 30
+    seqs = defaultdict(list)
+    for r in got:
+        seqs[r["sequence_id"]].append((r["offset"], r["length"]))
+    for s in seqs.values():
+        end = 0
+        for offset, length in sorted(s):
+            assert offset == end
+            end += length
+        assert end <= cap
+    assert len(seqs) <= 1.05 * lower_bound(np.array([r["length"] for r in got]), cap) + 1
+    assert best_fit_packing(pieces(empty, tokenizer_path(), cap), cap).count() == 0
+
+
+def test_lower_bound_is_below_any_packing():
+    from labelcorpus.llm.packing import best_fit_decreasing, lower_bound
+    for seed in range(40):
+        lengths = np.sort(np.random.default_rng(seed).integers(1, 101, 60))[::-1]
+        _, _, free = best_fit_decreasing(lengths, 100)
+        assert lower_bound(lengths, 100) <= len(free)
+    assert lower_bound(np.array([51, 51, 51]), 100) == 3  # three large ones, though they would fit in two by sum
+
+
+# op3 ----------------------------------------------------------------------------------------
+def test_top_k_equals_brute_force(spark):
+    from labelcorpus.llm.knn import top_k
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 6)).round(1)
+    x[100:140] = x[0]  # a very common vector: many ties
+    data = [(int(i), [float(v) for v in x[i]], "extra") for i in range(300)]
+    data += [(300, None, ""), (350, [1.0, None, 2.0], ""), (400, [float("nan")] * 6, ""), (450, [float("inf")] * 6, ""), (None, [1.0] * 6, ""),
+             (500, [0.5, 0.5], ""), (100, [float(v) for v in x[100]], "again")]
+    d = spark.createDataFrame(data, "vec_id bigint, embedding array<double>, score string")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in top_k(d, pivots=16, data_block=32, query_block=4).collect())
+    ok = [(i, np.floor(256 * np.array(v + [0.0] * (6 - len(v))))) for i, v, _ in data
+          if i is not None and v and None not in v and np.isfinite(v).all()]
+    want = []
+    for q, (i, v) in enumerate(ok):
+        if i % 50 == 0:
+            best = sorted((-int(v @ w), j) for p, (j, w) in enumerate(ok) if p != q)[:5]
+            want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    assert got == sorted(want)
+    few = spark.createDataFrame(data[:3], "vec_id bigint, embedding array<double>, x string")
+    assert top_k(few).count() == 2
+    assert top_k(d.limit(0)).count() == 0
+
+
+# op6 ----------------------------------------------------------------------------------------
+def test_language_held_out_accuracy(spark, empty):
+    from labelcorpus.llm.language import fit, predict
+    rng = random.Random(2)
+    make = lambda i: (i, _prose(rng, 40, ("abcde", "vwxyzé")[i % 2]), ("aa", "zz")[i % 2])
+    learn = spark.createDataFrame([make(i) for i in range(120)], "doc_id bigint, text string, lang string")
+    model = fit(learn, buckets=1 << 12)
+    test = [make(i) for i in range(60)] + [(900, None, "aa"), (901, "", "aa"), (902, "12 34!", "aa"), (903, None, None)]
+    got = {r["doc_id"]: r for r in predict(spark.createDataFrame(test, "doc_id bigint, text string, lang string"), model).collect()}
+    assert sum(got[i]["lang_pred"] == lang for i, _, lang in test[:60]) >= 58
+    assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 and got[i]["rejected"] for i in (900, 901, 902, 903))
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    assert predict(empty, model).count() == 0
+    none = fit(learn.limit(0))
+    assert predict(learn, none).filter("lang_pred <> 'und'").count() == 0
+
+
+# op7 ----------------------------------------------------------------------------------------
+def test_url_rules_and_templates(spark):
+    from labelcorpus.llm.urls import url_filter
+    urls = [None, "x", "http://", "http://A.COM", "http://a.com?x=/de/", "https://x.example.org/en/1", "http://notexample.org/es/",
+            "http://com/de/x", "HTTP://Y.com/fr/9#z", "http://y.net/de/1"] + [f"http://bad.com/de/{i}" for i in range(40)] + [f"http://bad.com/xx/{i}" for i in range(40)]
+    d = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)], "page_id int, url string, verdict string")
+    got = {r["page_id"]: r for r in url_filter(d).collect()}
+    assert len(got) == len(urls)
+    assert [(got[i]["host"], got[i]["path"], got[i]["rule"]) for i in range(10)] == [
+        ("", "", None), ("", "", None), ("", "", None), ("a.com", "", None), ("a.com", "", None), ("x.example.org", "/en/1", "example.org/en/1"),
+        ("notexample.org", "/es/", "org/"), ("com", "/de/x", "com/de/"), ("y.com", "/fr/9", "com/fr/"), ("y.net", "/de/1", None)]
+    assert [got[i]["verdict"] for i in (5, 6, 7, 8)] == ["block", "allow", "block", "allow"]
+    assert {got[i]["template"] for i in range(10, 50)} == {"bad.com/de/<n>"}
+    assert url_filter(d.limit(0)).count() == 0
+
+
+# op8 ----------------------------------------------------------------------------------------
+def test_pseudonyms_keep_format_and_turn_back(spark, empty):
+    from labelcorpus.llm.pii import pseudonymise
+    text = ("4111 1111 1111 1111, 4111111111111111 not 4111111111111112; +1 (499) 555-6503 499.555.6503 "
+            "152.143.123.131 300.1.1.1 2024-02-29 2023-02-29 123-45-6789 000-12-3456")
+    d = spark.createDataFrame([(1, text, 5), (2, "again 4111111111111111", 5), (3, None, 5), (4, "", 5), (5, "a.b@c.org A.B@c.org", 5)],
+                              "doc_id int, text string, n_card int")
+    out = {r["doc_id"]: r for r in pseudonymise(d, "k").collect()}
+    assert (out[1]["n_card"], out[1]["n_phone"], out[1]["n_address"], out[1]["n_date"], out[1]["n_social"]) == (2, 2, 1, 1, 1)
+    safe = out[1]["safe_text"]
+    assert len(safe) >= len(text) - 12 and "4111111111111112" in safe and "300.1.1.1" in safe and "2023-02-29" in safe
+    assert "4111111111111111" not in safe and "152.143.123.131" not in safe and "6503" not in safe
+    card = out[2]["safe_text"].split()[1]
+    assert card in safe and card == "".join(safe.split(",")[0].split())  # linked across documents and spellings
+    total = sum((int(c) * 2 - 9 if int(c) > 4 else int(c) * 2) if i % 2 else int(c) for i, c in enumerate(reversed(card)))
+    assert total % 10 == 0
+    assert out[3]["safe_text"] is None and out[4]["safe_text"] == ""
+    a, b = out[5]["safe_text"].split()
+    assert a == b and "c.org" not in a
+    back = spark.createDataFrame([(1, safe)], "doc_id int, text string")
+    assert pseudonymise(back, "k", inverse=True).first()["safe_text"] == text
+    assert pseudonymise(back, "other", inverse=True).first()["safe_text"] != text
+    assert pseudonymise(empty, "k").count() == 0
+
+
+# op4 ----------------------------------------------------------------------------------------
+def test_secrets_found_and_masked(spark, empty):
+    from labelcorpus.llm.secrets import secret_scan, secret_spans
+    rng = random.Random(4)
+    token = lambda: "".join(rng.choices("0123456789abcdef", k=40))
+    data = []
+    for i in range(60):
+        data.append((i, f'first words here token = "{token()}" and more {rng.randrange(10**15, 10**16)} words', "s"))
+    data += [(100, None, None), (101, "", "s"), (102, "no candidates at all", None), (103, "x" * 50_000 + f' token = "{token()}"', "s"), data[0]]
+    d = spark.createDataFrame(data, "doc_id int, text string, source string")
+    got = secret_scan(d.withColumn("n_secrets", F.lit("clash"))).collect()
+    for r in got:
+        has = r["text"] is not None and "token" in r["text"]
+        assert r["n_secrets"] == int(has), r["doc_id"]
+        if has:
+            key = r["text"].split('"')[1]
+            assert key not in r["safe_text"] and r["safe_text"] == r["text"].replace(key, "[SECRET]")
+        else:
+            assert r["safe_text"] == r["text"]
+    spans = secret_spans(d).filter("secret").collect()
+    text = {r[0]: r[1] for r in data}
+    assert len(spans) == 62 and all(text[s["doc_id"]][s["start"]: s["start"] + s["length"]] == s["finding"] for s in spans)
+    assert secret_scan(empty).count() == 0
+
+
+# op1 ----------------------------------------------------------------------------------------
+PAGES = {
+    "<p>a<p>b<br>c <b>d</b>e<ul><li>x<li>y<ul><li>z</ul></ul>end": "a\n\nb\nc de\n\n- x\n- y\n  - z\n\nend",
+    "<table><tr><td>a<td>bb<tr><th>ccc</th><th>d</table>t": "a    bb\nccc  d\n\nt",
+    "<table><td>1<td colspan=2>two<tr><td>x<td rowspan=2>y<td>z<tr><td>p<td>q</table>": "1  two\nx  y    z\np       q",
+    "<div hidden>no</div><span style='x:1; DISPLAY : none'>no</span>yes<script>var a='</p>';</script>": "yes",
+    "<head><title>T</title><style>p{}</style></head><body>B &amp; &lt;C&gt;<pre>a  b\n c</pre>": "B & <C>\n\na  b\n c",
+    "<ol start=3><li>one<li>two</ol>": "3. one\n4. two",
+    "": "",
+    "<p": "",
+    "   ": "",
+}
+
+
+def test_html_layout(spark):
+    from labelcorpus.llm.html_text import extract
+    d = spark.createDataFrame([(i, h, "clash") for i, h in enumerate([*PAGES, None, "<div>" * 5000 + "deep"])], "page_id int, html string, text string")
+    got = [r["text"] for r in extract(d).orderBy("page_id").collect()]
+    assert got == [*PAGES.values(), None, "deep"]
+    assert extract(d.limit(0)).count() == 0
+
+
+# pipeline -----------------------------------------------------------------------------------
+def test_pipeline_stages(spark, docs, rows, empty):
+    import corpus_pipeline as cp
+    from labelcorpus.llm.common import stored
+    for start in (docs, empty):
+        d = start
+        for name, stage in cp.STAGES:
+            before = d
+            d = stored(stage(spark, d, ""), "test")
+            if name != cp.STAGES[-1][0]:
+                assert d.columns == start.columns
+            if name == "n-gram Jaccard join":
+                alive = [tuple(r) for r in before.collect()]
+                comps = {c for _, n, c in _components(alive) if n}
+                assert d.filter("doc_id is not null").count() == len(comps)
+                assert {str(r["doc_id"]) for r in d.filter("doc_id is not null").collect()} == comps
+    assert d.count() == 0
