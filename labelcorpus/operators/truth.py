@@ -54,6 +54,7 @@ def operator_records(foods: DataFrame, declared: DataFrame, allergens: DataFrame
     empty = F.array().cast("array<string>")
     recs = []
     for pos, op in enumerate(operators):
+        op = getattr(op, "__name__", op)  # an own operator is a function
         if op == "less_than_2_pct" and lt2_threshold <= 0:
             continue
         if op in ("rename", "generic_name", "compound", "less_than_2_pct"):

@@ -73,10 +73,13 @@ class Knowledge:
         return nutrition.NutrientContext(self.daily_values, self.rounding)
 
 
-def check_operators(operators: list[str] | None) -> list[str]:
-    """P10: None -> all seven in fixed order; [] -> none; unknown names raise."""
+def check_operators(operators: list | None) -> list:
+    """P10: None -> all seven in fixed order; [] -> none; unknown names raise.
+
+    An own operator is a function from the declared rows to the declared rows; it runs at its place in the list.
+    """
     ops = DEFAULT_OPERATORS if operators is None else list(operators)
-    unknown = [o for o in ops if o not in DEFAULT_OPERATORS]
+    unknown = [o for o in ops if not callable(o) and o not in DEFAULT_OPERATORS]
     if unknown:
         raise ValueError(f"Unknown operator: '{unknown[0]}'. Registered: {DEFAULT_OPERATORS}")
     return ops
@@ -88,7 +91,9 @@ def declared_rows(ingredients_with_fractions: DataFrame, k: Knowledge,
     ops = check_operators(operators)
     df = recipes.initial_declared(ingredients_with_fractions)
     for op in ops:
-        if op == "rename":
+        if callable(op):
+            df = op(df)
+        elif op == "rename":
             df = naming.rename(df, k.lexicon, k.commercial)
         elif op == "generic_name":
             df = naming.generic_name(df, k.generic)
