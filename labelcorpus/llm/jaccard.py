@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -231,10 +232,9 @@ def tile_candidates(rows: DataFrame, classes: DataFrame, comp: DataFrame | None,
 
     ``forest``: a spanning forest of the likeliest ones; else all between different components.
     """
-    def overlaps(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def overlaps(rows: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         # sorted by size: a row meets larger ones only, whose bitmap is as wide or twice as wide
-        n, c, g = (rows[x].to_numpy(np.int64) for x in ("n", "cls", "comp"))
-        right = rows["right"].to_numpy(bool)
+        n, c, g, right = (rows[x] for x in ("n", "cls", "comp", "right"))
         one = not right.any()
         left, other = (np.arange(len(n)),) * 2 if one else (np.flatnonzero(~right), np.flatnonzero(right))
         wide = np.array([_bitmap_bits(x) for x in n.tolist()])
@@ -262,11 +262,10 @@ def tile_candidates(rows: DataFrame, classes: DataFrame, comp: DataFrame | None,
             return (np.empty(0, np.int64),) * 3
         return np.concatenate(out_i), np.concatenate(out_j), np.concatenate(out_s)
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n", "cls"], kind="stable")
+    def pairs(rows: dict) -> tuple[np.ndarray, np.ndarray]:
         i, j, s = overlaps(rows)
         if forest and len(i):
-            parent = list(range(len(rows)))
+            parent = list(range(len(rows["n"])))
 
             def root(x: int) -> int:
                 while parent[x] != x:
@@ -280,9 +279,33 @@ def tile_candidates(rows: DataFrame, classes: DataFrame, comp: DataFrame | None,
                     parent[x] = y
                     keep.append(e)
             i, j = i[keep], j[keep]
-        c = rows["cls"].to_numpy(np.int64)
-        a, b = c[i], c[j]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        c = rows["cls"]
+        return np.minimum(c[i], c[j]), np.maximum(c[i], c[j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # rows come sorted by tile pair and size; a tile pair (at most two tiles) may span batches
+        held = None
+        for batch in chain(batches, [None]):  # None: the end
+            if batch is not None:
+                if not batch.num_rows:
+                    continue
+                part = pa.Table.from_batches([batch])
+                held = part if held is None else pa.concat_tables([held, part])
+            if held is None:
+                continue
+            col = {x: held[x].to_numpy() for x in ("hub", "ta", "tb", "n", "cls", "comp")}
+            col["right"] = held["right"].to_numpy(zero_copy_only=False).astype(bool)
+            new = np.flatnonzero((np.diff(col["hub"]) != 0) | (np.diff(col["ta"]) != 0) | (np.diff(col["tb"]) != 0)) + 1
+            cuts = np.concatenate([[0], new, [] if batch is not None else [held.num_rows]]).astype(int)
+            bitmaps, a, b = held["bitmap"].to_pylist(), [], []
+            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if y - x > 1:
+                    got = pairs({k: v[x:y] for k, v in col.items()} | {"bitmap": bitmaps[x:y]})
+                    a.append(got[0])
+                    b.append(got[1])
+            if a:
+                yield pa.RecordBatch.from_pydict({"a": np.concatenate(a), "b": np.concatenate(b)})
+            held = held.slice(int(cuts[-1])) if batch is not None else None
 
     r = rows.join(classes.select("cls", "n", "bitmap"), "cls")
     if comp is None:
@@ -291,7 +314,9 @@ def tile_candidates(rows: DataFrame, classes: DataFrame, comp: DataFrame | None,
         r = r.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
         wanted = r.groupBy("hub", "ta", "tb").agg((F.min("comp") != F.max("comp")).alias("open")).filter("open")
         r = r.join(wanted.drop("open"), ["hub", "ta", "tb"], "left_semi")
-    return r.groupBy("hub", "ta", "tb").applyInPandas(run, "a bigint, b bigint").distinct()
+    keys = ("hub", "ta", "tb")
+    return r.select(*keys, "right", "cls", "comp", "n", "bitmap").repartition(*keys).sortWithinPartitions(
+        *keys, "n", "cls").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def verified(docs: DataFrame, pairs: DataFrame, facts: DataFrame, k: int, pct: int) -> DataFrame:
