@@ -42,6 +42,15 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("bigint")
 
 
+def under_hash(key: Column, total: int, want: int) -> Column:
+    """True for about ``1.5 * want`` of ``total`` rows by a uniform 64-bit hash: all, if there are fewer.
+
+    Taken before a bounded sort, so that what reaches its last task does not grow with the number of tasks.
+    """
+    share = min(1.0, 1.5 * want / max(1, total))
+    return key <= F.lit(min(2**63 - 1, int(-2**63 + share * 2**64)))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """The installed vocabulary file of that name; every executor has the package."""
     import public_tokenizers

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, under_hash
 from .hashing import text_batches
 
 UNKNOWN = "und"
@@ -131,9 +131,9 @@ def fit(labelled: DataFrame, fit_rows: int = 600, buckets: int = 1 << 16, dim: i
     """Train on (text, lang) rows: at most ``fit_rows`` per language, the ``most_langs`` commonest languages."""
     seen = labelled.filter("text is not null and lang is not null and length(trim(text)) > 0")
     common = seen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect()
-    # the share with the smallest hash, then exactly fit_rows of it: no sort of all rows
+    # a share with small hashes, then at most fit_rows of it: no sort of all rows
     parts = [seen.filter(F.col("lang") == r["lang"]).select("text", "lang", F.xxhash64("text").alias("k"))
-             .orderBy("k", "text").limit(fit_rows) for r in common]
+             .filter(under_hash(F.col("k"), r["count"], fit_rows)).orderBy("k", "text").limit(fit_rows) for r in common]
     if not parts:
         return {"langs": [], "table": np.zeros((buckets, 0), np.float32), "bias": np.zeros(0), "least": 1.0}
     rows = parts[0]
