@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, under_hash
 
 #: The candidate pattern, the dictionary and the word lists of the features.
 KEY = "A-Za-z0-9_+/=-"
@@ -105,8 +105,10 @@ def forest(labelled: DataFrame, fit_rows: int = 5_000, trees: int = 15, depth: i
            seed: int = 7) -> Callable[[Column], Column]:
     """Train on at most ``fit_rows`` rows per class; returns features struct -> share of trees that say secret."""
     key = F.xxhash64(*FEATURES)
-    parts = [labelled.filter(F.col("label") == c).select(*FEATURES, F.lit(float(c)).alias("label"), key.alias("_k"))
-             .orderBy("_k").limit(fit_rows) for c in (0, 1)]
+    labelled = stored(labelled.select(*FEATURES, "label", key.alias("_k")), "secrets-labelled")
+    total = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    parts = [labelled.filter(F.col("label") == c).select(*FEATURES, F.lit(float(c)).alias("label"), "_k")
+             .filter(under_hash(F.col("_k"), total.get(c, 0), fit_rows)).orderBy("_k").limit(fit_rows) for c in (0, 1)]
     fit = stored(parts[0].unionByName(parts[1]).coalesce(1), "secrets-fit")
     classes = [r["label"] for r in fit.select("label").distinct().collect()]
     if len(classes) < 2:
