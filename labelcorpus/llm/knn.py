@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, under_hash
 
 LIMIT = 2**26
 
@@ -90,8 +90,10 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id",
     """query_id, rank, vec_id, score for the rows whose id is divisible by ``every``, against all rows."""
     spark = vectors.sparkSession
     rows = stored(integer_vectors(vectors, key, vector, scale), "knn-vectors")
-    d = (rows.agg(F.max(F.length("v"))).first()[0] or 4) // 4
-    sample = rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(pivots).collect()
+    longest, total = rows.agg(F.max(F.length("v")), F.count("*")).first()
+    d = (longest or 4) // 4
+    sample = rows.select("v", F.xxhash64("v").alias("h")).filter(under_hash(F.col("h"), total, pivots)) \
+        .distinct().orderBy("h", "v").limit(pivots).collect()
     p = spark.sparkContext.broadcast(matrix([r["v"] for r in sample], d))
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
