@@ -6,11 +6,13 @@ next one's input. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelcorpus.llm.common import read, stored, tokenizer_path
-from labelcorpus.llm.jaccard import jaccard_components
+from labelcorpus.llm.jaccard import HOT_BITS, bit_of, bitset, jaccard_components
 from labelcorpus.llm.mixing import mix_sources
 from labelcorpus.llm.packing import best_fit_packing, pieces
 from labelcorpus.llm.quality import quality_rules
@@ -38,11 +40,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     lead = lead.withColumn("lead", F.lit(True))
     # only these keys are joined with the texts: rows that go, and rows that stay once
     odd = keys.join(lead, ["doc_id", "h"], "left").filter("c is not null and n > 0").filter("lead is null or copies > 1")
-    odd = stored(odd.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("lead").alias("_lead")), "copies")
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h"))
-    single = docs.join(odd, same, "left_anti")
-    repeated = docs.join(odd.filter("_lead"), same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return single.unionByName(repeated).select(*docs.columns)
+    odd = stored(odd.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("lead").alias("_lead"),
+                            F.xxhash64("doc_id", "h").alias("_k")), "copies")
+    # a bitset of fixed size tells which rows cannot be among those keys: their texts are not shuffled
+    bits = spark.sparkContext.broadcast(bitset(odd.select(F.shiftrightunsigned("_k", 64 - HOT_BITS).alias("i")), HOT_BITS))
+
+    @F.pandas_udf("boolean")
+    def may_be_odd(k: pd.Series) -> pd.Series:
+        return pd.Series(bit_of(bits.value, HOT_BITS, k.to_numpy(np.int64).view(np.uint64)))
+    told = docs.withColumn("_t", F.xxhash64("text")).withColumn("_odd", may_be_odd(F.xxhash64("doc_id", "_t")))
+    clear, few = told.filter("not _odd"), told.filter("_odd")
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_h"))
+    single = clear.select(*docs.columns).unionByName(few.join(odd, same, "left_anti").select(*docs.columns))
+    repeated = few.join(odd.filter("_lead"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return single.unionByName(repeated.select(*docs.columns))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
