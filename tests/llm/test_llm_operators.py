@@ -196,6 +196,20 @@ def test_packing_round_trip(docs, rows, empty):
     assert best_fit_packing(pieces(empty, tokenizer_path(), cap), cap).count() == 0
 
 
+def test_ids_of_added_tokens():
+    from tokenizers import Tokenizer
+
+    from labelcorpus.llm.common import tokenizer_path
+    from labelcorpus.llm.packing import encoder
+    tok, encode = Tokenizer.from_file(tokenizer_path()), encoder(tokenizer_path())
+    end, rng = "<|endoftext|>", random.Random(8)
+    texts = ["", end, f"a{end}b", f" a  {end}  b\n\n{end}{end}", "<|endoftext|", f"<{end}>", f"x \t{end}\n y", "plain text  "]
+    bits = [end, " ", "  ", "\n", "it's", "é", "日本", "12", "<|", "|>", "\t", "word", "😀"]
+    texts += ["".join(rng.choices(bits, k=rng.randint(1, 20))) for _ in range(500)]
+    for t in texts:
+        assert np.frombuffer(encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 def test_lower_bound_is_below_any_packing():
     from labelcorpus.llm.packing import best_fit_decreasing, lower_bound
     for seed in range(40):
