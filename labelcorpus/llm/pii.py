@@ -1,8 +1,9 @@
 """Personal data: format-preserving Feistel pseudonyms, as column expressions only.
 
-Values are found by pattern and validated: card numbers (13 to 19 digits, Luhn check), telephone numbers (area and exchange
-code 2xx to 9xx), social security numbers, IPv4 addresses (octets up to 255) and dates (of the calendar, 1800 to
-2199). A valid value is permuted within its own format by a keyed Feistel network: its numeric parts are two
+Values are found by pattern and validated: card numbers (13 to 19 digits, Luhn check), telephone numbers (by shape where
+a country code, brackets or a leading 0 mark them, else ten digits with area and exchange code 2xx to 9xx), social security
+numbers, IPv4 addresses (octets up to 255) and dates (of the calendar, 1800 to 2199, in figures, the year first or last;
+03/04/2024 has the month first, 03.04.2024 and 03-04-2024 the day, unless only the other order is a date). A valid value is permuted within its own format by a keyed Feistel network: its numeric parts are two
 numbers, and each round adds a keyed hash of one to the other, modulo that one's range. So a pseudonym is again a valid
 value of the same kind with the same separators, equal values have equal pseudonyms in all documents, and
 the key turns them back (``inverse=True``). Mail addresses get a keyed name at a reserved domain: equal ones
@@ -25,9 +26,22 @@ from pyspark.sql import functions as F
 #: The patterns, tried in this order at every place.
 MAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"
 ADDRESS = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
-DATE = r"(?<![0-9])(?:1[89]|2[01])[0-9]{2}([-/.])[01][0-9]([-/.])[0-3][0-9](?![0-9])"
+YEAR = "(?:1[89]|2[01])[0-9]{2}"
+DATE = (rf"(?<![0-9]){YEAR}[-/.][01][0-9][-/.][0-3][0-9](?![0-9])|(?<![0-9])(?<![0-9][-/.])(?:"
+        + "|".join(f"[0-3]?[0-9]{c}[0-3]?[0-9]{c}" for c in ("-", "/", "[.]")) + f"){YEAR}(?![0-9]|[-/.][0-9])")
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-PHONE = r"(?<![0-9+])(?:\+?1[ .-]?)?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
+#: Ten digits, marked by a country code or brackets, or bare; and numbers grouped in any way, marked by a country code,
+#: brackets or a leading 0. What follows a blank and is a value of its own ends a number.
+TEN = (r"(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})|(?:1[ .-]?)?\([0-9]{3}\))[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+       r"|(?:\+?1[ .-]?)?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-][0-9]{4}"
+       r"|(?<![A-Za-z])(?:1[ .-]?)?[2-9][0-9]{2}[ .-]?[2-9][0-9]{6}(?![A-Za-z])")
+COUNTRY = "(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})"
+_OTHER = (r"(?! (?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![.0-9])|[0-9]{1,4}[-/.][0-9]{1,2}[-/.][0-9]{1,4}(?![-/.0-9])"
+          r"|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}))")
+ABROAD = (rf"(?:\+|00)(?>{COUNTRY})(?: ?\((?:0|[0-9]{{2,5}})\))?(?:[ ./-]?[0-9]){{5}}(?:{_OTHER}[ ./-]?[0-9]){{1,8}}")
+AREA = (rf"\([0-9][1-9][0-9]{{0,3}}\)(?:[ ./-]?[0-9]){{5}}(?:{_OTHER}[ ./-]?[0-9]){{0,5}}"
+        rf"|(?<![A-Za-z.-])0[1-9](?:(?:[ .-][0-9]{{2}}){{4}}|[0-9]{{1,4}}[ /-][0-9]{{3}}(?:{_OTHER}[ -]?[0-9]){{3,6}})(?![A-Za-z])")
+PHONE = f"(?<![0-9+])(?:{TEN}|{ABROAD}|{AREA})(?![0-9])"
 CARD = (r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}|[0-9]{4}(?: [0-9]{4}){3}"
         r"|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5})(?![0-9])")
 ANY = "|".join((MAIL, ADDRESS, DATE, SOCIAL, PHONE, CARD))
@@ -98,7 +112,6 @@ def card(x: Column, key: str, inverse: bool) -> Column:
     def permuted(d: Column) -> Column:
         n = F.length(d) - 1
         a = F.floor(n / 2).cast("int")
-        ten = lambda k: F.pow(F.lit(10.0), k).cast("bigint")
         moved = feistel(F.substring(d, F.lit(1), a), F.substring(d, a + 1, n - a), ten(a), ten(n - a), key, "card", inverse)
         new = let(moved, lambda s: F.concat(pad(s["l"], a), pad(s["r"], n - a)))
         good = check_digit(F.substring(d, F.lit(1), n)) == F.substring(d, n + 1, F.lit(1)).cast("int")
@@ -106,15 +119,49 @@ def card(x: Column, key: str, inverse: bool) -> Column:
     return let(digits_of(x), permuted)
 
 
-def phone(x: Column, key: str, inverse: bool) -> Column:
+def ten(k: Column) -> Column:
+    return F.pow(F.lit(10.0), k).cast("bigint")
+
+
+def ten_digits(x: Column, key: str, inverse: bool) -> Column:
+    """Two permutations: of area and exchange codes from 200 on, which bare numbers need, and of all the others."""
     def permuted(d: Column) -> Column:
-        left = (part(d, 1, 3) - 200) * 800 + part(d, 4, 3) - 200
-        return let(feistel(left, part(d, 7, 4), F.lit(640_000), F.lit(10_000), key, "phone", inverse), lambda s: F.concat(
-            F.when(F.length(digits_of(x)) == 11, "1").otherwise(""), (F.floor(s["l"] / 800) + 200).cast("string"),
-            (s["l"] % 800 + 200).cast("string"), pad(s["r"], 4)))
+        area, exchange = part(d, 1, 3), part(d, 4, 3)
+        usual = (area >= 200) & (exchange >= 200)
+        left = F.when(usual, (area - 200) * 800 + exchange - 200).when(area < 200, area * 1000 + exchange) \
+            .otherwise(200_000 + (area - 200) * 200 + exchange)
+        moved = feistel(left, part(d, 7, 4), F.when(usual, 640_000).otherwise(360_000), F.lit(10_000), key, "phone", inverse)
+
+        def spelled(s: Column) -> Column:
+            n, m = s["l"], s["l"] - 200_000
+            codes = F.when(usual, (F.floor(n / 800) + 200) * 1000 + n % 800 + 200).when(m < 0, n) \
+                .otherwise((F.floor(m / 200) + 200) * 1000 + m % 200)
+            return F.concat(F.when(F.length(digits_of(x)) == 11, "1").otherwise(""), pad(codes, 6), pad(s["r"], 4))
+        return let(moved, spelled)
     return refill(x, let(F.right(digits_of(x), F.lit(10)), permuted))
 
 
+def phone(x: Column, key: str, inverse: bool) -> Column:
+    """Country code, a leading 0 and (0) stay; a number without country code keeps its next digit from being 0."""
+    abroad, nought = x.rlike(r"^(?:\+|00)"), F.when(x.rlike(r"\(0\)"), "0").otherwise("")
+
+    def permuted(d: Column) -> Column:
+        lead = F.when(x.startswith("+"), F.regexp_extract(d, f"^{COUNTRY}", 0)).when(
+            x.startswith("00"), F.regexp_extract(d, f"^00{COUNTRY}", 0)).otherwise(F.regexp_extract(d, "^0?", 0))
+
+        def moved(lead: Column) -> Column:
+            rest = F.substring(d, F.length(lead) + 1, F.length(d))
+            n = F.length(rest)
+            a = F.floor(n / 2).cast("int")
+            least = F.when(abroad, 0).otherwise(ten(a - 1))
+            s = feistel(F.substring(rest, F.lit(1), a).cast("bigint") - least, F.substring(rest, a + 1, n - a), ten(a) - least,
+                        ten(n - a), key, "phone", inverse)
+            return let(s, lambda s: F.concat(lead, nought, pad(s["l"] + least, a), pad(s["r"], n - a)))
+        return let(lead, moved)
+    other = refill(x, let(digits_of(F.regexp_replace(x, r"\(0\)", "")), permuted))
+    return F.when(whole(TEN)(x), ten_digits(x, key, inverse)).otherwise(other)
+
+
 def social(x: Column, key: str, inverse: bool) -> Column:
     area, group, serial = part(x, 1, 3), part(x, 5, 2), part(x, 8, 4)
     good = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
@@ -135,12 +182,43 @@ def address(x: Column, key: str, inverse: bool) -> Column:
         F.floor(s["l"] / 256), s["l"] % 256, F.floor(s["r"] / 256), s["r"] % 256)])))
 
 
+def calendar(days: Column, key: str, inverse: bool) -> Column:
+    """A keyed permutation of the days from FIRST_DAY on."""
+    s = feistel(F.floor(days / DAYS[1]), days % DAYS[1], F.lit(DAYS[0]), F.lit(DAYS[1]), key, "date", inverse)
+    return let(s, lambda s: s["l"] * DAYS[1] + s["r"])
+
+
 def date(x: Column, key: str, inverse: bool) -> Column:
+    first = F.lit(FIRST_DAY).cast("date")
     d = F.try_to_date(F.regexp_replace(x, "[/.]", "-"), "yyyy-MM-dd")
-    days = F.datediff(d, F.lit(FIRST_DAY).cast("date"))
-    s = feistel(F.floor(days / DAYS[1]), days % DAYS[1], F.lit(DAYS[0]), F.lit(DAYS[1]), key, "date", inverse)
-    new = let(s, lambda s: F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), (s["l"] * DAYS[1] + s["r"]).cast("int")), "yyyyMMdd"))
-    return F.when(d.isNotNull(), refill(x, new))
+    new = let(F.datediff(d, first), lambda n: F.date_format(F.date_add(first, calendar(n, key, inverse).cast("int")), "yyyyMMdd"))
+    return F.when(x.rlike("^[0-9]{4}"), F.when(d.isNotNull(), refill(x, new))).otherwise(year_last(x, key, inverse))
+
+
+def year_last(x: Column, key: str, inverse: bool) -> Column:
+    """Permuted until the day can be spelled in the same places and is read in the same order, which turns back."""
+    first = F.lit(FIRST_DAY).cast("date")
+    parts, slash = F.split(x, "[-/.]"), x.contains("/")
+    a, b, y = (F.get(parts, F.lit(i)) for i in range(3))
+    read = lambda month, day: F.try_to_date(F.concat_ws("-", y, pad(month, 2), pad(day, 2)), "yyyy-MM-dd")
+    usual = F.when(slash, read(a, b)).otherwise(read(b, a))
+    other = F.when(slash, read(b, a)).otherwise(read(a, b))
+
+    def permuted(f: Column) -> Column:
+        month_first = slash == f["usual"]
+        fields = lambda n: let(F.date_add(first, n.cast("int")), lambda d: F.struct(
+            F.when(month_first, F.month(d)).otherwise(F.day(d)).alias("a"),
+            F.when(month_first, F.day(d)).otherwise(F.month(d)).alias("b"), F.day(d).alias("day"), F.year(d).alias("y")))
+        fits = lambda n: let(fields(n), lambda v: ((F.length(a) == 2) | (v["a"] < 10))
+                             & ((F.length(b) == 2) | (v["b"] < 10)) & (f["usual"] | (v["day"] > 12)))
+        step = lambda n: let(calendar(n, key, inverse), lambda m: F.struct(m.alias("n"), fits(m).alias("done")))
+        start = F.struct(f["n"].cast("bigint").alias("n"), F.lit(False).alias("done"))
+        # over a fifth of all days fit in any case: 300 steps fail with odds below 10**-30
+        found = F.aggregate(F.sequence(F.lit(1), F.lit(300)), start, lambda s, _: F.when(s["done"], s).otherwise(step(s["n"])))
+        return let(found, lambda s: F.when(s["done"], let(fields(s["n"]), lambda v: refill(x, F.concat(
+            pad(v["a"], F.length(a)), pad(v["b"], F.length(b)), pad(v["y"], 4))))))
+    days = F.datediff(F.coalesce(usual, other), first)
+    return F.when(days.isNotNull(), let(F.struct(days.alias("n"), usual.isNotNull().alias("usual")), permuted))
 
 
 def mail(x: Column, key: str, inverse: bool) -> Column:

@@ -301,6 +301,44 @@ def test_pseudonyms_keep_format_and_turn_back(spark, empty):
     assert pseudonymise(empty, "k").count() == 0
 
 
+NUMBERS = ["+1 (017) 555-7713", "+1 (132) 555-1352", "+1 (499) 555-6503", "+10175557713", "(030) 123-4567", "(555)5551234", "555-5551234",
+           "5555551234", "1 555 555 1234", "+49 30 1234567", "+4930123456", "+49 (0)30 1234567", "0044 20 7946 0958", "+33 1 23 45 67 89",
+           "+351 21 123 4567", "(030) 1234567", "(0171) 123 45 67", "01 23 45 67 89", "020 7946 0958", "0171/1234567", "+1 555-12345"]
+DATES = ["2024-03-14", "03/14/2024", "14.03.2024", "14/03/2024", "03.14.2024", "14-03-2024", "3/4/2024", "4.3.2024", "12/5/2024",
+         "3/14/2024", "29.02.2024", "31/12/1999", "14.3.2024"]
+NEITHER = ["29.02.2023", "13/13/2024", "1.2.3.2004", "12 of 3456", "1700000000", "a5555551234", "123456789", "00.00.2024"]
+
+
+def test_numbers_and_dates_in_all_forms(spark):
+    from labelcorpus.llm.pii import pseudonymise
+    texts = [f"call {x}, now" for x in NUMBERS + DATES + NEITHER] + ["+49 30 1234567 190.137.223.204 +1 (826) 555-4081 14.03.2024"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    safe = pseudonymise(d, "k").localCheckpoint()
+    out = [r for r in safe.orderBy("doc_id").collect()]
+    for i, x in enumerate(NUMBERS + DATES + NEITHER):
+        kinds = (out[i]["n_phone"], out[i]["n_date"], out[i]["n_findings"])
+        assert kinds == ((1, 0, 1) if x in NUMBERS else (0, 1, 1) if x in DATES else (0, 0, 0)), (x, kinds)
+        shape = lambda t: "".join("0" if c.isdigit() else c for c in t)
+        assert shape(out[i]["safe_text"]) == shape(texts[i]) and (out[i]["safe_text"] == texts[i]) == (x in NEITHER), x
+    assert (out[-1]["n_phone"], out[-1]["n_address"], out[-1]["n_date"]) == (2, 1, 1)
+    for key in ("k", "l", "m"):
+        back = pseudonymise(pseudonymise(d, key).select("doc_id", F.col("safe_text").alias("text")), key, inverse=True)
+        assert [r["safe_text"] for r in back.orderBy("doc_id").collect()] == texts
+
+
+def test_all_numbers_of_the_tables(spark):
+    import re
+
+    from labelcorpus.llm.common import read
+    from labelcorpus.llm.pii import pseudonymise
+    docs = read(spark, "/root/testdata/sf0.1", "documents").filter("text like '%+1 (%'")
+    plain = re.compile(r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}")
+    rows = pseudonymise(docs, "k").select("text", "safe_text", "n_phone").collect()
+    assert sum(len(plain.findall(r["text"])) for r in rows) == 159
+    for r in rows:
+        assert r["n_phone"] >= len(plain.findall(r["text"])) and not any(x in r["safe_text"] for x in plain.findall(r["text"]))
+
+
 # op4 ----------------------------------------------------------------------------------------
 def test_secrets_found_and_masked(spark, empty):
     from labelcorpus.llm.secrets import secret_scan, secret_spans
