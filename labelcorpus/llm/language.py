@@ -3,7 +3,7 @@
 A text's subwords are the byte 2-, 3- and 4-grams of its lower-cased letters, with one blank for everything else, hashed
 into a fixed number of buckets. The text's vector is the mean of its subwords' embeddings; a linear layer and a
 softmax give the languages. Embeddings and layer are trained together by stochastic gradient descent in numpy, in
-one task, on at most ``fit_rows`` labelled texts per language, those with the smallest hash.
+one task, on at most ``fit_rows`` distinct labelled texts per language, those with the smallest hash.
 A tenth of the sample, not used for the gradient, calibrates a temperature and the score under which a
 prediction is marked as rejected.
 
@@ -23,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, under_hash
+from .common import stored
 from .hashing import text_batches
 
 UNKNOWN = "und"
@@ -127,18 +127,24 @@ def train(rows: pd.DataFrame, buckets: int, dim: int, epochs: int, rate: float,
 
 
 def fit(labelled: DataFrame, fit_rows: int = 600, buckets: int = 1 << 16, dim: int = 16, epochs: int = 3,
-        rate: float = 0.5, seed: int = 1, most_langs: int = 64) -> dict:
-    """Train on (text, lang) rows: at most ``fit_rows`` per language, the ``most_langs`` commonest languages."""
-    seen = labelled.filter("text is not null and lang is not null and length(trim(text)) > 0")
-    common = seen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect()
-    # a share with small hashes, then at most fit_rows of it: no sort of all rows
-    parts = [seen.filter(F.col("lang") == r["lang"]).select("text", "lang", F.xxhash64("text").alias("k"))
-             .filter(under_hash(F.col("k"), r["count"], fit_rows)).orderBy("k", "text").limit(fit_rows) for r in common]
-    if not parts:
+        rate: float = 0.5, seed: int = 1, most_rows: int = 38_400) -> dict:
+    """Train on (text, lang) rows: every language, at most ``fit_rows`` distinct texts of each.
+
+    From ``most_rows / fit_rows`` languages on each has an equal share of ``most_rows``, 20 texts at least.
+    """
+    seen = labelled.filter("text is not null and lang is not null and length(trim(text)) > 0") \
+        .select("text", "lang", F.xxhash64("text").alias("k"))
+    per = stored(seen.groupBy("lang").agg(F.approx_count_distinct("k").alias("n")), "language-counts")
+    n_langs = per.count()
+    if not n_langs:
         return {"langs": [], "table": np.zeros((buckets, 0), np.float32), "bias": np.zeros(0), "least": 1.0}
-    rows = parts[0]
-    for x in parts[1:]:
-        rows = rows.unionByName(x)
+    want = min(fit_rows, max(20, most_rows // n_langs))
+    # a share with small hashes, then at most so many of it, copies once: no sort of all rows
+    share = F.least(F.lit(1.0), 1.5 * want / F.col("n")) * 2.0**64 - 2.0**63
+    limits = per.select("lang", F.when(F.col("n") <= 1.5 * want, 2**63 - 1).otherwise(share.cast("bigint")).alias("limit"))
+    few = seen.join(limits, "lang").filter(F.col("k") <= F.col("limit")).groupBy("lang", "k").agg(F.min("text").alias("text"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("k"))
+    rows = few.withColumn("_n", first).filter(F.col("_n") <= want).select("text", "lang", "k")
     rows = stored(rows, "language-fit")
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

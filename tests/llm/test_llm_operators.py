@@ -260,6 +260,14 @@ def test_language_held_out_accuracy(spark, empty):
     assert predict(learn, none).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_every_language_is_learnt(spark):
+    from labelcorpus.llm.language import fit
+    rng = random.Random(6)
+    data = [(_prose(rng, 6), f"l{i % 70:02}") for i in range(70 * 4)] + [(_prose(rng, 6), "rare")]
+    learn = spark.createDataFrame(data, "text string, lang string")
+    assert fit(learn, buckets=1 << 8, epochs=1)["langs"] == sorted({x for _, x in data})
+
+
 # op7 ----------------------------------------------------------------------------------------
 def test_url_rules_and_templates(spark):
     from labelcorpus.llm.urls import url_filter
