@@ -103,7 +103,7 @@ def source_cuts(facts: DataFrame, weights: Sequence[int], total_pct: float, max_
     bins = bins.withColumn("_rest", F.col("target") - F.sum("_sure_words").over(whole)) \
         .withColumn("_before", F.coalesce(F.sum("_words").over(before), F.lit(0)))
     # the bin in which the target is met: one per source, or none if all can be drawn
-    edge = bins.filter((F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("_words") > F.col("_rest"))) \
+    edge = bins.filter((F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("_words") >= F.col("_rest"))) \
         .select(F.col("source").alias("_s"), F.col("_bin").alias("_b"), "_rest", "_before")
     docs = d.filter("_rank is not null").join(
         edge, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bin") == F.col("_b")))

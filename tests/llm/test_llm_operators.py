@@ -158,6 +158,13 @@ def test_mix_weight_changes_inclusion(spark):
     assert n[True] + n[False] == 1600 and 2.4 < n[True] / n[False] < 3.8
 
 
+def test_mix_target_met_at_the_end_of_a_bin(spark):
+    from labelcorpus.llm.mixing import mix_sources
+    d = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"))
+    for seed in (1, 2):
+        assert mix_sources(d, total_pct=40.0, seed=seed, bin_docs=1).agg(F.sum("copies")).first()[0] == 16
+
+
 # op2 ----------------------------------------------------------------------------------------
 def test_packing_round_trip(docs, rows, empty):
     from tokenizers import Tokenizer
