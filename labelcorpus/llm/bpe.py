@@ -1,11 +1,15 @@
 """Byte-level BPE encoding and decoding by lazily determinised transducers.
 
 Encoding. A token sequence is the BPE encoding of its bytes exactly if every two neighbours are: merging the bytes of
-the pair gives the pair back. The merges therefore compile into a transducer over bytes that guesses token borders and
-checks neighbours. It is determinised while it runs: a state holds the guesses that are still open after some bytes, as
-the tokens each would write and the beginning of the token it is in. What all guesses agree on is written at once, so the
-output lags the input by less than the longest token. States and steps are built when they are first met and thrown
-away together when ``MOST_STATES`` exist; a word's ids are kept likewise in a table of ``MOST_WORDS`` words.
+the pair gives the pair back. So the merges compile into a transducer over bytes that guesses token borders and checks
+neighbours. It is determinised while it runs: a state is the set of all nodes of the tokens' byte tree in which an open
+guess may be, and each state and step is built when it is first met. Beside the state runs a register with the token
+that ends at each border: of the tokens that end at a byte exactly one is a neighbour of the token that ends where it
+begins, since bytes have one encoding. (With the register inside the states nearly every new word makes new ones.) What
+all open guesses have in common is written, so the output lags the input by some lengths of the longest token.
+Checked pairs and the ids of short words are kept in tables that are emptied when they are full. The short words that a
+batch of texts brings anew run through the machine together, one byte of each at a time, in numpy arrays; long words
+run alone.
 
 Decoding. The state of a UTF-8 decoder is the unfinished character so far (at most three bytes). Its steps over whole
 tokens are built when first met from its steps over bytes; ill-formed bytes become U+FFFD (one for each maximal part of
@@ -22,16 +26,30 @@ from __future__ import annotations
 
 import base64
 import gc
+import sys
 from array import array
+from collections import deque
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST_STATES = 200_000
+MOST_STATES = 20_000
+MOST_PAIRS = 300_000
 MOST_WORDS = 200_000
-LONGEST_WORD_KEPT = 64
+#: Words up to this length (in bytes) run together, so many of them at once, where at most so many tokens end at a byte.
+LONGEST_TOGETHER = 64
+TOGETHER = 20_000
+MOST_ENDS = 8
+#: Slots of the pair table of words that run together.
+PAIR_SLOTS = 1 << 20
+#: Characters of text whose words are gathered.
+GATHERED = 1 << 21
+#: Within a longer word what is sure is written after every so many bytes.
+WRITE_EVERY = 1_024
 #: Ids and texts go back to Spark in batches of about this many bytes.
 BATCH_BYTES = 8 << 20
 
@@ -52,11 +70,25 @@ class Merges:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.inner = {t[:n] for t in ranks for n in range(1, len(t))}
         self.token = {i: t for t, i in ranks.items()}
+        # The tokens' bytes as a tree: (node, byte) -> node, and the nodes' tokens and whether they go on.
+        self.child: dict[int, int] = {}
+        self.ends: list[int | None] = [None]
+        self.goes_on = [True]
+        for token, i in ranks.items():
+            node = 0
+            for byte in token:
+                self.goes_on[node] = True
+                found = self.child.get(node << 8 | byte)
+                if found is None:
+                    found = self.child[node << 8 | byte] = len(self.ends)
+                    self.ends.append(None)
+                    self.goes_on.append(False)
+                node = found
+            self.ends[node] = i
         self._left: dict[int, tuple] = {}
         self._right: dict[int, tuple] = {}
-        self._neighbours: dict[tuple[int, int], bool] = {}
+        self._neighbours: dict[int, bool] = {}
 
     def merges(self, data: bytes) -> tuple[list[bytes], list[bytes]]:
         """The parts that are left after merging the lowest-ranked (then leftmost) pair for ever, and those before the last merge."""
@@ -100,11 +132,12 @@ class Merges:
         A merge across the border takes place if its rank comes before those that end its two parts; of equal ranks the
         leftmost goes first.
         """
-        known = self._neighbours.get((left, right))
+        pair = left << 32 | right
+        known = self._neighbours.get(pair)
         if known is None:
-            if len(self._neighbours) >= 2 * MOST_STATES:
+            if len(self._neighbours) >= MOST_PAIRS:
                 self._neighbours.clear()
-            known = self._neighbours[left, right] = self._border(left, right)
+            known = self._neighbours[pair] = self._border(left, right)
         return known
 
     def _border(self, left: int, right: int) -> bool:
@@ -122,106 +155,224 @@ class Merges:
         return True
 
 
-class State(dict):
-    """A determinised state: byte -> (next state, ids written), filled when a byte is first read.
-
-    ``last`` is the last id written; ``guesses`` are pairs (ids to write, beginning of the token being read).
-    """
-    __slots__ = ("machine", "last", "guesses", "final")
-
-    def __init__(self, machine: "Encoder", last: int, guesses: tuple):
-        super().__init__()
-        self.machine, self.last, self.guesses = machine, last, guesses
-        self.final = guesses[-1][0]
-
-    def __missing__(self, byte: int) -> tuple["State", tuple[int, ...]]:
-        step = self[byte] = self.machine.step(self, bytes((byte,)))
-        return step
-
-
 class Encoder:
-    """Bytes to ids; the machine's states live as long as the encoder or until there are too many."""
+    """Text to ids. ``steps`` leads from (state, byte) to the next state; ``opens`` holds a state's nodes by the bytes read
+    since their border, the most first, ``ends`` the tokens that end there: (length, id) of all but the shortest, the longest
+    first, and the shortest, which needs no check where the others fail."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
         self.merges = Merges(ranks)
-        self.words = regex.compile(pattern).finditer
-        self.kept: dict[str, list[int]] = {}
-        self.states: dict[tuple, State] = {}
+        self.pattern = regex.compile(pattern)
+        self.known: dict[str, list[int]] = {}
+        self.token_length = np.zeros(max(ranks.values()) + 1, np.int64)
+        for token, i in ranks.items():
+            self.token_length[i] = len(token)
+        self.pairs = np.full(PAIR_SLOTS, -1, np.int64)
+        self.fit = np.zeros(PAIR_SLOTS, bool)
         self.restart()
 
     def restart(self) -> None:
-        for state in self.states.values():
-            state.clear()  # states refer to each other in circles
-        self.states = {}
-        self.start = self.state(-1, (((), b""),))
-
-    def state(self, last: int, guesses: tuple) -> State:
-        found = self.states.get((last, guesses))
-        if found is None:
-            found = self.states[last, guesses] = State(self, last, guesses)
-        return found
-
-    def step(self, state: State, byte: bytes) -> tuple[State, tuple[int, ...]]:
-        """The state after one more byte, and the ids on which all its guesses agree.
-
-        Bytes have one encoding, so one guess ends a token here. Guesses stand in the order of their open beginnings,
-        the longest first.
-        """
-        inner, ranks, neighbours = self.merges.inner, self.merges.ranks, self.merges.neighbours
-        guesses, ended = [], None
-        for ids, begun in state.guesses:
-            read = begun + byte
-            if read in inner:
-                guesses.append((ids, read))
-            if ended is None:
-                token = ranks.get(read)
-                if token is not None and neighbours(ids[-1] if ids else state.last, token):
-                    ended = ids + (token,)
-        guesses.append((ended, b""))
-        if not guesses[0][0]:
-            return self.state(state.last, tuple(guesses)), ()
-        first, last = min(guesses)[0], max(guesses)[0]
-        sure = next((n for n, (a, b) in enumerate(zip(first, last)) if a != b), min(len(first), len(last)))
-        if not sure:
-            return self.state(state.last, tuple(guesses)), ()
-        return self.state(first[sure - 1], tuple((ids[sure:], begun) for ids, begun in guesses)), first[:sure]
+        self.numbers: dict[tuple, int] = {}
+        self.steps: dict[int, int] = {}
+        self.opens: list[tuple] = []
+        self.ends: list[tuple] = []
+        # The same for words that run together: steps, and the tokens that end at a state (length, id, number of the longer).
+        self.table = np.full((256, 256), -1, np.int32)
+        self.end_length = np.zeros((256, MOST_ENDS), np.int32)
+        self.end_token = np.zeros((256, MOST_ENDS), np.int32)
+        self.shortest = np.zeros(256, np.int32)
+        self.longer = np.zeros(256, np.int32)
+        self.state(((0, 0),), ((), -1))
+
+    def state(self, opens: tuple, ends: tuple) -> int:
+        number = self.numbers.get((opens, ends))
+        if number is None:
+            number = self.numbers[opens, ends] = len(self.opens)
+            self.opens.append(opens)
+            self.ends.append(ends)
+            if number == len(self.table):
+                for name, empty in (("table", -1), ("end_length", 0), ("end_token", 0), ("shortest", 0), ("longer", 0)):
+                    old = getattr(self, name)
+                    setattr(self, name, np.concatenate([old, np.full_like(old, empty)]))
+            longer, self.shortest[number] = ends
+            self.longer[number] = len(longer)
+            for k, (length, token) in enumerate(longer[:MOST_ENDS]):
+                self.end_length[number, k], self.end_token[number, k] = length, token
+        return number
+
+    def step(self, number: int, byte: int) -> int:
+        """Builds a step: every open guess reads the byte, and a new guess begins behind it."""
+        merges = self.merges
+        opens, ends = [], []
+        for length, node in self.opens[number]:
+            node = merges.child.get(node << 8 | byte)
+            if node is not None:
+                if merges.goes_on[node]:
+                    opens.append((length + 1, node))
+                if merges.ends[node] is not None and merges.spine(merges._left, merges.ends[node]):
+                    ends.append((length + 1, merges.ends[node]))
+        to = self.steps[number << 8 | byte] = self.state((*opens, (0, 0)), (tuple(ends[:-1]), ends[-1][1]))
+        self.table[number, byte] = to
+        return to
 
     def word(self, data: bytes) -> list[int]:
         """Ids of one word. A word that is a token by itself is that token, merges or not."""
         token = self.merges.ranks.get(data)
         if token is not None:
             return [token]
-        if len(self.states) > MOST_STATES:
+        if len(self.opens) > MOST_STATES:
             self.restart()
-        out: list[int] = []
-        state = self.start
+        steps, ends, neighbours = self.steps, self.ends, self.merges.neighbours
+        known = self.merges._neighbours
+        written: list[int] = []
+        register = [-1]  # the token that ends at each border since the last one written
+        state, at = 0, 0
         for byte in data:
-            state, written = state[byte]
-            if written:
-                out += written
-                if len(self.states) > 2 * MOST_STATES:  # within a very long word
-                    last, guesses = state.last, state.guesses
-                    self.restart()
-                    state = self.state(last, guesses)
-        out += state.final
+            key = state << 8 | byte
+            state = steps.get(key)
+            if state is None:
+                state = self.step(key >> 8, byte)
+            at += 1
+            longer, token = ends[state]
+            for length, other in longer:
+                left = register[at - length]
+                fits = known.get(left << 32 | other)
+                if fits or fits is None and neighbours(left, other):
+                    token = other
+                    break
+            register.append(token)
+            if at >= WRITE_EVERY:
+                at = self.write(state, register, written)
+        return written + self.path(register, at)
+
+    def path(self, register: list[int], border: int) -> list[int]:
+        """The tokens from the register's beginning to a border."""
+        out, tokens = [], self.merges.token
+        while border:
+            out.append(register[border])
+            border -= len(tokens[register[border]])
+        out.reverse()
         return out
 
-    def __call__(self, text: str) -> array:
-        out = array("I")
-        kept = self.kept
-        for match in self.words(text):
-            word = match.group()
-            ids = kept.get(word)
-            if ids is None:
-                ids = self.word(word.encode())
-                if len(word) <= LONGEST_WORD_KEPT:
-                    if len(kept) >= MOST_WORDS:
-                        kept.clear()
-                    kept[word] = ids
-            out.extend(ids)
+    def write(self, state: int, register: list[int], written: list[int]) -> int:
+        """Writes the tokens that the paths to all open borders share, and drops their part of the register."""
+        end, tokens = len(register) - 1, self.merges.token
+        borders = {end - length for length, _ in self.opens[state]}
+        while len(borders) > 1:
+            last = max(borders)
+            borders.remove(last)
+            borders.add(last - len(tokens[register[last]]))
+        shared = borders.pop()
+        written += self.path(register, shared)
+        if shared:
+            register[:] = [register[shared], *register[shared + 1:]]
+        return end - shared
+
+    def fits(self, left: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """``neighbours`` for arrays, by a table in which a pair may push out another one."""
+        pair = (left.astype(np.int64) + 1) << 32 | token
+        slot = (pair * 0x9E3779B97F4A7C1 >> 24) & (PAIR_SLOTS - 1)
+        fit = self.fit[slot]
+        missing = np.flatnonzero(self.pairs[slot] != pair)
+        if len(missing):
+            new, back = np.unique(pair[missing], return_inverse=True)
+            answers = np.array([self.merges._border((p >> 32) - 1, p & 0xFFFFFFFF) for p in new.tolist()], bool)
+            fit[missing] = answers[back]
+            self.pairs[slot[missing]], self.fit[slot[missing]] = pair[missing], fit[missing]
+        return fit
+
+    def together(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of words of at most LONGEST_TOGETHER bytes: ``word`` for all of them at once."""
+        if len(self.opens) > MOST_STATES:
+            self.restart()
+        lengths = np.array([len(w) for w in words])
+        order = np.argsort(-lengths, kind="stable")
+        lengths, most = lengths[order], int(lengths[order[0]])
+        given = np.array([words[k] for k in order.tolist()], dtype=f"S{most}").view(np.uint8).reshape(len(words), most).T
+        given = np.ascontiguousarray(given)
+        register = np.full((most + 1, len(words)), -1, np.int32)
+        state, alone = np.zeros(len(words), np.int32), np.zeros(len(words), bool)
+        for at in range(1, most + 1):
+            n = int(np.searchsorted(-lengths, -at, side="right"))
+            before, byte = state[:n], given[at - 1, :n]
+            to = self.table[before, byte]
+            missing = np.flatnonzero(to < 0)
+            if len(missing):
+                for key in np.unique(before[missing].astype(np.int64) << 8 | byte[missing]).tolist():
+                    self.step(key >> 8, key & 255)
+                to = self.table[before, byte]
+            state[:n] = to
+            token, longer = self.shortest[to], self.longer[to]
+            alone[:n] |= longer > MOST_ENDS
+            unsure = np.flatnonzero((longer > 0) & ~alone[:n])
+            for k in range(MOST_ENDS):
+                if not len(unsure):
+                    break
+                of = to[unsure]
+                other = self.end_token[of, k]
+                fit = self.fits(register[at - self.end_length[of, k], unsure], other)
+                token[unsure[fit]] = other[fit]
+                unsure = unsure[~fit]
+                unsure = unsure[longer[unsure] > k + 1]
+            register[at, :n] = token
+        # Back from the ends.
+        border, who, ids = lengths.copy(), np.arange(len(words)), []
+        border[alone] = 0
+        while len(who):
+            who = who[border[who] > 0]
+            token = register[border[who], who]
+            ids.append((who, token))
+            border[who] -= self.token_length[token]
+        who, token = (np.concatenate(c)[::-1] for c in zip(*ids))
+        by_word = np.argsort(who, kind="stable")
+        flat = token[by_word].tolist()
+        cuts = np.searchsorted(who[by_word], np.arange(len(words) + 1)).tolist()
+        out: list = [None] * len(words)
+        for k, place in enumerate(order.tolist()):
+            out[place] = self.word(words[place]) if alone[k] else flat[cuts[k]:cuts[k + 1]]
         return out
 
+    def learn(self, words: set[str]) -> None:
+        """Has the table of words know these."""
+        if len(self.known) + len(words) > MOST_WORDS:
+            self.known.clear()
+        new = [(w, w.encode()) for w in words.difference(self.known) if len(w) <= LONGEST_TOGETHER]
+        ranks = self.merges.ranks
+        self.known.update((w, [ranks[data]]) for w, data in new if data in ranks)
+        # A null byte at a word's end would get lost in an array of byte strings.
+        new = [(w, data) for w, data in new if data not in ranks and len(data) <= LONGEST_TOGETHER and data[-1]]
+        for at in range(0, len(new), TOGETHER):
+            part = new[at:at + TOGETHER]
+            self.known.update(zip((w for w, _ in part), self.together([data for _, data in part])))
+
+    def ids(self, words: Iterable[str]) -> array:
+        out, known = array("I"), self.known
+        out.extend(chain.from_iterable(known.get(w) or self.word(w.encode()) for w in words))
+        return out
+
+    def encode(self, texts: Iterable[str]) -> Iterator[array]:
+        """Ids of each text; the words of some texts are learned together."""
+        def done() -> Iterator[array]:
+            self.learn(set(chain.from_iterable(held)))
+            yield from map(self.ids, held)
+        held, size = [], 0
+        for text in texts:
+            if len(text) > GATHERED:  # read as a stream
+                yield from done()
+                held, size = [], 0
+                yield self.ids(m.group() for m in self.pattern.finditer(text))
+                continue
+            held.append(self.pattern.findall(text))
+            size += len(text)
+            if size > GATHERED:
+                yield from done()
+                held, size = [], 0
+        yield from done()
+
+    def __call__(self, text: str) -> array:
+        return next(self.encode([text]))
+
 
 def utf8_step(tail: bytes, byte: int) -> tuple[bytes, str]:
     """The UTF-8 machine: unfinished bytes and the next one to unfinished bytes and text."""
@@ -309,17 +460,20 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
            ids: str = "ids") -> DataFrame:
     """key and ids for every row: unsigned 32-bit little-endian ids in one binary value (see ``id_array``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(read_ranks(ranks_path), pattern)
+        encoder, little = Encoder(read_ranks(ranks_path), pattern), sys.byteorder == "little"
 
         def rows() -> Iterator[tuple]:
-            for batch in batches:
-                for k, t in zip(batch["k"], batch["t"]):
-                    out = encoder(t.as_py() or "")
-                    if out.itemsize != 4:
-                        raise TypeError("unsigned int of 4 bytes expected")
-                    yield k.as_py(), out.tobytes()
+            keys = deque()  # of the texts whose words are being gathered
+
+            def texts() -> Iterator[str]:
+                for batch in batches:
+                    for k, t in zip(batch["k"], batch["t"]):
+                        keys.append(k.as_py())
+                        yield t.as_py() or ""
+            for out in encoder.encode(texts()):
+                yield keys.popleft(), out.tobytes() if little else out.byteswap() or out.tobytes()
         collecting = gc.isenabled()
-        gc.disable()  # the machine's many small objects are never garbage, walking them would double the time
+        gc.disable()  # the machine's many small objects hold no circles, walking them would double the time
         try:
             yield from _sized(rows(), pa.schema([("k", kind), ("ids", pa.binary())]))
         finally:
