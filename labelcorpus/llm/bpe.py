@@ -26,10 +26,8 @@ from __future__ import annotations
 
 import base64
 import gc
-import sys
-from array import array
 from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -155,6 +153,25 @@ class Merges:
         return True
 
 
+def pack(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return np.array(ids, "<u4").tobytes()
+
+
+class Words(dict):
+    """word -> packed ids; a word that was not learned is encoded alone and, if it is long, not kept."""
+    __slots__ = ("encoder",)
+
+    def __missing__(self, word: str) -> bytes:
+        data = word.encode()
+        ids = pack(self.encoder.word(data))
+        if len(data) <= LONGEST_TOGETHER:
+            if len(self) > 2 * MOST_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Text to ids. ``steps`` leads from (state, byte) to the next state; ``opens`` holds a state's nodes by the bytes read
     since their border, the most first, ``ends`` the tokens that end there: (length, id) of all but the shortest, the longest
@@ -164,7 +181,8 @@ class Encoder:
         import regex
         self.merges = Merges(ranks)
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, list[int]] = {}
+        self.known = Words()
+        self.known.encoder = self
         self.token_length = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, i in ranks.items():
             self.token_length[i] = len(token)
@@ -282,8 +300,8 @@ class Encoder:
             self.pairs[slot[missing]], self.fit[slot[missing]] = pair[missing], fit[missing]
         return fit
 
-    def together(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of words of at most LONGEST_TOGETHER bytes: ``word`` for all of them at once."""
+    def together(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of words of at most LONGEST_TOGETHER bytes: ``word`` for all of them at once."""
         if len(self.opens) > MOST_STATES:
             self.restart()
         lengths = np.array([len(w) for w in words])
@@ -326,11 +344,11 @@ class Encoder:
             border[who] -= self.token_length[token]
         who, token = (np.concatenate(c)[::-1] for c in zip(*ids))
         by_word = np.argsort(who, kind="stable")
-        flat = token[by_word].tolist()
-        cuts = np.searchsorted(who[by_word], np.arange(len(words) + 1)).tolist()
+        flat = token[by_word].astype("<u4").tobytes()
+        cuts = (4 * np.searchsorted(who[by_word], np.arange(len(words) + 1))).tolist()
         out: list = [None] * len(words)
         for k, place in enumerate(order.tolist()):
-            out[place] = self.word(words[place]) if alone[k] else flat[cuts[k]:cuts[k + 1]]
+            out[place] = pack(self.word(words[place])) if alone[k] else flat[cuts[k]:cuts[k + 1]]
         return out
 
     def learn(self, words: set[str]) -> None:
@@ -339,29 +357,27 @@ class Encoder:
             self.known.clear()
         new = [(w, w.encode()) for w in words.difference(self.known) if len(w) <= LONGEST_TOGETHER]
         ranks = self.merges.ranks
-        self.known.update((w, [ranks[data]]) for w, data in new if data in ranks)
+        self.known.update((w, pack([ranks[data]])) for w, data in new if data in ranks)
         # A null byte at a word's end would get lost in an array of byte strings.
         new = [(w, data) for w, data in new if data not in ranks and len(data) <= LONGEST_TOGETHER and data[-1]]
         for at in range(0, len(new), TOGETHER):
             part = new[at:at + TOGETHER]
             self.known.update(zip((w for w, _ in part), self.together([data for _, data in part])))
 
-    def ids(self, words: Iterable[str]) -> array:
-        out, known = array("I"), self.known
-        out.extend(chain.from_iterable(known.get(w) or self.word(w.encode()) for w in words))
-        return out
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text, packed; the words of some texts are learned together."""
+        ids = self.known.__getitem__
 
-    def encode(self, texts: Iterable[str]) -> Iterator[array]:
-        """Ids of each text; the words of some texts are learned together."""
-        def done() -> Iterator[array]:
+        def done() -> Iterator[bytes]:
             self.learn(set(chain.from_iterable(held)))
-            yield from map(self.ids, held)
+            for words in held:
+                yield b"".join(map(ids, words))
         held, size = [], 0
         for text in texts:
             if len(text) > GATHERED:  # read as a stream
                 yield from done()
                 held, size = [], 0
-                yield self.ids(m.group() for m in self.pattern.finditer(text))
+                yield b"".join(ids(m.group()) for m in self.pattern.finditer(text))
                 continue
             held.append(self.pattern.findall(text))
             size += len(text)
@@ -370,8 +386,8 @@ class Encoder:
                 held, size = [], 0
         yield from done()
 
-    def __call__(self, text: str) -> array:
-        return next(self.encode([text]))
+    def __call__(self, text: str) -> list[int]:
+        return np.frombuffer(next(self.encode([text])), "<u4").tolist()
 
 
 def utf8_step(tail: bytes, byte: int) -> tuple[bytes, str]:
@@ -419,17 +435,28 @@ class Decoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.tokens = {i: t for t, i in ranks.items()}
         self.states: dict[bytes, DecoderState] = {}
-        self.at = self.state(b"")
+        self.start = self.at = self.state(b"")
+        #: The tokens that are whole characters.
+        self.plain = {}
+        for token in self.tokens:
+            state, text = self.start[token]
+            if state is self.start:
+                self.plain[token] = text
 
     def state(self, tail: bytes) -> DecoderState:
-        if len(self.states) > MOST_STATES:
-            self.states = {}
         found = self.states.get(tail)
         if found is None:
+            if len(self.states) > MOST_STATES:
+                self.states = {b"": self.start}
             found = self.states[tail] = DecoderState(self, tail)
         return found
 
-    def feed(self, ids: Iterable[int]) -> str:
+    def feed(self, ids: Sequence[int]) -> str:
+        if self.at is self.start:
+            try:
+                return "".join(map(self.plain.__getitem__, ids))
+            except KeyError:  # some character is spread over tokens
+                pass
         state, out = self.at, []
         for token in ids:
             state, text = state[token]
@@ -439,7 +466,7 @@ class Decoder:
 
     def finish(self) -> str:
         """Ends the text: an unfinished character becomes U+FFFD."""
-        unfinished, self.at = self.at.tail, self.state(b"")
+        unfinished, self.at = self.at.tail, self.start
         return "�" if unfinished else ""
 
 
@@ -460,7 +487,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
            ids: str = "ids") -> DataFrame:
     """key and ids for every row: unsigned 32-bit little-endian ids in one binary value (see ``id_array``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, little = Encoder(read_ranks(ranks_path), pattern), sys.byteorder == "little"
+        encoder = Encoder(read_ranks(ranks_path), pattern)
 
         def rows() -> Iterator[tuple]:
             keys = deque()  # of the texts whose words are being gathered
@@ -471,7 +498,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
                         keys.append(k.as_py())
                         yield t.as_py() or ""
             for out in encoder.encode(texts()):
-                yield keys.popleft(), out.tobytes() if little else out.byteswap() or out.tobytes()
+                yield keys.popleft(), out
         collecting = gc.isenabled()
         gc.disable()  # the machine's many small objects hold no circles, walking them would double the time
         try:
