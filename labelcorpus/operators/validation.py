@@ -25,7 +25,54 @@ def _issues(*conds_msgs):
     return F.filter(F.array(*[F.when(c, m) for c, m in conds_msgs]), lambda x: x.isNotNull())
 
 
+# One aggregate for the rules that look at ingredients --------------------------------------
+def ingredient_facts(ingredients_with_fractions, declared, found=None, records=None, threshold: float = 0.02,
+                     tol: float = 1e-9):
+    """Per food, from one shuffle of its ingredient rows, its declared rows and its 2% operator record:
+
+    ``canon`` and ``lab`` (distinct descriptions of the recipe without fortificants, and of the label), ``n_bad`` (main rows
+    heavier than the least before them), ``max_lt`` and ``min_main`` (heaviest 2% row, lightest main row), ``lt2_threshold``
+    (of the food's own record of ``less_than_2_pct``, else ``threshold``) and ``detected`` (allergens, sorted): ``found`` is
+    an array column of allergens over the declared rows.
+    """
+    from pyspark.sql import Window
+    none = lambda t: F.lit(None).cast(t)
+    lab = declared.select("food_id", none("string").alias("canon"), F.col("original_description").alias("lab"),
+                          "declaration_group", F.col("label_pos").cast("long").alias("label_pos"),
+                          F.col("original_fraction").alias("f"), none("double").alias("threshold"),
+                          (none("array<string>") if found is None else found).alias("found"))
+    blank = [none(lab.schema[c].dataType.simpleString()).alias(c) for c in ("lab", "declaration_group", "label_pos", "f")]
+    canon = ingredients_with_fractions.where(~F.col("is_fortificant")).select(
+        "food_id", F.col("description").alias("canon"), *blank, none("double").alias("threshold"), none("array<string>").alias("found"))
+    rows = lab.unionByName(canon)
+    if records is not None:
+        own = records.where(F.col("operator_name") == "less_than_2_pct").select(
+            "food_id", none("string").alias("canon"), *blank,
+            F.col("config")["threshold"].try_cast("double").alias("threshold"), none("array<string>").alias("found"))
+        rows = rows.unionByName(own)
+    main = F.col("declaration_group") == "main"
+    before = (Window.partitionBy("food_id", "declaration_group").orderBy("label_pos")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.repartition("food_id").withColumn("least", F.min("f").over(before))
+    return rows.groupBy("food_id").agg(
+        F.collect_set("canon").alias("canon"), F.collect_set("lab").alias("lab"),
+        F.count_if(main & (F.col("f") > F.col("least") + tol)).alias("n_bad"),
+        F.max(F.when(~main, F.col("f"))).alias("max_lt"), F.min(F.when(main, F.col("f"))).alias("min_main"),
+        F.coalesce(F.max("threshold"), F.lit(threshold)).alias("lt2_threshold"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("found")))).alias("detected"))
+
+
 # V1 ----------------------------------------------------------------------------------------
+def preservation_issues(canon: Column, lab: Column) -> Column:
+    empty = F.array().cast("array<string>")
+    canon, lab = F.coalesce(canon, empty), F.coalesce(lab, empty)
+    missing = F.array_sort(F.array_except(canon, lab))
+    extra = F.array_sort(F.array_except(lab, canon))
+    return _issues(
+        (F.size(missing) > 0, F.concat(F.lit("Missing: "), F.array_join(missing, ", "))),
+        (F.size(extra) > 0, F.concat(F.lit("Extra: "), F.array_join(extra, ", "))))
+
+
 def ingredient_preservation(ingredients_with_fractions, declared, ids=None):
     """Every non-fortificant description appears on the label and nothing else does.
 
@@ -33,20 +80,10 @@ def ingredient_preservation(ingredients_with_fractions, declared, ids=None):
     canon = (ingredients_with_fractions.where(~F.col("is_fortificant"))
              .groupBy("food_id").agg(F.collect_set("description").alias("canon")))
     lab = declared.groupBy("food_id").agg(F.collect_set("original_description").alias("lab"))
-    empty = F.array().cast("array<string>")
     j = canon.join(lab, "food_id", "full")
     if ids is not None:
         j = ids.select("food_id").join(j, "food_id", "left")
-    j = j.select(
-        "food_id", F.coalesce("canon", empty).alias("canon"), F.coalesce("lab", empty).alias("lab"))
-    missing = F.array_sort(F.array_except("canon", "lab"))
-    extra = F.array_sort(F.array_except("lab", "canon"))
-    issues = _issues(
-        (F.size(missing) > 0, F.concat(F.lit("Missing: "), F.array_join(missing, ", "))),
-        (F.size(extra) > 0, F.concat(F.lit("Extra: "), F.array_join(extra, ", "))),
-        ((F.size(missing) == 0) & (F.size(extra) == 0) & (F.size("canon") != F.size("lab")),
-         F.lit("count mismatch")))
-    return _result(j, "ingredient_preservation", issues)
+    return _result(j, "ingredient_preservation", preservation_issues(F.col("canon"), F.col("lab")))
 
 
 # V2 ----------------------------------------------------------------------------------------
@@ -65,22 +102,25 @@ def order_violations(declared, threshold: float = 0.02, tol: float = 1e-9):
     return per
 
 
+def order_issues(n_bad: Column, too_heavy: Column, max_lt: Column, min_main: Column, tol: float = 1e-9) -> Column:
+    return _issues(
+        (n_bad > 0, F.concat(n_bad.cast("string"), F.lit(" main-list order violations"))),
+        (too_heavy, F.lit("2% group has ingredients above threshold")),
+        (max_lt > min_main + tol, F.lit("2% group heavier than main group minimum")))
+
+
 def ingredient_order(declared, threshold: float = 0.02, tol: float = 1e-9, ids=None):
     """Main list non-increasing (against the running minimum); 2% group within threshold and
     not heavier than the lightest main ingredient. ``label_pos`` orders the label."""
     per = order_violations(declared, threshold, tol)
     if ids is not None:
         per = ids.select("food_id").join(per, "food_id", "left").fillna(0, ["n_bad", "n_over"])
-    issues = _issues(
-        (F.col("n_bad") > 0, F.concat(F.col("n_bad").cast("string"), F.lit(" main-list order violations"))),
-        (F.col("n_over") > 0, F.lit("2% group has ingredients above threshold")),
-        (F.col("max_lt") > F.col("min_main") + tol, F.lit("2% group heavier than main group minimum")))
-    return _result(per, "ingredient_order", issues)
+    return _result(per, "ingredient_order", order_issues(F.col("n_bad"), F.col("n_over") > 0, F.col("max_lt"),
+                                                         F.col("min_main"), tol))
 
 
 # V3 ----------------------------------------------------------------------------------------
-def fda_syntax(labels, patterns: list[str]):
-    """Prohibited terms in label or panel text; panel must exist with its required fields."""
+def syntax_issues(patterns: list[str]) -> Column:
     text = F.coalesce("ingredient_text", F.lit(""))
     panel_text = F.coalesce("panel_text", F.lit(""))
     hits = F.filter(F.array(*[F.when(text.rlike(ci(p)) | panel_text.rlike(ci(p)),
@@ -94,7 +134,12 @@ def fda_syntax(labels, patterns: list[str]):
         (has_panel & F.col("sodium").isNull(), F.lit("Sodium not set")),
         (has_panel & F.col("total_carbohydrate").isNull(), F.lit("Total Carbohydrate not set")),
         (has_panel & F.col("protein").isNull(), F.lit("Protein not set")))
-    return _result(labels, "fda_syntax", F.concat(hits, fields))
+    return F.concat(hits, fields)
+
+
+def fda_syntax(labels, patterns: list[str]):
+    """Prohibited terms in label or panel text; panel must exist with its required fields."""
+    return _result(labels, "fda_syntax", syntax_issues(patterns))
 
 
 # V4 ----------------------------------------------------------------------------------------
@@ -102,10 +147,7 @@ DECLARABLE = ["crustacean shellfish", "tree nuts", "soybeans", "peanuts", "sesam
               "eggs", "wheat", "fish"]
 
 
-def allergen_declaration(labels, detected):
-    """Detected allergens (from descriptions) must equal the declared ones (stored list plus
-    a word-bounded scan of the declaration text; 'fish' is dropped when only crustacean
-    shellfish is declared)."""
+def allergen_issues(detected: Column) -> Column:
     empty = F.array().cast("array<string>")
     stored = F.coalesce("allergens", empty)
     text = F.lower(F.coalesce("allergen_text", F.lit("")))
@@ -116,16 +158,22 @@ def allergen_declaration(labels, detected):
     declared = F.when(~F.array_contains(stored, "fish")
                       & F.array_contains(declared, "crustacean shellfish"),
                       F.array_remove(declared, "fish")).otherwise(declared)
-    j = labels.join(detected.select("food_id", F.col("allergens").alias("_det")), "food_id", "left")
-    det = F.coalesce("_det", empty)
+    det = F.coalesce(detected, empty)
     missing = F.array_sort(F.array_except(det, declared))
     false = F.array_sort(F.array_except(declared, det))
-    issues = _issues(
+    return _issues(
         (F.size(missing) > 0, F.concat(F.lit("Missing allergen declarations: "),
                                        F.array_join(missing, ", "))),
         (F.size(false) > 0, F.concat(F.lit("Unexpected allergen declarations: "),
                                      F.array_join(false, ", "))))
-    return _result(j, "allergen_declaration", issues)
+
+
+def allergen_declaration(labels, detected):
+    """Detected allergens (from descriptions) must equal the declared ones (stored list plus
+    a word-bounded scan of the declaration text; 'fish' is dropped when only crustacean
+    shellfish is declared)."""
+    j = labels.join(detected.select("food_id", F.col("allergens").alias("_det")), "food_id", "left")
+    return _result(j, "allergen_declaration", allergen_issues(F.col("_det")))
 
 
 # V5 ----------------------------------------------------------------------------------------
@@ -134,8 +182,7 @@ SOURCE_DISPLAY = [("CALCIUM", "Calcium, Ca"), ("FIBER", "Fiber, total dietary"),
                   ("VITAMIN D", "Vitamin D (D2 + D3)"), ("PROTEIN", "Protein")]
 
 
-def claim_eligibility(labels_with_profile, ctx):
-    """Each claim must hold for the food's per-serving amounts."""
+def claim_issues(ctx) -> Column:
     def per_claim(c):
         low = F.lower(c)
         sat = F.coalesce(ctx.per_serving("Fatty acids, total saturated"), F.lit(1.0))
@@ -160,14 +207,17 @@ def claim_eligibility(labels_with_profile, ctx):
                            F.concat(F.lit("'"), c, F.lit("' but DV < 20%"))))
         return F.array(*[F.when(cond, msg) for cond, msg in checks])
 
-    issues = F.filter(F.flatten(F.transform(F.coalesce("claims", F.array().cast("array<string>")),
-                                            per_claim)), lambda x: x.isNotNull())
-    return _result(labels_with_profile, "claim_eligibility", issues)
+    return F.filter(F.flatten(F.transform(F.coalesce("claims", F.array().cast("array<string>")),
+                                          per_claim)), lambda x: x.isNotNull())
+
+
+def claim_eligibility(labels_with_profile, ctx):
+    """Each claim must hold for the food's per-serving amounts."""
+    return _result(labels_with_profile, "claim_eligibility", claim_issues(ctx))
 
 
 # V6 ----------------------------------------------------------------------------------------
-def nutrition_facts_consistency(labels_with_profile, ctx, tol: float = 2.0):
-    """Recompute calories, fat, sodium (x10 tolerance) and protein from the nutrients."""
+def facts_issues(ctx, tol: float = 2.0) -> Column:
     has_panel = F.col("calories").isNotNull()
     energy = ctx.rounded("Energy")
     checks = [
@@ -180,15 +230,23 @@ def nutrition_facts_consistency(labels_with_profile, ctx, tol: float = 2.0):
         exp = ctx.rounded(nutrient)
         checks.append((has_panel & F.col(col).isNotNull() & exp.isNotNull()
                        & (F.abs(exp - F.col(col)) > t), F.lit(f"{col} mismatch")))
-    return _result(labels_with_profile, "nutrition_facts_consistency", _issues(*checks))
+    return _issues(*checks)
+
+
+def nutrition_facts_consistency(labels_with_profile, ctx, tol: float = 2.0):
+    """Recompute calories, fat, sodium (x10 tolerance) and protein from the nutrients."""
+    return _result(labels_with_profile, "nutrition_facts_consistency", facts_issues(ctx, tol))
 
 
 # V7 ----------------------------------------------------------------------------------------
-def prohibited_terminology(labels, patterns: list[str]):
+def terminology_issues(patterns: list[str]) -> Column:
     text = F.lower(F.concat(F.coalesce("ingredient_text", F.lit("")), F.lit(" "),
                             F.coalesce("panel_text", F.lit(""))))
-    hits = F.transform(prohibited_hits(text, patterns), lambda p: F.concat(F.lit("Found: '"), p, F.lit("'")))
-    return _result(labels, "prohibited_terminology", hits)
+    return F.transform(prohibited_hits(text, patterns), lambda p: F.concat(F.lit("Found: '"), p, F.lit("'")))
+
+
+def prohibited_terminology(labels, patterns: list[str]):
+    return _result(labels, "prohibited_terminology", terminology_issues(patterns))
 
 
 RULES = ["ingredient_preservation", "ingredient_order", "fda_syntax", "allergen_declaration",
@@ -196,17 +254,30 @@ RULES = ["ingredient_preservation", "ingredient_order", "fda_syntax", "allergen_
 
 
 # V8 / A9 -----------------------------------------------------------------------------------
-def validation_report(results, difficulty=None):
-    """Per sample: all_passed, counts, needs_regeneration and the adjusted difficulty."""
-    rep = results.groupBy("food_id").agg(
-        F.bool_and("passed").alias("all_passed"),
-        F.count_if("passed").alias("n_passed"),
-        F.count_if(~F.col("passed")).alias("n_failed"),
-        F.lit(0).alias("n_repaired"))
-    rep = rep.withColumn("needs_regeneration", ~F.col("all_passed"))
-    if difficulty is not None:
-        rep = rep.join(difficulty.select("food_id", "difficulty"), "food_id", "left")
-        rep = rep.withColumn("report_difficulty",
-                             F.when(F.col("n_failed") > 3, 3).when(F.col("n_failed") > 1, 2)
-                             .otherwise(F.coalesce("difficulty", F.lit(1))))
-    return rep
+def all_rules(facts, ctx, patterns: list[str], tol: float = 1e-9):
+    """The seven rules on rows that hold the label, the nutrient profile and ``ingredient_facts``: (food_id, rules), an array of
+    (rule, passed, issues) in the rules' order."""
+    issues = dict(zip(RULES, (
+        preservation_issues(F.col("canon"), F.col("lab")),
+        order_issues(F.coalesce("n_bad", F.lit(0)), F.col("max_lt") > F.col("lt2_threshold") + tol,
+                     F.col("max_lt"), F.col("min_main"), tol),
+        syntax_issues(patterns), allergen_issues(F.col("detected")), claim_issues(ctx), facts_issues(ctx),
+        terminology_issues(patterns))))
+    found = facts.select("food_id", *[c.alias(rule) for rule, c in issues.items()])
+    return found.select("food_id", F.array(*[F.struct(
+        F.lit(rule).alias("rule"), (F.size(rule) == 0).alias("passed"), F.col(rule).alias("issues")) for rule in RULES])
+        .alias("rules"))
+
+
+def rule_results(checked):
+    """(food_id, rule, passed, issues), one row per rule."""
+    return checked.select("food_id", F.inline("rules"))
+
+
+def rule_report(checked):
+    """Per sample: all_passed, counts, needs_regeneration; no rule repairs, so n_repaired is 0."""
+    passed = F.size(F.filter("rules", lambda r: r["passed"]))
+    return checked.select(
+        "food_id", (passed == F.size("rules")).alias("all_passed"), passed.cast("long").alias("n_passed"),
+        (F.size("rules") - passed).cast("long").alias("n_failed"), F.lit(0).alias("n_repaired"),
+        (passed < F.size("rules")).alias("needs_regeneration"))
