@@ -1110,15 +1110,19 @@ PART_ALLERGENS_DECLARED = [("bolt", "metal"), ("anvil", "metal"), ("ring", "jewe
 PART_ALLERGENS_CHECKED = PART_ALLERGENS_DECLARED + [("gear", "metal"), ("plate", "ceramic")]
 
 
+def _detect_sql(rows, desc) -> str:
+    """List of the labels (null: not found) whose keywords occur in ``desc``."""
+    by = {}
+    for kw, label in rows:
+        by.setdefault(label, []).append(kw)
+    parts = [f"CASE WHEN regexp_matches(lower({desc}), "
+             f"{_sql_str('(^|[^a-z0-9])(' + '|'.join(sorted(k, key=len, reverse=True)) + ')s?([^a-z0-9]|$)')}) "
+             f"THEN {_sql_str(l)} END" for l, k in sorted(by.items())]
+    return f"[{', '.join(parts)}]"
+
+
 def _part_allergen_sql() -> str:
-    def detect(rows, desc):
-        by = {}
-        for kw, label in rows:
-            by.setdefault(label, []).append(kw)
-        parts = [f"CASE WHEN regexp_matches(lower({desc}), "
-                 f"{_sql_str('(^|[^a-z0-9])(' + '|'.join(sorted(k, key=len, reverse=True)) + ')s?([^a-z0-9]|$)')}) "
-                 f"THEN {_sql_str(l)} END" for l, k in sorted(by.items())]
-        return f"[{', '.join(parts)}]"
+    detect = _detect_sql
     return (
         f"WITH {FR}, {SEL}, det AS (SELECT food_id, list_sort(list_distinct(flatten(list("
         f"list_filter({detect(PART_ALLERGENS_DECLARED, 'description')}, lambda x: x IS NOT NULL))))) "
@@ -1148,3 +1152,6 @@ def q_validation_allergen(spark, sf_dir):
     res = VR.allergen_declaration(labels, detected)
     missing = F.regexp_extract(F.array_join("issues", "; "), r"Missing allergen declarations: ([^;]*)", 1)
     return res.select("food_id", "passed", missing.alias("missing"))
+
+
+from labelcorpus.plans import report_queries  # noqa: E402,F401  (registers its queries)
