@@ -177,15 +177,21 @@ def tree_column(lines, f: Column) -> Column:
 
 def secret_scan(docs: DataFrame, text: str = "text", path: str | None = "source", labelled: DataFrame | None = None,
                 least: float = 0.5, fit_rows: int = 5_000) -> DataFrame:
-    """Add findings (number, text, score, secret), counts, and the text with secrets masked."""
+    """Add findings (number, start, finding, score, secret), counts, and the text with secrets masked."""
     d = docs.select(*[c for c in docs.columns if c not in OUTPUTS])
     votes = forest(labelled if labelled is not None else labelled_findings(d, text, path), fit_rows)
     sure = certain if labelled is not None else lambda f: F.coalesce(rule_labels(f) == 1, F.lit(False))
     d = with_candidates(d, text, path)
     d = d.withColumn("_scores", F.transform("_facts", lambda f: F.when(sure(f), 1.0).otherwise(votes(f))))
     score = lambda i: F.get(F.col("_scores"), i)
+    # Each finding's place: gaps and findings before it, in one pass over both.
+    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("starts"))
+    d = d.withColumn("_starts", F.aggregate(F.arrays_zip("_gaps", "_found"), none, lambda a, z: F.struct(
+        (a["at"] + F.length(z["_gaps"]) + F.coalesce(F.length(z["_found"]), F.lit(0))).alias("at"),
+        F.concat(a["starts"], F.array(a["at"] + F.length(z["_gaps"]))).alias("starts")), lambda a: a["starts"]))
     d = d.withColumn("findings", F.transform("_found", lambda c, i: F.struct(
-        i.alias("number"), c.alias("finding"), F.round(score(i), 4).alias("score"), (score(i) > least).alias("secret"))))
+        i.alias("number"), F.get(F.col("_starts"), i).alias("start"), c.alias("finding"), F.round(score(i), 4).alias("score"),
+        (score(i) > least).alias("secret"))))
     d = d.withColumns({
         "n_candidates": F.size("_found").cast("bigint"),
         "n_secrets": F.size(F.filter("_scores", lambda s: s > least)).cast("bigint")})
@@ -193,18 +199,12 @@ def secret_scan(docs: DataFrame, text: str = "text", path: str | None = "source"
         score(i) > least, F.lit(MASK)).otherwise(F.coalesce(F.get(F.col("_found"), i), F.lit(""))))), "")
     d = d.withColumn("safe_text", F.when(F.col("n_secrets") == 0, F.col(text)).otherwise(masked))
     return d.drop(
-        "_found", "_facts", "_scores", "_gaps")
+        "_found", "_facts", "_scores", "_gaps", "_starts")
 
 
 def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = "source",
                  **how) -> DataFrame:
     """One row per finding: key, number, start (characters before it), length, finding, score, secret."""
-    d = secret_scan(docs, text, path, **how)
-    gaps = F.split(F.coalesce(F.col(text), F.lit("")), CANDIDATE, -1)
-    d = d.filter("n_candidates > 0").select(key, "findings", F.transform(gaps, F.length).alias("_gap"))
-    d = d.select(key, F.explode("findings").alias("f"), "findings", "_gap")
-    before = lambda a, n: F.aggregate(F.slice(a, F.lit(1), n), F.lit(0).cast("bigint"), lambda x, y: x + y)
-    start = before(F.col("_gap"), F.col("f.number") + 1) + before(
-        F.transform("findings", lambda x: F.length(x["finding"])), F.col("f.number"))
-    return d.select(key, F.col("f.number").alias("number"), start.alias("start"), F.length("f.finding").alias("length"),
-                    F.col("f.finding").alias("finding"), F.col("f.score").alias("score"), F.col("f.secret").alias("secret"))
+    # outer: no filter on the array's size is pushed down, where the patterns would be evaluated again for it
+    d = secret_scan(docs, text, path, **how).select(key, F.explode_outer("findings").alias("f"))
+    return d.filter("f IS NOT NULL").select(key, "f.number", "f.start", F.length("f.finding").alias("length"), "f.finding", "f.score", "f.secret")
