@@ -116,3 +116,43 @@ def q_validation_damaged(spark, sf_dir):
 def q_validation_damaged_report(spark, sf_dir):
     _, report = _damaged_results(spark, sf_dir)
     return report.select("food_id", "all_passed", "n_passed", "n_failed")
+
+
+# Write, read back, damage, assemble ------------------------------------------------
+def _assembled_sql() -> str:
+    return (
+        f"WITH {FR}, {SEL}, ids AS (SELECT DISTINCT food_id FROM sel), "
+        "s AS (SELECT food_id, 'sample_' || lpad(CAST(row_number() OVER (ORDER BY food_id) AS VARCHAR), 6, '0') AS sample_id FROM ids), "
+        "c AS (SELECT food_id, count(*) AS n FROM lab GROUP BY food_id), "
+        "r AS (SELECT sample_id, food_id, coalesce(n, 0) AS n, concat_ws('; ', CASE WHEN food_id % 11 = 0 THEN 'samples missing' END, "
+        "CASE WHEN food_id % 7 = 0 AND food_id % 11 <> 0 AND n > 0 THEN 'declared incomplete' END, "
+        "CASE WHEN food_id % 13 = 0 THEN 'operator_records damaged' END) AS reason FROM s LEFT JOIN c USING (food_id)) "
+        "SELECT sample_id, reason, CASE WHEN reason = '' THEN n END AS n_declared, CASE WHEN reason = '' THEN CAST(7 AS BIGINT) END "
+        "AS n_records, CASE WHEN reason = '' THEN food_id END AS food_id FROM r")
+
+
+@register("assembled_samples", _assembled_sql())
+def q_assembled_samples(spark, sf_dir):
+    """A dataset is generated, published and read back; parts of it are damaged; whole samples and quarantine come back."""
+    import uuid
+
+    from labelcorpus.plans.generate import GenerateConfig, generate, write_dataset
+    from labelcorpus.session import ensure_checkpoint_dir
+    from labelcorpus.sources import dataset
+    cfg = GenerateConfig(enable_validation=False)
+    out = generate(spark, T.foods(spark, sf_dir), T.ingredients(spark, sf_dir), T.nutrients(spark, sf_dir), cfg, group_col="group_key")
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dataset-{uuid.uuid4().hex}"
+    write_dataset(spark, out, root, cfg)
+    tables = dataset.read_dataset(spark, root)
+    fid = F.col("food_id")
+    damaged = dict(
+        tables, samples=tables["samples"].where(fid % 11 != 0),
+        declared=tables["declared"].where(~((fid % 7 == 0) & (F.col("label_pos") == 1))),
+        operator_records=tables["operator_records"].withColumn("operator_name", F.when(
+            ~((fid % 13 == 0) & (F.col("op_pos") == 0)), F.col("operator_name"))))
+    whole, quarantine = dataset.assemble_samples(damaged)
+    none = F.lit(None).cast("bigint")
+    return whole.select(
+        "sample_id", F.lit("").alias("reason"), F.size("declared").cast("bigint").alias("n_declared"),
+        F.size("operator_records").cast("bigint").alias("n_records"), F.col("label.food_id").alias("food_id")).unionByName(
+        quarantine.select("sample_id", "reason", none.alias("n_declared"), none.alias("n_records"), none.alias("food_id")))
