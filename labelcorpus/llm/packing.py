@@ -60,7 +60,16 @@ def encoder(path: str) -> Callable[[str], bytes]:
     ranks, pattern = byte_ranks(path)
     added = {t["content"]: t["id"] for t in json.loads(open(path, encoding="utf-8").read()).get("added_tokens", [])}
     cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")").split
-    ordinary = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    fast = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def ordinary(text: str) -> list[int]:
+        try:
+            return fast(text)
+        except BaseException as e:  # its pattern matcher gives up on very long runs of white space
+            if type(e).__name__ != "PanicException":
+                raise
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
     def ids(text: str) -> list[int]:
         if not any(t in text for t in added):

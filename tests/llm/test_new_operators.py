@@ -294,3 +294,13 @@ def test_bpe_query_on_tables_and_edge_rows(spark, tmp_path, library):
     arrays = ids.withColumn("ids", id_array(F.col("ids")))
     assert {r["doc_id"]: r["ids"] for r in arrays.collect()} == {1: plain.encode_ordinary("Grüße 😀"), 2: []}
     assert {r["doc_id"]: r["text"] for r in decode(arrays, path).collect()} == {1: "Grüße 😀", 2: ""}
+
+
+# op2 on texts that the faster library gives up on ---------------------------------------------
+def test_packing_encodes_very_long_white_space():
+    import public_tokenizers as P
+    from labelcorpus.llm.packing import encoder
+    encode = encoder(P.path("byte_bpe_50k.json"))
+    for n in (100_000, 1_000_000):
+        ids = np.frombuffer(encode(" " * n + "x"), "<u4")
+        assert len(ids) == n and set(ids[:-1].tolist()) == {220}
