@@ -273,6 +273,31 @@ def evaluation_summary(parsing: DataFrame | None, mapping: DataFrame | None,
             .withColumn("parser", F.lit(parser_name)).withColumn("mapper", F.lit(mapper_name)))
 
 
+def grouped_report(tasks: dict[str, tuple[DataFrame, list[str]]], keys: DataFrame, sample_col: str = "sample_id") -> DataFrame:
+    """A10-A13 in one pass: the averages of every task (parsing, mapping, ...) over all samples, by difficulty and by operator set.
+
+    ``tasks``: name -> (per-sample metrics, metric columns); ``keys``: (sample, difficulty, operator_set). One row per task,
+    ``grouping`` (``all``, ``difficulty``, ``operators``) and key, with n_samples and the metrics (null where the task has no
+    such metric). The tasks' rows are one union; grouping sets expand it once and are combined before the shuffle, so
+    what is shuffled is as small as the number of groups.
+    """
+    metrics = list(dict.fromkeys(m for _, cols in tasks.values() for m in cols))
+    rows = None
+    for name, (df, cols) in tasks.items():
+        one = df.select(F.col(sample_col).alias("_id"), F.lit(name).alias("task"), *[
+            (F.col(m).cast("double") if m in cols else F.lit(None).cast("double")).alias(m) for m in metrics])
+        rows = one if rows is None else rows.unionByName(one)
+    rows = rows.join(keys.select(F.col(sample_col).alias("_id"), F.col("difficulty").cast("string").alias("difficulty"),
+                                 "operator_set"), "_id", "left")
+    sets = [["task"], ["task", "difficulty"], ["task", "operator_set"]]
+    out = rows.groupingSets(sets, "task", "difficulty", "operator_set").agg(
+        F.grouping("difficulty").alias("_d"), F.grouping("operator_set").alias("_o"),
+        F.count(F.lit(1)).alias("n_samples"), *[F.bround(F.avg(m), 4).alias(m) for m in metrics])
+    by = F.when(F.col("_d") == 0, "difficulty").when(F.col("_o") == 0, "operators").otherwise("all")
+    key = F.when(F.col("_d") == 0, F.col("difficulty")).when(F.col("_o") == 0, F.col("operator_set")).otherwise(F.lit(""))
+    return out.select("task", by.alias("grouping"), key.alias("key"), "n_samples", *metrics)
+
+
 def operator_set_key(records: DataFrame, sample_col: str = "food_id") -> DataFrame:
     """A12 key: sorted applied operator names joined with ','."""
     return records.groupBy(sample_col).agg(

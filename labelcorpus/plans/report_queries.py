@@ -156,3 +156,122 @@ def q_assembled_samples(spark, sf_dir):
         "sample_id", F.lit("").alias("reason"), F.size("declared").cast("bigint").alias("n_declared"),
         F.size("operator_records").cast("bigint").alias("n_records"), F.col("label.food_id").alias("food_id")).unionByName(
         quarantine.select("sample_id", "reason", none.alias("n_declared"), none.alias("n_records"), none.alias("food_id")))
+
+
+# A10-A13 --------------------------------------------------------------------------------------
+MAPPING_COLS = ["recall_at_5", "mrr", "exact_match_rate"]
+
+
+def _evaluation_sql() -> str:
+    parts = []
+    for task, frame, cols in (("parsing", "pm", Q.PARSING_COLS), ("mapping", "mm", MAPPING_COLS)):
+        avgs = ", ".join(f"round_even(avg({c}), 4) AS {c}" if c in cols else f"CAST(NULL AS DOUBLE) AS {c}"
+                         for c in Q.PARSING_COLS + MAPPING_COLS)
+        for grouping, key in (("all", "''"), ("difficulty", "difficulty"), ("operators", "operator_set")):
+            parts.append(f"SELECT '{task}' AS task, '{grouping}' AS grouping, {key} AS key, count(*) AS n_samples, {avgs} "
+                         f"FROM {frame} JOIN k ON k.food_id = {frame}.{'food_id' if frame == 'pm' else 'sample_id'} GROUP BY 3")
+    return (f"WITH pm AS ({Q._parsing_metrics_sql()}), mm AS ({Q._mapping_metrics_sql()}), {FR}, {SEL}, "
+            "lt AS (SELECT DISTINCT food_id FROM lab WHERE f <= 0.02), "
+            "k AS (SELECT food_id, CASE WHEN food_id % 2 = 0 AND lt.food_id IS NOT NULL THEN 'MEDIUM' ELSE 'EASY' END AS difficulty, "
+            "CASE WHEN food_id % 2 = 0 THEN 'less_than_2_pct,rename' ELSE 'rename' END AS operator_set "
+            "FROM (SELECT DISTINCT food_id FROM sel) LEFT JOIN lt USING (food_id)) " + " UNION ALL ".join(parts))
+
+
+@register("evaluation_report", _evaluation_sql())
+def q_evaluation_report(spark, sf_dir):
+    """Parsing and mapping averages of a dataset of two configurations: foods of even id have the 2% operator, the others not."""
+    from labelcorpus.operators import evaluate as E
+    from labelcorpus.operators import recipes as R
+    from labelcorpus.operators import truth
+    parsing, _, _, built = Q._parsing_per_sample(spark, sf_dir, how="table")
+    ids = built["label"].select("food_id")
+    keys, preds = Q._mapping_frames(spark, sf_dir)
+    mapping = E.evaluate_mapping(ids.withColumnRenamed("food_id", "sample_id"), keys, preds, 5, "sample_id")
+    even = F.col("food_id") % 2 == 0
+    rows = R.less_than_2_pct(R.initial_declared(Q._selected(spark, sf_dir)))
+    for flag in ("rename_affected", "generic_name_affected", "compound_affected"):
+        rows = rows.withColumn(flag, F.lit(False))
+    records = truth.operator_records(ids.where(even), rows.where(even), None, None, None, ["rename", "less_than_2_pct"]).unionByName(
+        truth.operator_records(ids.where(~even), rows.where(~even), None, None, None, ["rename"]))
+    names = F.create_map(*[x for n, name in V.DIFFICULTY_NAMES for x in (F.lit(n), F.lit(name))])
+    groups = truth.difficulty(records).join(E.operator_set_key(records), "food_id").select(
+        F.col("food_id").alias("sample_id"), F.try_element_at(names, F.col("difficulty")).alias("difficulty"), "operator_set")
+    return E.grouped_report({"parsing": (parsing.withColumnRenamed("food_id", "sample_id"), Q.PARSING_COLS),
+                             "mapping": (mapping, MAPPING_COLS)}, groups)
+
+
+# W4, X8, X13, L8, K5, A17, L10 ---------------------------------------------------------------
+@register("truth_keys", f"WITH {FR}, {SEL}, t AS (SELECT food_id, CASE WHEN f <= 0.02 THEN 1 ELSE 0 END AS group_pos, label_pos, "
+          "upper(description) AS declared_name, description AS original_description FROM lab), "
+          "n AS (SELECT *, row_number() OVER (PARTITION BY food_id, declared_name ORDER BY group_pos, label_pos) AS k FROM t) "
+          "SELECT food_id, group_pos, label_pos, original_description, CASE WHEN k = 1 THEN declared_name ELSE declared_name || '#' "
+          "|| CAST(k AS VARCHAR) END AS key FROM n")
+def q_truth_keys(spark, sf_dir):
+    from labelcorpus.operators import recipes as R
+    from labelcorpus.operators import truth
+    keys = truth.truth_keys(R.less_than_2_pct(R.initial_declared(Q._selected(spark, sf_dir))))
+    return keys.select("food_id", "group_pos", "label_pos", "original_description", "key")
+
+
+def _records_sql() -> str:
+    name = "list({c} ORDER BY {o}) FILTER (WHERE {w})"
+    renamed = name.format(c="description", o="label_pos", w="renamed")
+    low = name.format(c="description", o="label_pos", w="f <= 0.02")
+    return (f"WITH {FR}, {SEL}, ids AS (SELECT DISTINCT food_id FROM sel), "
+            "l AS (SELECT *, upper(description) <> description AS renamed FROM lab), "
+            f"a AS (SELECT food_id, {low} AS low FROM l GROUP BY food_id), "
+            "r AS (SELECT ids.food_id, unnest([{'op_pos': 0, 'operator_name': 'less_than_2_pct', 'config': 'threshold=0.02', "
+            "'affected': coalesce(array_to_string(low, ' | '), '')}, {'op_pos': 1, 'operator_name': 'compound', 'config': '', "
+            "'affected': ''}]) AS x FROM ids LEFT JOIN a USING (food_id)) "
+            "SELECT food_id, CAST(x.op_pos AS INTEGER) AS op_pos, x.operator_name AS operator_name, '1.0' AS version, x.affected AS affected, "
+            "x.config AS config FROM r")
+
+
+@register("operator_records", _records_sql())
+def q_operator_records(spark, sf_dir):
+    """Name, version, affected ingredients in label order and configuration of each applied operator."""
+    k = L.Knowledge.default(spark)
+    fr = Q._selected(spark, sf_dir)
+    from labelcorpus.operators import truth
+    ops = ["less_than_2_pct", "compound"]
+    records = truth.operator_records(fr.select("food_id").distinct(), L.declared_rows(fr, k, ops), None, None, None, ops)
+    config = F.array_join(F.transform(F.map_entries("config"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return records.select("food_id", "op_pos", "operator_name", "version", F.array_join("affected", " | ").alias("affected"),
+                          config.alias("config"))
+
+
+@register("split_members", f"WITH g AS ({Q.GROUP_SPLIT_SQL}) SELECT DISTINCT split, group_key FROM g")
+def q_split_members(spark, sf_dir):
+    from labelcorpus.operators import split as S
+    return S.split_members(Q.QUERIES["group_split"](spark, sf_dir), "group_key")
+
+
+@register("pilot_audit", f"WITH {FR}, {SEL}, c AS (SELECT food_id, count(*) AS n FROM lab GROUP BY food_id), "
+          f"g AS ({Q.GROUP_SPLIT_SQL}), leak AS (SELECT count(*) AS k FROM (SELECT group_key FROM g GROUP BY group_key HAVING "
+          "count(DISTINCT split) > 1)) SELECT (SELECT count(DISTINCT food_id) FROM sel) AS n_samples, min(n) AS min_ingredients, "
+          "max(n) AS max_ingredients, round_even(avg(n), 2) AS mean_ingredients, (SELECT count(*) FROM lab WHERE length(description) > 10) "
+          "AS long_names, (SELECT count(*) FROM lab WHERE contains(description, ',')) AS names_with_commas, (SELECT k FROM leak) AS ids_in_several_splits "
+          "FROM c")
+def q_pilot_audit(spark, sf_dir):
+    from labelcorpus.operators import evaluate as E
+    from labelcorpus.operators import recipes as R
+    fr = Q._selected(spark, sf_dir)
+    declared = R.initial_declared(fr)
+    splits = Q.QUERIES["group_split"](spark, sf_dir)
+    owner = splits.select("food_id", "group_key").withColumnRenamed("food_id", "_f")
+    counts = E.pilot_audit(fr.select("food_id").distinct(), declared, splits, long_name=10)
+    leaks = E.pilot_audit(owner, owner.withColumn("declared_name", F.lit("")), splits, "group_key").select("ids_in_several_splits")
+    return counts.drop("ids_in_several_splits").select("*", leaks.scalar().alias("ids_in_several_splits"))
+
+
+@register("claim_rows", f"WITH {Q._prof_sql()}, c AS (SELECT food_id, {Q._claim_sql_parts()['content']} AS a, "
+          f"{Q._claim_sql_parts()['source']} AS b, {Q._claim_sql_parts()['health']} AS h FROM prof), "
+          "d AS (SELECT food_id, list_concat(a, b, h) AS x FROM c), u AS (SELECT food_id, list_filter(x, lambda y, i: list_position(x, y) = i) "
+          "AS x FROM d), e AS (SELECT food_id, unnest(x) AS claim_text, generate_subscripts(x, 1) - 1 AS claim_pos FROM u) "
+          "SELECT food_id, CAST(claim_pos AS INTEGER) AS claim_pos, claim_text, CASE WHEN "
+          + " OR ".join(f"contains(lower(claim_text), '{w}')" for w in V.CONTENT_CLAIM_WORDS)
+          + " THEN 'nutrient_content' ELSE 'health' END AS claim_type FROM e")
+def q_claim_rows(spark, sf_dir):
+    from labelcorpus.operators import nutrition as N
+    k, ctx, _, prof = Q._nutrition_frames(spark, sf_dir)
+    return N.claim_rows(N.food_claims(prof, ctx, k.content_claims, k.source_nutrients, k.health_claims))
