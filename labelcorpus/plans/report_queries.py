@@ -275,3 +275,31 @@ def q_claim_rows(spark, sf_dir):
     from labelcorpus.operators import nutrition as N
     k, ctx, _, prof = Q._nutrition_frames(spark, sf_dir)
     return N.claim_rows(N.food_claims(prof, ctx, k.content_claims, k.source_nutrients, k.health_claims))
+
+
+# One large document by many tasks ---------------------------------------------------
+@register("survey_split_scan", f"WITH ing AS ({Q.ING}), w AS (SELECT food_id, count(*) AS n, sum(weight_g) AS t FROM ing GROUP BY food_id) "
+          "SELECT o_orderkey AS food_id, o_orderpriority AS description, CAST(coalesce(n, 0) AS BIGINT) AS n_inputs, "
+          + Q.sq("coalesce(t, 0.0)") + " AS total_weight FROM orders LEFT JOIN w ON w.food_id = o_orderkey")
+def q_survey_split_scan(spark, sf_dir):
+    """All foods as one JSON document, read back in byte ranges of 1 MB."""
+    import uuid
+
+    from labelcorpus.session import ensure_checkpoint_dir
+    from labelcorpus.sources import survey as S
+    from labelcorpus.sources.survey_scan import read_split
+    foods, ing = T.foods(spark, sf_dir), T.ingredients(spark, sf_dir)
+    inputs = ing.groupBy("food_id").agg(F.collect_list(F.struct(
+        F.col("code").alias("ingredientCode"), F.col("description").alias("ingredientDescription"),
+        F.col("weight_g").alias("ingredientWeight"), F.col("sequence_number").alias("sequenceNumber"))).alias("inputFoods"))
+    rows = foods.join(inputs, "food_id", "left").select("food_id", F.to_json(F.struct(
+        F.col("food_id").alias("fdcId"), F.col("food_code").alias("foodCode"), F.col("food_name").alias("description"), "inputFoods")).alias("r"))
+    first = foods.agg(F.min("food_id")).scalar()
+    lines = rows.select(F.lit(1).alias("part"), "food_id", F.concat(F.when(F.col("food_id") == first, "").otherwise(","), "r").alias("value"))
+    ends = spark.createDataFrame([(0, None, '{"SurveyFoods": ['), (2, None, "]}")], "part int, food_id bigint, value string")
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/survey-{uuid.uuid4().hex}"
+    lines.unionByName(ends).coalesce(1).sortWithinPartitions("part", "food_id").select("value").write.text(folder)
+    raw = read_split(spark, spark.read.text(folder).inputFiles()[0], "SurveyFoods", S.FOOD, 1 << 20)
+    total = F.aggregate(F.coalesce("inputFoods", F.array()), F.lit(0.0), lambda a, x: a + x["ingredientWeight"])
+    return raw.select(F.col("fdcId").alias("food_id"), "description", F.coalesce(F.size("inputFoods"), F.lit(0)).cast("bigint").alias("n_inputs"),
+                      Q.q(total).alias("total_weight"))

@@ -1,7 +1,7 @@
 """Survey food source (S1-S5): nested food JSON -> foods, ingredients, nutrients tables.
 
-A multi-line JSON document is read by a single task, so ``land_survey`` writes it once as
-Parquet (repartitioned by food id); every later job reads the Parquet copy in parallel.
+A multi-line JSON document is one task for Spark's reader; ``survey_scan`` cuts it into byte ranges. ``land_survey``
+writes it once as Parquet (repartitioned by food id); every later job reads the Parquet copy in parallel.
 JSON Lines (one food object per line) and Parquet inputs are read directly.
 """
 
@@ -35,7 +35,10 @@ DOCUMENT = T.StructType([T.StructField("SurveyFoods", T.ArrayType(FOOD))])
 
 
 def read_survey(spark: SparkSession, path: str, fmt: str = "document") -> DataFrame:
-    """Raw food rows. ``fmt``: 'document' (one object with SurveyFoods), 'jsonl', 'parquet'."""
+    """Raw food rows. ``fmt``: 'document' (one object with SurveyFoods), 'split' (the same, read by many tasks), 'jsonl', 'parquet'."""
+    if fmt == "split":
+        from labelcorpus.sources.survey_scan import read_split
+        return read_split(spark, path, "SurveyFoods", FOOD)
     if fmt == "document":
         doc = spark.read.schema(DOCUMENT).option("multiLine", True).json(path)
         return doc.select(F.explode("SurveyFoods").alias("f")).select("f.*")
@@ -48,7 +51,7 @@ def read_survey(spark: SparkSession, path: str, fmt: str = "document") -> DataFr
 
 def land_survey(spark: SparkSession, path: str, out_path: str, partitions: int = 0) -> DataFrame:
     """Read a survey document once and store it as Parquet partitioned across tasks."""
-    raw = read_survey(spark, path)
+    raw = read_survey(spark, path, "split")
     raw = raw.repartition(partitions, "fdcId") if partitions else raw.repartition("fdcId")
     raw.write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
