@@ -303,3 +303,24 @@ def q_survey_split_scan(spark, sf_dir):
     total = F.aggregate(F.coalesce("inputFoods", F.array()), F.lit(0.0), lambda a, x: a + x["ingredientWeight"])
     return raw.select(F.col("fdcId").alias("food_id"), "description", F.coalesce(F.size("inputFoods"), F.lit(0)).cast("bigint").alias("n_inputs"),
                       Q.q(total).alias("total_weight"))
+
+
+# Foreign code ---------------------------------------------------------------
+@register("foreign_parser", f"WITH {FR}, {SEL}, g AS (SELECT food_id, count(*) FILTER (WHERE f <= 0.02) AS low, count(DISTINCT description) AS n "
+          "FROM lab GROUP BY food_id) SELECT food_id, CASE WHEN low > 0 THEN 'ValueError: 2% group' END AS parser_error, CASE WHEN low = 0 THEN CAST(1.0 AS DOUBLE) END "
+          "AS f1, CASE WHEN low = 0 THEN CAST(n AS INTEGER) END AS n_correct FROM g")
+def q_foreign_parser(spark, sf_dir):
+    """A foreign parser over every label: it fails on labels with a 2% group, the others are scored."""
+    from labelcorpus.operators import foreign
+    from labelcorpus.operators import recipes as R
+
+    def split_at_commas(text: str) -> list[str]:  # as a user might bring it
+        if "CONTAINS 2%" in text:
+            raise ValueError("2% group")
+        return [x for x in text.removeprefix("INGREDIENTS: ").removesuffix(".").split(", ") if x]
+    declared = R.less_than_2_pct(R.initial_declared(Q._selected(spark, sf_dir)))
+    lists = L.label_lists(declared)
+    none = F.lit(None).cast("string")
+    samples = lists.select("food_id", F.concat("main_names", "two_percent_names").alias("truth_names"), L.ingredient_text(
+        F.col("main_names"), F.col("two_percent_names"), none, F.array().cast("array<string>")).alias("ingredient_text"))
+    return foreign.evaluate_parser(samples, split_at_commas).select("food_id", "parser_error", "f1", "n_correct")

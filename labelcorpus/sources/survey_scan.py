@@ -12,16 +12,21 @@ piece and one row for each array of the root object. A document that does not en
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelcorpus.session import materialize
 
+# The functions travel to the executors by value, so that workers need no copy of the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CHUNK_BYTES = 8 << 20
 _KEY_BEFORE = re.compile(rb'"((?:[^"\\]|\\.)*)"\s*:\s*$', re.S)
 
