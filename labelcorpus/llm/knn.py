@@ -10,11 +10,12 @@
    is sent to a query block only if some query's upper bound for the cell reaches its floor. Each
    pair of blocks is solved locally as one matrix product, and the lists are merged per query.
 
-Bounds get a little slack for rounding, so they never exclude a tie; scores are exact integers.
+Bounds get a little slack for rounding, so they never exclude a tie; scores are exact integers. A score that leaves the
+64-bit range counts as the end of that range, and such scores tie.
 
-Defined cases: vectors that are null, empty or hold null or non-finite components, or components whose integer
-is 2**26 or more (their scores could leave the exact range), and rows with a null id take no part.
-A shorter vector counts as padded with zeros. Every row is a candidate of its own, so repeated rows are found by
+Defined cases: vectors that are null or hold null or non-finite components, and rows with a null id take no part.
+A shorter vector counts as padded with zeros, an empty one as zeros alone. Components of any finite size take part; those
+whose integer passes 1e300 count as 1e300. Every row is a candidate of its own, so repeated rows are found by
 each other; a query row never finds itself. With fewer candidates than k all are returned. Extra columns
 are ignored. An empty table gives an empty result.
 """
@@ -26,16 +27,36 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, under_hash
 
-LIMIT = 2**26
+#: The first byte of a packed vector: 32-bit integers, or doubles that hold integers.
+NARROW, WIDE = b"\x04", b"\x08"
+EDGE, TOP = 2.0**63, 2.0**63 * (1 - 1e-15)
+
+
+def packed(x: np.ndarray) -> bytes:
+    """An array of integer-valued doubles in as few bytes as hold it exactly."""
+    if np.abs(x).max(initial=0) < 2**31:
+        return NARROW + x.astype("<i4").tobytes()
+    return WIDE + x.astype("<f8").tobytes()
+
+
+def components(v: str) -> Column:
+    """The number of components of a packed vector."""
+    width = F.when(F.substring(v, 1, 1) == F.lit(bytearray(WIDE)), 8).otherwise(4)
+    return F.floor((F.length(v) - 1) / width)
+
+
+def within_range(x: np.ndarray, unknown: float) -> np.ndarray:
+    """Bounds of scores, kept to the range of 64-bit integers like the scores themselves."""
+    return np.clip(np.where(np.isnan(x), unknown, x), -EDGE, TOP)
 
 
 def integer_vectors(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
-    """uid, id and v (little-endian 32-bit integers) of the rows that take part."""
+    """uid, id and v (the packed integers) of the rows that take part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, uids = batch["id"].to_pylist(), batch["uid"].to_pylist()
@@ -44,11 +65,13 @@ def integer_vectors(vectors: DataFrame, key: str, vector: str, scale: int) -> Da
                 if i is None or not x.is_valid:
                     continue
                 x = x.values
-                if x.null_count or not len(x):
+                if x.null_count:
                     continue
-                x = np.floor(scale * x.to_numpy(zero_copy_only=False).astype(np.float64))
-                if np.isfinite(x).all() and np.abs(x).max() < LIMIT:
-                    out.append((uid, i, x.astype("<i4").tobytes()))
+                x = x.to_numpy(zero_copy_only=False).astype(np.float64)
+                if np.isfinite(x).all():
+                    with np.errstate(over="ignore"):
+                        x = np.clip(np.floor(scale * x), -1e300, 1e300)
+                    out.append((uid, i, packed(x)))
             if out:
                 u, i, v = zip(*out)
                 yield pa.RecordBatch.from_pydict({"uid": pa.array(u, pa.int64()), "id": pa.array(i, pa.int64()), "v": pa.array(v, pa.binary())})
@@ -60,7 +83,7 @@ def integer_vectors(vectors: DataFrame, key: str, vector: str, scale: int) -> Da
 def matrix(rows, d: int) -> np.ndarray:
     out = np.zeros((len(rows), d))
     for i, x in enumerate(rows):
-        x = np.frombuffer(x, "<i4")
+        x = np.frombuffer(x, "<f8" if memoryview(x)[:1] == WIDE else "<i4", offset=1)
         out[i, : len(x)] = x
     return out
 
@@ -68,30 +91,58 @@ def matrix(rows, d: int) -> np.ndarray:
 def top_scores(q: np.ndarray, own: np.ndarray, floor: np.ndarray, x: np.ndarray, uid: np.ndarray, ids: np.ndarray,
                k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, data row, score): for each query the k best rows that reach its floor, ties to smaller ids."""
-    # integers below 2**53 in every product and sum are exact in doubles; else 64-bit integers
-    exact = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1] < 2**53
-    scores = q @ x.T if exact else (q.astype(np.int64) @ x.astype(np.int64).T)
+    # integers below 2**53 in every product and sum are exact in doubles, below 2**63 in 64-bit integers
+    most = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1]
+    if most < 2**53:
+        scores = q @ x.T
+    elif most < 2**62:
+        scores = q.astype(np.int64) @ x.astype(np.int64).T
+    else:
+        scores = None
     qs, xs, ss = [], [], []
     for i in range(len(q)):
-        s = scores[i]
-        at = np.flatnonzero((s >= floor[i]) & (uid != own[i]))
+        if scores is None:
+            s, tried = wide_scores(q[i], x, uid != own[i], floor[i], k)
+        else:
+            s, tried = scores[i], uid != own[i]
+        at = np.flatnonzero((s >= floor[i]) & tried)
         if len(at) > k:
             least = np.partition(s[at], len(at) - k)[len(at) - k]
             at = at[s[at] >= least]
-        at = at[np.lexsort((uid[at], ids[at], -s[at]))][:k]
+        at = at[np.lexsort((uid[at], ids[at], ~s[at].astype(np.int64)))][:k]  # ~ turns the order round, as - cannot at -2**63
         qs.append(np.full(len(at), i))
         xs.append(at)
         ss.append(s[at])
     return np.concatenate(qs), np.concatenate(xs), np.concatenate(ss).astype(np.int64)
 
 
+def wide_scores(q: np.ndarray, x: np.ndarray, others: np.ndarray, floor: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """One query's exact scores by integers of any size, for the rows (marked) that can be among the k best.
+
+    Sums of doubles with their error bounds tell which rows those are.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        about, error = x @ q, 1e-15 * (len(q) + 2) * (np.abs(x) @ np.abs(q))
+        low, high = within_range(about - error, -np.inf), within_range(about + error, np.inf)
+    rows = np.flatnonzero(others & (high >= floor))
+    if len(rows) > k:
+        rows = rows[high[rows] >= np.partition(low[rows], len(rows) - k)[len(rows) - k]]
+    out, tried = np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+    tried[rows] = True
+    whole = [int(c) for c in q]
+    for j in rows:
+        score = sum(a * int(b) for a, b in zip(whole, x[j]) if a)
+        out[j] = min(max(score, -2**63), 2**63 - 1)
+    return out, tried
+
+
 def top_k(vectors: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id", vector: str = "embedding",
           scale: int = 256, pivots: int = 128, data_block: int = 4096, query_block: int = 512) -> DataFrame:
     """query_id, rank, vec_id, score for the rows whose id is divisible by ``every``, against all rows."""
     spark = vectors.sparkSession
     rows = stored(integer_vectors(vectors, key, vector, scale), "knn-vectors")
-    longest, total = rows.agg(F.max(F.length("v")), F.count("*")).first()
-    d = (longest or 4) // 4
+    longest, total = rows.agg(F.max(components("v")), F.count("*")).first()
+    d = max(1, longest or 0)
     sample = rows.select("v", F.xxhash64("v").alias("h")).filter(under_hash(F.col("h"), total, pivots)) \
         .distinct().orderBy("h", "v").limit(pivots).collect()
     p = spark.sparkContext.broadcast(matrix([r["v"] for r in sample], d))
@@ -101,11 +152,14 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id",
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
                 x = matrix([b.as_buffer() for b in part["v"]], d)
-                far = (x * x).sum(1)[:, None] - 2 * (x @ p.value.T) + (p.value * p.value).sum(1)[None, :]
-                near = far.argmin(1)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    far = (x * x).sum(1)[:, None] - 2 * (x @ p.value.T) + (p.value * p.value).sum(1)[None, :]
+                    near = np.where(np.isnan(far), np.inf, far).argmin(1)
+                    gap = x - p.value[near]  # the distance itself, as the sum above cancels
+                    r, norm = np.sqrt((gap * gap).sum(1)), np.sqrt((x * x).sum(1))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(near.astype(np.int32)), pa.array(np.sqrt(np.maximum(far[np.arange(len(x)), near], 0))),
-                     pa.array(np.sqrt((x * x).sum(1)))], names=[*part.schema.names, "cell", "r", "norm"])
+                    [*part.columns, pa.array(near.astype(np.int32)), pa.array(r), pa.array(norm)],
+                    names=[*part.schema.names, "cell", "r", "norm"])
     rows = stored(rows.mapInArrow(cells, "uid bigint, id bigint, v binary, cell int, r double, norm double"), "knn-cells")
     # one summary per pivot: their number is a parameter
     summary = rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("r").alias("r"), F.max("norm").alias("norm")) \
@@ -115,9 +169,12 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id",
 
     def bounds(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         centre, _, _, r, norm = facts.value
-        at, long = q @ centre.T, np.sqrt((q * q).sum(1))[:, None]
-        slack = 1e-9 * (np.abs(at) + long * (r + norm)[None, :]) + 1e-6
-        return at - long * r[None, :] - slack, np.minimum(at + long * r[None, :], long * norm[None, :]) + slack
+        with np.errstate(over="ignore", invalid="ignore"):
+            at, long = q @ centre.T, np.sqrt((q * q).sum(1))[:, None]
+            slack = 1e-9 * (np.abs(at) + long * (r + norm)[None, :]) + 1e-6
+            low = at - long * r[None, :] - slack
+            high = np.minimum(at + long * r[None, :], long * norm[None, :]) + slack
+        return within_range(low, -np.inf), within_range(high, np.inf)
 
     def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,7 +217,9 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id",
     at_home = queries.withColumn("cell", F.col("home"))
     first = stored(joined(at_home, at_home.select("qb", "cell").distinct()), "knn-home")
     best = Window.partitionBy("quid").orderBy(F.desc("score"), "id", "uid")
-    kth = first.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") == k).select("quid", F.col("score").cast("double").alias("kth"))
+    score = F.col("score").cast("double")
+    reached = F.least(score - F.abs(score) * 4e-16, F.lit(TOP))  # never above the score, whatever the cast rounds, nor a bound
+    kth = first.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") == k).select("quid", reached.alias("kth"))
     queries = queries.join(kth, "quid", "left").withColumn("floor", F.greatest("floor", "kth")).drop("kth")
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
