@@ -249,10 +249,15 @@ def render(node: Node, out: Lines, depth: int = 0, number: list[int] | None = No
             render(child, out, depth, number, pre)
 
 
+#: Cells are aligned up to this length (longer ones run on, whole) and up to this place of a line, so that the padding
+#: of a row has a bound whatever the other rows hold.
+WIDEST_CELL, WIDEST_LINE = 80, 400
+
+
 def table(node: Node, out: Lines, depth: int) -> None:
     """Captions and stray content first, then the rows with their cells in columns."""
     rows: list[list[tuple[int, str]]] = []
-    taken: dict[int, dict[int, bool]] = {}  # columns of later rows that a cell above covers
+    spans: list[tuple[int, int, int]] = []  # (from, to, last row): columns that cells above cover, by from
     pending = [(node, iter(node.below))]
     while pending:
         here, children = pending[-1]
@@ -267,7 +272,8 @@ def table(node: Node, out: Lines, depth: int) -> None:
             pending.append((child, iter(child.below)))
         elif child.tag == "tr":
             row, column = [], 0
-            covered = taken.pop(len(rows), {})
+            spans = [s for s in spans if s[2] >= len(rows)]
+            reach, deep = 0, []
             for cell in child.below:
                 if isinstance(cell, str) or cell.tag not in CELLS:
                     if isinstance(cell, str):
@@ -275,18 +281,22 @@ def table(node: Node, out: Lines, depth: int) -> None:
                     elif not unseen(cell):
                         render(_holder(cell), out, depth)
                     continue
-                while column in covered:
-                    column += 1
+                while reach < len(spans) and spans[reach][0] <= column:
+                    column, reach = max(column, spans[reach][1]), reach + 1
                 if not unseen(cell):
                     inner = Lines()
                     render(cell, inner, 0)
                     inner.flush()
                     row.append((column, "\n".join(inner.done)))
-                wide, high = (min(n, int(cell.attrs.get(a, "1")) if cell.attrs.get(a, "1").isascii() and cell.attrs.get(a, "1").isdigit() else 1)
-                              for a, n in (("colspan", 1000), ("rowspan", 1000)))
-                for r in range(1, max(1, high)):
-                    taken.setdefault(len(rows) + r, {}).update({column + c: True for c in range(max(1, wide))})
-                column += max(1, wide)
+                wide, high = span(cell, "colspan", 1000), span(cell, "rowspan", 65534)
+                if high > 1:
+                    last = len(rows) + high - 1
+                    if deep and deep[-1][1:] == (column, last):
+                        deep[-1] = (deep[-1][0], column + wide, last)
+                    else:
+                        deep.append((column, column + wide, last))
+                column += wide
+            spans = sorted(spans + deep)
             rows.append(row)
         elif child.tag == "caption":
             out.brk(1)
@@ -306,19 +316,25 @@ def table(node: Node, out: Lines, depth: int) -> None:
     flat = [[(c, SPACE.sub(" ", text)) for c, text in row] for row in rows]
     for row in flat:
         for c, text in row:
-            widths[c] = max(widths.get(c, 0), len(text))
+            widths[c] = max(widths.get(c, 0), min(len(text), WIDEST_CELL))
     place, at = {}, 0
     for c in sorted(widths):
-        place[c], at = at, at + widths[c] + 2
+        place[c], at = min(at, WIDEST_LINE), at + widths[c] + 2
     for row in flat:
         line = ""
         for c, text in row:
-            line = line.ljust(place[c]) + text
+            line = (line.ljust(place[c]) if len(line) + 2 <= place[c] or not line else line + "  ") + text
         if line.strip():
             out.line.append(line.rstrip())
             out.flush()
 
 
+def span(cell: Node, name: str, most: int) -> int:
+    """A span's value up to the standard's limit; 1 where there is none."""
+    value = cell.attrs.get(name, "1")
+    return min(most, max(1, int(value[:9]))) if value.isascii() and value.isdigit() else 1
+
+
 def _holder(child: Node) -> Node:
     node = Node("div")
     node.below = [child]
