@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The patterns, tried in this order at every place.
-MAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"
+#: A mail name is taken whole, from the first of its characters on; a domain has at most the 127 labels that fit into a name.
+MAIL = (r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){0,125}\.[A-Za-z]{2,24}")
 ADDRESS = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
 YEAR = "(?:1[89]|2[01])[0-9]{2}"
 DATE = (rf"(?<![0-9]){YEAR}[-/.][01][0-9][-/.][0-3][0-9](?![0-9])|(?<![0-9])(?<![0-9][-/.])(?:"
