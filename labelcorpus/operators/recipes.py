@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from labelcorpus.operators import ranks
+
+
 def label_order():
     """Label order: fraction desc, then sequence number, then input position."""
     return [F.col("fraction").desc(), F.col("sequence_number"), F.col("pos"), F.col("pos2")]
@@ -80,17 +83,21 @@ def recipe_statistics(foods: DataFrame, ingredients: DataFrame,
 
 
 # P4 / W1 -----------------------------------------------------------------------------------
-def initial_declared(ingredients_with_fractions: DataFrame, order=None) -> DataFrame:
+def initial_declared(ingredients_with_fractions: DataFrame, order=None, any_size: bool = False) -> DataFrame:
     """Label rows: non-fortificant ingredients in label order (fraction desc, sequence, input).
 
     The window is per food; callers apply the size filter first, which bounds a food to at
-    most ``max_ingredients`` rows.
+    most ``max_ingredients`` rows. Without that filter ``any_size`` numbers the rows by ranges.
     """
-    w = Window.partitionBy("food_id").orderBy(*(order or label_order()))
-    return (drop_fortificants(ingredients_with_fractions)
+    order, kept = order or label_order(), drop_fortificants(ingredients_with_fractions)
+    if any_size:
+        kept, position = ranks.row_numbers(kept, ["food_id"], order, "label_pos"), F.col("label_pos").cast("int")
+    else:
+        position = F.row_number().over(Window.partitionBy("food_id").orderBy(*order))
+    return (kept
             .select(
                 "food_id",
-                F.row_number().over(w).alias("label_pos"),
+                position.alias("label_pos"),
                 F.col("description").alias("original_description"),
                 F.upper("description").alias("declared_name"),
                 F.lit("main").alias("declaration_group"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelcorpus.knowledge import values as V
+from labelcorpus.operators import ranks
 
 LEVELS = dict(V.OPERATORS)
 
@@ -13,9 +14,11 @@ LEVELS = dict(V.OPERATORS)
 # L8 ----------------------------------------------------------------------------------------
 def operator_records(foods: DataFrame, declared: DataFrame, allergens: DataFrame | None,
                      claims: DataFrame | None, nutrient_names: DataFrame | None,
-                     operators: list[str], lt2_threshold: float = 0.02) -> DataFrame:
+                     operators: list[str], lt2_threshold: float = 0.02, any_size: bool = False) -> DataFrame:
     """One row per (food, applied operator): name, version, affected items, config.
 
+    ``any_size`` builds the lists from runs, for foods that no size filter bounds.
+
     ``claims``: (food_id, claims); ``nutrient_names``: (food_id, names) in first-position
     order. ``less_than_2_pct`` leaves no record when its threshold is <= 0.
     """
@@ -31,12 +34,22 @@ def operator_records(foods: DataFrame, declared: DataFrame, allergens: DataFrame
     names_in_order = F.transform(F.array_sort(F.collect_list(F.struct(
         F.when(F.col("declaration_group") == "main", 0).otherwise(1).alias("g"),
         "label_pos", "original_description"))), lambda s: s["original_description"])
-    per_food = declared.groupBy("food_id").agg(
-        affected("rename_affected").alias("rename"),
-        affected("generic_name_affected").alias("generic_name"),
-        affected("compound_affected").alias("compound"),
-        affected("lt2_affected").alias("less_than_2_pct"),
-        names_in_order.alias("_all_names"))
+    lists = [affected("rename_affected").alias("rename"),
+             affected("generic_name_affected").alias("generic_name"),
+             affected("compound_affected").alias("compound"),
+             affected("lt2_affected").alias("less_than_2_pct")]
+    if any_size:
+        def in_group(main: bool):
+            hit = (F.col("declaration_group") == "main") == F.lit(main)
+            return F.transform(F.array_sort(F.collect_list(F.when(hit, F.struct("label_pos", "original_description")))),
+                               lambda s: s["original_description"])
+        runs = declared.groupBy("food_id", ranks.run_of("label_pos").alias("_run")).agg(
+            *lists, in_group(True).alias("_main"), in_group(False).alias("_low"))
+        per_food = runs.groupBy("food_id").agg(
+            *[ranks.joined_runs("_run", op).alias(op) for op in ("rename", "generic_name", "compound", "less_than_2_pct")],
+            F.concat(ranks.joined_runs("_run", "_main"), ranks.joined_runs("_run", "_low")).alias("_all_names"))
+    else:
+        per_food = declared.groupBy("food_id").agg(*lists, names_in_order.alias("_all_names"))
     base = ids.join(per_food, "food_id", "left")
     if allergens is not None:
         base = base.join(allergens.select("food_id", "allergens"), "food_id", "left")
@@ -131,11 +144,16 @@ def ingredient_maps(ingredients_with_fractions: DataFrame) -> DataFrame:
 
 
 # W4 ----------------------------------------------------------------------------------------
-def truth_keys(declared: DataFrame, sample_col: str = "food_id") -> DataFrame:
-    """Mapping truth rows: the n-th repeat of a declared name is keyed ``name#n`` (n > 1)."""
+def truth_keys(declared: DataFrame, sample_col: str = "food_id", any_size: bool = False) -> DataFrame:
+    """Mapping truth rows: the n-th repeat of a declared name is keyed ``name#n`` (n > 1).
+
+    ``any_size`` numbers the repeats by ranges, for foods that no size filter bounds.
+    """
     g = F.when(F.col("declaration_group") == "main", 0).otherwise(1)
-    w = Window.partitionBy(sample_col, "declared_name").orderBy(g, "label_pos")
-    n = F.row_number().over(w)
+    if any_size:
+        declared, n = ranks.row_numbers(declared, [sample_col, "declared_name"], [g, F.col("label_pos")], "_repeat"), F.col("_repeat")
+    else:
+        n = F.row_number().over(Window.partitionBy(sample_col, "declared_name").orderBy(g, "label_pos"))
     return declared.select(
         sample_col, g.alias("group_pos"), "label_pos", "declared_name", "original_description",
         F.when(n == 1, F.col("declared_name"))

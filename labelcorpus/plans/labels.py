@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from labelcorpus.knowledge import dims as D
 from labelcorpus.knowledge import values as V
-from labelcorpus.operators import naming, nutrition, recipes, tags
+from labelcorpus.operators import naming, nutrition, ranks, recipes, tags
 
 DEFAULT_OPERATORS = [name for name, _ in V.OPERATORS]
 _DEFAULTS: dict = {}
@@ -86,10 +86,11 @@ def check_operators(operators: list | None) -> list:
 
 
 def declared_rows(ingredients_with_fractions: DataFrame, k: Knowledge,
-                  operators: list[str] | None = None, lt2_threshold: float = 0.02) -> DataFrame:
+                  operators: list[str] | None = None, lt2_threshold: float = 0.02,
+                  any_size: bool = False) -> DataFrame:
     """Declared ingredient rows after the naming operators and the 2% grouping."""
     ops = check_operators(operators)
-    df = recipes.initial_declared(ingredients_with_fractions)
+    df = recipes.initial_declared(ingredients_with_fractions, any_size=any_size)
     for op in ops:
         if callable(op):
             df = op(df)
@@ -115,11 +116,21 @@ def _names_in_order(group: str) -> F.Column:
         lambda s: s["declared_name"])
 
 
-def label_lists(declared: DataFrame) -> DataFrame:
-    """Per food: main names and 2% names in label order (the food has <= max rows)."""
-    return declared.groupBy("food_id").agg(
-        _names_in_order("main").alias("main_names"),
-        _names_in_order("two_percent_or_less").alias("two_percent_names"))
+def label_lists(declared: DataFrame, found: F.Column | None = None, any_size: bool = False) -> DataFrame:
+    """Per food: main names and 2% names in label order, and the distinct entries of ``found`` (an array) as ``found``.
+
+    One aggregate while a food has at most max_ingredients rows; ``any_size`` builds the lists from runs.
+    """
+    aggs = [_names_in_order("main").alias("main_names"), _names_in_order("two_percent_or_less").alias("two_percent_names")]
+    if found is not None:
+        aggs.append(F.array_sort(F.array_distinct(F.flatten(F.collect_list(found)))).alias("found"))
+    if not any_size:
+        return declared.groupBy("food_id").agg(*aggs)
+    runs = declared.groupBy("food_id", ranks.run_of("label_pos").alias("_run")).agg(*aggs)
+    whole = [ranks.joined_runs("_run", c).alias(c) for c in ("main_names", "two_percent_names")]
+    if found is not None:
+        whole.append(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))).alias("found"))
+    return runs.groupBy("food_id").agg(*whole)
 
 
 def ingredient_text(main: F.Column, two_pct: F.Column, allergen_text: F.Column,
@@ -140,20 +151,20 @@ def ingredient_text(main: F.Column, two_pct: F.Column, allergen_text: F.Column,
 def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrients: DataFrame,
                  k: Knowledge, operators: list[str] | None = None,
                  lt2_threshold: float = 0.02, materialize: str = "table",
-                 cut_points: tuple[str, ...] = ("declared", "profile", "label")
-                 ) -> dict[str, DataFrame]:
+                 cut_points: tuple[str, ...] = ("declared", "profile", "label"),
+                 any_size: bool = False) -> dict[str, DataFrame]:
     """The whole label for each food, as a dict of DataFrames keyed by food_id.
 
     ``foods`` must hold one row per food to label (already restricted to selected ids).
     The declared rows, the nutrient profile and the label feed several branches (text,
     allergens, records, validation); ``materialize`` ('table', 'checkpoint', 'persist' or
-    'none') says how they are cut (see ``session.materialize``).
+    'none') says how they are cut (see ``session.materialize``). ``any_size``: the foods went
+    through no size filter.
     """
     from labelcorpus.session import materialize as cut
     ops = check_operators(operators)
-    declared = declared_rows(ingredients_with_fractions, k, ops, lt2_threshold)
+    declared = declared_rows(ingredients_with_fractions, k, ops, lt2_threshold, any_size)
     declared = cut(declared, materialize if "declared" in cut_points else "none")
-    lists = label_lists(declared)
 
     ctx = k.nutrient_context()
     served = tags.serving_size(foods, k.prefixes, k.food_keywords, k.racc)
@@ -165,15 +176,10 @@ def build_labels(foods: DataFrame, ingredients_with_fractions: DataFrame, nutrie
     out: dict[str, DataFrame] = {"declared": declared, "servings": served}
     empty = F.array().cast("array<string>")
 
-    # One aggregate over the declared rows (at most max_ingredients per food after the size
-    # filter): label lists and, when asked, the allergen set.
-    aggs = [_names_in_order("main").alias("main_names"),
-            _names_in_order("two_percent_or_less").alias("two_percent_names")]
-    if "allergen" in ops:
-        found = tags.allergen_column(F.col("original_description"), k.allergen_keywords,
-                                     k.allergen_exclusions)
-        aggs.append(F.array_sort(F.array_distinct(F.flatten(F.collect_list(found)))).alias("_alg"))
-    dagg = declared.groupBy("food_id").agg(*aggs)
+    # One pass over the declared rows: label lists and, when asked, the allergen set.
+    found = tags.allergen_column(F.col("original_description"), k.allergen_keywords,
+                                 k.allergen_exclusions) if "allergen" in ops else None
+    dagg = label_lists(declared, found, any_size).withColumnRenamed("found", "_alg")
     if "allergen" in ops:
         has = F.size("_alg") > 0
         dagg = dagg.select(
@@ -236,7 +242,7 @@ def nutrient_name_lists(nutrients: DataFrame) -> DataFrame:
 
 
 def label_records(foods: DataFrame, nutrients: DataFrame, built: dict[str, DataFrame],
-                  operators: list[str] | None = None, lt2_threshold: float = 0.02) -> DataFrame:
+                  operators: list[str] | None = None, lt2_threshold: float = 0.02, any_size: bool = False) -> DataFrame:
     """L8 operator records for a ``build_labels`` result."""
     from labelcorpus.operators import truth
     ops = check_operators(operators)
@@ -245,4 +251,4 @@ def label_records(foods: DataFrame, nutrients: DataFrame, built: dict[str, DataF
         foods.select("food_id").join(label.select("food_id", "serving_g"), "food_id", "left"), built["declared"],
         label.select("food_id", "allergens") if "allergen" in ops else None,
         label.select("food_id", "claims") if "claim" in ops else None,
-        nutrient_name_lists(nutrients) if "claim" in ops else None, ops, lt2_threshold)
+        nutrient_name_lists(nutrients) if "claim" in ops else None, ops, lt2_threshold, any_size)

@@ -324,3 +324,43 @@ def q_foreign_parser(spark, sf_dir):
     samples = lists.select("food_id", F.concat("main_names", "two_percent_names").alias("truth_names"), L.ingredient_text(
         F.col("main_names"), F.col("two_percent_names"), none, F.array().cast("array<string>")).alias("ingredient_text"))
     return foreign.evaluate_parser(samples, split_at_commas).select("food_id", "parser_error", "f1", "n_correct")
+
+
+# W1, X9, W4, L8 for foods of any size --------------------------------------------------------
+HOT = ("hot AS (SELECT * REPLACE (CASE WHEN food_id % 3 = 0 THEN 0 ELSE food_id END AS food_id) FROM (" + Q.ING + ")), "
+       "tot AS (SELECT food_id, sum(weight_g) AS total FROM hot GROUP BY food_id), "
+       "lab AS (SELECT hot.*, weight_g / total AS f, row_number() OVER (PARTITION BY food_id ORDER BY weight_g / total DESC, "
+       "sequence_number, pos, pos2) AS label_pos FROM hot JOIN tot USING (food_id) WHERE NOT is_fortificant)")
+
+
+def _hot_declared(spark, sf_dir):
+    """Declared rows of foods of which one has a third of all ingredients."""
+    from labelcorpus.operators import recipes as R
+    rows = T.ingredients(spark, sf_dir).withColumn("food_id", F.when(F.col("food_id") % 3 == 0, 0).otherwise(F.col("food_id")))
+    return R.less_than_2_pct(R.initial_declared(R.with_fractions(rows), any_size=True))
+
+
+@register("hot_food_order", f"WITH {HOT} SELECT food_id, CAST(label_pos AS INTEGER) AS label_pos, description AS original_description, "
+          "CASE WHEN f <= 0.02 THEN 'two_percent_or_less' ELSE 'main' END AS declaration_group FROM lab")
+def q_hot_food_order(spark, sf_dir):
+    return _hot_declared(spark, sf_dir).select("food_id", "label_pos", "original_description", "declaration_group")
+
+
+@register("hot_food_text", f"WITH {HOT}, t AS (SELECT food_id, string_agg(upper(description), ', ' ORDER BY label_pos) FILTER (WHERE f > 0.02) AS m, "
+          "string_agg(upper(description), ', ' ORDER BY label_pos) FILTER (WHERE f <= 0.02) AS l FROM lab GROUP BY food_id) "
+          "SELECT food_id, 'INGREDIENTS: ' || concat_ws(', ', m, CASE WHEN l IS NOT NULL THEN 'CONTAINS 2% OR LESS OF: ' || l END) "
+          "|| '.' AS ingredient_text FROM t")
+def q_hot_food_text(spark, sf_dir):
+    lists = L.label_lists(_hot_declared(spark, sf_dir), any_size=True)
+    none = F.array().cast("array<string>")
+    return lists.select("food_id", L.ingredient_text(
+        F.col("main_names"), F.col("two_percent_names"), F.lit(None).cast("string"), none).alias("ingredient_text"))
+
+
+@register("hot_food_keys", f"WITH {HOT}, n AS (SELECT food_id, CASE WHEN f <= 0.02 THEN 1 ELSE 0 END AS group_pos, label_pos, upper(description) AS name, "
+          "row_number() OVER (PARTITION BY food_id, upper(description) ORDER BY CASE WHEN f <= 0.02 THEN 1 ELSE 0 END, label_pos) AS k FROM lab) "
+          "SELECT food_id, group_pos, CAST(label_pos AS INTEGER) AS label_pos, CASE WHEN k = 1 THEN name ELSE name || '#' || CAST(k AS VARCHAR) END "
+          "AS key FROM n")
+def q_hot_food_keys(spark, sf_dir):
+    from labelcorpus.operators import truth
+    return truth.truth_keys(_hot_declared(spark, sf_dir), any_size=True).select("food_id", "group_pos", "label_pos", "key")
