@@ -13,30 +13,47 @@ from pyspark.sql import functions as F
 RUN = 10_000
 
 
-def row_numbers(df: DataFrame, keys: list[str], order: list[Column], out: str, ranges: int | None = None,
-                how: str = "table") -> DataFrame:
-    """``row_number()`` over (keys, order) as ``out`` (bigint); null keys are a group like any other.
-
-    One range shuffle, written (``session.materialize``) because a range's number must not change between its two
-    readers, and one shuffle by (keys, range). Rows that tie in the whole order share a range, so the order should
-    tell rows of a large group apart. ``ranges`` defaults to the session's shuffle partitions.
-    """
+def _cut(df: DataFrame, keys: list[str], order: list[Column], ranges: int | None, how: str) -> DataFrame:
+    """``df`` with ``_range``: ranges of (keys, order), written because a row must lie in the same range at every reading."""
     from labelcorpus.session import materialize
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = df.repartitionByRange(ranges, *[F.col(k) for k in keys], *order).withColumn("_range", F.spark_partition_id())
-    cut = materialize(cut, how)
-    # at most one row per group and range, so this window holds no more rows of a group than there are ranges
-    counts = cut.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    return materialize(cut, how)
+
+
+def _join_earlier(cut: DataFrame, keys: list[str], per_range: Column, over_earlier: Column) -> DataFrame:
+    """``cut`` with ``_before``: ``over_earlier`` (an aggregate of ``_n``) over the group's earlier ranges, ``_n`` being
+    ``per_range`` of each. At most one row per group and range, so its window is as short as there are ranges."""
+    counts = cut.groupBy(*keys, "_range").agg(per_range.alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)], F.col("_range").alias("_of"),
-                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+                           over_earlier.over(earlier).alias("_before"))
     same = F.col("_range") == F.col("_of")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_{i}"))
+    return cut.join(starts, same).drop("_of", *[f"_{i}" for i in range(len(keys))])
+
+
+def row_numbers(df: DataFrame, keys: list[str], order: list[Column], out: str, ranges: int | None = None,
+                how: str = "table") -> DataFrame:
+    """``row_number()`` over (keys, order) as ``out`` (bigint); null keys are a group like any other.
+
+    One range shuffle, written (``session.materialize``) because a range's number must not change between its two
+    readings, and one shuffle by (keys, range). Rows that tie in the whole order share a range, so the order should
+    tell rows of a large group apart. ``ranges`` defaults to the session's shuffle partitions.
+    """
+    cut = _join_earlier(_cut(df, keys, order, ranges, how), keys, F.count(F.lit(1)), F.sum("_n"))
     within = Window.partitionBy(*keys, "_range").orderBy(*order)
-    return (cut.join(starts, same)
-            .withColumn(out, F.row_number().over(within).cast("bigint") + F.col("_before"))
-            .drop("_range", "_of", "_before", *[f"_{i}" for i in range(len(keys))]))
+    return (cut.withColumn(out, F.row_number().over(within).cast("bigint") + F.coalesce("_before", F.lit(0)))
+            .drop("_range", "_before"))
+
+
+def earlier_min(df: DataFrame, keys: list[str], order: list[Column], value: str, out: str, ranges: int | None = None,
+                how: str = "table") -> DataFrame:
+    """Least ``value`` among a group's earlier rows as ``out`` (null at its first row), for groups of any size; see ``row_numbers``."""
+    cut = _join_earlier(_cut(df, keys, order, ranges, how), keys, F.min(value), F.min("_n"))
+    within = Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return cut.withColumn(out, F.least("_before", F.min(value).over(within))).drop("_range", "_before")
 
 
 def run_of(position: Column | str, run: int = RUN) -> Column:

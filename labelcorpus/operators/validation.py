@@ -27,15 +27,20 @@ def _issues(*conds_msgs):
 
 # One aggregate for the rules that look at ingredients --------------------------------------
 def ingredient_facts(ingredients_with_fractions, declared, found=None, records=None, threshold: float = 0.02,
-                     tol: float = 1e-9):
+                     tol: float = 1e-9, any_size: bool = False):
     """Per food, from one shuffle of its ingredient rows, its declared rows and its 2% operator record:
 
     ``canon`` and ``lab`` (distinct descriptions of the recipe without fortificants, and of the label), ``n_bad`` (main rows
     heavier than the least before them), ``max_lt`` and ``min_main`` (heaviest 2% row, lightest main row), ``lt2_threshold``
     (of the food's own record of ``less_than_2_pct``, else ``threshold``) and ``detected`` (allergens, sorted): ``found`` is
     an array column of allergens over the declared rows.
+
+    ``any_size`` is for foods that passed no size filter: names are compared by (food, name), so that ``canon`` and ``lab`` hold
+    only the names that the other side lacks, and the least before a row comes from ranges (``ranks.earlier_min``).
     """
     from pyspark.sql import Window
+
+    from labelcorpus.operators import ranks
     none = lambda t: F.lit(None).cast(t)
     lab = declared.select("food_id", none("string").alias("canon"), F.col("original_description").alias("lab"),
                           "declaration_group", F.col("label_pos").cast("long").alias("label_pos"),
@@ -53,13 +58,23 @@ def ingredient_facts(ingredients_with_fractions, declared, found=None, records=N
     main = F.col("declaration_group") == "main"
     before = (Window.partitionBy("food_id", "declaration_group").orderBy("label_pos")
               .rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.repartition("food_id").withColumn("least", F.min("f").over(before))
-    return rows.groupBy("food_id").agg(
-        F.collect_set("canon").alias("canon"), F.collect_set("lab").alias("lab"),
-        F.count_if(main & (F.col("f") > F.col("least") + tol)).alias("n_bad"),
+    names = [F.collect_set("canon").alias("canon"), F.collect_set("lab").alias("lab")]
+    if any_size:
+        rows = ranks.earlier_min(rows, ["food_id", "declaration_group"], [F.col("label_pos")], "f", "least")
+        # a name of a food is one row here, and only those of one side are collected
+        sides = (rows.withColumn("_name", F.coalesce("canon", "lab")).groupBy("food_id", "_name")
+                 .agg(F.max("canon").alias("canon"), F.max("lab").alias("lab"))
+                 .where(F.col("canon").isNull() | F.col("lab").isNull()))
+        diff = sides.groupBy(F.col("food_id").alias("_food")).agg(*names)
+        names = []
+    else:
+        rows = rows.repartition("food_id").withColumn("least", F.min("f").over(before))
+    per = rows.groupBy("food_id").agg(
+        *names, F.count_if(main & (F.col("f") > F.col("least") + tol)).alias("n_bad"),
         F.max(F.when(~main, F.col("f"))).alias("max_lt"), F.min(F.when(main, F.col("f"))).alias("min_main"),
         F.coalesce(F.max("threshold"), F.lit(threshold)).alias("lt2_threshold"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("found")))).alias("detected"))
+    return per.join(diff, F.col("food_id") == F.col("_food"), "left").drop("_food") if any_size else per
 
 
 # V1 ----------------------------------------------------------------------------------------

@@ -1154,4 +1154,4 @@ def q_validation_allergen(spark, sf_dir):
     return res.select("food_id", "passed", missing.alias("missing"))
 
 
-from labelcorpus.plans import report_queries  # noqa: E402,F401  (registers its queries)
+from labelcorpus.plans import report_queries, text_queries  # noqa: E402,F401  (register their queries)

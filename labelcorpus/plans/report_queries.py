@@ -364,3 +364,27 @@ def q_hot_food_text(spark, sf_dir):
 def q_hot_food_keys(spark, sf_dir):
     from labelcorpus.operators import truth
     return truth.truth_keys(_hot_declared(spark, sf_dir), any_size=True).select("food_id", "group_pos", "label_pos", "key")
+
+
+@register("hot_food_rules", f"WITH {HOT}, dam AS (SELECT food_id, CASE WHEN label_pos = 1 AND food_id % 4 = 0 THEN 'UNLISTED ITEM' ELSE description END AS d, f, "
+          "f <= 0.02 AS low, CASE WHEN food_id % 13 = 0 THEN -label_pos ELSE label_pos END AS lp FROM lab WHERE NOT (food_id % 2 = 0 AND "
+          "description IN ('red bolt', 'small ring'))), "
+          "pm AS (SELECT *, min(f) OVER (PARTITION BY food_id, low ORDER BY lp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS least FROM dam), "
+          "o AS (SELECT food_id, count(*) FILTER (WHERE NOT low AND f > least + 1e-9) AS n_bad, list(DISTINCT d) AS have FROM pm GROUP BY food_id), "
+          "w AS (SELECT food_id, list(DISTINCT description) AS want FROM lab GROUP BY food_id), "
+          "j AS (SELECT food_id, coalesce(n_bad, 0) AS n_bad, coalesce(want, []) AS want, coalesce(have, []) AS have FROM w FULL JOIN o USING (food_id)) "
+          "SELECT food_id, CAST(n_bad AS BIGINT) AS n_bad, array_to_string(list_sort(list_filter(want, lambda x: NOT list_contains(have, x))), ', ') AS missing, "
+          "array_to_string(list_sort(list_filter(have, lambda x: NOT list_contains(want, x))), ', ') AS extra FROM j")
+def q_hot_food_rules(spark, sf_dir):
+    """V1 and V2 on foods of which one has a third of all ingredients: names left out, an unlisted one, labels in reverse."""
+    from labelcorpus.operators import recipes as R
+    from labelcorpus.operators import validation as VR
+    rows = T.ingredients(spark, sf_dir).withColumn("food_id", F.when(F.col("food_id") % 3 == 0, 0).otherwise(F.col("food_id")))
+    fr, name = R.with_fractions(rows), F.col("original_description")
+    declared = _hot_declared(spark, sf_dir).where(~((F.col("food_id") % 2 == 0) & name.isin("red bolt", "small ring")))
+    declared = (declared.withColumn("original_description", F.when((F.col("label_pos") == 1) & (F.col("food_id") % 4 == 0), "UNLISTED ITEM").otherwise(name))
+                .withColumn("label_pos", F.when(F.col("food_id") % 13 == 0, -F.col("label_pos")).otherwise(F.col("label_pos"))))
+    facts = VR.ingredient_facts(fr, declared, any_size=True)
+    lists = [F.coalesce(c, F.array().cast("array<string>")) for c in ("canon", "lab")]
+    joined = [F.array_join(F.array_sort(F.array_except(a, b)), ", ") for a, b in (lists, lists[::-1])]
+    return facts.select("food_id", "n_bad", joined[0].alias("missing"), joined[1].alias("extra"))

@@ -62,3 +62,26 @@ def test_initial_declared_any_size_keeps_all_rows(spark):
     ing = spark.createDataFrame(rows, "food_id bigint, sequence_number int, pos bigint, pos2 int, code bigint, description string, weight_g double, is_fortificant boolean")
     got = recipes.initial_declared(recipes.with_fractions(ing), any_size=True).where("food_id = 9")
     assert [r[0] for r in got.orderBy("label_pos").select("original_description").collect()] == [f"x{i}" for i in range(500)]
+
+
+def test_earlier_min_equals_the_window(spark):
+    df = _rows(spark)
+    order = [F.col("s").desc(), F.col("i")]
+    got = ranks.earlier_min(df, ["k"], order, "w", "least", ranges=16)
+    w = Window.partitionBy("k").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    want = df.withColumn("least", F.min("w").over(w))
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert ranks.earlier_min(df.limit(0), ["k"], order, "w", "least").count() == 0
+
+
+def test_ingredient_facts_of_any_size_find_the_same(spark):
+    from labelcorpus.operators import validation as VR
+    rows = [(f, f"name {i % 9}", (i * 7 % 11) / 20, i, "main" if i % 4 else "two_percent_or_less") for f in (1, 1, 1, 2, 3) for i in range(30)]
+    lab = spark.createDataFrame(rows, "food_id int, original_description string, original_fraction double, label_pos int, declaration_group string")
+    lab = lab.dropDuplicates(["food_id", "label_pos"])
+    canon = lab.select("food_id", F.when(F.col("label_pos") == 3, "other").otherwise(F.col("original_description")).alias("description"),
+                       F.lit(False).alias("is_fortificant"))
+    lab = lab.where("not (food_id = 2 and original_description in ('name 1', 'name 5'))")
+    issues = [VR.preservation_issues(F.col("canon"), F.col("lab")).alias("issues"), "food_id", "n_bad", "max_lt", "min_main", "lt2_threshold", "detected"]
+    a, b = (VR.ingredient_facts(canon, lab, any_size=x).select(*issues) for x in (True, False))
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and a.where("size(issues) > 0").count() == 3
