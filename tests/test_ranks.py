@@ -85,3 +85,24 @@ def test_ingredient_facts_of_any_size_find_the_same(spark):
     issues = [VR.preservation_issues(F.col("canon"), F.col("lab")).alias("issues"), "food_id", "n_bad", "max_lt", "min_main", "lt2_threshold", "detected"]
     a, b = (VR.ingredient_facts(canon, lab, any_size=x).select(*issues) for x in (True, False))
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and a.where("size(issues) > 0").count() == 3
+
+
+def test_fractions_of_large_foods_are_dealt_out(spark, monkeypatch):
+    """No join key holds a whole large food, and the rows are those of the plain join."""
+    monkeypatch.setattr(recipes, "LARGE", 50)
+    rows = [(0 if i % 3 == 0 else None if i % 50 == 1 else i % 200, i, i % 5, float(i % 11)) for i in range(3000)] + [(7, 1, 1, 2.0)] * 60
+    df = spark.createDataFrame(rows, "food_id bigint, pos int, pos2 int, weight_g double").repartition(4)
+    got, want = recipes.with_fractions(df, any_size=True), recipes.with_fractions(df)
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_part" in plan and "_last" in plan
+
+
+def test_ranges_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "RANGE_ROWS", 100)
+    df = _rows(spark)
+    cut = ranks._cut(df, ["k"], [F.col("i")], None, "table")
+    assert cut.groupBy("_range").count().agg(F.max("count")).first()[0] < 300
+    got = ranks.row_numbers(df, ["k"], [F.col("i")], "n")
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("i")).cast("bigint"))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
