@@ -287,7 +287,7 @@ def q_survey_split_scan(spark, sf_dir):
 
     from labelcorpus.session import ensure_checkpoint_dir
     from labelcorpus.sources import survey as S
-    from labelcorpus.sources.survey_scan import read_split
+    from labelcorpus.sources.survey_scan import read_split, write_document
     foods, ing = T.foods(spark, sf_dir), T.ingredients(spark, sf_dir)
     inputs = ing.groupBy("food_id").agg(F.collect_list(F.struct(
         F.col("code").alias("ingredientCode"), F.col("description").alias("ingredientDescription"),
@@ -297,9 +297,9 @@ def q_survey_split_scan(spark, sf_dir):
     first = foods.agg(F.min("food_id")).scalar()
     lines = rows.select(F.lit(1).alias("part"), "food_id", F.concat(F.when(F.col("food_id") == first, "").otherwise(","), "r").alias("value"))
     ends = spark.createDataFrame([(0, None, '{"SurveyFoods": ['), (2, None, "]}")], "part int, food_id bigint, value string")
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/survey-{uuid.uuid4().hex}"
-    lines.unionByName(ends).coalesce(1).sortWithinPartitions("part", "food_id").select("value").write.text(folder)
-    raw = read_split(spark, spark.read.text(folder).inputFiles()[0], "SurveyFoods", S.FOOD, 1 << 20)
+    document = f"{ensure_checkpoint_dir(spark).rstrip('/')}/survey-{uuid.uuid4().hex}.json"
+    write_document(lines.unionByName(ends), ["part", "food_id"], document)
+    raw = read_split(spark, document, "SurveyFoods", S.FOOD, 1 << 20)
     total = F.aggregate(F.coalesce("inputFoods", F.array()), F.lit(0.0), lambda a, x: a + x["ingredientWeight"])
     return raw.select(F.col("fdcId").alias("food_id"), "description", F.coalesce(F.size("inputFoods"), F.lit(0)).cast("bigint").alias("n_inputs"),
                       Q.q(total).alias("total_weight"))

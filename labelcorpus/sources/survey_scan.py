@@ -145,13 +145,49 @@ def _key(file, at: int) -> str:
         span *= 4
 
 
-def array_records(spark: SparkSession, path: str, key: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(place, record): the objects of the root's array ``key`` as JSON text, with their byte place in the document."""
+def _uri(spark: SparkSession, path: str) -> tuple:
+    """(file system, path and uri) of a path as Spark's readers understand it; the uri is for pyarrow."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system, hadoop, re.sub(r"^file:/(?!//)", "file:///", system.makeQualified(hadoop).toString())
+
+
+def _join_files(batches: Iterator[pa.RecordBatch], parts: list[str], target: str, block: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+    for batch in batches:
+        if batch.num_rows:
+            system, at = fs.FileSystem.from_uri(target)
+            written = 0
+            with system.open_output_stream(at) as out:
+                for part in parts:
+                    with _open(part) as file:
+                        for place in range(0, file.size(), block):
+                            data = file.read_at(block, place)
+                            out.write(data)
+                            written += len(data)
+            yield pa.RecordBatch.from_pydict({"written": pa.array([written], pa.int64())})
+
+
+def write_document(lines: DataFrame, order: list[str], path: str) -> int:
+    """Write the column ``value`` as the lines of one text file, by ``order``; returns its bytes.
+
+    Many tasks sort and write; one task then only copies their files one after the other, block by block, so that no task
+    holds or sorts the document.
+    """
+    spark, folder = lines.sparkSession, f"{path}-parts"
+    lines.orderBy(*order).select("value").write.text(folder)
+    system, hadoop, _ = _uri(spark, folder)
+    files = [f.getPath().toString() for f in system.listStatus(hadoop)]
+    parts = sorted(_uri(spark, f)[2] for f in files if f.rsplit("/", 1)[-1].startswith("part-"))
+    target = _uri(spark, path)[2]
+    copied = spark.range(0, 1, 1, numPartitions=1).mapInArrow(lambda b: _join_files(b, parts, target), "written bigint")
+    return copied.first()["written"]
+
+
+def array_records(spark: SparkSession, path: str, key: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(place, record): the objects of the root's array ``key`` as JSON text, with their byte place in the document."""
+    system, hadoop, uri = _uri(spark, path)
     size = system.getFileStatus(hadoop).getLen()
-    uri = system.makeQualified(hadoop).toString()
-    uri = re.sub(r"^file:/(?!//)", "file:///", uri)
     n = max(1, -(-size // chunk_bytes))
     number = F.col("id")
     chunks = spark.range(0, n, 1, numPartitions=n).select(

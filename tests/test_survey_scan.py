@@ -73,3 +73,13 @@ def test_survey_document_equals_the_plain_reader(spark, survey_path, tmp_path):
         S.read_survey(spark, str(tmp_path / "cut.json"), "split")
     (tmp_path / "empty.json").write_text("")
     assert S.read_survey(spark, str(tmp_path / "empty.json"), "split").count() == 0
+
+
+def test_a_document_is_written_by_many_tasks_in_order(spark, tmp_path):
+    """Sorted by many tasks, joined by one that only copies; the lines are those of the order, whatever they hold."""
+    from labelcorpus.sources import survey_scan
+    lines = spark.range(0, 5000, 1, 7).selectExpr("(id * 7919) % 5000 AS i", "concat('row ', (id * 7919) % 5000, ' é\"{') AS value")
+    path = str(tmp_path / "document.json")
+    size = survey_scan.write_document(lines, ["i"], path)
+    data = open(path, "rb").read()
+    assert len(data) == size and data.decode().splitlines() == [f'row {i} é"{{' for i in range(5000)]
